@@ -30,8 +30,10 @@ def coerce_timestamp(c: str | Column, source_type: DataType | None = None) -> Co
     if isinstance(source_type, (TimestampType, DateType)):
         return col.cast("timestamp_ntz")
     text = F.trim(col.cast("string"))
-    parsed = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in TIMESTAMP_TEXT_FORMATS]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    # ISO text (fractions, 'T' separator, date only) first, then the layouts.
+    parsed = [text.try_cast("timestamp_ntz")]
+    parsed += [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in TIMESTAMP_TEXT_FORMATS]
+    return F.coalesce(*parsed)
 
 
 def truncate_to_second(c: str | Column) -> Column:
