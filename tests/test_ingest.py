@@ -24,11 +24,11 @@ def test_dedup_keeps_last_in_file_order(spark, write_csv):
         "3,Z,nodate-a,1,,1.0,7,UK\n"
         "3,Z,nodate-b,2,,1.0,7,UK\n")
     src = read_source_csv(spark, p).drop("_overlong", "_bad_text")
-    d = dedup_keep_last(clean(src), keep_group_size=True)
+    d = dedup_keep_last(clean(src))
     rows = {(r.invoice_no, r.description): r for r in d.collect()}
     assert set(rows) == {("1", "third"), ("2", "only"), ("3", "nodate-b")}
     assert rows[("1", "third")].quantity == 3.0
-    counts = duplicate_count(d).first()
+    counts = duplicate_count(clean(src), d).first()
     assert (counts.rows_before, counts.rows_after, counts.duplicates_removed) == (6, 3, 3)
 
 

@@ -2,46 +2,41 @@
 
 Spark rows have no order, so every row carries an orderable ``order_col``
 taken at the scan (file position for files, a total key order for tables).
-The last row per key is ``max_by(row, order)`` in a grouped aggregation, not a
-window: the aggregation combines map-side before the shuffle, so one key that
-holds a large share of the rows (for example every row whose keys are all
-NULL, which group together) is reduced in every map task instead of landing
-whole in one reducer. ``dropDuplicates`` keeps an arbitrary row and is not
-used.
+The kept row per key is ``row_number() over (partition by keys order by
+order_col desc) = 1``. Spark plans this filter as a top-1 per group that runs
+twice: a partial ``WindowGroupLimit`` in every map task before the shuffle and
+a final one after it. So a key that holds a large share of all rows (for
+example every row whose keys are all NULL, which group together) is cut to
+one row per map task before it is shuffled, and the reducer sees at most one
+row per map task for it. Sorts and the limit are code-generated.
+``dropDuplicates`` keeps an arbitrary row and is not used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.config import DEDUP_KEYS
 
-GROUP_SIZE_COL = "_dup_group_size"
+_RN = "_keep_rank"
 
 
-def dedup_keep_last(df: DataFrame, order_col: str = "_ord", keys=DEDUP_KEYS,
-                    keep_group_size: bool = False) -> DataFrame:
+def dedup_keep_last(df: DataFrame, order_col: str = "_ord", keys=DEDUP_KEYS) -> DataFrame:
     """One row per ``keys`` (NULLs compare equal): the row with the greatest
-    ``order_col``. With ``keep_group_size`` the number of input rows of the
-    group is kept in ``_dup_group_size`` so D2 needs no second pass."""
-    keys = list(keys)
-    others = [c for c in df.columns if c not in keys and c != order_col]
-    aggs = [F.max_by(F.struct(*others), F.col(order_col)).alias("_last")]
-    if keep_group_size:
-        aggs.append(F.count(F.lit(1)).alias(GROUP_SIZE_COL))
-    grouped = df.groupBy(*keys).agg(*aggs)
-    ordered = [c for c in df.columns if c != order_col]
-    out = [F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in ordered]
-    if keep_group_size:
-        out.append(F.col(GROUP_SIZE_COL))
-    return grouped.select(*out)
-
-
-def duplicate_count(deduped_with_sizes: DataFrame) -> DataFrame:
-    """D2 as one row: rows before, rows after, rows removed."""
-    return deduped_with_sizes.agg(
-        F.sum(GROUP_SIZE_COL).cast("long").alias("rows_before"),
-        F.count(F.lit(1)).cast("long").alias("rows_after"),
-        (F.sum(GROUP_SIZE_COL) - F.count(F.lit(1))).cast("long").alias("duplicates_removed"),
-    )
+    ``order_col``. The order column is dropped."""
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
+    return (df.withColumn(_RN, F.row_number().over(w))
+            .filter(F.col(_RN) == 1)
+            .drop(_RN, order_col))
+
+
+def duplicate_count(before: DataFrame, after: DataFrame) -> DataFrame:
+    """D2 as one row: rows before, rows after, rows removed. The two counts
+    are unioned and folded into one row (no join)."""
+    both = (before.agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit("before"))
+            .unionByName(after.agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit("after"))))
+    b = F.sum(F.when(F.col("side") == "before", F.col("n")))
+    a = F.sum(F.when(F.col("side") == "after", F.col("n")))
+    return both.agg(b.cast("long").alias("rows_before"), a.cast("long").alias("rows_after"),
+                    (b - a).cast("long").alias("duplicates_removed"))

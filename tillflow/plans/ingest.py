@@ -1,10 +1,10 @@
 """Ingest transform chain (A2): clean -> incremental filter -> keep-last
-dedup -> quality flag, and the two outputs cut from it.
+dedup -> quality flag, and the outputs cut from it.
 
-One lazy plan: scan, project, filter, one shuffle (the dedup aggregation).
-The flagged frame is the single place both outputs come from; the pipeline
-writes it once to the shared folder and splits from there, so the dedup runs
-once even though two tables are written.
+One lazy plan: scan, project, filter, one shuffle (the dedup). ``batch_lines``
+turns the flagged frame into the rows of one batch of ``order_lines``
+(loaded and quarantined together), so the pipeline writes a batch in a
+single job.
 """
 
 from __future__ import annotations
@@ -17,31 +17,41 @@ from pyspark.sql import functions as F
 from tillflow.config import ERROR_REASON_WIDTH, IngestOptions
 from tillflow.operators.clean import clean
 from tillflow.operators.conform import LOADABLE_COL, RAW_COLUMNS, conform_raw
-from tillflow.operators.dedup import GROUP_SIZE_COL, dedup_keep_last
+from tillflow.operators.dedup import dedup_keep_last
 from tillflow.operators.incremental import filter_new_records
 from tillflow.operators.quality import REASON_COL, add_audit_columns, flag_quality
+from tillflow.sinks.tables import LINES_SCHEMA, LOADED, QUARANTINED, STATUS_COL
 
 QUARANTINE_COLUMNS = RAW_COLUMNS + (REASON_COL, "quarantined_at")
 
 
+def prepare(source: DataFrame, options: IngestOptions = IngestOptions(),
+            last_processed_at: dt.datetime | None = None, last_invoice_no: str | None = None) -> DataFrame:
+    """Typed rows of ``source`` past the stored mark (before dedup): the rows
+    a run reads."""
+    cleaned = clean(source, options)
+    return filter_new_records(cleaned, last_processed_at, last_invoice_no,
+                              keep_null_dates=options.keep_null_dates)
+
+
+def dedup_and_flag(prepared: DataFrame, order_col: str = "_ord") -> DataFrame:
+    return flag_quality(dedup_keep_last(prepared, order_col=order_col))
+
+
 def transform(source: DataFrame, options: IngestOptions = IngestOptions(),
               last_processed_at: dt.datetime | None = None, last_invoice_no: str | None = None,
               order_col: str = "_ord") -> DataFrame:
     """Flagged, deduplicated rows of the new part of ``source``.
 
     ``source`` has the source-file columns plus an orderable ``order_col``.
-    The result carries ``error_reason`` ('' when clean) and the dedup group
-    size, from which the caller gets records-read and duplicate counts."""
-    cleaned = clean(source, options)
-    new = filter_new_records(cleaned, last_processed_at, last_invoice_no,
-                             keep_null_dates=options.keep_null_dates)
-    return flag_quality(dedup_keep_last(new, order_col=order_col, keep_group_size=True))
+    The result carries ``error_reason`` ('' when clean)."""
+    return dedup_and_flag(prepare(source, options, last_processed_at, last_invoice_no), order_col)
 
 
 def clean_output(flagged: DataFrame, batch_id: str, ingested_at: dt.datetime) -> DataFrame:
     """Clean rows with audit columns, conformed to the raw table, with the
     ``_loadable`` flag (rows that do not fit are skipped by the load)."""
-    rows = flagged.filter(F.col(REASON_COL) == "").drop(REASON_COL, GROUP_SIZE_COL)
+    rows = flagged.filter(F.col(REASON_COL) == "").drop(REASON_COL)
     return conform_raw(add_audit_columns(rows, batch_id, ingested_at))
 
 
@@ -54,8 +64,27 @@ def quarantine(flagged: DataFrame, batch_id: str, ingested_at: dt.datetime,
     """Rejected rows, written by name: the raw columns (values that do not
     fit the declared types become NULL, the row is kept), the batch audit
     columns, the reason and the quarantine time."""
-    rows = flagged.filter(F.col(REASON_COL) != "").drop(GROUP_SIZE_COL)
+    rows = flagged.filter(F.col(REASON_COL) != "")
     c = conform_raw(add_audit_columns(rows, batch_id, ingested_at))
     return c.select(*RAW_COLUMNS,
                     F.substring(REASON_COL, 1, ERROR_REASON_WIDTH).alias(REASON_COL),
                     F.lit(quarantined_at).cast("timestamp_ntz").alias("quarantined_at"))
+
+
+def batch_lines(flagged: DataFrame, batch_id: str, ingested_at: dt.datetime,
+                quarantined_at: dt.datetime) -> DataFrame:
+    """Rows of one batch of ``order_lines``: clean rows that fit the raw
+    table's types (``loaded``) and every rejected row (``quarantined``,
+    values that do not fit become NULL), with ``_loadable`` kept for the
+    caller's skipped-row count. Columns: LINES_SCHEMA without batch_id."""
+    rejected = F.col(REASON_COL) != ""
+    c = conform_raw(add_audit_columns(flagged, batch_id, ingested_at))
+    out = c.select(
+        *[F.col(f.name) for f in LINES_SCHEMA.fields
+          if f.name not in ("batch_id", REASON_COL, "quarantined_at", STATUS_COL)],
+        F.when(rejected, F.substring(REASON_COL, 1, ERROR_REASON_WIDTH)).alias(REASON_COL),
+        F.when(rejected, F.lit(quarantined_at).cast("timestamp_ntz")).alias("quarantined_at"),
+        F.when(rejected, F.lit(QUARANTINED)).otherwise(F.lit(LOADED)).alias(STATUS_COL),
+        F.col(LOADABLE_COL),
+    )
+    return out

@@ -1,21 +1,18 @@
 """End-to-end runs: ingest a batch, build the marts, run the data tests,
 answer the dashboard queries (the daily chain ingest >> build >> test).
 
-Ingest plan, per batch:
+Ingest plan, per batch, one heavy job:
 1. read the watermark (S10) and the source (CSV path or a DataFrame that
    carries ``_ord``);
-2. clean, incremental filter, keep-last dedup, quality flag: one lazy plan
-   with one shuffle;
-3. write that flagged frame once to a staging table in the shared folder
-   (``spark.checkpoint.dir``). Observed metrics on this single pass give rows
-   read, duplicates, rejects, the next watermark and the source checks (bad
-   UTF-8, overlong rows). The staged table cuts the lineage, so a lost
-   executor later recomputes nothing upstream of it, and both outputs are cut
-   from it without running the dedup twice;
-4. load clean rows into ``raw_orders`` by dynamic partition overwrite of the
-   batch (idempotent), append rejects to the quarantine (a failure there is
-   logged, never fatal), count the batch, advance the watermark, close the
-   audit row.
+2. clean, incremental filter, keep-last dedup, quality flag, conform: one
+   lazy plan with one shuffle;
+3. write the batch once into a hidden folder of ``order_lines``, loaded and
+   quarantined rows partitioned by ``load_status``. Observed metrics of that
+   single pass give rows read, duplicates, rejects, skipped rows, the next
+   watermark and the source checks (bad UTF-8, overlong rows);
+4. act on the checks (re-read as ISO-8859-1, or fail) before anything is
+   visible, then publish the folder as ``batch_id=<id>`` (replacing a previous
+   run of the same batch), advance the watermark, close the audit row.
 """
 
 from __future__ import annotations
@@ -23,32 +20,31 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.config import PIPELINE_NAME, RAW_TABLE, UNEXPECTED_PREFIX, IngestOptions
 from tillflow.operators.clean import ValidationError
-from tillflow.operators.conform import LOADABLE_COL, RAW_COLUMNS
+from tillflow.operators.conform import LOADABLE_COL
 from tillflow.operators.datatests import assert_suite_passes, test_suite
-from tillflow.operators.dedup import GROUP_SIZE_COL
-from tillflow.operators.incremental import watermark_expr
 from tillflow.operators.quality import REASON_COL
-from tillflow.plans import ingest, reports
+from tillflow.plans import ingest, marts, reports
 from tillflow.plans.catalog import TABLE_MODELS, VIEW_MODELS, ModelParams, Models
-from tillflow.session import scratch_path, shared_dir
 from tillflow.sinks.tables import (
-    QUARANTINE_SCHEMA,
-    RAW_SCHEMA,
+    STATUS_COL,
     LoadError,
-    append,
-    batch_count,
+    delete_path,
     overwrite,
-    read_table,
+    publish_batch,
+    read_quarantine as _read_quarantine,
+    read_raw_orders,
     register_views,
     table_path,
-    write_batch,
+    write_incoming,
 )
 from tillflow.sources.csv_source import (
     LATIN1,
@@ -78,12 +74,9 @@ class Layout:
         return table_path(self.warehouse, name)
 
     @property
-    def raw(self) -> str:
-        return self.path(RAW_TABLE)
-
-    @property
-    def quarantine(self) -> str:
-        return self.path("raw_orders_quarantine")
+    def lines(self) -> str:
+        """Physical dataset behind raw_orders and raw_orders_quarantine."""
+        return self.path("order_lines")
 
     @property
     def watermark(self) -> str:
@@ -115,19 +108,16 @@ def make_batch_id(now: dt.datetime) -> str:
     return f"orders_{now:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
-    """Best-effort removal of a staging table (Hadoop FileSystem API)."""
+def _delete_quietly(spark: SparkSession, path: str) -> None:
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        delete_path(spark, path)
     except Exception as e:  # noqa: BLE001
-        log.warning("Could not remove staging path %s: %s", path, e)
+        log.warning("Could not remove %s: %s", path, e)
 
 
-def _stage(spark: SparkSession, source, options: IngestOptions, last_ts, last_inv, batch_id: str,
-           multi_line: bool, encoding: str):
-    """Steps 2-3. Returns (staged path, stage metrics, source-check metrics)."""
+def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOptions, last_ts, last_inv,
+                 batch_id: str, multi_line: bool, encoding: str, clock):
+    """Steps 2-3. Returns (incoming folder, metrics, source-check metrics)."""
     checks = None
     if isinstance(source, str):
         src = read_source_csv(spark, source, multi_line=multi_line, encoding=encoding)
@@ -135,20 +125,35 @@ def _stage(spark: SparkSession, source, options: IngestOptions, last_ts, last_in
         src = drop_check_columns(src.observe(checks, *check_metrics()))
     else:
         src = source
-    flagged = ingest.transform(src, options, last_ts, last_inv)
+    read_obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
+    prepared = ingest.prepare(src, options, last_ts, last_inv).observe(
+        read_obs, F.count(F.lit(1)).alias("records_read"))
+    flagged = ingest.dedup_and_flag(prepared)
     is_clean = F.col(REASON_COL) == ""
-    obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    flag_obs = Observation(f"flag_{uuid.uuid4().hex[:8]}")
     flagged = flagged.observe(
-        obs,
-        F.coalesce(F.sum(GROUP_SIZE_COL), F.lit(0)).cast("long").alias("records_read"),
+        flag_obs,
         F.count(F.lit(1)).alias("deduplicated"),
         F.count_if(~is_clean).alias("rejected"),
+        F.count_if(is_clean).alias("clean"),
+        # next mark from the clean rows at full precision (before conform)
         F.max(F.when(is_clean, F.struct(F.col("invoice_date").alias("last_processed_at"),
                                         F.col("invoice_no").alias("last_invoice_no")))).alias("watermark"),
     )
-    path = scratch_path(spark, f"stage-{batch_id}")
-    flagged.write.parquet(path)
-    return path, obs.get, (checks.get if checks is not None else {})
+    now = clock()
+    lines = ingest.batch_lines(flagged, batch_id, now, now)
+    load_obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+    lines = lines.observe(load_obs, F.count_if((F.col(STATUS_COL) == "loaded") & ~F.col(LOADABLE_COL))
+                          .alias("skipped"))
+    lines = lines.filter((F.col(STATUS_COL) != "loaded") | F.col(LOADABLE_COL)).drop(LOADABLE_COL)
+    try:
+        incoming = write_incoming(lines, layout.lines, batch_id)
+    except (ExtractionError, ValidationError):
+        raise
+    except Exception as e:  # noqa: BLE001
+        raise LoadError(f"Bulk load failed: {e}") from e
+    metrics = {**read_obs.get, **flag_obs.get, **load_obs.get}
+    return incoming, metrics, (checks.get if checks is not None else {})
 
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *,
@@ -163,7 +168,6 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     whole source as ISO-8859-1 if any text was not valid UTF-8.
     ``on_ragged="fail"`` rejects a source with rows longer than the header;
     ``"keep"`` loads them cut to the header width."""
-    shared_dir(spark)  # fail fast when no shared folder is configured
     layout = Layout(warehouse)
     started_at = clock()
     batch_id = batch_id or make_batch_id(started_at)
@@ -173,10 +177,15 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     audit.ensure()
     audit.start(batch_id, pipeline_name, started_at)
     try:
-        result = _run(spark, source, layout, wm, pipeline_name, batch_id, options, multi_line, encoding,
-                      on_ragged, clock)
-        audit.complete(batch_id, pipeline_name, started_at, result.records_read, result.records_loaded,
-                       clock())
+        result, advance = _run(spark, source, layout, wm, pipeline_name, batch_id, options, multi_line,
+                               encoding, on_ragged, clock)
+        # The new mark and the closing audit row are independent small writes.
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            done = pool.submit(audit.complete, batch_id, pipeline_name, started_at, result.records_read,
+                               result.records_loaded, clock())
+            if advance is not None:
+                advance()
+            done.result()
         return result
     except DOMAIN_ERRORS as e:
         audit.fail(batch_id, pipeline_name, started_at, str(e), clock())
@@ -190,59 +199,47 @@ def _run(spark, source, layout: Layout, wm: WatermarkStore, pipeline_name, batch
          multi_line, encoding, on_ragged, clock) -> RunResult:
     last_ts, last_inv = wm.read(pipeline_name, RAW_TABLE)
     enc = UTF8 if encoding == "auto" else encoding
-    stage, m, checks = _stage(spark, source, options, last_ts, last_inv, batch_id, multi_line, enc)
-    if encoding == "auto" and checks.get("bad_text_rows", 0) > 0:
-        log.warning("Source is not valid UTF-8; re-reading it as %s", LATIN1)
-        _delete_path(spark, stage)
-        stage, m, checks = _stage(spark, source, options, last_ts, last_inv, batch_id, multi_line, LATIN1)
+    incoming, m, checks = _write_batch(spark, source, layout, options, last_ts, last_inv, batch_id,
+                                       multi_line, enc, clock)
+    published = False
     try:
+        if encoding == "auto" and checks.get("bad_text_rows", 0) > 0:
+            log.warning("Source is not valid UTF-8; re-reading it as %s", LATIN1)
+            _delete_quietly(spark, incoming)
+            incoming, m, checks = _write_batch(spark, source, layout, options, last_ts, last_inv, batch_id,
+                                               multi_line, LATIN1, clock)
         if checks.get("overlong_rows", 0) > 0 and on_ragged == "fail":
             raise ExtractionError(f"Failed to read CSV: {checks['overlong_rows']} row(s) have more "
                                   "fields than the header")
         records_read = int(m.get("records_read") or 0)
         if records_read == 0:
             log.info("No new records found since the last run")
-            return RunResult(batch_id, "success", metrics={**m, **checks})
-
-        staged = spark.read.parquet(stage)
-        ingested_at = clock()
-        clean = ingest.clean_output(staged, batch_id, ingested_at)
-        load_obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
-        clean = clean.observe(load_obs, F.count(F.lit(1)).alias("clean"),
-                              F.count_if(~F.col(LOADABLE_COL)).alias("skipped"))
-        try:
-            write_batch(clean.filter(F.col(LOADABLE_COL)).select(*RAW_COLUMNS), layout.raw)
-        except Exception as e:  # noqa: BLE001
-            raise LoadError(f"Bulk load failed: {e}") from e
-        lm = load_obs.get
-
-        quarantined = 0
-        if m.get("rejected", 0) > 0:
-            try:
-                append(ingest.quarantine(staged, batch_id, ingested_at, clock()), layout.quarantine)
-                quarantined = int(m["rejected"])
-            except Exception as e:  # noqa: BLE001
-                log.warning("Failed to quarantine records: %s", e)
-
-        records_loaded = batch_count(spark, layout.raw, batch_id)
+            return RunResult(batch_id, "success", metrics={**m, **checks}), None
+        publish_batch(spark, layout.lines, incoming, batch_id)
+        published = True
+        loaded = int(m.get("clean", 0)) - int(m.get("skipped", 0))
         mark = m.get("watermark")
-        if lm.get("clean", 0) > 0 and mark is not None:
-            wm.write(pipeline_name, RAW_TABLE, mark["last_processed_at"], mark["last_invoice_no"])
-        return RunResult(batch_id, "success", records_read=records_read, records_loaded=records_loaded,
-                         records_quarantined=quarantined, records_skipped=int(lm.get("skipped", 0)),
+        advance = None
+        if int(m.get("clean", 0)) > 0 and mark is not None:
+            def advance():
+                wm.write(pipeline_name, RAW_TABLE, mark["last_processed_at"], mark["last_invoice_no"])
+        return RunResult(batch_id, "success", records_read=records_read, records_loaded=loaded,
+                         records_quarantined=int(m.get("rejected", 0)),
+                         records_skipped=int(m.get("skipped", 0)),
                          duplicates_removed=records_read - int(m.get("deduplicated", 0)),
                          watermark=(mark["last_processed_at"], mark["last_invoice_no"]) if mark else None,
-                         metrics={**m, **checks, **lm})
+                         metrics={**m, **checks}), advance
     finally:
-        _delete_path(spark, stage)
+        if not published:
+            _delete_quietly(spark, incoming)
 
 
 def read_raw(spark: SparkSession, warehouse: str) -> DataFrame:
-    return read_table(spark, Layout(warehouse).raw, RAW_SCHEMA)
+    return read_raw_orders(spark, Layout(warehouse).lines)
 
 
 def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
-    return read_table(spark, Layout(warehouse).quarantine, QUARANTINE_SCHEMA)
+    return _read_quarantine(spark, Layout(warehouse).lines)
 
 
 def build_marts(spark: SparkSession, warehouse: str, params: ModelParams = ModelParams()) -> dict[str, DataFrame]:
@@ -250,10 +247,20 @@ def build_marts(spark: SparkSession, warehouse: str, params: ModelParams = Model
     (marts read back from their tables)."""
     layout = Layout(warehouse)
     models = Models(spark, read_raw(spark, warehouse), params)
+    # The two aggregated staging views feed a mart each and are tested right
+    # after the build; keep their (customer- / product-sized) results so the
+    # tests of this run read them instead of aggregating the lines again.
+    for name in ("stg_customers", "stg_products"):
+        setattr(models, name, getattr(models, name).persist(StorageLevel.MEMORY_AND_DISK))
+    models.dim_customers = marts.dim_customers(models.stg_customers, params.as_of)
+    models.dim_products = marts.dim_products(models.stg_products)
     register_views({n: getattr(models, n) for n in VIEW_MODELS})
     out = {n: getattr(models, n) for n in VIEW_MODELS}
+    # The four marts are independent jobs: submit them together so their
+    # small stages share the executors instead of running one after another.
+    with ThreadPoolExecutor(max_workers=len(TABLE_MODELS)) as pool:
+        list(pool.map(lambda n: overwrite(getattr(models, n), layout.mart(n)), TABLE_MODELS))
     for name in TABLE_MODELS:
-        overwrite(getattr(models, name), layout.mart(name))
         out[name] = spark.read.parquet(layout.mart(name))
     return out
 
@@ -267,15 +274,29 @@ def read_models(spark: SparkSession, warehouse: str, params: ModelParams = Model
     return out
 
 
+def release(models: dict[str, DataFrame]) -> None:
+    """Drop the staging results kept by ``build_marts``."""
+    for df in models.values():
+        df.unpersist()
+
+
 def run_tests(spark: SparkSession, warehouse: str, params: ModelParams = ModelParams(),
-              raise_on_failure: bool = True):
-    """The 34 declared data tests over the built models."""
-    results = test_suite(read_models(spark, warehouse, params))
+              raise_on_failure: bool = True, models: dict[str, DataFrame] | None = None):
+    """The 34 declared data tests over the built models (those returned by
+    ``build_marts`` in this run, or read from the warehouse)."""
+    results = test_suite(models if models is not None else read_models(spark, warehouse, params))
     if raise_on_failure:
         assert_suite_passes(results)
     return results
 
 
+def collect_all(frames: dict[str, DataFrame]) -> dict[str, list]:
+    """Collect several small results as concurrent jobs."""
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        futures = {k: pool.submit(v.collect) for k, v in frames.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def dashboard(spark: SparkSession, warehouse: str, top_n: int = 10) -> dict[str, DataFrame]:
     """B1-B7 over the materialised marts."""
     layout = Layout(warehouse)

@@ -111,7 +111,8 @@ def q_dedup_keep_last(spark, sf_dir):
 
 
 def q_duplicate_count(spark, sf_dir):
-    return duplicate_count(dedup_keep_last(cleaned(spark, sf_dir), keep_group_size=True))
+    c = cleaned(spark, sf_dir)
+    return duplicate_count(c, dedup_keep_last(c))
 
 
 def _flagged_with_audit(spark, sf_dir):

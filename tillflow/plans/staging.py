@@ -70,18 +70,28 @@ def product_filter():
 
 def stg_products(raw: DataFrame) -> DataFrame:
     """One row per upper-cased, trimmed stock code (service codes excluded,
-    compared untrimmed and case-sensitively as in the source model)."""
+    compared untrimmed and case-sensitively as in the source model).
+
+    The text maximum (description) is aggregated on its own and joined back
+    on the product code: a string buffer would force the whole aggregation,
+    including the two distinct counts and their ``Expand``, onto the slower
+    sort-based path, while the numeric part runs as a code-generated hash
+    aggregation. The join is between two product-level results."""
     sale = is_sale("invoice_no", "quantity")
     price = F.col("unit_price")
     positive = F.when(price > 0, price)
-    return (raw.filter(product_filter())
-            .groupBy(F.upper(F.trim("stock_code")).alias("stock_code"))
-            .agg(F.nullif(F.max(F.trim("description")), F.lit("nan")).alias("description"),
-                 F.avg(positive).alias("avg_unit_price"),
-                 F.min(positive).alias("min_unit_price"),
-                 F.max(price).alias("max_unit_price"),
-                 F.sum(F.when(sale, F.col("quantity")).otherwise(F.lit(0))).alias("total_units_sold"),
-                 F.count_distinct("invoice_no").alias("times_ordered"),
-                 F.count_distinct("customer_id").alias("unique_customers"),
-                 F.min("invoice_date").alias("first_sold_date"),
-                 F.max("invoice_date").alias("last_sold_date")))
+    lines = raw.filter(product_filter()).withColumn("_code", F.upper(F.trim("stock_code")))
+    measures = lines.groupBy("_code").agg(
+        F.avg(positive).alias("avg_unit_price"),
+        F.min(positive).alias("min_unit_price"),
+        F.max(price).alias("max_unit_price"),
+        F.sum(F.when(sale, F.col("quantity")).otherwise(F.lit(0))).alias("total_units_sold"),
+        F.count_distinct("invoice_no").alias("times_ordered"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        F.min("invoice_date").alias("first_sold_date"),
+        F.max("invoice_date").alias("last_sold_date"))
+    texts = lines.groupBy("_code").agg(F.nullif(F.max(F.trim("description")), F.lit("nan")).alias("description"))
+    return (measures.join(texts, "_code")
+            .select(F.col("_code").alias("stock_code"), "description", "avg_unit_price", "min_unit_price",
+                    "max_unit_price", "total_units_sold", "times_ordered", "unique_customers",
+                    "first_sold_date", "last_sold_date"))

@@ -1,20 +1,34 @@
 """Table sinks.
 
-Tables are Parquet datasets under a warehouse directory. The raw order table
-is partitioned by ``batch_id``: a batch is loaded with dynamic partition
-overwrite, which replaces exactly that batch's partition (delete-then-insert
-in one commit), so re-running a batch id is idempotent and other batches are
-untouched. Counting a batch prunes to its partition.
+Loaded and quarantined order lines are one physical Parquet dataset,
+``order_lines``, partitioned ``batch_id=<id>/load_status=<loaded|quarantined>``.
+``raw_orders`` and ``raw_orders_quarantine`` are the two partition-pruned
+views of it. One batch is therefore one write job: the flagged rows of the
+batch are computed once (one scan, one shuffle) and written once, with no
+intermediate table and no second pass for the rejected rows.
+
+A batch is written into a hidden ``_incoming_*`` folder under the dataset
+(Spark readers skip names starting with ``_``), checked, and then published by
+replacing the ``batch_id=<id>`` folder with it: delete-then-insert of the
+batch (K2) in one rename, so re-running a batch id is idempotent and other
+batches are untouched. Counting a batch prunes to its partition (K5).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.session import path_exists
 
+BATCH_COL = "batch_id"
+STATUS_COL = "load_status"
+LOADED = "loaded"
+QUARANTINED = "quarantined"
+
 RAW_SCHEMA = T.StructType([
     T.StructField("invoice_no", T.StringType()),
     T.StructField("stock_code", T.StringType()),
@@ -33,6 +47,11 @@ QUARANTINE_SCHEMA = T.StructType(RAW_SCHEMA.fields + [
     T.StructField("quarantined_at", T.TimestampNTZType()),
 ])
 
+# Stored columns of order_lines, partition columns last.
+LINES_SCHEMA = T.StructType([f for f in QUARANTINE_SCHEMA.fields if f.name != BATCH_COL]
+                            + [T.StructField(BATCH_COL, T.StringType()),
+                               T.StructField(STATUS_COL, T.StringType())])
+
 
 class LoadError(Exception):
     pass
@@ -42,30 +61,63 @@ def table_path(warehouse: str, name: str) -> str:
     return f"{warehouse.rstrip('/')}/{name}"
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """K1 for readers: a table that was never written reads as empty with
     its declared schema (writers create it on first write)."""
     if path_exists(spark, path) or schema is None:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
     return spark.createDataFrame([], schema)
 
 
-def write_batch(df: DataFrame, path: str, partition_col: str = "batch_id") -> None:
-    """K2: replace the partitions present in ``df`` and nothing else."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+def read_lines(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, root, LINES_SCHEMA)
+
+
+def read_raw_orders(spark: SparkSession, root: str) -> DataFrame:
+    """raw_orders: the loaded lines of every batch."""
+    return (read_lines(spark, root).filter(F.col(STATUS_COL) == LOADED)
+            .select(*[f.name for f in RAW_SCHEMA.fields]))
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """raw_orders_quarantine: the rejected lines with their reasons."""
+    return (read_lines(spark, root).filter(F.col(STATUS_COL) == QUARANTINED)
+            .select(*[f.name for f in QUARANTINE_SCHEMA.fields]))
+
+
+def write_incoming(df: DataFrame, root: str, batch_id: str) -> str:
+    """Write one batch (columns of LINES_SCHEMA without batch_id) into a
+    hidden folder under ``root``; returns the folder."""
+    incoming = f"{root.rstrip('/')}/_incoming_{batch_id}_{uuid.uuid4().hex[:8]}"
+    df.write.mode("overwrite").partitionBy(STATUS_COL).parquet(incoming)
+    return incoming
 
 
-def append(df: DataFrame, path: str, partition_col: str | None = "batch_id") -> None:
-    w = df.write.mode("append")
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
+def publish_batch(spark: SparkSession, root: str, incoming: str, batch_id: str) -> None:
+    """Replace ``batch_id=<id>`` with the written folder (K2)."""
+    fs, target = _fs(spark, f"{root.rstrip('/')}/{BATCH_COL}={batch_id}")
+    if fs.exists(target):
+        fs.delete(target, True)
+    _, src = _fs(spark, incoming)
+    if not fs.rename(src, target):
+        raise LoadError(f"Could not publish batch {batch_id}")
 
 
-def batch_count(spark: SparkSession, path: str, batch_id: str, partition_col: str = "batch_id") -> int:
-    """K5: rows of one batch; the filter prunes to the batch partition."""
-    return read_table(spark, path, RAW_SCHEMA).filter(F.col(partition_col) == batch_id).count()
+def batch_count(spark: SparkSession, root: str, batch_id: str, status: str = LOADED) -> int:
+    """K5: rows of one batch; the filters prune to one partition folder."""
+    return (read_lines(spark, root)
+            .filter((F.col(BATCH_COL) == batch_id) & (F.col(STATUS_COL) == status)).count())
 
 
 def overwrite(df: DataFrame, path: str) -> None:

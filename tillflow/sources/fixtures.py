@@ -8,8 +8,9 @@ and mart branch is reached; no row is filtered out, so the view grows with
 lineitem.
 
 Join plan: orders is joined to customer and nation first (orders-sized), then
-lineitem to that on the order key, then to part. Catalyst / AQE choose
-broadcast or sort-merge per side from measured sizes; nothing is forced.
+lineitem to that on the order key with a sort-merge join, then to part.
+Catalyst / AQE choose broadcast or sort-merge for the dimension sides from
+measured sizes.
 """
 
 from __future__ import annotations
@@ -21,8 +22,24 @@ from pyspark.sql import functions as F
 FIXTURE_ORDER = ("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_extendedprice")
 
 
+# Declared column types of the test tables this source reads (only the
+# columns it uses): a declared schema skips the footer-reading job that
+# inference would start for every table.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: Column) -> Column:
@@ -42,7 +59,11 @@ def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ocn = (orders.join(customer, orders.o_custkey == customer.c_custkey)
            .join(nation, F.col("c_nationkey") == nation.n_nationkey)
            .select("o_orderkey", "o_custkey", "o_orderdate", "n_nationkey", "n_name"))
-    rows = (li.join(ocn, li.l_orderkey == ocn.o_orderkey)
+    # lineitem x orders is fact-to-fact (both grow with the data): a
+    # sort-merge join on the order key, which is the plan at any scale.
+    # Small test files would otherwise broadcast lineitem itself and run the
+    # whole stage in the scan's single task.
+    rows = (li.join(ocn.hint("merge"), li.l_orderkey == ocn.o_orderkey)
             .join(part, li.l_partkey == part.p_partkey))
 
     lok, lpk, lln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
