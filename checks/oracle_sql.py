@@ -327,6 +327,70 @@ def _not_null_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+CUT = "TIMESTAMP '1998-01-01 00:00:00'"
+IO_IDS = "l_orderkey, l_partkey, l_linenumber, l_suppkey"
+
+
+def _ranked_marks(where: str) -> str:
+    return (f"SELECT country, invoice_date, invoice_no, row_number() OVER (PARTITION BY country "
+            f"ORDER BY invoice_date DESC, invoice_no DESC) AS rn FROM flagged WHERE error_reason = '' {where}")
+
+
+WATERMARK_UPSERT = f"""SELECT
+  COALESCE(t.pipeline_name, s.pipeline_name) AS pipeline_name,
+  COALESCE(t.source_table, s.source_table) AS source_table,
+  CASE WHEN s.pipeline_name IS NOT NULL THEN s.last_processed_at ELSE t.last_processed_at END AS last_processed_at,
+  CASE WHEN s.pipeline_name IS NOT NULL THEN s.last_invoice_no ELSE t.last_invoice_no END AS last_invoice_no,
+  CASE WHEN s.pipeline_name IS NOT NULL THEN s.updated_at ELSE t.updated_at END AS updated_at
+FROM (SELECT country AS pipeline_name, 'raw_orders' AS source_table, invoice_date AS last_processed_at,
+             invoice_no AS last_invoice_no, TIMESTAMP '2001-01-01 00:00:00' AS updated_at
+      FROM ({_ranked_marks(f"AND invoice_date < {CUT}")}) WHERE rn = 1) t
+FULL OUTER JOIN
+     (SELECT country AS pipeline_name,
+             CASE WHEN lower(country) = country THEN 'raw_orders' ELSE 'raw_orders_v2' END AS source_table,
+             invoice_date AS last_processed_at, invoice_no AS last_invoice_no,
+             TIMESTAMP '2001-09-01 00:00:00' AS updated_at
+      FROM ({_ranked_marks("")}) WHERE rn = 1) s
+ON t.pipeline_name = s.pipeline_name AND t.source_table = s.source_table"""
+
+AUDIT_DAYS = """SELECT CAST(invoice_date AS DATE) AS d, MIN(invoice_date) AS first_ts, MAX(invoice_date) AS last_ts,
+  COUNT(*) AS lines, COUNT(*) FILTER (WHERE error_reason = '') AS clean,
+  COUNT(*) FILTER (WHERE error_reason != '') AS rejected
+FROM flagged WHERE invoice_date IS NOT NULL GROUP BY 1"""
+
+AUDIT_UPSERT = f"""SELECT
+  COALESCE(t.batch_id, s.batch_id) AS batch_id,
+  CASE WHEN t.batch_id IS NOT NULL THEN t.pipeline_name ELSE s.pipeline_name END AS pipeline_name,
+  CASE WHEN s.batch_id IS NOT NULL THEN s.status ELSE t.status END AS status,
+  CASE WHEN s.batch_id IS NOT NULL THEN s.records_read ELSE t.records_read END AS records_read,
+  CASE WHEN s.batch_id IS NOT NULL THEN s.records_loaded ELSE t.records_loaded END AS records_loaded,
+  CASE WHEN t.batch_id IS NOT NULL THEN t.started_at ELSE s.started_at END AS started_at,
+  CASE WHEN s.batch_id IS NOT NULL THEN s.completed_at ELSE t.completed_at END AS completed_at,
+  CASE WHEN s.batch_id IS NOT NULL THEN s.duration_seconds ELSE t.duration_seconds END AS duration_seconds,
+  CASE WHEN s.batch_id IS NOT NULL THEN s.error_message ELSE t.error_message END AS error_message,
+  CASE WHEN s.batch_id IS NOT NULL THEN s.updated_at ELSE t.updated_at END AS updated_at
+FROM (SELECT 'orders_' || strftime(d, '%Y%m%d') AS batch_id, 'retail_orders_pipeline' AS pipeline_name,
+             'in_progress' AS status, CAST(0 AS BIGINT) AS records_read, CAST(0 AS BIGINT) AS records_loaded,
+             first_ts AS started_at, CAST(NULL AS TIMESTAMP) AS completed_at,
+             CAST(NULL AS DOUBLE) AS duration_seconds, CAST(NULL AS VARCHAR) AS error_message,
+             first_ts AS updated_at
+      FROM ({AUDIT_DAYS}) WHERE year(d) IN (1995, 1996)) t
+FULL OUTER JOIN
+     (SELECT 'orders_' || strftime(d, '%Y%m%d') AS batch_id, 'late_writer' AS pipeline_name,
+             'success' AS status, CAST(lines AS BIGINT) AS records_read, CAST(clean AS BIGINT) AS records_loaded,
+             last_ts AS started_at, last_ts AS completed_at,
+             CAST(date_diff('second', first_ts, last_ts) AS DOUBLE) AS duration_seconds,
+             CASE WHEN rejected > 0 THEN 'rejected ' || CAST(rejected AS VARCHAR) END AS error_message,
+             last_ts AS updated_at
+      FROM ({AUDIT_DAYS}) WHERE year(d) IN (1996, 1997)) s
+ON t.batch_id = s.batch_id"""
+
+TOKENED_SRC = ("SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, quantity, invoice_date, unit_price, "
+               + ", ".join(f"CASE WHEN {c} IN ({NA_TOKENS}) THEN NULL ELSE {c} END AS {c}"
+                           for c in ("invoice_no", "stock_code", "description", "customer_id", "country"))
+               + " FROM src")
+
+
 def _monthly() -> str:
     return ("SELECT d.year_month, SUM(f.net_line_total) AS revenue, COUNT(*) AS lines "
             "FROM fct f JOIN dim_date d ON f.date_id = d.date_id GROUP BY d.year_month")
@@ -453,4 +517,30 @@ ORACLE: dict[str, str] = {
         "SELECT order_key, COUNT(*) AS n_records FROM fct WHERE order_key IS NOT NULL "
         "GROUP BY order_key HAVING COUNT(*) > 1"),
     "test_suite": q(_suite_sql()),
+    "watermark_upsert": q(WATERMARK_UPSERT),
+    "audit_upsert": q(AUDIT_UPSERT),
+    "audit_history": q(
+        "SELECT status, COUNT(*) AS runs, CAST(SUM(records_read) AS BIGINT) AS records_read, "
+        "CAST(SUM(records_loaded) AS BIGINT) AS records_loaded, AVG(duration_seconds) AS avg_duration_seconds "
+        f"FROM ({AUDIT_UPSERT}) GROUP BY status"),
+    "batch_overwrite": q(
+        f"SELECT CASE WHEN invoice_date < {CUT} THEN 'b_early' ELSE 'b_late' END AS batch_id, "
+        "CASE WHEN error_reason = '' THEN 'loaded' ELSE 'quarantined' END AS load_status, "
+        "COUNT(*) AS line_rows, CAST(SUM(quantity) AS DOUBLE) AS quantity "
+        "FROM conformed WHERE error_reason != '' OR loadable GROUP BY 1, 2"),
+    "batch_count": q(
+        "SELECT COUNT(*) AS records_loaded FROM conformed WHERE error_reason = '' AND loadable "
+        f"AND NOT COALESCE(invoice_date < {CUT}, FALSE)"),
+    "csv_roundtrip": q(
+        f"SELECT {IO_IDS}, {strip('invoice_no')} AS invoice_no, {strip('stock_code')} AS stock_code, "
+        f"{strip('description')} AS description, quantity, invoice_date, unit_price, "
+        f"NULLIF({strip("COALESCE(customer_id, 'nan')")}, 'nan') AS customer_id, {strip('country')} AS country "
+        f"FROM ({TOKENED_SRC})"),
+    "csv_ragged": q(f"SELECT {IO_IDS}, l_linenumber = 7 AS overlong, l_linenumber = 6 AS padded FROM src"),
+    "csv_latin1_fallback": q(
+        f"SELECT {IO_IDS}, CASE WHEN translate(description, 'E', 'É') IN ({NA_TOKENS}) THEN NULL "
+        "ELSE translate(description, 'E', 'É') END AS Description, 'ISO-8859-1' AS encoding FROM src"),
+    "pipeline_end_to_end": q(
+        f"SELECT invoice_no, stock_code, description, {dbl('quantity')}, invoice_date, {dbl('unit_price')}, "
+        f"customer_id, country, CASE WHEN invoice_date < {CUT} THEN 'e2e_1' ELSE 'e2e_2' END AS batch_id FROM raw"),
 }

@@ -84,7 +84,10 @@ def file_order() -> Column:
 
 def read_source_csv(spark: SparkSession, path: str, multi_line: bool = False,
                     encoding: str = UTF8) -> DataFrame:
-    """Source rows as text with ``_ord``, ``_overlong`` and ``_bad_text``."""
+    """Source rows as text with ``_ord``, ``_overlong`` and ``_bad_text``.
+    Needs whole-record parsing (``spark.sql.csv.parser.columnPruning.enabled``
+    false, set by the engine settings) for the field-count check."""
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     header = source_header(spark, path, multi_line, encoding)
     validate_schema(header)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
@@ -114,3 +117,12 @@ def check_metrics() -> list[Column]:
 
 def drop_check_columns(df: DataFrame) -> DataFrame:
     return df.drop(OVERLONG_COL, BAD_TEXT_COL)
+
+
+def detect_encoding(spark: SparkSession, path: str, multi_line: bool = False) -> str:
+    """UTF-8 unless some text of the source is not valid UTF-8, then
+    ISO-8859-1 for the whole source (S3). A standalone probe (one pass that
+    stops at the first bad row); the pipeline instead counts bad rows during
+    its own pass and re-reads only when needed."""
+    df = read_source_csv(spark, path, multi_line=multi_line, encoding=UTF8)
+    return LATIN1 if df.filter(F.col(BAD_TEXT_COL)).limit(1).count() > 0 else UTF8
