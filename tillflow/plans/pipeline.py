@@ -52,6 +52,7 @@ from tillflow.sources.csv_source import (
     ExtractionError,
     check_metrics,
     drop_check_columns,
+    has_check_columns,
     read_source_csv,
 )
 from tillflow.state.pipeline_state import AuditLog, WatermarkError, WatermarkStore, utcnow
@@ -119,12 +120,15 @@ def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOpt
                  batch_id: str, multi_line: bool, encoding: str, clock):
     """Steps 2-3. Returns (incoming folder, metrics, source-check metrics)."""
     checks = None
-    if isinstance(source, str):
+    if isinstance(source, (str, list, tuple)):
         src = read_source_csv(spark, source, multi_line=multi_line, encoding=encoding)
-        checks = Observation(f"source_checks_{uuid.uuid4().hex[:8]}")
-        src = drop_check_columns(src.observe(checks, *check_metrics()))
+    elif callable(source):
+        src = source(encoding)
     else:
         src = source
+    if has_check_columns(src):
+        checks = Observation(f"source_checks_{uuid.uuid4().hex[:8]}")
+        src = drop_check_columns(src.observe(checks, *check_metrics()))
     read_obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
     prepared = ingest.prepare(src, options, last_ts, last_inv).observe(
         read_obs, F.count(F.lit(1)).alias("records_read"))
@@ -163,8 +167,9 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
                  truncate_watermark: bool = False) -> RunResult:
     """One incremental batch from ``source`` into the warehouse.
 
-    ``source`` is a CSV path/glob or a DataFrame with the source columns and
-    an orderable ``_ord``. ``encoding="auto"`` reads UTF-8 and re-reads the
+    ``source`` is a CSV path/glob (or list), a DataFrame with the source
+    columns and an orderable ``_ord``, or a function ``encoding -> DataFrame``
+    (used by the streaming driver for micro-batches). ``encoding="auto"`` reads UTF-8 and re-reads the
     whole source as ISO-8859-1 if any text was not valid UTF-8.
     ``on_ragged="fail"`` rejects a source with rows longer than the header;
     ``"keep"`` loads them cut to the header width."""

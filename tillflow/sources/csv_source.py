@@ -82,33 +82,52 @@ def file_order() -> Column:
                     F.monotonically_increasing_id().alias("pos"))
 
 
-def read_source_csv(spark: SparkSession, path: str, multi_line: bool = False,
-                    encoding: str = UTF8) -> DataFrame:
-    """Source rows as text with ``_ord``, ``_overlong`` and ``_bad_text``.
-    Needs whole-record parsing (``spark.sql.csv.parser.columnPruning.enabled``
-    false, set by the engine settings) for the field-count check."""
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    header = source_header(spark, path, multi_line, encoding)
-    validate_schema(header)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                          + [T.StructField(CORRUPT_COL, T.StringType())])
-    try:
-        df = (_reader(spark, multi_line, encoding).schema(schema)
-              .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
-    except AnalysisException as e:
-        raise ExtractionError(f"Failed to read CSV: {e}") from e
+def text_schema(header) -> T.StructType:
+    """All-text schema in header order plus the corrupt-record column."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in header]
+                        + [T.StructField(CORRUPT_COL, T.StringType())])
+
+
+def decorate(raw: DataFrame, header, order: Column | None = None) -> DataFrame:
+    """Source columns with missing-value tokens nulled, plus ``_ord``,
+    ``_overlong`` and ``_bad_text``, from a frame read with ``text_schema``
+    (a batch read or a streaming micro-batch). ``order`` defaults to the
+    file order from the scan's metadata."""
     corrupt = F.col(CORRUPT_COL)
     overlong = F.coalesce(corrupt.isNotNull() & (field_count(corrupt) > len(header)), F.lit(False))
     bad_text = F.coalesce(F.concat_ws("", *[F.col(f"`{c}`") for c in header]).contains(REPLACEMENT_CHAR),
                           F.lit(False))
-    return df.select(
+    return raw.select(
         *[na_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in header],
-        file_order().alias("_ord"),
+        (file_order() if order is None else order).alias("_ord"),
         overlong.alias(OVERLONG_COL),
         bad_text.alias(BAD_TEXT_COL),
     )
 
 
+def source_reader(spark: SparkSession, header, multi_line: bool = False, encoding: str = UTF8):
+    """Reader options of the source files (text schema from the header)."""
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    return (_reader(spark, multi_line, encoding).schema(text_schema(header))
+            .option("columnNameOfCorruptRecord", CORRUPT_COL))
+
+
+def read_source_csv(spark: SparkSession, path, multi_line: bool = False,
+                    encoding: str = UTF8) -> DataFrame:
+    """Source rows as text with ``_ord``, ``_overlong`` and ``_bad_text``.
+    ``path`` is a file, folder, glob or list of them. Needs whole-record
+    parsing (``spark.sql.csv.parser.columnPruning.enabled`` false, set here
+    and by the engine settings) for the field-count check."""
+    first = path[0] if isinstance(path, (list, tuple)) else path
+    header = source_header(spark, first, multi_line, encoding)
+    validate_schema(header)
+    try:
+        df = source_reader(spark, header, multi_line, encoding).csv(path)
+    except AnalysisException as e:
+        raise ExtractionError(f"Failed to read CSV: {e}") from e
+    return decorate(df, header)
+
+
 def check_metrics() -> list[Column]:
     """Aggregates to attach with ``DataFrame.observe`` on the source."""
     return [F.count_if(F.col(OVERLONG_COL)).alias("overlong_rows"),
@@ -119,6 +138,10 @@ def drop_check_columns(df: DataFrame) -> DataFrame:
     return df.drop(OVERLONG_COL, BAD_TEXT_COL)
 
 
+def has_check_columns(df: DataFrame) -> bool:
+    return OVERLONG_COL in df.columns and BAD_TEXT_COL in df.columns
+
+
 def detect_encoding(spark: SparkSession, path: str, multi_line: bool = False) -> str:
     """UTF-8 unless some text of the source is not valid UTF-8, then
     ISO-8859-1 for the whole source (S3). A standalone probe (one pass that
