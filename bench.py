@@ -70,7 +70,7 @@ def main() -> None:
         res = step("ingest", lambda: pipeline.run_pipeline(spark, queries.source(spark, src_dir), wh,
                                                            batch_id="bench"))
         spark.sparkContext.setJobGroup("build_marts", "build_marts")
-        built = step("build_marts", lambda: pipeline.build_marts(spark, wh, params))
+        built = step("build_marts", lambda: pipeline.build_marts(spark, wh, params, batches=[res.batch_id]))
         step("data_tests", lambda: pipeline.run_tests(spark, wh, params, raise_on_failure=False,
                                                       models=built).collect())
         pipeline.release(built)

@@ -32,7 +32,7 @@ from tillflow.operators.clean import ValidationError
 from tillflow.operators.conform import LOADABLE_COL
 from tillflow.operators.datatests import assert_suite_passes, test_suite
 from tillflow.operators.quality import REASON_COL
-from tillflow.plans import ingest, marts, reports
+from tillflow.plans import ingest, marts, reports, staging
 from tillflow.plans.catalog import TABLE_MODELS, VIEW_MODELS, ModelParams, Models
 from tillflow.sinks.tables import (
     STATUS_COL,
@@ -59,6 +59,12 @@ from tillflow.state.pipeline_state import AuditLog, WatermarkError, WatermarkSto
 
 log = logging.getLogger("tillflow.pipeline")
 
+MART_COLUMNS = {
+    "fct_orders": ("order_key", "invoice_no", "stock_code", "customer_id", "date_id", "is_cancelled",
+                   "invoice_date", "quantity", "unit_price", "line_total", "net_line_total", "country",
+                   "batch_id", "ingested_at"),
+}
+
 
 class PipelineError(Exception):
     pass
@@ -247,11 +253,20 @@ def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
     return _read_quarantine(spark, Layout(warehouse).lines)
 
 
-def build_marts(spark: SparkSession, warehouse: str, params: ModelParams = ModelParams()) -> dict[str, DataFrame]:
-    """Staging models as views, marts rebuilt as tables; returns every model
-    (marts read back from their tables)."""
+def build_marts(spark: SparkSession, warehouse: str, params: ModelParams = ModelParams(),
+                batches: list[str] | None = None) -> dict[str, DataFrame]:
+    """Staging models as views, marts as tables; returns every model (marts
+    read back from their tables).
+
+    ``fct_orders`` is stored partitioned by ``batch_id``. It is row for row
+    of raw_orders, so with ``batches`` only those batches are (re)built, by
+    dynamic partition overwrite of their folders; older batches are left as
+    they are. Without ``batches`` the whole fact is rebuilt. The dimensions
+    aggregate over all history (distinct counts do not merge) and are
+    rebuilt; they are customer-, product- and day-sized."""
     layout = Layout(warehouse)
-    models = Models(spark, read_raw(spark, warehouse), params)
+    raw = read_raw(spark, warehouse)
+    models = Models(spark, raw, params)
     # The two aggregated staging views feed a mart each and are tested right
     # after the build; keep their (customer- / product-sized) results so the
     # tests of this run read them instead of aggregating the lines again.
@@ -261,21 +276,44 @@ def build_marts(spark: SparkSession, warehouse: str, params: ModelParams = Model
     models.dim_products = marts.dim_products(models.stg_products)
     register_views({n: getattr(models, n) for n in VIEW_MODELS})
     out = {n: getattr(models, n) for n in VIEW_MODELS}
-    # The four marts are independent jobs: submit them together so their
-    # small stages share the executors instead of running one after another.
-    with ThreadPoolExecutor(max_workers=len(TABLE_MODELS)) as pool:
-        list(pool.map(lambda n: overwrite(getattr(models, n), layout.mart(n)), TABLE_MODELS))
+
+    def write_fact():
+        fct = models.fct_orders
+        if batches is not None:
+            fct = marts.fct_orders(staging.stg_orders(raw.filter(F.col("batch_id").isin(*batches))))
+            (fct.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(layout.mart("fct_orders")))
+        else:
+            fct.write.mode("overwrite").partitionBy("batch_id").parquet(layout.mart("fct_orders"))
+
+    jobs = {"fct_orders": write_fact}
+    for name in ("dim_customers", "dim_products", "dim_date"):
+        jobs[name] = (lambda n: lambda: overwrite(getattr(models, n), layout.mart(n)))(name)
+    # Independent jobs: submit them together so their small stages share the
+    # executors instead of running one after another.
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs.values()]:
+            f.result()
     for name in TABLE_MODELS:
-        out[name] = spark.read.parquet(layout.mart(name))
+        out[name] = read_mart(spark, warehouse, name)
     return out
 
 
+def read_mart(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    df = spark.read.parquet(Layout(warehouse).mart(name))
+    if name == "fct_orders":
+        # partition column back in the model's column order
+        cols = [c for c in MART_COLUMNS["fct_orders"]]
+        return df.select(*cols)
+    return df
+
+
 def read_models(spark: SparkSession, warehouse: str, params: ModelParams = ModelParams()) -> dict[str, DataFrame]:
     layout = Layout(warehouse)
     models = Models(spark, read_raw(spark, warehouse), params)
     out = {n: getattr(models, n) for n in VIEW_MODELS}
     for name in TABLE_MODELS:
-        out[name] = spark.read.parquet(layout.mart(name))
+        out[name] = read_mart(spark, warehouse, name)
     return out
 
 
@@ -304,11 +342,10 @@ def collect_all(frames: dict[str, DataFrame]) -> dict[str, list]:
 
 def dashboard(spark: SparkSession, warehouse: str, top_n: int = 10) -> dict[str, DataFrame]:
     """B1-B7 over the materialised marts."""
-    layout = Layout(warehouse)
-    fct = spark.read.parquet(layout.mart("fct_orders"))
-    dim_c = spark.read.parquet(layout.mart("dim_customers"))
-    dim_p = spark.read.parquet(layout.mart("dim_products"))
-    dim_d = spark.read.parquet(layout.mart("dim_date"))
+    fct = read_mart(spark, warehouse, "fct_orders")
+    dim_c = read_mart(spark, warehouse, "dim_customers")
+    dim_p = read_mart(spark, warehouse, "dim_products")
+    dim_d = read_mart(spark, warehouse, "dim_date")
     monthly = reports.revenue_by_month(fct, dim_d)
     return {
         "kpi_headline": reports.kpi_headline(fct),

@@ -16,6 +16,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Replace only the partitions (batches) a write touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Partition folders (batch_id=...) are text keys, never numbers.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Parse whole CSV records: with pruning on, rows with too many fields are
     # not flagged when only some columns are requested.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
