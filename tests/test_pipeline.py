@@ -62,16 +62,20 @@ def test_incremental_runs_and_audit(spark, tmpdir_path):
     assert audit["b1"].started_at < audit["b1"].completed_at
 
 
-def test_rerun_same_batch_is_idempotent(spark, tmpdir_path):
+@pytest.mark.parametrize("publish", ["rename", "direct"])
+def test_rerun_same_batch_is_idempotent(spark, tmpdir_path, publish):
     src = os.path.join(tmpdir_path, "src")
     wh = os.path.join(tmpdir_path, "wh")
-    _csv(src, "a.csv", [f"1,A,x,1,{T0},1.0,7,UK\n", f"2,B,y,2,{T0},2.0,8,UK\n"])
-    pipeline.run_pipeline(spark, src, wh, batch_id="same")
+    _csv(src, "a.csv", [f"1,A,x,1,{T0},1.0,7,UK\n", f"2,B,y,2,{T0},2.0,8,UK\n", f"3,C,z,1,{T0},-1.0,8,UK\n"])
+    pipeline.run_pipeline(spark, src, wh, batch_id="same", publish=publish)
+    pipeline.run_pipeline(spark, src, wh, batch_id="other", publish=publish)   # only the reject again
     # forget the watermark so the same rows are read again under the same batch id
     shutil.rmtree(os.path.join(wh, "state/pipeline_watermark"))
-    r = pipeline.run_pipeline(spark, src, wh, batch_id="same")
+    r = pipeline.run_pipeline(spark, src, wh, batch_id="same", publish=publish)
     assert r.records_loaded == 2
     assert pipeline.read_raw(spark, wh).count() == 2
+    q = pipeline.read_quarantine(spark, wh)
+    assert sorted(r.batch_id for r in q.collect()) == ["other", "same"]
 
 
 def test_failed_run_is_audited(spark, tmpdir_path):

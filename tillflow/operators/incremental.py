@@ -17,7 +17,10 @@ def new_records_predicate(last_processed_at: dt.datetime, last_invoice_no: str |
     ts, inv = F.col(ts_col), F.col(inv_col)
     mark = F.lit(last_processed_at).cast("timestamp_ntz")
     at_boundary = (ts == mark) & (inv.cast("string") > F.lit(last_invoice_no).cast("string"))
-    cond = F.coalesce((ts > mark) | at_boundary, F.lit(False))
+    # Plain comparisons (a NULL result drops the row in a filter), so the
+    # predicate reaches the Parquet scan and row groups older than the mark
+    # are skipped by their min/max statistics.
+    cond = (ts > mark) | at_boundary
     if keep_null_dates:
         cond = cond | ts.isNull()
     return cond

@@ -44,6 +44,7 @@ from tillflow.sinks.tables import (
     read_raw_orders,
     register_views,
     table_path,
+    write_batch_direct,
     write_incoming,
 )
 from tillflow.sources.csv_source import (
@@ -123,7 +124,7 @@ def _delete_quietly(spark: SparkSession, path: str) -> None:
 
 
 def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOptions, last_ts, last_inv,
-                 batch_id: str, multi_line: bool, encoding: str, clock):
+                 batch_id: str, multi_line: bool, encoding: str, clock, publish: str = "rename"):
     """Steps 2-3. Returns (incoming folder, metrics, source-check metrics)."""
     checks = None
     if isinstance(source, (str, list, tuple)):
@@ -157,7 +158,11 @@ def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOpt
                           .alias("skipped"))
     lines = lines.filter((F.col(STATUS_COL) != "loaded") | F.col(LOADABLE_COL)).drop(LOADABLE_COL)
     try:
-        incoming = write_incoming(lines, layout.lines, batch_id)
+        if publish == "direct":
+            write_batch_direct(spark, lines.withColumn("batch_id", F.lit(batch_id)), layout.lines, batch_id)
+            incoming = f"{layout.lines}/batch_id={batch_id}"
+        else:
+            incoming = write_incoming(lines, layout.lines, batch_id)
     except (ExtractionError, ValidationError):
         raise
     except Exception as e:  # noqa: BLE001
@@ -170,7 +175,7 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
                  pipeline_name: str = PIPELINE_NAME, batch_id: str | None = None,
                  options: IngestOptions = IngestOptions(), multi_line: bool = False,
                  encoding: str = "auto", on_ragged: str = "fail", clock=utcnow,
-                 truncate_watermark: bool = False) -> RunResult:
+                 truncate_watermark: bool = False, publish: str = "rename") -> RunResult:
     """One incremental batch from ``source`` into the warehouse.
 
     ``source`` is a CSV path/glob (or list), a DataFrame with the source
@@ -178,7 +183,10 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     (used by the streaming driver for micro-batches). ``encoding="auto"`` reads UTF-8 and re-reads the
     whole source as ISO-8859-1 if any text was not valid UTF-8.
     ``on_ragged="fail"`` rejects a source with rows longer than the header;
-    ``"keep"`` loads them cut to the header width."""
+    ``"keep"`` loads them cut to the header width. ``publish="rename"``
+    writes the batch into a hidden folder and renames it into place after
+    the checks (atomic on HDFS-like stores); ``"direct"`` writes it in
+    place, for object stores where a rename is a copy."""
     layout = Layout(warehouse)
     started_at = clock()
     batch_id = batch_id or make_batch_id(started_at)
@@ -189,7 +197,7 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     audit.start(batch_id, pipeline_name, started_at)
     try:
         result, advance = _run(spark, source, layout, wm, pipeline_name, batch_id, options, multi_line,
-                               encoding, on_ragged, clock)
+                               encoding, on_ragged, clock, publish)
         # The new mark and the closing audit row are independent small writes.
         with ThreadPoolExecutor(max_workers=2) as pool:
             done = pool.submit(audit.complete, batch_id, pipeline_name, started_at, result.records_read,
@@ -207,18 +215,18 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
 
 
 def _run(spark, source, layout: Layout, wm: WatermarkStore, pipeline_name, batch_id, options,
-         multi_line, encoding, on_ragged, clock) -> RunResult:
+         multi_line, encoding, on_ragged, clock, publish="rename") -> RunResult:
     last_ts, last_inv = wm.read(pipeline_name, RAW_TABLE)
     enc = UTF8 if encoding == "auto" else encoding
     incoming, m, checks = _write_batch(spark, source, layout, options, last_ts, last_inv, batch_id,
-                                       multi_line, enc, clock)
+                                       multi_line, enc, clock, publish)
     published = False
     try:
         if encoding == "auto" and checks.get("bad_text_rows", 0) > 0:
             log.warning("Source is not valid UTF-8; re-reading it as %s", LATIN1)
             _delete_quietly(spark, incoming)
             incoming, m, checks = _write_batch(spark, source, layout, options, last_ts, last_inv, batch_id,
-                                               multi_line, LATIN1, clock)
+                                               multi_line, LATIN1, clock, publish)
         if checks.get("overlong_rows", 0) > 0 and on_ragged == "fail":
             raise ExtractionError(f"Failed to read CSV: {checks['overlong_rows']} row(s) have more "
                                   "fields than the header")
@@ -226,7 +234,8 @@ def _run(spark, source, layout: Layout, wm: WatermarkStore, pipeline_name, batch
         if records_read == 0:
             log.info("No new records found since the last run")
             return RunResult(batch_id, "success", metrics={**m, **checks}), None
-        publish_batch(spark, layout.lines, incoming, batch_id)
+        if publish != "direct":
+            publish_batch(spark, layout.lines, incoming, batch_id)
         published = True
         loaded = int(m.get("clean", 0)) - int(m.get("skipped", 0))
         mark = m.get("watermark")

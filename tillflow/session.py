@@ -24,6 +24,25 @@ ENGINE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+               executor_cores: int | None = None, executors: int | None = None) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of source.
+
+    Shuffles start with enough partitions that each holds about
+    ``partition_bytes`` (and at least two waves of the cluster's cores); AQE
+    then coalesces small ones to its advisory size instead of maximising
+    parallelism, and splits skewed ones. Scan splits stay at 128 MB."""
+    cores = (executor_cores or 1) * (executors or 1)
+    partitions = max(200, -(-input_bytes // partition_bytes), 2 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def get_session(master: str | None = None, app: str = "tillflow", shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)

@@ -114,6 +114,18 @@ def publish_batch(spark: SparkSession, root: str, incoming: str, batch_id: str)
         raise LoadError(f"Could not publish batch {batch_id}")
 
 
+def write_batch_direct(spark: SparkSession, df_with_batch: DataFrame, root: str, batch_id: str) -> None:
+    """Publish for object stores, where a folder rename is a copy: remove the
+    batch folder, then write the batch straight into ``root`` (dynamic
+    partition overwrite of ``batch_id=<id>/load_status=*``). The batch is
+    visible when the job commits; a failed check afterwards deletes it."""
+    fs, target = _fs(spark, f"{root.rstrip('/')}/{BATCH_COL}={batch_id}")
+    if fs.exists(target):
+        fs.delete(target, True)
+    (df_with_batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH_COL, STATUS_COL).parquet(root))
+
+
 def batch_count(spark: SparkSession, root: str, batch_id: str, status: str = LOADED) -> int:
     """K5: rows of one batch; the filters prune to one partition folder."""
     return (read_lines(spark, root)
