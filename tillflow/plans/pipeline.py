@@ -357,7 +357,7 @@ def dashboard(spark: SparkSession, warehouse: str, top_n: int = 10) -> dict[str,
     dim_d = read_mart(spark, warehouse, "dim_date")
     monthly = reports.revenue_by_month(fct, dim_d)
     return {
-        "kpi_headline": reports.kpi_headline(fct),
+        "kpi_headline": reports.kpi_headline(fct, dim_c, dim_p),
         "revenue_by_month": monthly,
         "peak_month": reports.peak_month(monthly),
         "segment_distribution": reports.segment_distribution(dim_c),

@@ -218,7 +218,8 @@ def q_star_orders_dates(spark, sf_dir):
 
 
 def q_kpi_headline(spark, sf_dir):
-    return to_double(reports.kpi_headline(models(spark, sf_dir).fct_orders))
+    m = models(spark, sf_dir)
+    return to_double(reports.kpi_headline(m.fct_orders, m.dim_customers, m.dim_products))
 
 
 def q_revenue_by_month(spark, sf_dir):

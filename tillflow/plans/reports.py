@@ -30,12 +30,24 @@ def _share(value_col: str, out: str = "share_pct"):
 
 # -- star joins --------------------------------------------------------------
 
+def _left_join_skipping_null_keys(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join in which fact rows with a NULL key (they can never match)
+    stay out of the shuffle: guest lines may be a large share of all lines,
+    and in a plain outer join they would all hash to one reducer. They are
+    unioned back with NULL dimension columns."""
+    keyed = facts.filter(F.col(key).isNotNull()).join(dim, key, "left")
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields if f.name != key]
+    unkeyed = facts.filter(F.col(key).isNull()).select(F.col(key), *[c for c in facts.columns if c != key], *extra)
+    return keyed.unionByName(unkeyed)
+
+
 def star_orders_customers(fct: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Every fact line with its customer's segment and status; guests
     (NULL id) and ids without a dimension row keep NULL attributes."""
     dim = dim_customers.select("customer_id", "customer_segment", "customer_status",
                                F.col("country").alias("customer_country"))
-    return fct.select("order_key", "customer_id", "net_line_total").join(dim, "customer_id", "left")
+    return _left_join_skipping_null_keys(fct.select("order_key", "customer_id", "net_line_total"), dim,
+                                         "customer_id")
 
 
 def star_orders_products(fct: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -45,7 +57,7 @@ def star_orders_products(fct: DataFrame, dim_products: DataFrame) -> DataFrame:
                               F.col("description").alias("product_description"))
     f = fct.select("order_key", "stock_code", "quantity",
                    F.upper(F.trim("stock_code")).alias("product_code"))
-    return f.join(dim, "product_code", "left")
+    return _left_join_skipping_null_keys(f, dim, "product_code")
 
 
 def star_orders_dates(fct: DataFrame, dim_date: DataFrame, date_dim_days: int | None = None) -> DataFrame:
@@ -59,20 +71,45 @@ def star_orders_dates(fct: DataFrame, dim_date: DataFrame, date_dim_days: int |
 
 # -- dashboard queries ---------------------------------------------------------
 
-def kpi_headline(fct: DataFrame) -> DataFrame:
-    """B1: revenue, customers, invoices, products, countries, lines in one
-    aggregation over the fact. Customers and products are counted as the
-    staging models define them (valid trimmed id; normalised product code)."""
+def kpi_headline(fct: DataFrame, dim_customers: DataFrame | None = None,
+                 dim_products: DataFrame | None = None) -> DataFrame:
+    """B1: revenue, customers, invoices, products, countries and lines.
+
+    Customers and products are counted as the staging models define them:
+    the rows of the dimensions when given, else the valid trimmed ids and the
+    normalised product codes of the fact. Each metric is its own aggregation
+    (at most one distinct count, planned as dedup + partial count, so no
+    ``Expand`` multiplies the fact lines) and the one-row results are folded
+    into one row through a union."""
     cid = F.col("customer_id")
     valid_customer = cid.isNotNull() & (F.lower(cid) != "nan")
     product_code = F.when(product_filter(), F.upper(F.trim("stock_code")))
-    return fct.agg(
-        F.sum("net_line_total").alias("total_revenue"),
-        F.count_distinct(F.when(valid_customer, cid)).alias("total_customers"),
-        F.count_distinct("invoice_no").alias("total_invoices"),
-        F.count_distinct(product_code).alias("total_products"),
-        F.count_distinct("country").alias("total_countries"),
-        F.count(F.lit(1)).alias("total_lines"),
+    value = "decimal(38,4)"
+
+    def metric(df: DataFrame, name: str, agg) -> DataFrame:
+        return df.agg(agg.cast(value).alias("v")).select(F.lit(name).alias("metric"), "v")
+
+    parts = [
+        metric(fct, "total_revenue", F.sum("net_line_total")),
+        metric(fct, "total_lines", F.count(F.lit(1))),
+        metric(fct, "total_invoices", F.count_distinct("invoice_no")),
+        metric(fct, "total_countries", F.count_distinct("country")),
+        metric(dim_customers, "total_customers", F.count(F.lit(1))) if dim_customers is not None
+        else metric(fct, "total_customers", F.count_distinct(F.when(valid_customer, cid))),
+        metric(dim_products, "total_products", F.count(F.lit(1))) if dim_products is not None
+        else metric(fct, "total_products", F.count_distinct(product_code)),
+    ]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    pick = lambda n: F.max(F.when(F.col("metric") == n, F.col("v")))
+    return both.agg(
+        pick("total_revenue").cast("decimal(28,4)").alias("total_revenue"),
+        pick("total_customers").cast("long").alias("total_customers"),
+        pick("total_invoices").cast("long").alias("total_invoices"),
+        pick("total_products").cast("long").alias("total_products"),
+        pick("total_countries").cast("long").alias("total_countries"),
+        pick("total_lines").cast("long").alias("total_lines"),
     )
 
 
