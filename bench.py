@@ -44,6 +44,8 @@ def main() -> None:
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", str(cpus))
              .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+             # throughput collector for a batch JVM (override with BENCH_JAVA_OPTS)
+             .config("spark.driver.extraJavaOptions", os.environ.get("BENCH_JAVA_OPTS", "-XX:+UseParallelGC"))
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.eventLog.enabled", "true" if os.environ.get("BENCH_EVENT_LOG") else "false")
              .config("spark.eventLog.dir", os.environ.get("BENCH_EVENT_LOG", "/tmp"))
