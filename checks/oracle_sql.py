@@ -456,6 +456,14 @@ ORACLE: dict[str, str] = {
     "stg_customers": q(
         "SELECT customer_id, country, first_order_date, last_order_date, total_orders, total_line_items, "
         f"{dbl('total_units_purchased', 'lifetime_revenue')} FROM stg_customers"),
+    "stg_customers_latest_country": q(
+        "SELECT c.customer_id, l.country, c.first_order_date, c.last_order_date, c.total_orders, "
+        f"c.total_line_items, {dbl('c.total_units_purchased', 'c.lifetime_revenue').replace('AS c.', 'AS ')} "
+        "FROM stg_customers c JOIN ("
+        "SELECT TRIM(customer_id) AS customer_id, TRIM(country) AS country, row_number() OVER ("
+        "PARTITION BY TRIM(customer_id) ORDER BY invoice_date DESC, invoice_no DESC) AS rn FROM raw "
+        "WHERE customer_id IS NOT NULL AND TRIM(customer_id) != '' AND LOWER(TRIM(customer_id)) != 'nan'"
+        ") l ON c.customer_id = l.customer_id AND l.rn = 1"),
     "stg_products": q(
         "SELECT stock_code, description, CAST(avg_micros AS DOUBLE) / 1000000.0 AS avg_unit_price, "
         f"{dbl('min_unit_price', 'max_unit_price', 'total_units_sold')}, times_ordered, unique_customers, "

@@ -45,3 +45,13 @@ def test_order_key_null_propagates_and_formats(spark):
 
     assert got[0] == hashlib.md5(b"1-A-2010-01-02 03:04:05").hexdigest()
     assert got[1] is None
+
+
+def test_scale_conf_sizes_partitions():
+    from tillflow.session import scale_conf
+
+    tb = 1024 ** 4
+    c = scale_conf(100 * tb, executor_cores=8, executors=1000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * tb // (256 * 1024 ** 2)
+    assert c["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert int(scale_conf(1024, executor_cores=4, executors=100)["spark.sql.shuffle.partitions"]) == 800

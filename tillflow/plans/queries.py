@@ -22,7 +22,7 @@ from tillflow.operators import datatests, incremental
 from tillflow.operators.conform import LOADABLE_COL, conform_raw
 from tillflow.operators.dedup import dedup_keep_last, duplicate_count
 from tillflow.operators.quality import REASON_COL, add_audit_columns, flag_quality
-from tillflow.plans import ingest, reports
+from tillflow.plans import ingest, reports, staging
 from tillflow.plans.catalog import ModelParams, Models
 from tillflow.sources.fixtures import FIXTURE_ORDER, fixture_order_column, fixture_orders
 
@@ -179,6 +179,12 @@ def q_stg_customers(spark, sf_dir):
     return to_double(models(spark, sf_dir).stg_customers)
 
 
+def q_stg_customers_latest_country(spark, sf_dir):
+    """stg_customers with ``country_rule="latest"``: the country of the
+    customer's most recent line (by time, then invoice)."""
+    return to_double(staging.stg_customers(raw_orders(spark, sf_dir), country_rule="latest"))
+
+
 def q_stg_products(spark, sf_dir):
     return to_double(models(spark, sf_dir).stg_products)
 
@@ -289,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_orders": q_raw_orders,
     "stg_orders": q_stg_orders,
     "stg_customers": q_stg_customers,
+    "stg_customers_latest_country": q_stg_customers_latest_country,
     "stg_products": q_stg_products,
     "fct_orders": q_fct_orders,
     "dim_customers": q_dim_customers,

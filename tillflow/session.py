@@ -74,6 +74,9 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     dir. A machine-local temp folder is never chosen silently."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if fallback is None and spark.sparkContext.master.startswith("local"):
+            # local mode: driver and executors share this machine's disk
+            fallback = local_test_dir("tillflow-shared-")
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
         d = fallback
