@@ -41,3 +41,21 @@ def test_audit_lifecycle(spark, tmpdir_path):
     r = a.frame().first()
     assert (r.status, r.records_read, r.records_loaded, r.error_message) == ("success", 5, 4, None)
     assert r.duration_seconds == 300.0
+
+
+def test_versions_history_and_compaction(spark, tmpdir_path):
+    from tillflow.state.versioned import StateTable
+
+    wm = WatermarkStore(spark, os.path.join(tmpdir_path, "wm"))
+    for i in range(5):
+        wm.write("p", "raw_orders", T1, str(i), T1)
+    table: StateTable = wm.table
+    assert table.versions() == [1, 2, 3, 4, 5]
+    assert table.history().count() == 5
+    # a version folder without a committed write is ignored
+    os.makedirs(os.path.join(tmpdir_path, "wm", "version=9"))
+    fresh = WatermarkStore(spark, os.path.join(tmpdir_path, "wm"))
+    assert fresh.read("p", "raw_orders") == (T1, "4")
+    assert fresh.table.compact(keep=2) == 3
+    assert fresh.table.versions() == [4, 5]
+    assert WatermarkStore(spark, os.path.join(tmpdir_path, "wm")).read("p", "raw_orders") == (T1, "4")
