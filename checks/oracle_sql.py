@@ -274,6 +274,36 @@ FROM spine
 BASE = ",\n".join([SRC, CLEANED, DEDUP, FLAGGED, CONFORMED, RAW, STG_ORDERS, STG_CUSTOMERS,
                    STG_PRODUCTS, FCT, DIM_CUSTOMERS, DIM_PRODUCTS, DIM_DATE])
 
+# The same ingest chain with missing text rendered as 'nan' (string_nulls="nan").
+CLEANED_NAN = f"""cleaned_nan AS (
+SELECT
+  {strip("COALESCE(invoice_no, 'nan')")} AS invoice_no,
+  {strip("COALESCE(stock_code, 'nan')")} AS stock_code,
+  {strip("COALESCE(description, 'nan')")} AS description,
+  CASE WHEN isnan(quantity) THEN NULL ELSE CAST(quantity AS DOUBLE) END AS quantity,
+  CAST(invoice_date AS TIMESTAMP) AS invoice_date,
+  CASE WHEN isnan(unit_price) THEN NULL ELSE CAST(unit_price AS DOUBLE) END AS unit_price,
+  NULLIF({strip("COALESCE(customer_id, 'nan')")}, 'nan') AS customer_id,
+  {strip("COALESCE(country, 'nan')")} AS country,
+  {IDS}
+FROM src
+)"""
+
+
+def _nan_chain() -> str:
+    parts = [CLEANED_NAN]
+    for text, names in ((DEDUP, ("ranked", "dedup")), (FLAGGED, ("flagged",)), (CONFORMED, ("conformed",)),
+                        (RAW, ("raw",))):
+        t = text
+        for n in ("raw", "conformed", "flagged", "dedup", "ranked", "cleaned"):
+            t = t.replace(f"FROM {n}\n", f"FROM {n}_nan\n").replace(f"FROM {n} ", f"FROM {n}_nan ")
+            t = t.replace(f"{n} AS (", f"{n}_nan AS (")
+        parts.append(t)
+    return ",\n".join(parts)
+
+
+NAN_CHAIN = _nan_chain()
+
 
 def q(select: str) -> str:
     return f"WITH {BASE}\n{select}"
@@ -452,6 +482,9 @@ ORACLE: dict[str, str] = {
     "raw_orders": q(
         f"SELECT invoice_no, stock_code, description, {dbl('quantity')}, invoice_date, {dbl('unit_price')}, "
         "customer_id, country, batch_id, ingested_at FROM raw"),
+    "raw_orders_nan_mode": f"WITH {BASE},\n{NAN_CHAIN}\n" + (
+        f"SELECT invoice_no, stock_code, description, {dbl('quantity')}, invoice_date, {dbl('unit_price')}, "
+        "customer_id, country, batch_id, ingested_at FROM raw_nan"),
     "stg_orders": q(f"SELECT {STG_ORDERS_COLS} FROM stg_orders"),
     "stg_customers": q(
         "SELECT customer_id, country, first_order_date, last_order_date, total_orders, total_line_items, "

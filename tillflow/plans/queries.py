@@ -171,6 +171,13 @@ def q_raw_orders(spark, sf_dir):
     return to_double(raw_orders(spark, sf_dir))
 
 
+def q_raw_orders_nan_mode(spark, sf_dir):
+    """G1 bug-compatible mode end to end: missing invoice / stock / text is
+    the string 'nan', so those null rules never reject and such lines load."""
+    f = flagged(spark, sf_dir, IngestOptions(string_nulls="nan"))
+    return to_double(ingest.raw_orders(f, BATCH_ID, INGESTED_AT))
+
+
 def q_stg_orders(spark, sf_dir):
     return to_double(models(spark, sf_dir).stg_orders)
 
@@ -293,6 +300,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_first_run": q_incremental_first_run,
     "next_watermark": q_next_watermark,
     "raw_orders": q_raw_orders,
+    "raw_orders_nan_mode": q_raw_orders_nan_mode,
     "stg_orders": q_stg_orders,
     "stg_customers": q_stg_customers,
     "stg_customers_latest_country": q_stg_customers_latest_country,
