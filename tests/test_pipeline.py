@@ -162,3 +162,16 @@ def test_incremental_fact_equals_full_rebuild(spark, tmpdir_path):
     full_rows = sorted(tuple(r) for r in full.drop("ingested_at").collect())
     assert len(inc_rows) == pipeline.read_raw(spark, wh).count()
     assert inc_rows == full_rows
+
+
+def test_cli_daily_chain(spark, tmpdir_path):
+    from tillflow.__main__ import main
+
+    src = os.path.join(tmpdir_path, "src")
+    _csv(src, "a.csv", [f"1,A,x,1,{T0},1.0,7,UK\n", f"C2,A,x,-1,{T0},1.0,7,UK\n", f"3,B,y,2,{T0},-2.0,8,FR\n"])
+    wh = os.path.join(tmpdir_path, "wh")
+    assert main(["daily", "--source", src, "--warehouse", wh, "--as-of", "2010-02-01",
+                 "--spine-start", "2010-01-01", "--spine-days", "365"]) == 0
+    assert pipeline.read_raw(spark, wh).count() == 2
+    assert pipeline.read_quarantine(spark, wh).count() == 1
+    assert main(["dashboard", "--warehouse", wh]) == 0
