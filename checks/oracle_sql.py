@@ -138,9 +138,9 @@ SELECT
   invoice_no, stock_code,
   CASE WHEN LEFT(invoice_no, 1) = 'C' THEN TRUE ELSE FALSE END AS is_cancelled,
   TRIM(description) AS description,
-  CAST(quantity AS DECIMAL(10,2)) AS quantity,
-  CAST(unit_price AS DECIMAL(10,4)) AS unit_price,
-  CAST(quantity * unit_price AS DECIMAL(12,4)) AS line_total,
+  TRY_CAST(quantity AS DECIMAL(10,2)) AS quantity,
+  TRY_CAST(unit_price AS DECIMAL(10,4)) AS unit_price,
+  TRY_CAST(quantity * unit_price AS DECIMAL(12,4)) AS line_total,
   CAST(invoice_date AS TIMESTAMP) AS invoice_date,
   CAST(invoice_date AS DATE) AS invoice_date_key,
   NULLIF(TRIM(customer_id), '') AS customer_id,
@@ -314,7 +314,8 @@ def dbl(*cols: str) -> str:
 
 
 def share(expr: str) -> str:
-    return f"CAST({expr} AS DOUBLE) * CAST(100.0 AS DOUBLE) / CAST(SUM({expr}) OVER () AS DOUBLE)"
+    return (f"CAST({expr} AS DOUBLE) * CAST(100.0 AS DOUBLE) "
+            f"/ NULLIF(CAST(SUM({expr}) OVER () AS DOUBLE), 0.0)")
 
 
 STG_ORDERS_COLS = ("invoice_no, stock_code, is_cancelled, description, "

@@ -98,3 +98,14 @@ def test_data_tests_pass_and_fail(spark):
     rows = res.collect()
     assert len(rows) == 34 and all(r.passed for r in rows)
     assert sum(1 for r in rows if r.test == "unique") == 6
+
+
+def test_oversized_values_surface_in_data_tests(spark):
+    day = dt.datetime(2011, 1, 1)
+    raw = _raw(spark, [("1", "A", 1, day, "1500000.00", "c"), ("2", "B", 50000, day, "9000.00", "c")])
+    stg = staging.stg_orders(raw)
+    rows = {r.invoice_no: r for r in stg.collect()}
+    assert rows["1"].unit_price is None                      # does not fit decimal(10,4)
+    assert rows["2"].line_total is None                      # 450,000,000 does not fit decimal(12,4)
+    assert not_null_failures(stg, "unit_price").count() == 1
+    assert not_null_failures(stg, "line_total").count() == 1

@@ -24,8 +24,11 @@ DATE_DIM_BROADCAST_MAX_DAYS = 100_000
 
 
 def _share(value_col: str, out: str = "share_pct"):
+    """Percentage of the total; NULL when the total is zero (for example when
+    every sale was cancelled)."""
     total = F.sum(F.col(value_col)).over(Window.partitionBy())
-    return (F.col(value_col).cast("double") * F.lit(100.0) / total.cast("double")).alias(out)
+    return (F.col(value_col).cast("double") * F.lit(100.0)
+            / F.nullif(total.cast("double"), F.lit(0.0))).alias(out)
 
 
 # -- star joins --------------------------------------------------------------

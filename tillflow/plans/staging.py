@@ -22,9 +22,11 @@ def stg_orders(raw: DataFrame) -> DataFrame:
         F.col("stock_code"),
         is_cancelled("invoice_no").alias("is_cancelled"),
         F.trim("description").alias("description"),
-        qty.cast("decimal(10,2)").alias("quantity"),
-        price.cast("decimal(10,4)").alias("unit_price"),
-        (qty * price).cast("decimal(12,4)").alias("line_total"),
+        # A value that does not fit becomes NULL (the not_null data tests on
+        # these columns then report it) instead of failing the whole build.
+        qty.try_cast("decimal(10,2)").alias("quantity"),
+        price.try_cast("decimal(10,4)").alias("unit_price"),
+        (qty * price).try_cast("decimal(12,4)").alias("line_total"),
         F.col("invoice_date").cast("timestamp_ntz").alias("invoice_date"),
         F.to_date("invoice_date").alias("invoice_date_key"),
         F.nullif(F.trim("customer_id"), F.lit("")).alias("customer_id"),
