@@ -19,9 +19,9 @@ from tillflow.config import SOURCE_COLUMNS, IngestOptions
 from tillflow.functions import na_tokens_to_null
 from tillflow.operators import clean as clean_ops
 from tillflow.operators import datatests, incremental
-from tillflow.operators.conform import LOADABLE_COL, conform_raw
+from tillflow.operators.conform import LOADABLE_COL
 from tillflow.operators.dedup import dedup_keep_last, duplicate_count
-from tillflow.operators.quality import REASON_COL, add_audit_columns, flag_quality
+from tillflow.operators.quality import REASON_COL, add_audit_columns
 from tillflow.plans import ingest, reports, staging
 from tillflow.plans.catalog import ModelParams, Models
 from tillflow.sources.fixtures import FIXTURE_ORDER, fixture_order_column, fixture_orders
