@@ -216,24 +216,38 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     audit = AuditLog(spark, layout.audit)
     wm.ensure()
     audit.ensure()
-    audit.start(batch_id, pipeline_name, started_at)
+    # The in-progress audit row is independent of the batch: write it while
+    # the batch runs, and wait for it before the row is closed.
+    pool = ThreadPoolExecutor(max_workers=2)
+    pending = [pool.submit(audit.start, batch_id, pipeline_name, started_at)]
+
+    def settle():
+        # audit writes of this run happen one after another on the table
+        for f in pending:
+            f.result()
+        pending.clear()
+
     try:
         result, advance = _run(spark, source, layout, wm, pipeline_name, batch_id, options, multi_line,
                                encoding, on_ragged, clock, publish, skip_loaded_keys)
+        settle()
         # The new mark and the closing audit row are independent small writes.
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            done = pool.submit(audit.complete, batch_id, pipeline_name, started_at, result.records_read,
-                               result.records_loaded, clock())
-            if advance is not None:
-                advance()
-            done.result()
+        pending.append(pool.submit(audit.complete, batch_id, pipeline_name, started_at, result.records_read,
+                                   result.records_loaded, clock()))
+        if advance is not None:
+            advance()
+        settle()
         return result
     except DOMAIN_ERRORS as e:
+        settle()
         audit.fail(batch_id, pipeline_name, started_at, str(e), clock())
         raise
     except Exception as e:
+        settle()
         audit.fail(batch_id, pipeline_name, started_at, f"{UNEXPECTED_PREFIX}{e}", clock())
         raise
+    finally:
+        pool.shutdown(wait=True)
 
 
 def _run(spark, source, layout: Layout, wm: WatermarkStore, pipeline_name, batch_id, options,
