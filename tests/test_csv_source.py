@@ -86,3 +86,22 @@ def test_file_order_is_monotone(spark, write_csv):
 def test_validate_schema_allows_extras():
     validate_schema(["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
                      "Customer ID", "Country", "Extra"])
+
+
+def test_parquet_source_keeps_last_in_file_order(spark, tmpdir_path):
+    import os
+
+    from tillflow.operators.dedup import dedup_keep_last
+    from tillflow.plans import pipeline
+    from tillflow.sources.parquet_source import read_source_parquet
+
+    rows = [(str(i % 3), "A", f"d{i}", float(i), dt.datetime(2010, 1, 1, 10), 1.5, "7", "UK") for i in range(9)]
+    cols = "Invoice string, StockCode string, Description string, Quantity double, InvoiceDate timestamp_ntz, " \
+           "Price double, `Customer ID` string, Country string"
+    path = os.path.join(tmpdir_path, "landing")
+    spark.createDataFrame(rows, cols).coalesce(1).write.parquet(path)
+    src = read_source_parquet(spark, path)
+    kept = {r.invoice_no: r.description for r in dedup_keep_last(clean(src)).collect()}
+    assert kept == {"0": "d6", "1": "d7", "2": "d8"}          # the last of each key in the file
+    r = pipeline.run_pipeline(spark, src, os.path.join(tmpdir_path, "wh"), batch_id="pq")
+    assert (r.records_read, r.records_loaded, r.duplicates_removed) == (9, 3, 6)

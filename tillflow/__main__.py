@@ -38,7 +38,12 @@ def _params(a) -> ModelParams:
 def _ingest(spark, a):
     opts = IngestOptions(string_nulls=a.string_nulls, normalize_ids=a.normalize_ids,
                          keep_null_dates=a.keep_null_dates)
-    res = pipeline.run_pipeline(spark, a.source, a.warehouse, pipeline_name=a.pipeline_name,
+    source = a.source
+    if a.source_format == "parquet":
+        from tillflow.sources.parquet_source import read_source_parquet
+
+        source = read_source_parquet(spark, a.source)
+    res = pipeline.run_pipeline(spark, source, a.warehouse, pipeline_name=a.pipeline_name,
                                 batch_id=a.batch_id, options=opts, multi_line=a.multi_line,
                                 encoding=a.encoding, on_ragged=a.on_ragged, publish=a.publish)
     print(json.dumps({"batch_id": res.batch_id, "status": res.status, "records_read": res.records_read,
@@ -61,6 +66,7 @@ def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="tillflow")
     ap.add_argument("command", choices=["ingest", "build", "test", "daily", "dashboard", "stream"])
     ap.add_argument("--source")
+    ap.add_argument("--source-format", choices=["csv", "parquet"], default="csv")
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--batch-id")
     ap.add_argument("--batches", nargs="*")
