@@ -59,3 +59,15 @@ def test_versions_history_and_compaction(spark, tmpdir_path):
     assert fresh.table.compact(keep=2) == 3
     assert fresh.table.versions() == [4, 5]
     assert WatermarkStore(spark, os.path.join(tmpdir_path, "wm")).read("p", "raw_orders") == (T1, "4")
+
+
+def test_pipeline_keeps_bounded_state_history(spark, tmpdir_path):
+    from tillflow.plans import pipeline, queries
+
+    wh = os.path.join(tmpdir_path, "wh")
+    src = queries.source(spark, "/root/testdata/sf0.001")
+    for i in range(3):
+        pipeline.run_pipeline(spark, src, wh, batch_id=f"s{i}", keep_state_versions=2)
+    audit = AuditLog(spark, os.path.join(wh, "state/pipeline_audit"))
+    assert len(audit.table.versions()) == 2
+    assert {r.batch_id for r in audit.frame().collect()} == {"s0", "s1", "s2"}

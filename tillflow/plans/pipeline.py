@@ -195,7 +195,7 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
                  options: IngestOptions = IngestOptions(), multi_line: bool = False,
                  encoding: str = "auto", on_ragged: str = "fail", clock=utcnow,
                  truncate_watermark: bool = False, publish: str = "rename",
-                 skip_loaded_keys: bool = False) -> RunResult:
+                 skip_loaded_keys: bool = False, keep_state_versions: int | None = 200) -> RunResult:
     """One incremental batch from ``source`` into the warehouse.
 
     ``source`` is a CSV path/glob (or list), a DataFrame with the source
@@ -208,7 +208,9 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     the checks (atomic on HDFS-like stores); ``"direct"`` writes it in
     place, for object stores where a rename is a copy.
     ``skip_loaded_keys=True`` also drops clean lines whose key an earlier
-    batch already loaded (the table key is otherwise not enforced)."""
+    batch already loaded (the table key is otherwise not enforced).
+    ``keep_state_versions`` old versions of the watermark and audit tables
+    are kept (file-system deletes only); None keeps all."""
     layout = Layout(warehouse)
     started_at = clock()
     batch_id = batch_id or make_batch_id(started_at)
@@ -248,6 +250,12 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
         raise
     finally:
         pool.shutdown(wait=True)
+        if keep_state_versions:
+            for table in (wm.table, audit.table):
+                try:
+                    table.compact(keep=keep_state_versions)
+                except Exception as e:  # noqa: BLE001 - housekeeping never fails a run
+                    log.warning("State compaction failed for %s: %s", table.path, e)
 
 
 def _run(spark, source, layout: Layout, wm: WatermarkStore, pipeline_name, batch_id, options,
