@@ -70,3 +70,17 @@ def test_report_joins_see_pre_aggregated_facts(spark):
     # the fact is summed per customer before it meets the dimension
     join_at = plan.find("Join")
     assert join_at > 0 and "partial_sum" in plan
+
+
+def test_star_join_keeps_null_keys_out_of_the_shuffle(spark):
+    import re
+
+    from tillflow.plans import reports
+
+    m = queries.models(spark, SF)
+    plan = _plan(reports.star_orders_customers(m.fct_orders, m.dim_customers))
+    assert "Union" in plan
+    # the join side only sees rows with a key; the other branch never joins
+    joins = re.findall(r"\(\d+\) (?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)[^\n]*", plan)
+    assert len(joins) >= 1
+    assert re.search(r"isnotnull\(customer_id", plan) and re.search(r"isnull\(customer_id", plan)
