@@ -45,7 +45,7 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tillflow-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.shuffle.partitions", str(cpus))
+             .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
              .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
              # throughput collector for a batch JVM (override with BENCH_JAVA_OPTS)
              .config("spark.driver.extraJavaOptions", os.environ.get("BENCH_JAVA_OPTS", "-XX:+UseParallelGC"))

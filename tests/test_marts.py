@@ -40,6 +40,11 @@ def test_customer_segments_and_status(spark):
     assert got["c_vip"].days_since_last_order == 30 and got["c_vip"].customer_status == "ACTIVE"
     dim2 = marts.dim_customers(staging.stg_customers(_raw(spark, rows)), as_of=dt.date(2011, 2, 1))
     assert {r.customer_status for r in dim2.collect()} == {"WARM"}
+    # 90 days since the last order is still WARM, 91 is CHURN_RISK
+    dim90 = marts.dim_customers(staging.stg_customers(_raw(spark, rows)), as_of=dt.date(2011, 4, 1))
+    dim91 = marts.dim_customers(staging.stg_customers(_raw(spark, rows)), as_of=dt.date(2011, 4, 2))
+    assert {r.customer_status for r in dim90.collect()} == {"WARM"}
+    assert {r.customer_status for r in dim91.collect()} == {"CHURN_RISK"}
 
 
 def test_revenue_just_below_vip(spark):

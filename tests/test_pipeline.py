@@ -193,3 +193,25 @@ def test_skip_loaded_keys_across_batches(spark, tmpdir_path):
     assert r.records_loaded == 1                      # (2, B) was loaded by k1 already
     got = sorted((x.invoice_no, x.batch_id) for x in pipeline.read_raw(spark, wh).collect())
     assert got == [("1", "k1"), ("2", "k1"), ("3", "k2")]
+
+
+def test_header_only_file_succeeds_with_nothing_read(spark, tmpdir_path):
+    src, wh = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "wh")
+    _csv(src, "empty.csv", [])
+    r = pipeline.run_pipeline(spark, src, wh, batch_id="e1")
+    assert (r.status, r.records_read, r.records_loaded, r.watermark) == ("success", 0, 0, None)
+    a = pipeline.AuditLog(spark, os.path.join(wh, "state/pipeline_audit")).frame().first()
+    assert (a.status, a.records_read, a.records_loaded) == ("success", 0, 0)
+    assert pipeline.WatermarkStore(spark, os.path.join(wh, "state/pipeline_watermark")).read(
+        pipeline.PIPELINE_NAME, "raw_orders") == (None, None)
+
+
+def test_rejected_only_file_quarantines_everything_and_keeps_the_mark(spark, tmpdir_path):
+    src, wh = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "wh")
+    _csv(src, "bad.csv", [f"1,A,x,1,{T0},-1.0,7,UK\n", f",B,y,1,{T0},1.0,7,UK\n", "3,C,z,1,,1.0,7,UK\n"])
+    r = pipeline.run_pipeline(spark, src, wh, batch_id="r1")
+    assert (r.records_read, r.records_loaded, r.records_quarantined, r.watermark) == (3, 0, 3, None)
+    assert pipeline.read_raw(spark, wh).count() == 0
+    assert pipeline.read_quarantine(spark, wh).count() == 3
+    assert pipeline.WatermarkStore(spark, os.path.join(wh, "state/pipeline_watermark")).read(
+        pipeline.PIPELINE_NAME, "raw_orders") == (None, None)
