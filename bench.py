@@ -46,6 +46,8 @@ def main() -> None:
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+             # concurrent independent jobs share the cores (as get_session sets)
+             .config("spark.scheduler.mode", os.environ.get("BENCH_SCHEDULER_MODE", "FAIR"))
              .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
              # throughput collector for a batch JVM (override with BENCH_JAVA_OPTS)
              .config("spark.driver.extraJavaOptions", os.environ.get("BENCH_JAVA_OPTS", "-XX:+UseParallelGC"))

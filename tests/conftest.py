@@ -22,6 +22,7 @@ def spark():
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.scheduler.mode", "FAIR")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

@@ -51,6 +51,10 @@ def get_session(master: str | None = None, app: str = "tillflow", shuffle_partit
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.ui.enabled", "false")
+    # Independent jobs (mart writes, data-test and report queries, AQE query
+    # stages, the audit row next to a batch) share executors instead of
+    # queueing behind the first submitted job. Set before the context starts.
+    builder = builder.config("spark.scheduler.mode", "FAIR")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
