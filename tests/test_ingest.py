@@ -105,3 +105,17 @@ def test_clean_plus_rejected_equals_deduplicated(spark):
     clean_n = ingest.clean_output(f, "b", dt.datetime(2020, 1, 1)).count()
     rej_n = ingest.quarantine(f, "b", dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 1)).count()
     assert clean_n + rej_n == f.count()
+
+
+def test_source_without_file_order_is_rejected(spark):
+    import pytest
+
+    from tillflow.operators.clean import ValidationError
+
+    df = spark.createDataFrame([("1", "A", "d", "1", T0, "1", "7", "UK")],
+                               "Invoice string, StockCode string, Description string, Quantity string, "
+                               "InvoiceDate string, Price string, `Customer ID` string, Country string")
+    with pytest.raises(ValidationError, match="_ord"):
+        ingest.prepare(df)
+    with pytest.raises(ValueError):
+        IngestOptions(string_nulls="none")

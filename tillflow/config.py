@@ -135,3 +135,7 @@ class IngestOptions:
     string_nulls: str = "null"
     normalize_ids: bool = False
     keep_null_dates: bool = False
+
+    def __post_init__(self):
+        if self.string_nulls not in ("null", "nan"):
+            raise ValueError(f"string_nulls must be 'null' or 'nan', not {self.string_nulls!r}")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.config import ERROR_REASON_WIDTH, IngestOptions
-from tillflow.operators.clean import clean
+from tillflow.operators.clean import ValidationError, clean
 from tillflow.operators.conform import LOADABLE_COL, RAW_COLUMNS, conform_raw
 from tillflow.operators.dedup import dedup_keep_last
 from tillflow.operators.incremental import filter_new_records
@@ -29,6 +29,10 @@ def prepare(source: DataFrame, options: IngestOptions = IngestOptions(),
             last_processed_at: dt.datetime | None = None, last_invoice_no: str | None = None) -> DataFrame:
     """Typed rows of ``source`` past the stored mark (before dedup): the rows
     a run reads."""
+    if "_ord" not in source.columns:
+        raise ValidationError("The source needs an orderable '_ord' column (its file order) for the "
+                              "keep-last dedup; read it with sources.csv_source or sources.parquet_source, "
+                              "or add one")
     cleaned = clean(source, options)
     return filter_new_records(cleaned, last_processed_at, last_invoice_no,
                               keep_null_dates=options.keep_null_dates)
