@@ -89,7 +89,7 @@ def main() -> None:
         res = step("ingest", lambda: pipeline.run_pipeline(spark, source, wh, batch_id="bench"))
         built = step("build_marts", lambda: pipeline.build_marts(spark, wh, params, batches=[res.batch_id]))
         step("data_tests", lambda: pipeline.run_tests(spark, wh, params, raise_on_failure=False,
-                                                      models=built).collect())
+                                                      models=built, batches=[res.batch_id]).collect())
         pipeline.release(built)
         step("dashboard", lambda: pipeline.collect_all(pipeline.dashboard(spark, wh)))
         return res

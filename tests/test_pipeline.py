@@ -215,3 +215,33 @@ def test_rejected_only_file_quarantines_everything_and_keeps_the_mark(spark, tmp
     assert pipeline.read_quarantine(spark, wh).count() == 3
     assert pipeline.WatermarkStore(spark, os.path.join(wh, "state/pipeline_watermark")).read(
         pipeline.PIPELINE_NAME, "raw_orders") == (None, None)
+
+
+def test_batch_scoped_tests_match_full_and_catch_cross_batch_keys(spark, tmpdir_path):
+    from tillflow.plans.catalog import ModelParams
+
+    src = queries.source(spark, "/root/testdata/sf0.001")
+    wh = os.path.join(tmpdir_path, "wh")
+    params = ModelParams(as_of=dt.date(2001, 8, 31))
+    pipeline.run_pipeline(spark, src.filter(F.col("InvoiceDate") < F.lit(dt.datetime(1998, 1, 1))), wh,
+                          batch_id="t1")
+    pipeline.release(pipeline.build_marts(spark, wh, params, batches=["t1"]))
+    pipeline.run_pipeline(spark, src, wh, batch_id="t2")
+    built = pipeline.build_marts(spark, wh, params, batches=["t2"])
+    full = {(r.model, r.column_name, r.test): r.failures
+            for r in pipeline.run_tests(spark, wh, params, False, built).collect()}
+    scoped = {(r.model, r.column_name, r.test): r.failures
+              for r in pipeline.run_tests(spark, wh, params, False, built, batches=["t2"]).collect()}
+    assert scoped.keys() == full.keys() and all(v == 0 for v in scoped.values())
+    pipeline.release(built)
+    # a later batch repeating an already loaded line is caught by the scoped run
+    srcf = os.path.join(tmpdir_path, "late")
+    row = pipeline.read_raw(spark, wh).filter(F.col("batch_id") == "t2").orderBy(F.desc("invoice_date")).first()
+    _csv(srcf, "x.csv", [f"{row.invoice_no},{row.stock_code},dup,1,{row.invoice_date:%Y-%m-%d %H:%M:%S},1.0,7,UK\n"])
+    shutil.rmtree(os.path.join(wh, "state/pipeline_watermark"))
+    pipeline.run_pipeline(spark, srcf, wh, batch_id="t3")
+    built = pipeline.build_marts(spark, wh, params, batches=["t3"])
+    scoped = {(r.model, r.column_name, r.test): r.failures
+              for r in pipeline.run_tests(spark, wh, params, False, built, batches=["t3"]).collect()}
+    assert scoped[("fct_orders", "order_key", "unique")] == 1
+    pipeline.release(built)

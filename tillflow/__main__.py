@@ -52,8 +52,9 @@ def _ingest(spark, a):
     return res
 
 
-def _test(spark, a, models=None) -> int:
-    rows = pipeline.run_tests(spark, a.warehouse, _params(a), raise_on_failure=False, models=models).collect()
+def _test(spark, a, models=None, batches=None) -> int:
+    rows = pipeline.run_tests(spark, a.warehouse, _params(a), raise_on_failure=False, models=models,
+                              batches=batches).collect()
     failed = [r for r in rows if not r["passed"]]
     for r in rows:
         print(f"{'PASS' if r['passed'] else 'FAIL'} {r['model']}.{r['column_name']} {r['test']} "
@@ -92,11 +93,11 @@ def main(argv=None) -> int:
         pipeline.build_marts(spark, a.warehouse, _params(a), batches=a.batches)
         return 0
     if a.command == "test":
-        return _test(spark, a)
+        return _test(spark, a, batches=a.batches)
     if a.command == "daily":
         res = _ingest(spark, a)
         models = pipeline.build_marts(spark, a.warehouse, _params(a), batches=[res.batch_id])
-        code = _test(spark, a, models)
+        code = _test(spark, a, models, batches=[res.batch_id])
         pipeline.release(models)
         return code
     if a.command == "dashboard":

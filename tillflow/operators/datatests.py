@@ -75,18 +75,23 @@ def unique_results(df: DataFrame, model: str, column: str) -> DataFrame:
     return dup_values.agg(_result_row(model, column, "unique", F.count(F.lit(1))).alias("r")).select("r.*")
 
 
-def run_model_tests(df: DataFrame, spec: ModelTests) -> DataFrame:
+def run_model_tests(df: DataFrame, spec: ModelTests, unique_df: DataFrame | None = None) -> DataFrame:
     parts = []
     if spec.not_null:
         parts.append(not_null_results(df, spec.model, spec.not_null))
-    parts += [unique_results(df, spec.model, c) for c in spec.unique]
+    u = df if unique_df is None else unique_df
+    parts += [unique_results(u, spec.model, c) for c in spec.unique]
     return reduce(DataFrame.unionByName, parts)
 
 
-def test_suite(models: dict[str, DataFrame], specs=DECLARED_TESTS) -> DataFrame:
+def test_suite(models: dict[str, DataFrame], specs=DECLARED_TESTS,
+               unique_models: dict[str, DataFrame] | None = None) -> DataFrame:
     """One DataFrame (model, column_name, test, failures, passed) for
-    every declared test whose model is given."""
-    parts = [run_model_tests(models[s.model], s) for s in specs if s.model in models]
+    every declared test whose model is given. ``unique_models`` optionally
+    gives a model a different frame for its unique tests (the batch-scoped
+    run uses a time slice there)."""
+    unique_models = unique_models or {}
+    parts = [run_model_tests(models[s.model], s, unique_models.get(s.model)) for s in specs if s.model in models]
     res = reduce(DataFrame.unionByName, parts)
     return res.withColumn("passed", F.col("failures") == 0)
 
