@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType
+from pyspark.sql.types import DataType, NumericType
 
 # Text a lenient numeric parser accepts: optional sign, digits with an optional
 # fraction, optional exponent, or inf / nan spellings. Anything else ('12d',
@@ -39,7 +39,3 @@ def to_decimal(c: str | Column, precision: int, scale: int) -> Column:
     """``decimal(p, s)`` or NULL when the value does not fit."""
     col = F.col(c) if isinstance(c, str) else c
     return col.try_cast(f"decimal({precision},{scale})")
-
-
-def is_text(dt: DataType) -> bool:
-    return isinstance(dt, StringType)

@@ -38,9 +38,3 @@ def conform_raw(df: DataFrame) -> DataFrame:
         loadable = loadable & f
     # The flag reads the incoming values, so it is added before they are replaced.
     return df.withColumn(LOADABLE_COL, loadable).withColumns(exprs)
-
-
-def raw_orders_rows(clean_with_audit: DataFrame) -> DataFrame:
-    """Rows that the raw table accepts, in its column order."""
-    c = conform_raw(clean_with_audit)
-    return c.filter(F.col(LOADABLE_COL)).select(*RAW_COLUMNS)

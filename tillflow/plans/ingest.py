@@ -22,9 +22,6 @@ from tillflow.operators.incremental import filter_new_records
 from tillflow.operators.quality import REASON_COL, add_audit_columns, flag_quality
 from tillflow.sinks.tables import LINES_SCHEMA, LOADED, QUARANTINED, STATUS_COL
 
-QUARANTINE_COLUMNS = RAW_COLUMNS + (REASON_COL, "quarantined_at")
-
-
 def prepare(source: DataFrame, options: IngestOptions = IngestOptions(),
             last_processed_at: dt.datetime | None = None, last_invoice_no: str | None = None) -> DataFrame:
     """Typed rows of ``source`` past the stored mark (before dedup): the rows
