@@ -334,10 +334,11 @@ def build_marts(spark: SparkSession, warehouse: str, params: ModelParams = Model
         fct = models.fct_orders
         if batches is not None:
             fct = marts.fct_orders(staging.stg_orders(raw.filter(F.col("batch_id").isin(*batches))))
-            (fct.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(layout.mart("fct_orders")))
-        else:
-            fct.write.mode("overwrite").partitionBy("batch_id").parquet(layout.mart("fct_orders"))
+        # rows in time order within each batch file (see write_incoming)
+        w = fct.sortWithinPartitions("batch_id", "invoice_date").write.mode("overwrite")
+        if batches is not None:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        w.partitionBy("batch_id").parquet(layout.mart("fct_orders"))
 
     jobs = {"fct_orders": write_fact}
     for name in ("dim_customers", "dim_products", "dim_date"):
