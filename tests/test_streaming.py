@@ -65,3 +65,13 @@ def test_failed_micro_batch_is_retried_without_duplicates(spark, tmpdir_path, mo
     assert [r.batch_id for r in res] == ["stream_0"]
     raw = pipeline.read_raw(spark, wh)
     assert raw.count() == 2 and {r.batch_id for r in raw.collect()} == {"stream_0"}
+
+
+def test_cli_stream_bounds_micro_batches(spark, tmpdir_path):
+    from tillflow.__main__ import main
+
+    land, wh = os.path.join(tmpdir_path, "land"), os.path.join(tmpdir_path, "wh")
+    _land(land, "a.csv", [f"1,A,x,1,{T0},1.0,7,UK\n"])
+    _land(land, "b.csv", [f"2,B,y,1,2010-01-02 00:00:00,1.0,7,UK\n"])
+    assert main(["stream", "--source", land, "--warehouse", wh, "--max-files-per-trigger", "1"]) == 0
+    assert sorted(r.batch_id for r in pipeline.read_raw(spark, wh).collect()) == ["stream_0", "stream_1"]

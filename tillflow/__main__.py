@@ -83,6 +83,7 @@ def main(argv=None) -> int:
     ap.add_argument("--on-ragged", choices=["fail", "keep"], default="fail")
     ap.add_argument("--publish", choices=["rename", "direct"], default="rename")
     ap.add_argument("--continuous", action="store_true")
+    ap.add_argument("--max-files-per-trigger", type=int)
     a = ap.parse_args(argv)
 
     spark = get_session()
@@ -110,7 +111,11 @@ def main(argv=None) -> int:
         from tillflow.streaming.file_ingest import start_file_ingest
 
         q = start_file_ingest(spark, a.source, a.warehouse, pipeline_name=a.pipeline_name,
-                              available_now=not a.continuous)
+                              available_now=not a.continuous, options=IngestOptions(
+                                  string_nulls=a.string_nulls, normalize_ids=a.normalize_ids,
+                                  keep_null_dates=a.keep_null_dates),
+                              multi_line=a.multi_line, on_ragged=a.on_ragged,
+                              max_files_per_trigger=a.max_files_per_trigger)
         q.awaitTermination()
         return 0
     return 2

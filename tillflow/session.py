@@ -76,17 +76,20 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     On a cluster this must be set (HDFS / object store). Only when it is unset,
     as in local tests, ``fallback`` is used and registered as the checkpoint
     dir. A machine-local temp folder is never chosen silently."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        if fallback is None and spark.sparkContext.master.startswith("local"):
+        if fallback is None and sc.master.startswith("local"):
             # local mode: driver and executors share this machine's disk
             fallback = local_test_dir("tillflow-shared-")
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
-        d = fallback
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        # spark.checkpoint.dir cannot change at run time; register the folder
+        # with the context instead (read back through getCheckpointDir)
+        sc.setCheckpointDir(fallback)
+        d = sc.getCheckpointDir()
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
