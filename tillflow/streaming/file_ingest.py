@@ -22,6 +22,7 @@ is given.
 
 from __future__ import annotations
 
+import hashlib
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,7 +74,11 @@ def start_file_ingest(spark: SparkSession, source_dir: str, warehouse: str, *,
     on an available-now query waits until the landed files are loaded)."""
     header = source_header(spark, source_dir, multi_line, UTF8)
     validate_schema(header)
-    checkpoint = checkpoint or f"{shared_dir(spark)}/tillflow/streams/{pipeline_name}"
+    if checkpoint is None:
+        # one checkpoint per (pipeline, landing folder): another folder never
+        # inherits this one's file bookkeeping
+        key = hashlib.sha1(f"{pipeline_name}|{source_dir.rstrip('/')}".encode()).hexdigest()[:16]
+        checkpoint = f"{shared_dir(spark)}/tillflow/streams/{pipeline_name}-{key}"
     # Same parsing rules as the batch reader; whole records are parsed so
     # rows with too many fields are flagged.
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
