@@ -5,13 +5,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing
+from . import line_dedup, mixing, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return line_dedup.dedup_lines(docs).select("doc_id", "source", "text", "n_lines", "n_dropped")
@@ -22,5 +30,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op8_line_dedup, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op2_quality_nbsvm, op7_toxicity_nearest, op8_line_dedup, op9_mixing)}
 ORACLE = {"op8_line_dedup": line_dedup.oracle_sql(), "op9_mixing": mixing.oracle_sql()}
