@@ -6,8 +6,9 @@ hinge-loss model on the scaled, length-normalised rows is fitted by dual
 coordinate descent and its margins are mapped to probabilities by a logistic curve
 fitted on margins of rows left out of the fit.
 
-The class counts cover every labelled training row. The hinge-loss fit takes at
-most ``FIT_ROWS`` of them, those with the smallest id hash.
+The class counts are taken over a bounded sample of ``SAMPLE_ROWS`` labelled
+training rows and the hinge-loss fit over ``FIT_ROWS`` of them, those with the
+smallest id hash. Every document is scored, whole.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import held_out
+from .frames import held_out, written
 from .tokens import Runs, chunks, mix, runs, texts_of
 
 BITS = 18
+SAMPLE_ROWS = 12288
 FIT_ROWS = 4096
 #: An n-gram on fewer training rows has no ratio (weight 0).
 MIN_ROWS = 4
@@ -77,20 +79,25 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30))))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``doc_id, text, y`` of the labelled rows that may be learned from."""
-    known = labels.where(F.col(label).isin(0, 1)).select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("y"))
-    return (docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text")
-            .join(known, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "y"))
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """``doc_id, text, y, place`` of at most about ``1.2 * rows`` labelled rows that may
+    be learned from, those with the smallest id hash (``place``), one for each id (the
+    larger label, the last text). The sample's ids have a fixed bound, so they are
+    broadcast, and no other text is moved."""
+    known = (labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
+             .select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("y"),
+                     F.xxhash64(F.col("doc_id").cast("string")).alias("place")))
+    limit = -(2**63) + int(2**64 * min(1.0, 1.2 * rows / max(1, known.count()))) - 1
+    drawn = known.where(F.col("place") <= limit).groupBy("label_id", "place").agg(F.max("y").alias("y"))
+    taken = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id"))
+    return written(taken.groupBy("doc_id", "place").agg(F.max(F.struct("text", "y")).alias("best"))
+                   .select("doc_id", "best.text", "best.y", "place"), "sample")
 
 
-def sampled(known: DataFrame, rows: int, of: int) -> DataFrame:
-    """About 1.2 times ``rows`` of the ``of`` rows, those with the smallest id hash;
-    the caller cuts them at ``rows``. An id counts once."""
-    place = F.xxhash64("doc_id")
-    limit = -(2**63) + int(2**64 * min(1.0, 1.2 * rows / max(1, of))) - 1
-    return (known.where(place <= limit).groupBy("doc_id").agg(F.max(F.struct("text", "y")).alias("best"))
-            .select("doc_id", "best.text", "best.y", place.alias("place")))
+def first_rows(sample: DataFrame, rows: int, of: int) -> DataFrame:
+    """About 1.2 times ``rows`` rows of a sample that has ``of``; the caller cuts them."""
+    highest = sample.agg(F.max("place")).first()[0]
+    return sample.where(F.col("place") <= -(2**63) + int((highest + 2**63) * min(1.0, 1.2 * rows / of)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +178,7 @@ def logistic_fit(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS) -> Model | None:
     """None where there are not both classes to learn from."""
-    known = training_rows(docs, labels, label)
+    known = training_sample(docs, labels, label, SAMPLE_ROWS)
     counts = (known.mapInArrow(_count, "feature int, n0 long, n1 long").groupBy("feature")
               .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     counted = counts.toArrow()  # at most 2^BITS + 1 rows
@@ -183,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
     ratio = np.zeros(1 << BITS)
     often = own & (n0 + n1 >= MIN_ROWS)
     ratio[feature[often]] = (np.log((n1[often] + 1) / (total[1] + 2)) - np.log((n0[often] + 1) / (total[0] + 2)))
-    sample = sampled(known, fit_rows, sum(total)).mapInArrow(_features, "doc_id long, found array<int>, y int, place long")
+    sample = first_rows(known, fit_rows, sum(total)).mapInArrow(_features, "doc_id long, found array<int>, y int, place long")
     drawn = sample.toArrow().sort_by([("place", "ascending"), ("doc_id", "ascending")]).slice(0, fit_rows)
     found, y = drawn.column("found").to_pylist(), drawn.column("y").to_numpy()
     rows = [np.array([i for i in f if ratio[i]], np.int64) for f in found]

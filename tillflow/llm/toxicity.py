@@ -2,8 +2,8 @@
 
 Texts are TF-IDF vectors over terms (words, and beginnings of words that stand in
 for their stems). The vocabulary is the ``TERMS`` terms whose presence goes most
-clearly with the label, by chi-square over all labelled training rows; document
-frequencies are counted over all documents. A bounded set of labelled examples is kept in an inverted
+clearly with the label, by chi-square over a bounded sample of labelled rows
+(``SAMPLE_ROWS`` of the quality classifier, drawn by id hash); document are counted over all documents. A bounded set of labelled examples is kept in an inverted
 index with a maximum weight for each block of postings. The nearest examples by
 exact cosine are found block by block, largest bound first, until no block left
 can hold a nearer one; their votes, weighted by distance, are calibrated on the
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import held_out
-from .quality import logistic_fit, sampled, training_rows
+from .quality import SAMPLE_ROWS, first_rows, logistic_fit, training_sample
 from .tokens import chunks, mix, runs, texts_of
 
 BITS = 18
@@ -175,7 +175,7 @@ def _spans(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES) -> Index | None:
     """None where there are not both classes to learn from."""
-    known = training_rows(docs, labels, label)
+    known = training_sample(docs, labels, label, SAMPLE_ROWS)
     counted = (known.mapInArrow(_classes, "term int, n0 long, n1 long").groupBy("term")
                .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())  # at most 2^BITS + 1 rows
     term, n0, n1 = (counted.column(c).to_numpy() for c in ("term", "n0", "n1"))
@@ -198,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
     term, n = counted.column("term").to_numpy(), counted.column("n").to_numpy()
     idf = np.zeros(1 << BITS)
     idf[term[term >= 0]] = np.log((int(n[term < 0].sum()) + 1) / (n[term >= 0] + 1)) + 1
-    drawn = (sampled(training_rows(docs, labels, label), examples, t0 + t1)
+    drawn = (first_rows(known, examples, t0 + t1)
              .mapInArrow(_vectors(among), "doc_id long, found array<int>, times array<int>, y int, place long"))
     drawn = drawn.toArrow().sort_by([("place", "ascending"), ("doc_id", "ascending")]).slice(0, examples)
     index = Index(idf, drawn.column("doc_id").to_numpy(), drawn.column("y").to_numpy().astype(float), t1 / (t0 + t1))
