@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.session import scratch_path
 
 ROW = "row"
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the Python workers of a session this package, once, as a zip that the
+    driver serves; they need not share its folders."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    app = spark.sparkContext.applicationId
+    if app in _shipped or not os.path.isdir(package):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="tillflow-ship-"), "tillflow.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
 
 
 def pack(df: DataFrame, **columns: Column) -> DataFrame:

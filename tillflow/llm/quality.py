@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .frames import held_out, written
+from .frames import held_out, pack, ship, unpack, written
 from .tokens import Runs, chunks, mix, runs, texts_of
 
 BITS = 18
@@ -207,7 +208,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: in
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``doc_id, score`` of every row; 0.5 without a model."""
+    """``docs``, which has a ``text``, with the text replaced by its ``score``; 0.5 without
+    a model."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,8 +223,16 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 [*[batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "text"],
                  pa.array(values, pa.float64())], [*[n for n in batch.schema.names if n != "text"], "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(scored, f"doc_id {kind}, score double")
+    kept = StructType([f for f in docs.schema.fields if f.name != "text"])
+    return docs.mapInArrow(scored, kept.add("score", "double"))
+
+
+def accepted(docs: DataFrame, model: Model | None, accept: float = ACCEPT) -> DataFrame:
+    """The rows of ``docs`` whose text reaches ``accept``; all of them without a model."""
+    if model is None:
+        return docs
+    packed = score(pack(docs, text=F.col("text")), model)
+    return unpack(packed.where(F.col("score") >= accept), docs)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", accept: float = ACCEPT) -> DataFrame:
@@ -230,6 +241,6 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", accept:
     Null or empty text: the score of a text without n-grams. Null id: not learned
     from. Repeated rows: each is scored. No usable labels: every score is 0.5.
     Empty table: empty result. Other columns are not read."""
-    scored = score(docs, fit(docs, labels, label))
+    scored = score(docs.select("doc_id", "text"), fit(docs, labels, label))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= accept).cast("int").alias("predicted"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, quality, toxicity
+from . import decontamination, line_dedup, mixing, near_dedup, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,14 @@ def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -30,5 +38,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_nbsvm, op7_toxicity_nearest, op8_line_dedup, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op2_quality_nbsvm, op4_decontamination, op5_order_minhash, op7_toxicity_nearest, op8_line_dedup, op9_mixing)}
 ORACLE = {"op8_line_dedup": line_dedup.oracle_sql(), "op9_mixing": mixing.oracle_sql()}

@@ -3,11 +3,12 @@
 Texts are TF-IDF vectors over terms (words, and beginnings of words that stand in
 for their stems). The vocabulary is the ``TERMS`` terms whose presence goes most
 clearly with the label, by chi-square over a bounded sample of labelled rows
-(``SAMPLE_ROWS`` of the quality classifier, drawn by id hash); document are counted over all documents. A bounded set of labelled examples is kept in an inverted
-index with a maximum weight for each block of postings. The nearest examples by
-exact cosine are found block by block, largest bound first, until no block left
-can hold a nearer one; their votes, weighted by distance, are calibrated on the
-examples themselves, each left out of its own search.
+(``SAMPLE_ROWS`` of the quality classifier, drawn by id hash); document frequencies
+are counted over all documents. A bounded set of labelled examples is kept in an
+inverted index with a maximum weight for each block of postings. The nearest
+examples by exact cosine are found block by block, largest bound first, until no
+block left can hold a nearer one; their votes, weighted by distance, are calibrated
+on the examples themselves, each left out of its own search.
 
 The index holds at most ``EXAMPLES`` rows (those with the smallest id hash); it is
 the model and travels by broadcast, with the term statistics in ``2**BITS``
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import held_out
+from .frames import held_out, ship
 from .quality import SAMPLE_ROWS, first_rows, logistic_fit, training_sample
 from .tokens import chunks, mix, runs, texts_of
 
@@ -234,6 +235,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", accept: floa
     Null or empty text, or one without a term of the vocabulary: the calibrated base
     rate, no evidence. Null id: not learned from. Repeated rows: each is scored. No
     usable labels: score 0, no evidence. Empty table: empty result."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, label, examples))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
