@@ -185,7 +185,8 @@ def _blocks(members: DataFrame) -> DataFrame:
 
 
 def _compare(key, frame: pd.DataFrame) -> pd.DataFrame:
-    """Links across labels between the two sides of a block. Shared shingles are counted
+    """Links across labels between the two sides of a block, as many as join its labels;
+    a pair that earlier links have joined is not looked at. Shared shingles are counted
     first, for all pairs of the block at once; only pairs that can reach the threshold
     are aligned."""
     frame = frame.drop_duplicates(["node", "first"]).reset_index(drop=True)
@@ -205,8 +206,8 @@ def _compare(key, frame: pd.DataFrame) -> pd.DataFrame:
             shared[np.ix_(owners, owners)] += 1
     out = []
     for i in range(len(parts)):
-        for j in range(i + 1, len(parts)):
-            if label[i] == label[j] or not alone and first[i] == first[j]:
+        for j in np.flatnonzero(label != label[i]):
+            if j < i or label[i] == label[j] or not alone and first[i] == first[j]:
                 continue
             # a shingle may occur more than once: all but the distinct ones of the shorter text may match too
             spare = min(len(parts[i]) - len(kinds[i]), len(parts[j]) - len(kinds[j]))
@@ -215,6 +216,7 @@ def _compare(key, frame: pd.DataFrame) -> pd.DataFrame:
                 continue
             if aligned(parts[i], parts[j]) >= THRESHOLD:
                 out.append((frame["node"][i], frame["node"][j]))
+                label = np.where(label == label[j], label[i], label)
     return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
 

@@ -4,18 +4,35 @@ express it."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, mixing, near_dedup, quality, toxicity
+from tillflow.session import scratch_path
+
+from . import (decontamination, extraction, line_dedup, lm_scoring, mixing, near_dedup, quality, token_counts, toxicity,
+               vector_search)
+from .frames import written
+
+
+#: A public byte-level BPE vocabulary as ranks.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_balanced_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -24,6 +41,23 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op6_token_rollups(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """All documents enter with estimated counts; real counts then revise the estimates,
+    documents without tokens are deleted, and the first batch is sent once more."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    version = vocabulary.rsplit("/", 1)[-1].removesuffix(".tiktoken")
+    counts = written(token_counts.count_tokens(docs, vocabulary, public_tokenizers.PATTERN, version), "counts")
+    estimates = counts.withColumn("tokens", F.floor((F.col("chars") + 3) / 4))
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "llm-rollup"))
+    rollup.commit("1-estimates", token_counts.signed(estimates, 1))
+    rollup.commit("2-counts", token_counts.revised(estimates, counts))
+    rollup.commit("3-empty", token_counts.signed(counts.where(F.col("tokens") == 0), -1))
+    rollup.commit("1-estimates", token_counts.signed(estimates, 1))
+    return rollup.totals()
+
+
 def op7_toxicity_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,5 +72,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_nbsvm, op4_decontamination, op5_order_minhash, op7_toxicity_nearest, op8_line_dedup, op9_mixing)}
+def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_pseudo_likelihood, op2_quality_nbsvm, op3_balanced_lists, op4_decontamination, op5_order_minhash, op6_token_rollups,
+    op7_toxicity_nearest, op8_line_dedup, op9_mixing, op10_wrappers)}
 ORACLE = {"op8_line_dedup": line_dedup.oracle_sql(), "op9_mixing": mixing.oracle_sql()}
