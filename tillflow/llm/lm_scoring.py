@@ -31,7 +31,7 @@ WIDTH = 32
 KNOWN = 2048
 BUCKETS = CLASSES * CLASSES - KNOWN
 #: One masked position in so many is trained on in each round.
-EVERY = 8
+EVERY = 16
 ROUNDS = 2
 RATE = 0.1
 BATCH = 1024
@@ -86,19 +86,22 @@ class Network:
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         e, s, b = self.parts[:3]
-        return np.tanh((e[context] * s).sum(axis=1) + b)
+        total = np.repeat(b[None, :], len(context), axis=0)
+        for p in range(2 * SIDE):
+            total += (e * s[p])[context[:, p]]
+        return np.tanh(total, out=total)
 
     def scores(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each masked word."""
         h = self.hidden(context)
         _, _, _, w1, b1, w2, b2 = self.parts
         kind, inner = target // CLASSES, target % CLASSES
-        out = _log_softmax(h @ w1 + b1)[np.arange(len(h)), kind]
+        out = _log_at(h @ w1 + b1, kind)
         order = np.argsort(kind, kind="stable")
         cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(cut)):
             rows = order[cut[c] : cut[c + 1]]
-            out[rows] += _log_softmax(h[rows] @ w2[c] + b2[c])[np.arange(len(rows)), inner[rows]]
+            out[rows] += _log_at(h[rows] @ w2[c] + b2[c], inner[rows])
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray, squares: list[np.ndarray]) -> None:
@@ -135,6 +138,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _log_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log-softmax of one entry of each row; ``x`` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), at]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 def fit(docs: DataFrame, rounds: int = ROUNDS) -> Network:
     ship(docs.sparkSession)
     texts = docs.select("text")
@@ -165,7 +175,7 @@ def _trainer(shared, turn: int):
 
         words, flat = shared.value
         net = Network(words, flat.copy())
-        squares = [np.full(p.shape, 0.1, np.float32) for p in net.parts]
+        squares = [np.full(p.shape, 1e-6, np.float32) for p in net.parts]
         seen = 0
         for batch in batches:
             texts = texts_of(batch)
