@@ -19,7 +19,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    # training-data operators that SQL cannot express are tested with that subpackage
+    assert set(entry.oracle_sql()) | set(entry._LLM_QUERIES) == set(entry.queries())
 
 
 @pytest.mark.parametrize("key", ["dedup_keep_last", "quality_rejected", "stg_products", "dim_customers",
