@@ -69,6 +69,39 @@ def test_ragged_rows(spark, write_csv):
     assert rows["3"]._overlong is False
 
 
+def test_overlong_rows_with_bare_quotes_and_long_fields(spark, write_csv):
+    long = "x" * 200_000
+    p = write_csv(f'1,A,5" x,1,{T0},1.0,7" y,UK,EXTRA\n2,B,"{long}, ""q"", z",1,{T0},1.0,7,UK,EXTRA\n'
+                  f'3,C,"a,""b"",c",1,{T0},1.0,7,UK\n4,D,5" x,1,{T0},1.0,7" y,UK\n')
+    assert {r.Invoice: r._overlong for r in _rows(spark, p)} == {"1": True, "2": True, "3": False, "4": False}
+
+
+def test_legal_replacement_char_stays_utf8(spark, write_csv, tmpdir_path):
+    from tillflow.plans import pipeline
+    from tillflow.sources.csv_source import detect_encoding
+
+    p = write_csv(f"1,A,caf\xe9 \ufffd,1,{T0},1.0,7,UK\n")
+    assert detect_encoding(spark, p) == "UTF-8"
+    pipeline.run_pipeline(spark, p, f"{tmpdir_path}/wh", batch_id="u")
+    assert pipeline.read_raw(spark, f"{tmpdir_path}/wh").first().description == "caf\xe9 \ufffd"
+
+
+def test_files_with_another_header_order_fail(spark, tmpdir_path):
+    import os
+
+    from tillflow.plans import pipeline
+
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    names = ["Invoice,StockCode", "StockCode,Invoice"]
+    for i, first in enumerate(names):
+        with open(os.path.join(src, f"{i}.csv"), "w") as f:
+            f.write(f"{first},Description,Quantity,InvoiceDate,Price,Customer ID,Country\n{i},A,x,1,{T0},1.0,7,UK\n")
+    with pytest.raises(ExtractionError, match="one header"):
+        pipeline.run_pipeline(spark, src, os.path.join(tmpdir_path, "wh"), batch_id="h")
+    assert pipeline.read_raw(spark, os.path.join(tmpdir_path, "wh")).count() == 0
+
+
 def test_na_tokens_become_null(spark, write_csv):
     p = write_csv(f"1,NA,N/A,1,{T0},1.0,NULL,nan\n")
     r = _rows(spark, p)[0]

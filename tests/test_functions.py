@@ -23,6 +23,14 @@ def test_coerce_numeric_lenient_text(spark):
     assert got[7:] == [-2.5, None, None, None, 0.5]
 
 
+def test_one_order_of_day_and_month(spark):
+    rows = [("01/02/2010 08:00",), ("13/02/2010 08:00",), ("2/13/2010 8:00",), ("2010-02-03",)]
+    df = spark.createDataFrame(rows, "x string")
+    got = {f: [r[0].strftime("%m-%d") if r[0] else None for r in df.select(coerce_timestamp("x", first=f)).collect()]
+           for f in ("month", "day")}
+    assert got == {"month": ["01-02", None, "02-13", "02-03"], "day": ["02-01", "02-13", None, "02-03"]}
+
+
 def test_coerce_timestamp_formats(spark):
     rows = [("2010-12-01 08:26:00",), ("12/1/2010 8:26",), ("not a date",), (None,)]
     got = _one(spark, coerce_timestamp("x"), rows)

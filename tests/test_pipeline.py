@@ -78,6 +78,50 @@ def test_rerun_same_batch_is_idempotent(spark, tmpdir_path, publish):
     assert sorted(r.batch_id for r in q.collect()) == ["other", "same"]
 
 
+def _loaded(spark, wh):
+    return sorted((r.invoice_no, r.batch_id) for r in pipeline.read_raw(spark, wh).collect())
+
+
+@pytest.mark.parametrize("publish", ["rename", "direct"])
+def test_rerun_with_the_mark_kept_loses_nothing(spark, tmpdir_path, publish):
+    src, wh = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "wh")
+    run = lambda b, s=src, **k: pipeline.run_pipeline(spark, s, wh, batch_id=b, publish=publish, **k)
+    _csv(src, "a.csv", [f"1,A,x,1,{T0},1.0,7,UK\n", f"2,B,y,2,{T0},2.0,8,UK\n", "9,N,no date,1,,1.0,7,UK\n"])
+    run("a")
+    assert run("a").records_loaded == 2                          # the same again
+    assert run("a", options=pipeline.IngestOptions(keep_null_dates=True)).records_loaded == 2
+    assert _loaded(spark, wh) == [("1", "a"), ("2", "a")]
+    _csv(src, "b.csv", ["3,C,z,1,2010-01-02 00:00:00,1.0,9,FR\n"])
+    run("a")                                                     # the same id with a new line
+    assert _loaded(spark, wh) == [("1", "a"), ("2", "a"), ("3", "a")]
+    _csv(src, "c.csv", ["4,D,w,1,2010-01-03 00:00:00,1.0,9,FR\n"])
+    run("b")
+    run("a")                                                     # an earlier batch does not take a later one's lines
+    assert _loaded(spark, wh) == [("1", "a"), ("2", "a"), ("3", "a"), ("4", "b")]
+    assert run("c").records_loaded == 0                          # and the mark has not moved back
+    # another source, or a source that fails a check, leaves the batch as it is
+    other = os.path.join(tmpdir_path, "other")
+    _csv(other, "o.csv", ["5,E,v,1,2010-01-04 00:00:00,1.0,9,FR\n"])
+    with pytest.raises(pipeline.LoadError, match="no longer holds"):
+        run("b", other)
+    _csv(src, "d.csv", ["6,F,u,1,2010-01-05 00:00:00,1.0,9,FR,EXTRA\n"])
+    with pytest.raises(ExtractionError):
+        run("b")
+    assert _loaded(spark, wh) == [("1", "a"), ("2", "a"), ("3", "a"), ("4", "b")]
+
+
+def test_cut_off_replacement_is_put_back(spark, tmpdir_path):
+    from tillflow.sinks.tables import recover_batch
+
+    src, wh = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "wh")
+    _csv(src, "a.csv", [f"1,A,x,1,{T0},1.0,7,UK\n"])
+    pipeline.run_pipeline(spark, src, wh, batch_id="a")
+    lines = pipeline.Layout(wh).lines
+    os.rename(f"{lines}/batch_id=a", f"{lines}/_replaced_a")      # as between the two renames
+    assert recover_batch(spark, lines, "a") and _loaded(spark, wh) == [("1", "a")]
+    assert not recover_batch(spark, lines, "never")
+
+
 def test_failed_run_is_audited(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "src")
     wh = os.path.join(tmpdir_path, "wh")

@@ -62,16 +62,27 @@ def test_failed_micro_batch_is_retried_without_duplicates(spark, tmpdir_path, mo
     # the batch was published before the failure; the restart replays the epoch
     res = []
     start_file_ingest(spark, land, wh, checkpoint=ck, results=res).awaitTermination()
-    assert [r.batch_id for r in res] == ["stream_0"]
+    assert len(res) == 1 and res[0].batch_id.startswith("stream_") and res[0].batch_id.endswith("_0")
     raw = pipeline.read_raw(spark, wh)
-    assert raw.count() == 2 and {r.batch_id for r in raw.collect()} == {"stream_0"}
+    assert raw.count() == 2 and {r.batch_id for r in raw.collect()} == {res[0].batch_id}
 
 
-def test_cli_stream_bounds_micro_batches(spark, tmpdir_path):
+def test_cli_stream_loads_a_landing_whole(spark, tmpdir_path):
+    """A later file with an older date loads too: what landed is one batch."""
     from tillflow.__main__ import main
 
     land, wh = os.path.join(tmpdir_path, "land"), os.path.join(tmpdir_path, "wh")
-    _land(land, "a.csv", [f"1,A,x,1,{T0},1.0,7,UK\n"])
-    _land(land, "b.csv", [f"2,B,y,1,2010-01-02 00:00:00,1.0,7,UK\n"])
-    assert main(["stream", "--source", land, "--warehouse", wh, "--max-files-per-trigger", "1"]) == 0
-    assert sorted(r.batch_id for r in pipeline.read_raw(spark, wh).collect()) == ["stream_0", "stream_1"]
+    _land(land, "a.csv", ["1,A,x,1,2010-01-02 00:00:00,1.0,7,UK\n"])
+    _land(land, "b.csv", [f"2,B,y,1,{T0},1.0,7,UK\n"])
+    assert main(["stream", "--source", land, "--warehouse", wh]) == 0
+    assert sorted(r.invoice_no for r in pipeline.read_raw(spark, wh).collect()) == ["1", "2"]
+
+
+def test_two_folders_and_a_lost_checkpoint_keep_all_batches(spark, tmpdir_path):
+    wh = os.path.join(tmpdir_path, "wh")
+    for i, name in enumerate(("one", "two", "two")):             # the last run has lost its checkpoint
+        land = os.path.join(tmpdir_path, name)
+        _land(land, f"{i}.csv", [f"{i},A,x,1,2010-01-0{i + 1} 00:00:00,1.0,7,UK\n"])
+        start_file_ingest(spark, land, wh, checkpoint=os.path.join(tmpdir_path, f"ck{i}")).awaitTermination()
+    raw = pipeline.read_raw(spark, wh).collect()
+    assert sorted(r.invoice_no for r in raw) == ["0", "1", "2"] and len({r.batch_id for r in raw}) == 3

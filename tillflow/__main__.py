@@ -37,7 +37,7 @@ def _params(a) -> ModelParams:
 
 def _ingest(spark, a):
     opts = IngestOptions(string_nulls=a.string_nulls, normalize_ids=a.normalize_ids,
-                         keep_null_dates=a.keep_null_dates)
+                         keep_null_dates=a.keep_null_dates, date_first=a.date_first)
     source = a.source
     if a.source_format == "parquet":
         from tillflow.sources.parquet_source import read_source_parquet
@@ -53,6 +53,7 @@ def _ingest(spark, a):
 
 
 def _test(spark, a, models=None, batches=None) -> int:
+    print(f"tests of batches {', '.join(batches)} only" if batches else "tests of whole models")
     rows = pipeline.run_tests(spark, a.warehouse, _params(a), raise_on_failure=False, models=models,
                               batches=batches).collect()
     failed = [r for r in rows if not r["passed"]]
@@ -78,12 +79,13 @@ def main(argv=None) -> int:
     ap.add_argument("--string-nulls", choices=["null", "nan"], default="null")
     ap.add_argument("--normalize-ids", action="store_true")
     ap.add_argument("--keep-null-dates", action="store_true")
+    ap.add_argument("--date-first", choices=["month", "day"], default="month")
     ap.add_argument("--multi-line", action="store_true")
     ap.add_argument("--encoding", default="auto")
     ap.add_argument("--on-ragged", choices=["fail", "keep"], default="fail")
     ap.add_argument("--publish", choices=["rename", "direct"], default="rename")
     ap.add_argument("--continuous", action="store_true")
-    ap.add_argument("--max-files-per-trigger", type=int)
+    ap.add_argument("--scope-tests", action="store_true", help="daily: test only what this batch adds")
     a = ap.parse_args(argv)
 
     spark = get_session()
@@ -98,7 +100,7 @@ def main(argv=None) -> int:
     if a.command == "daily":
         res = _ingest(spark, a)
         models = pipeline.build_marts(spark, a.warehouse, _params(a), batches=[res.batch_id])
-        code = _test(spark, a, models, batches=[res.batch_id])
+        code = _test(spark, a, models, batches=[res.batch_id] if a.scope_tests else None)
         pipeline.release(models)
         return code
     if a.command == "dashboard":
@@ -113,9 +115,8 @@ def main(argv=None) -> int:
         q = start_file_ingest(spark, a.source, a.warehouse, pipeline_name=a.pipeline_name,
                               available_now=not a.continuous, options=IngestOptions(
                                   string_nulls=a.string_nulls, normalize_ids=a.normalize_ids,
-                                  keep_null_dates=a.keep_null_dates),
-                              multi_line=a.multi_line, on_ragged=a.on_ragged,
-                              max_files_per_trigger=a.max_files_per_trigger)
+                                  keep_null_dates=a.keep_null_dates, date_first=a.date_first),
+                              multi_line=a.multi_line, on_ragged=a.on_ragged)
         q.awaitTermination()
         return 0
     return 2

@@ -130,12 +130,16 @@ class IngestOptions:
     normalize_ids: strip a trailing ".0" from customer ids written as floats.
     keep_null_dates: also pass rows without a date through the incremental
         filter on later runs, so they are quarantined instead of skipped.
+    date_first: "month" or "day", the order in slash dates of the source.
     """
 
     string_nulls: str = "null"
     normalize_ids: bool = False
     keep_null_dates: bool = False
+    date_first: str = "month"
 
     def __post_init__(self):
+        if self.date_first not in ("month", "day"):
+            raise ValueError(f"date_first must be 'month' or 'day', not {self.date_first!r}")
         if self.string_nulls not in ("null", "nan"):
             raise ValueError(f"string_nulls must be 'null' or 'nan', not {self.string_nulls!r}")

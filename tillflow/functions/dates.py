@@ -8,22 +8,17 @@ from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampTyp
 
 from tillflow.config import DATE_KEY_FORMAT
 
-# Layouts tried, in order, for text timestamps (ISO first, then the
-# day-first and month-first layouts seen in retail exports).
-TIMESTAMP_TEXT_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "d/M/yyyy H:mm",
-)
-
-
-def coerce_timestamp(c: str | Column, source_type: DataType | None = None) -> Column:
+# Layouts of text timestamps: ISO ones, and those of the one order of day and
+# month that a source uses.
+ISO_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")
+ORDERED_FORMATS = {"month": ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss"), "day": ("d/M/yyyy H:mm", "d/M/yyyy H:mm:ss")}
+
+
+def coerce_timestamp(c: str | Column, source_type: DataType | None = None, first: str = "month") -> Column:
     """``to_datetime(errors='coerce')`` into ``timestamp_ntz``; text that no
-    layout parses becomes NULL instead of failing the job."""
+    layout parses becomes NULL instead of failing the job. ``first`` says whether
+    the source writes the month or the day first; a date that only the other
+    order could mean is NULL, never guessed."""
     col = F.col(c) if isinstance(c, str) else c
     if isinstance(source_type, (TimestampNTZType,)):
         return col
@@ -32,7 +27,7 @@ def coerce_timestamp(c: str | Column, source_type: DataType | None = None) -> Co
     text = F.trim(col.cast("string"))
     # ISO text (fractions, 'T' separator, date only) first, then the layouts.
     parsed = [text.try_cast("timestamp_ntz")]
-    parsed += [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in TIMESTAMP_TEXT_FORMATS]
+    parsed += [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in (*ISO_FORMATS, *ORDERED_FORMATS[first])]
     return F.coalesce(*parsed)
 
 

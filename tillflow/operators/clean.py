@@ -44,7 +44,7 @@ def cast_data_types(df: DataFrame, options: IngestOptions = IngestOptions()) ->
         if options.normalize_ids:
             cid = F.regexp_replace(cid, r"^(-?\d+)\.0+$", "$1")
         exprs["customer_id"] = F.nullif(cid, F.lit("nan"))
-    exprs["invoice_date"] = coerce_timestamp("invoice_date", types["invoice_date"])
+    exprs["invoice_date"] = coerce_timestamp("invoice_date", types["invoice_date"], options.date_first)
     return df.withColumns(exprs)
 
 

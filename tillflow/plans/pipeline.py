@@ -10,9 +10,14 @@ Ingest plan, per batch, one heavy job:
    quarantined rows partitioned by ``load_status``. Observed metrics of that
    single pass give rows read, duplicates, rejects, skipped rows, the next
    watermark and the source checks (bad UTF-8, overlong rows);
-4. act on the checks (re-read as ISO-8859-1, or fail) before anything is
-   visible, then publish the folder as ``batch_id=<id>`` (replacing a previous
-   run of the same batch), advance the watermark, close the audit row.
+4. act on the checks (re-read as ISO-8859-1, or fail), then publish the folder
+   as ``batch_id=<id>``, advance the watermark, and only then close the audit
+   row.
+
+A batch id that exists already is read again from the mark its first run
+started from (kept in the batch folder), without the rows that later batches
+loaded. It is replaced only by a folder that holds all of its loaded lines, and
+the watermark never moves back: a re-run never loses rows the mark has passed.
 """
 
 from __future__ import annotations
@@ -28,24 +33,33 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.config import PIPELINE_NAME, RAW_TABLE, UNEXPECTED_PREFIX, IngestOptions
+from tillflow.functions import truncate_to_second
 from tillflow.operators.clean import ValidationError
 from tillflow.operators.conform import LOADABLE_COL
 from tillflow.operators.datatests import assert_suite_passes, test_suite
+from tillflow.operators.incremental import new_records_predicate
 from tillflow.operators.quality import REASON_COL
 from tillflow.plans import ingest, marts, reports, staging
 from tillflow.plans.catalog import TABLE_MODELS, VIEW_MODELS, ModelParams, Models
 from tillflow.sinks.tables import (
+    BATCH_COL,
     STATUS_COL,
     LoadError,
+    batch_count,
+    batch_folder,
     delete_path,
+    lines_missing,
     overwrite,
     publish_batch,
+    read_marks,
     read_quarantine as _read_quarantine,
     read_raw_orders,
+    recover_batch,
     register_views,
     table_path,
     write_batch_direct,
     write_incoming,
+    write_marks,
 )
 from tillflow.sources.csv_source import (
     LATIN1,
@@ -54,6 +68,7 @@ from tillflow.sources.csv_source import (
     check_metrics,
     drop_check_columns,
     has_check_columns,
+    not_utf8,
     read_source_csv,
 )
 from tillflow.state.pipeline_state import AuditLog, WatermarkError, WatermarkStore, utcnow
@@ -123,42 +138,91 @@ def _delete_quietly(spark: SparkSession, path: str) -> None:
         log.warning("Could not remove %s: %s", path, e)
 
 
-DEDUP_COLUMNS = ("invoice_no", "stock_code", "invoice_date")
+Mark = tuple  # (last_processed_at, last_invoice_no), (None, None) without a mark
 
 
-def _without_loaded_keys(spark: SparkSession, layout: Layout, flagged: DataFrame, last_ts) -> DataFrame:
+@dataclass(frozen=True)
+class Start:
+    """Where a batch reads from. A batch that exists already (``replaces``)
+    reads from the mark of its first run, but not what lies past the mark it
+    reached (``end``) up to the stored one: later batches loaded that."""
+    mark: Mark
+    stored: Mark
+    end: Mark
+    replaces: bool = False
+
+    def rows(self, prepared: DataFrame) -> DataFrame:
+        if not self.replaces or self.stored[0] is None:
+            return prepared
+        past_end = F.lit(True) if self.end[0] is None else F.coalesce(new_records_predicate(*self.end), F.lit(False))
+        past_stored = F.coalesce(new_records_predicate(*self.stored), F.lit(False))
+        return prepared.filter(F.col("invoice_date").isNull() | ~past_end | past_stored)
+
+
+def _as_text(mark: Mark) -> list:
+    return [mark[0].isoformat() if mark[0] else None, mark[1]]
+
+
+def _as_mark(text: list) -> Mark:
+    return (dt.datetime.fromisoformat(text[0]) if text[0] else None, text[1])
+
+
+def _start(spark: SparkSession, layout: Layout, batch_id: str, pipeline_name: str, stored: Mark) -> Start:
+    if not recover_batch(spark, layout.lines, batch_id):
+        return Start(stored, stored, stored)
+    marks = read_marks(spark, batch_folder(layout.lines, batch_id))
+    if marks is None:
+        raise LoadError(f"Batch {batch_id} is loaded but does not say where it started, so it cannot be "
+                        "read again whole; use a new batch id")
+    if marks["pipeline"] != pipeline_name:
+        raise LoadError(f"Batch {batch_id} belongs to pipeline {marks['pipeline']}; use another batch id")
+    return Start(_as_mark(marks["start"]), stored, _as_mark(marks["end"]), replaces=True)
+
+
+def _without_loaded_keys(spark: SparkSession, layout: Layout, flagged: DataFrame, last_ts, batch_id: str) -> DataFrame:
     """G7 option: drop clean rows whose (invoice, stock code, time) is
-    already loaded by an earlier batch. A loaded twin has the same time, and
-    every new row is at or after the stored mark, so only the raw slice from
-    the mark on is read (the predicate reaches the Parquet scan); that slice,
-    not the whole history, meets the new rows. Rejected rows are kept."""
+    already loaded by another batch. A loaded twin has the same time in whole
+    seconds, and every new row is at or after the stored mark, so only the raw
+    slice from the mark's second on is read (the predicate reaches the Parquet
+    scan); that slice, not the whole history, meets the new rows. Rejected rows
+    are kept."""
     loaded = (read_raw(spark, layout.warehouse)
-              .filter(F.col("invoice_date") >= F.lit(last_ts).cast("timestamp_ntz"))
-              .select(*DEDUP_COLUMNS).distinct())
-    clean = flagged.filter(F.col(REASON_COL) == "").join(loaded, list(DEDUP_COLUMNS), "left_anti")
-    return clean.unionByName(flagged.filter(F.col(REASON_COL) != ""))
+              .filter((F.col("invoice_date") >= F.lit(last_ts.replace(microsecond=0)).cast("timestamp_ntz"))
+                      & (F.col(BATCH_COL) != batch_id))
+              .select("invoice_no", "stock_code", truncate_to_second("invoice_date").alias("_second")).distinct())
+    is_clean = F.col(REASON_COL) == ""
+    clean = (flagged.filter(is_clean).withColumn("_second", truncate_to_second("invoice_date"))
+             .join(loaded, ["invoice_no", "stock_code", "_second"], "left_anti"))
+    return clean.select(*flagged.columns).unionByName(flagged.filter(~is_clean))
 
 
-def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOptions, last_ts, last_inv,
-                 batch_id: str, multi_line: bool, encoding: str, clock, publish: str = "rename",
-                 skip_loaded_keys: bool = False):
+def _source_frame(spark: SparkSession, source, multi_line: bool, encoding: str) -> DataFrame:
+    if isinstance(source, (str, list, tuple)):
+        return read_source_csv(spark, source, multi_line=multi_line, encoding=encoding)
+    return source(encoding) if callable(source) else source
+
+
+def _invalid_utf8(spark: SparkSession, source, multi_line: bool) -> bool:
+    """Whether the bytes of some row are not UTF-8; stops at the first one."""
+    return not not_utf8(_source_frame(spark, source, multi_line, LATIN1)).isEmpty()
+
+
+def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOptions, start: Start,
+                 batch_id: str, pipeline_name: str, multi_line: bool, encoding: str, clock,
+                 publish: str = "rename", skip_loaded_keys: bool = False):
     """Steps 2-3. Returns (incoming folder, metrics, source-check metrics)."""
     checks = None
-    if isinstance(source, (str, list, tuple)):
-        src = read_source_csv(spark, source, multi_line=multi_line, encoding=encoding)
-    elif callable(source):
-        src = source(encoding)
-    else:
-        src = source
+    last_ts, last_inv = start.mark
+    src = _source_frame(spark, source, multi_line, encoding)
     if has_check_columns(src):
         checks = Observation(f"source_checks_{uuid.uuid4().hex[:8]}")
         src = drop_check_columns(src.observe(checks, *check_metrics()))
     read_obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
-    prepared = ingest.prepare(src, options, last_ts, last_inv).observe(
+    prepared = start.rows(ingest.prepare(src, options, last_ts, last_inv)).observe(
         read_obs, F.count(F.lit(1)).alias("records_read"))
     flagged = ingest.dedup_and_flag(prepared)
     if skip_loaded_keys and last_ts is not None:
-        flagged = _without_loaded_keys(spark, layout, flagged, last_ts)
+        flagged = _without_loaded_keys(spark, layout, flagged, last_ts, batch_id)
     is_clean = F.col(REASON_COL) == ""
     flag_obs = Observation(f"flag_{uuid.uuid4().hex[:8]}")
     flagged = flagged.observe(
@@ -176,17 +240,25 @@ def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOpt
     lines = lines.observe(load_obs, F.count_if((F.col(STATUS_COL) == "loaded") & ~F.col(LOADABLE_COL))
                           .alias("skipped"))
     lines = lines.filter((F.col(STATUS_COL) != "loaded") | F.col(LOADABLE_COL)).drop(LOADABLE_COL)
+    marks = {"pipeline": pipeline_name, "start": _as_text(start.mark), "end": _as_text(start.mark)}
     try:
-        if publish == "direct":
-            write_batch_direct(spark, lines.withColumn("batch_id", F.lit(batch_id)), layout.lines, batch_id)
-            incoming = f"{layout.lines}/batch_id={batch_id}"
+        if publish == "direct" and not start.replaces:
+            incoming = batch_folder(layout.lines, batch_id)
+            write_marks(spark, incoming, marks)     # before any row: a run that is cut off can start over
+            write_batch_direct(spark, lines.withColumn(BATCH_COL, F.lit(batch_id)), layout.lines)
         else:
             incoming = write_incoming(lines, layout.lines, batch_id)
+        metrics = {**read_obs.get, **flag_obs.get, **load_obs.get}
+        if metrics.get("watermark") is not None:
+            marks["end"] = _as_text(tuple(metrics["watermark"]))
+        write_marks(spark, incoming, marks)
     except (ExtractionError, ValidationError):
         raise
     except Exception as e:  # noqa: BLE001
-        raise LoadError(f"Bulk load failed: {e}") from e
-    metrics = {**read_obs.get, **flag_obs.get, **load_obs.get}
+        if "CSV header does not conform" in str(e):
+            raise ExtractionError("The source files do not share one header (names and order of the columns); "
+                                  f"load files of different layouts separately: {e}") from e
+        raise LoadError(f"Could not write batch {batch_id}: {e}") from e
     return incoming, metrics, (checks.get if checks is not None else {})
 
 
@@ -195,7 +267,7 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
                  options: IngestOptions = IngestOptions(), multi_line: bool = False,
                  encoding: str = "auto", on_ragged: str = "fail", clock=utcnow,
                  truncate_watermark: bool = False, publish: str = "rename",
-                 skip_loaded_keys: bool = False, keep_state_versions: int | None = 200) -> RunResult:
+                 skip_loaded_keys: bool = False, keep_state_versions: int | None = None) -> RunResult:
     """One incremental batch from ``source`` into the warehouse.
 
     ``source`` is a CSV path/glob (or list), a DataFrame with the source
@@ -206,7 +278,9 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     ``"keep"`` loads them cut to the header width. ``publish="rename"``
     writes the batch into a hidden folder and renames it into place after
     the checks (atomic on HDFS-like stores); ``"direct"`` writes it in
-    place, for object stores where a rename is a copy.
+    place, for object stores where a rename is a copy (its rows are visible
+    before the checks). A ``batch_id`` that is loaded already is read again
+    from where it started and replaced whole; see the module's text.
     ``skip_loaded_keys=True`` also drops clean lines whose key an earlier
     batch already loaded (the table key is otherwise not enforced).
     ``keep_state_versions`` old versions of the watermark and audit tables
@@ -233,12 +307,10 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
         result, advance = _run(spark, source, layout, wm, pipeline_name, batch_id, options, multi_line,
                                encoding, on_ragged, clock, publish, skip_loaded_keys)
         settle()
-        # The new mark and the closing audit row are independent small writes.
-        pending.append(pool.submit(audit.complete, batch_id, pipeline_name, started_at, result.records_read,
-                                   result.records_loaded, clock()))
+        # the mark first: an audit row never says success for a run whose mark is old
         if advance is not None:
             advance()
-        settle()
+        audit.complete(batch_id, pipeline_name, started_at, result.records_read, result.records_loaded, clock())
         return result
     except DOMAIN_ERRORS as e:
         settle()
@@ -260,41 +332,49 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
 
 def _run(spark, source, layout: Layout, wm: WatermarkStore, pipeline_name, batch_id, options,
          multi_line, encoding, on_ragged, clock, publish="rename", skip_loaded_keys=False) -> RunResult:
-    last_ts, last_inv = wm.read(pipeline_name, RAW_TABLE)
+    stored = wm.read(pipeline_name, RAW_TABLE)
+    start = _start(spark, layout, batch_id, pipeline_name, stored)
     enc = UTF8 if encoding == "auto" else encoding
-    incoming, m, checks = _write_batch(spark, source, layout, options, last_ts, last_inv, batch_id,
-                                       multi_line, enc, clock, publish, skip_loaded_keys)
+    incoming = None
     published = False
+
+    def write(enc: str):
+        return _write_batch(spark, source, layout, options, start, batch_id, pipeline_name, multi_line, enc, clock,
+                            publish, skip_loaded_keys)
+
     try:
-        if encoding == "auto" and checks.get("bad_text_rows", 0) > 0:
+        incoming, m, checks = write(enc)
+        if encoding == "auto" and checks.get("bad_text_rows", 0) > 0 and _invalid_utf8(spark, source, multi_line):
             log.warning("Source is not valid UTF-8; re-reading it as %s", LATIN1)
             _delete_quietly(spark, incoming)
-            incoming, m, checks = _write_batch(spark, source, layout, options, last_ts, last_inv, batch_id,
-                                               multi_line, LATIN1, clock, publish, skip_loaded_keys)
+            incoming, m, checks = write(LATIN1)
         if checks.get("overlong_rows", 0) > 0 and on_ragged == "fail":
-            raise ExtractionError(f"Failed to read CSV: {checks['overlong_rows']} row(s) have more "
-                                  "fields than the header")
+            raise ExtractionError(f"{checks['overlong_rows']} row(s) of the source have more fields than its "
+                                  "header; mend the file, or load it with on_ragged='keep'")
         records_read = int(m.get("records_read") or 0)
         if records_read == 0:
-            log.info("No new records found since the last run")
+            log.info("Nothing past the stored mark")
             return RunResult(batch_id, "success", metrics={**m, **checks}), None
-        if publish != "direct":
+        if start.replaces and lines_missing(spark, layout.lines, incoming, batch_id):
+            raise LoadError(f"The source no longer holds all lines that batch {batch_id} loaded; the batch is "
+                            "left as it is. Use a new batch id for other lines")
+        if publish != "direct" or start.replaces:
             publish_batch(spark, layout.lines, incoming, batch_id)
         published = True
-        loaded = int(m.get("clean", 0)) - int(m.get("skipped", 0))
         mark = m.get("watermark")
         advance = None
-        if int(m.get("clean", 0)) > 0 and mark is not None:
+        if mark is not None and (stored[0] is None or (mark[0], mark[1] or "") > (stored[0], stored[1] or "")):
             def advance():
                 wm.write(pipeline_name, RAW_TABLE, mark["last_processed_at"], mark["last_invoice_no"])
-        return RunResult(batch_id, "success", records_read=records_read, records_loaded=loaded,
+        return RunResult(batch_id, "success", records_read=records_read,
+                         records_loaded=batch_count(spark, layout.lines, batch_id),
                          records_quarantined=int(m.get("rejected", 0)),
                          records_skipped=int(m.get("skipped", 0)),
                          duplicates_removed=records_read - int(m.get("deduplicated", 0)),
                          watermark=(mark["last_processed_at"], mark["last_invoice_no"]) if mark else None,
                          metrics={**m, **checks}), advance
     finally:
-        if not published:
+        if not published and incoming is not None:
             _delete_quietly(spark, incoming)
 
 
@@ -372,18 +452,6 @@ def read_models(spark: SparkSession, warehouse: str, params: ModelParams = Model
     return out
 
 
-def _fact_batches(spark: SparkSession, warehouse: str) -> list[str]:
-    """Batch ids present in fct_orders, from its partition folder names."""
-    path = Layout(warehouse).mart("fct_orders")
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
-            if st.isDirectory() and st.getPath().getName().startswith("batch_id=")]
-
-
 def release(models: dict[str, DataFrame]) -> None:
     """Drop the staging results kept by ``build_marts``."""
     for df in models.values():
@@ -396,9 +464,9 @@ def run_tests(spark: SparkSession, warehouse: str, params: ModelParams = ModelPa
     """The 34 declared data tests over the built models (those returned by
     ``build_marts`` in this run, or read from the warehouse).
 
-    With ``batches`` the line-level tests are scoped to what those batches
-    add, so the daily cost follows the batch, not the history (earlier
-    batches passed their own runs): not_null on stg_orders and fct_orders
+    All models are tested whole, unless ``batches`` asks for less: then the
+    line-level tests are scoped to what those batches add, and a failing row
+    of an earlier batch is not reported again: not_null on stg_orders and fct_orders
     reads only the batches' partitions, and unique(order_key) checks the
     batches' lines together with the history slice from their earliest
     invoice time on, the only lines that can share a key with them (the key
@@ -406,8 +474,6 @@ def run_tests(spark: SparkSession, warehouse: str, params: ModelParams = ModelPa
     tested whole."""
     models = dict(models if models is not None else read_models(spark, warehouse, params))
     unique_models = {}
-    if batches and set(_fact_batches(spark, warehouse)) <= set(batches):
-        batches = None  # the batches are the whole table: the full run is the same work
     if batches:
         in_batches = F.col("batch_id").isin(*batches)
         models["stg_orders"] = staging.stg_orders(read_raw(spark, warehouse).filter(in_batches))

@@ -8,23 +8,28 @@ batch are computed once (one scan, one shuffle) and written once, with no
 intermediate table and no second pass for the rejected rows.
 
 A batch is written into a hidden ``_incoming_*`` folder under the dataset
-(Spark readers skip names starting with ``_``), checked, and then published by
-replacing the ``batch_id=<id>`` folder with it: delete-then-insert of the
-batch (K2) in one rename, so re-running a batch id is idempotent and other
-batches are untouched. Counting a batch prunes to its partition (K5).
+(Spark readers skip names starting with ``_``), checked, and then published as
+``batch_id=<id>``. A batch it replaces (K2) is first renamed aside and deleted
+only when the new one is in place, so loaded rows are never without a copy.
+Each batch folder holds the mark its run started from and the one it reached
+(``_marks.json``), so that a re-run of the id reads the same rows again.
+Counting a batch prunes to its partition (K5).
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillflow.config import DEDUP_KEYS
 from tillflow.session import path_exists
 
 BATCH_COL = "batch_id"
+MARKS_FILE = "_marks.json"
 STATUS_COL = "load_status"
 LOADED = "loaded"
 QUARANTINED = "quarantined"
@@ -108,29 +113,86 @@ def write_incoming(df: DataFrame, root: str, batch_id: str) -> str:
     return incoming
 
 
-def publish_batch(spark: SparkSession, root: str, incoming: str, batch_id: str) -> None:
-    """Replace ``batch_id=<id>`` with the written folder (K2)."""
-    fs, target = _fs(spark, f"{root.rstrip('/')}/{BATCH_COL}={batch_id}")
+def batch_folder(root: str, batch_id: str) -> str:
+    return f"{root.rstrip('/')}/{BATCH_COL}={batch_id}"
+
+
+def _aside(root: str, batch_id: str) -> str:
+    return f"{root.rstrip('/')}/_replaced_{batch_id}"
+
+
+def write_marks(spark: SparkSession, folder: str, marks: dict) -> None:
+    """A batch's marks, in a small file that Spark's readers skip."""
+    fs, p = _fs(spark, f"{folder}/{MARKS_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(json.dumps(marks).encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_marks(spark: SparkSession, folder: str) -> dict | None:
+    fs, p = _fs(spark, f"{folder}/{MARKS_FILE}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def recover_batch(spark: SparkSession, root: str, batch_id: str) -> bool:
+    """Puts back a batch whose replacement was cut off between its two
+    renames; True if the batch exists afterwards."""
+    fs, target = _fs(spark, batch_folder(root, batch_id))
     if fs.exists(target):
-        fs.delete(target, True)
+        return True
+    _, aside = _fs(spark, _aside(root, batch_id))
+    return fs.exists(aside) and fs.rename(aside, target)
+
+
+def publish_batch(spark: SparkSession, root: str, incoming: str, batch_id: str) -> None:
+    """Makes the written folder ``batch_id=<id>`` (K2). A batch of that id is
+    renamed aside first, put back if the new one cannot take its place, and
+    deleted last."""
+    fs, target = _fs(spark, batch_folder(root, batch_id))
     _, src = _fs(spark, incoming)
+    _, aside = _fs(spark, _aside(root, batch_id))
+    replaces = recover_batch(spark, root, batch_id)
+    if replaces:
+        fs.delete(aside, True)      # left by a replacement that did finish
+        if not fs.rename(target, aside):
+            raise LoadError(f"Could not move batch {batch_id} aside; it is unchanged")
     if not fs.rename(src, target):
+        if replaces:
+            fs.rename(aside, target)
         raise LoadError(f"Could not publish batch {batch_id}")
+    if replaces:
+        fs.delete(aside, True)
 
 
-def write_batch_direct(spark: SparkSession, df_with_batch: DataFrame, root: str, batch_id: str) -> None:
-    """Publish for object stores, where a folder rename is a copy: remove the
-    batch folder, then write the batch straight into ``root`` (dynamic
-    partition overwrite of ``batch_id=<id>/load_status=*``). The batch is
-    visible when the job commits; a failed check afterwards deletes it."""
-    fs, target = _fs(spark, f"{root.rstrip('/')}/{BATCH_COL}={batch_id}")
-    if fs.exists(target):
-        fs.delete(target, True)
+def write_batch_direct(spark: SparkSession, df_with_batch: DataFrame, root: str) -> None:
+    """Publish for object stores, where a folder rename is a copy: writes a
+    new batch straight into ``root`` (dynamic partition overwrite of
+    ``batch_id=<id>/load_status=*``). Its rows are visible from the commit of
+    the job, before the checks; a failed check deletes them again. Only for a
+    batch id that is not there yet."""
     (df_with_batch.sortWithinPartitions(BATCH_COL, STATUS_COL, "invoice_date")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH_COL, STATUS_COL).parquet(root))
 
 
+def lines_missing(spark: SparkSession, root: str, incoming: str, batch_id: str) -> bool:
+    """Whether a batch holds loaded lines (by key) that the folder written to
+    replace it does not hold, loaded or quarantined."""
+    held = (read_lines(spark, root).filter((F.col(BATCH_COL) == batch_id) & (F.col(STATUS_COL) == LOADED))
+            .select(*DEDUP_KEYS))
+    fields = [f for f in LINES_SCHEMA.fields if f.name != BATCH_COL]
+    new = spark.read.schema(T.StructType(fields)).parquet(incoming).select(*DEDUP_KEYS)
+    return not held.subtract(new).isEmpty()
+
+
 def batch_count(spark: SparkSession, root: str, batch_id: str, status: str = LOADED) -> int:
     """K5: rows of one batch; the filters prune to one partition folder."""
     return (read_lines(spark, root)

@@ -11,13 +11,17 @@
   an orderable stand-in for file order, taken at the scan before any shuffle.
 * Rows with more fields than the header are flagged (``_overlong``); rows
   with fewer are padded with NULLs. Text that was not valid UTF-8 shows up as
-  U+FFFD and is flagged (``_bad_text``). The flags are counted as observed
-  metrics during the first pass over the data, so neither check costs an
-  extra scan; the pipeline acts on them before anything is loaded.
+  U+FFFD and is flagged (``_bad_text``); since U+FFFD may also be legal text,
+  the bytes decide, which a read as ISO-8859-1 keeps. The flags are counted as observed metrics during the first
+  pass over the data; only a suspicious source is read once more.
+* Files whose header differs from the first one's fail the read: a schema
+  binds by position, so their columns would be swapped.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +38,10 @@ UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
 REPLACEMENT_CHAR = "�"
 
-# A quoted field (with doubled quotes inside), removed before counting commas.
-_QUOTED_FIELD = r'"([^"]|"")*"'
+# A quoted field (with doubled quotes inside), removed before counting commas. A
+# quote opens a field only where the field starts; possessive, so a long field
+# needs no stack.
+_QUOTED_FIELD = r'(?<![^,])"[^"]*+(?:""[^"]*+)*+"'
 
 
 class ExtractionError(Exception):
@@ -105,10 +111,17 @@ def decorate(raw: DataFrame, header, order: Column | None = None) -> DataFrame:
     )
 
 
+def enforce_schema(header) -> bool:
+    """Every file's header must match, unless the reader had to make up a name
+    for a column without one."""
+    return any(re.fullmatch(r"_c\d+", c) for c in header)
+
+
 def source_reader(spark: SparkSession, header, multi_line: bool = False, encoding: str = UTF8):
     """Reader options of the source files (text schema from the header)."""
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     return (_reader(spark, multi_line, encoding).schema(text_schema(header))
+            .option("enforceSchema", enforce_schema(header))
             .option("columnNameOfCorruptRecord", CORRUPT_COL))
 
 
@@ -128,6 +141,13 @@ def read_source_csv(spark: SparkSession, path, multi_line: bool = False,
     return decorate(df, header)
 
 
+def not_utf8(latin: DataFrame) -> DataFrame:
+    """Rows of a source read as ISO-8859-1, which keeps every byte, whose bytes
+    are not UTF-8."""
+    texts = [F.col(f"`{f.name}`") for f in latin.schema.fields if f.dataType == T.StringType()]
+    return latin.filter(~F.is_valid_utf8(F.encode(F.concat_ws(",", *texts), LATIN1).cast("string")))
+
+
 def check_metrics() -> list[Column]:
     """Aggregates to attach with ``DataFrame.observe`` on the source."""
     return [F.count_if(F.col(OVERLONG_COL)).alias("overlong_rows"),
@@ -143,9 +163,9 @@ def has_check_columns(df: DataFrame) -> bool:
 
 
 def detect_encoding(spark: SparkSession, path: str, multi_line: bool = False) -> str:
-    """UTF-8 unless some text of the source is not valid UTF-8, then
-    ISO-8859-1 for the whole source (S3). A standalone probe (one pass that
-    stops at the first bad row); the pipeline instead counts bad rows during
-    its own pass and re-reads only when needed."""
-    df = read_source_csv(spark, path, multi_line=multi_line, encoding=UTF8)
-    return LATIN1 if df.filter(F.col(BAD_TEXT_COL)).limit(1).count() > 0 else UTF8
+    """UTF-8 unless the bytes of some row are not UTF-8, then ISO-8859-1 for
+    the whole source (S3). A standalone probe (one pass that stops at the first
+    bad row); the pipeline instead counts suspicious rows during its own pass
+    and looks at the bytes only where it finds some."""
+    df = read_source_csv(spark, path, multi_line=multi_line, encoding=LATIN1)
+    return UTF8 if not_utf8(df).isEmpty() else LATIN1

@@ -8,11 +8,15 @@ files, and the high-water mark still applies the batch pipeline's row rule
 (rows older than the mark are skipped, as there).
 
 Each micro-batch runs the batch pipeline on its rows through
-``foreachBatch`` with ``batch_id = <prefix>_<epoch>``: a micro-batch retried
-after a failure republishes the same batch folder (idempotent), and one
-whose rows were already loaded finds nothing past the mark. With
-``available_now=True`` a run processes what has landed and stops (the daily
-job); otherwise the query keeps running with ``processing_time`` triggers.
+``foreachBatch`` with ``batch_id = <prefix>_<stream>_<epoch>``, where
+``<stream>`` is a random name kept in the checkpoint: a micro-batch retried
+after a failure republishes the same batch folder (idempotent), while another
+landing folder, or a stream whose checkpoint was lost, never writes over its
+batches. With ``available_now=True`` a run processes what has landed as one
+batch and stops (the daily job); otherwise the query keeps running with
+``processing_time`` triggers. There is no limit of files per micro-batch: the
+mark moves and the dedup ends with each, so such a limit would decide which
+rows load.
 
 File order for the keep-last dedup comes from the stream's own file
 metadata (path, split start) plus a position within the split. The
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +37,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tillflow.config import PIPELINE_NAME, IngestOptions
 from tillflow.plans import pipeline
 from tillflow.session import shared_dir
+from tillflow.sinks.tables import read_marks, write_marks
 from tillflow.sources.csv_source import (
     CORRUPT_COL,
     UTF8,
     decorate,
+    enforce_schema,
     read_source_csv,
     source_header,
     text_schema,
@@ -51,8 +58,8 @@ _BLOCK = "_src_block"
 def _micro_batch_source(spark: SparkSession, batch: DataFrame, header, multi_line: bool):
     """``encoding -> DataFrame`` for one micro-batch. The stream's encoding
     uses the rows it read; another one re-reads exactly this micro-batch's
-    files (their names are collected: one row per file, bounded by
-    ``max_files_per_trigger``)."""
+    files (their names are collected: one row per new file, which the stream's
+    own file listing held on the driver before)."""
     def make(encoding: str) -> DataFrame:
         if encoding == UTF8:
             order = F.struct(F.col(_PATH).alias("file"), F.col(_BLOCK).alias("block"),
@@ -63,12 +70,22 @@ def _micro_batch_source(spark: SparkSession, batch: DataFrame, header, multi_lin
     return make
 
 
+def _stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the stream that a checkpoint belongs to, made on its first use."""
+    folder = f"{checkpoint.rstrip('/')}/tillflow"
+    known = read_marks(spark, folder)
+    if known is None:
+        known = {"stream": uuid.uuid4().hex[:12]}
+        write_marks(spark, folder, known)
+    return known["stream"]
+
+
 def start_file_ingest(spark: SparkSession, source_dir: str, warehouse: str, *,
                       checkpoint: str | None = None, pipeline_name: str = PIPELINE_NAME,
                       batch_prefix: str = "stream", options: IngestOptions = IngestOptions(),
                       multi_line: bool = False, on_ragged: str = "fail",
                       available_now: bool = True, processing_time: str = "1 minute",
-                      max_files_per_trigger: int | None = None, results: list | None = None,
+                      results: list | None = None,
                       clock=None) -> StreamingQuery:
     """Start the stream; returns the running query (``awaitTermination()``
     on an available-now query waits until the landed files are loaded)."""
@@ -79,26 +96,26 @@ def start_file_ingest(spark: SparkSession, source_dir: str, warehouse: str, *,
         # inherits this one's file bookkeeping
         key = hashlib.sha1(f"{pipeline_name}|{source_dir.rstrip('/')}".encode()).hexdigest()[:16]
         checkpoint = f"{shared_dir(spark)}/tillflow/streams/{pipeline_name}-{key}"
+    stream = _stream_name(spark, checkpoint)
     # Same parsing rules as the batch reader; whole records are parsed so
     # rows with too many fields are flagged.
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     opts = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "encoding": UTF8,
-            "multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": CORRUPT_COL}
-    if max_files_per_trigger:
-        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
-    stream = (spark.readStream.format("csv").options(**opts).schema(text_schema(header)).load(source_dir)
+            "multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": CORRUPT_COL,
+            "enforceSchema": str(enforce_schema(header)).lower()}
+    landed = (spark.readStream.format("csv").options(**opts).schema(text_schema(header)).load(source_dir)
               .select("*", F.col("_metadata.file_path").alias(_PATH),
                       F.col("_metadata.file_block_start").alias(_BLOCK)))
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         kwargs = {} if clock is None else {"clock": clock}
         res = pipeline.run_pipeline(spark, _micro_batch_source(spark, batch, header, multi_line), warehouse,
-                                    pipeline_name=pipeline_name, batch_id=f"{batch_prefix}_{epoch_id}",
+                                    pipeline_name=pipeline_name, batch_id=f"{batch_prefix}_{stream}_{epoch_id}",
                                     options=options, on_ragged=on_ragged, **kwargs)
         log.info("micro-batch %s: read %s, loaded %s", epoch_id, res.records_read, res.records_loaded)
         if results is not None:
             results.append(res)
 
-    writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    writer = landed.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
