@@ -14,7 +14,8 @@ shingles over all shingles, counted once, must reach the threshold.
    member and bucket.
 3. A bucket that still holds several components is compared in full across
    components, in blocks of bounded size cut by text length and hash, so that no
-   link between different texts is lost and no task holds a whole bucket.
+   link between different texts is lost and no task holds a whole bucket. Two texts
+   that share several buckets are compared in the first of them only.
 """
 
 from __future__ import annotations
@@ -186,15 +187,25 @@ def _blocks(members: DataFrame) -> DataFrame:
 
 def _compare(key, frame: pd.DataFrame) -> pd.DataFrame:
     """Links across labels between the two sides of a block, as many as join its labels;
-    a pair that earlier links have joined is not looked at. Shared shingles are counted
+    a pair that earlier links have joined, or that shares the bucket of an earlier
+    band, is not looked at. Shared shingles are counted
     first, for all pairs of the block at once; only pairs that can reach the threshold
     are aligned."""
-    frame = frame.drop_duplicates(["node", "first"]).reset_index(drop=True)
+    frame = frame.drop_duplicates(["node", "first"])
+    alone, band = bool(frame["alone"].all()), int(frame["band"].iloc[0])
+    label, first, sigs = frame["label"].to_numpy(), frame["first"].to_numpy(), np.stack(frame["sigs"].to_list())
+    open_ = np.triu(label[:, None] != label[None, :], 1)
+    if not alone:
+        open_ &= first[:, None] != first[None, :]
+    for k in range(band):
+        open_ &= sigs[:, None, k] != sigs[None, :, k]
+    use = np.flatnonzero(open_.any(axis=0) | open_.any(axis=1))
+    if len(use) == 0:
+        return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+    frame, label, open_ = frame.iloc[use].reset_index(drop=True), label[use], open_[np.ix_(use, use)]
     words = runs(frame["text"].tolist())
     parts = [shingles(words.hash[i:j], SHINGLE) for i, j in zip(words.first[:-1], words.first[1:])]
     kinds = [np.unique(p) for p in parts]
-    alone = bool(frame["alone"].all())
-    label, first = frame["label"].to_numpy(), frame["first"].to_numpy()
     shared = np.zeros((len(parts), len(parts)), np.int32)
     value = np.concatenate(kinds) if kinds else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(kinds)), [len(k) for k in kinds])
@@ -206,8 +217,8 @@ def _compare(key, frame: pd.DataFrame) -> pd.DataFrame:
             shared[np.ix_(owners, owners)] += 1
     out = []
     for i in range(len(parts)):
-        for j in np.flatnonzero(label != label[i]):
-            if j < i or label[i] == label[j] or not alone and first[i] == first[j]:
+        for j in np.flatnonzero(open_[i]):
+            if label[i] == label[j]:
                 continue
             # a shingle may occur more than once: all but the distinct ones of the shorter text may match too
             spare = min(len(parts[i]) - len(kinds[i]), len(parts[j]) - len(kinds[j]))
@@ -252,7 +263,8 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
              .where(F.col("a") < F.col("b")).select("bucket"))
     members = written(named.join(mixed, "bucket").select("bucket", "node", "n", "label"), "mixed")
     blocks = _blocks(members)
-    more = (blocks.join(source, F.col("node") == F.col("doc_id")).select("block", "node", "label", "alone", "first", "text")
+    more = (blocks.join(source, F.col("node") == F.col("doc_id")).join(texts.select("node", "sigs"), "node")
+            .select("block", "block.bucket.band", "node", "label", "alone", "first", "sigs", "text")
             .groupBy("block").applyInPandas(_compare, "u long, v long"))
     more = written(more.distinct(), "more")
     if not more.isEmpty():
