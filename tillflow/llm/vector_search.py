@@ -4,8 +4,9 @@ Vectors are put in lists by centroids that were balanced on a bounded sample; a
 vector near the boundary of several lists is in each of them. A query finds its lists
 through a neighbour graph of the centroids in memory and keeps those whose distance
 is within a ratio of the nearest one's; the ratio is the one that reached the wanted
-recall on sample queries. Lists are cut into blocks, so that a list of any size is
-searched by many tasks, and every block gives its best for each query.
+recall on sample queries. Neighbouring lists are searched together as a group, so that
+a query gets one best set from all lists of a group it opened. Groups are cut into
+blocks of bounded size, so that a group of any size is searched by many tasks.
 
 Largest inner product is turned into smallest distance by one more dimension that
 brings all vectors to the largest norm. Scores are inner products of the original
@@ -33,8 +34,16 @@ BOUNDARY = 1.03
 REPLICAS = 3
 NEIGHBOURS = 16
 RECALL = 0.97
-#: Vectors and queries of a search block, about.
-BLOCK = 4096
+#: Lists searched together, at most.
+TOGETHER = 32
+#: Components of the vectors and of the queries of a search block, about.
+HELD = 1 << 21
+ASKED = 1 << 18
+#: Scores of one list held at once.
+SCORES = 1 << 20
+#: Inner products that differ by less than this share of the largest squared norm are ties
+#: when a block picks its best: a matrix product may round equal vectors apart.
+TIE = 2.0**-44
 
 
 class Lists:
@@ -43,6 +52,7 @@ class Lists:
     def __init__(self, sample: np.ndarray, norm: float, k: int):
         rng = np.random.default_rng(5)
         self.norm = norm
+        sample = np.unique(sample, axis=0)  # copies of one vector make no centroids of their own
         x = self.lifted(sample)
         c = x[rng.permutation(len(x))[:k]]
         k = len(c)
@@ -56,7 +66,14 @@ class Lists:
                 c[j] = x[own == j].mean(axis=0)
         self.centroids = c
         between = _distance(c, c)
-        self.graph = np.argsort(between, axis=1)[:, 1 : NEIGHBOURS + 1]
+        np.fill_diagonal(between, np.inf)
+        ring = np.empty(k, np.int64)  # makes the graph connected where centroids stand in clumps
+        along = rng.permutation(k)
+        ring[along] = np.roll(along, 1)
+        self.graph = np.hstack([np.argsort(between, axis=1)[:, : min(NEIGHBOURS, k - 1)], ring[:, None]])
+        self.group = np.zeros(k, np.int32)
+        for g, lists in enumerate(_halved(c, np.arange(k))):
+            self.group[lists] = g
         self.ratio = 1.0
         self._tune(sample, x, rng)
 
@@ -91,23 +108,98 @@ class Lists:
                     heapq.heappush(heap, (e, i))
         return np.array([i for d, i in found if d <= nearest * self.ratio], np.int64)
 
+    def grouped(self, own: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Lists of each row -> for every row and group: row, group, the row's lists in it."""
+        at, groups, lists = [], [], []
+        for i, o in enumerate(own):
+            of = self.group[o]
+            for g in np.unique(of).tolist():
+                at.append(i)
+                groups.append(g)
+                lists.append(o[of == g].astype(np.int32))
+        return np.array(at, np.int64), np.array(groups, np.int32), lists
+
     def _tune(self, sample: np.ndarray, x: np.ndarray, rng: np.random.Generator, k: int = 20) -> None:
         asked = rng.permutation(len(sample))[:200]
         holders = self.assign(sample)
-        needed = []
+        needed, wanted = [], []
         for i in asked:
             q = np.append(sample[i], 0.0)
             d = np.sqrt(((self.centroids - q) ** 2).sum(axis=1))
             order = np.argsort(-(sample @ sample[i]), kind="stable")
             order = order[order != i][:k]
+            wanted.append((i, [set(holders[j].tolist()) for j in order]))
             needed += [float(d[holders[j]].min()) / max(float(d.min()), 1e-12) for j in order]
         self.ratio = float(np.quantile(needed, RECALL)) + 1e-6 if needed else 1.0
+        for _ in range(40):  # the graph search may miss lists that the ratio allows
+            opened = [(set(self.probes(sample[i]).tolist()), near) for i, near in wanted]
+            if sum(bool(h & o) for o, near in opened for h in near) >= RECALL * len(needed):
+                break
+            self.ratio *= 1.02
 
 
 def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x * x).sum(axis=1)[:, None] - 2 * x @ y.T + (y * y).sum(axis=1)[None, :]
 
 
+def _halved(centroids: np.ndarray, lists: np.ndarray) -> list[np.ndarray]:
+    """Lists in groups of neighbours, halved across their widest direction."""
+    if len(lists) <= TOGETHER:
+        return [lists]
+    x = centroids[lists] - centroids[lists].mean(axis=0)
+    order = lists[np.argsort(x @ np.linalg.svd(x, full_matrices=False)[2][0], kind="stable")]
+    half = len(order) // 2
+    return _halved(centroids, order[:half]) + _halved(centroids, order[half:])
+
+
+def _members(lists: list[np.ndarray]) -> dict[int, np.ndarray]:
+    """The rows of each list, in order."""
+    of = np.concatenate(lists)
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    order = np.argsort(of, kind="stable")
+    of, row = of[order], row[order]
+    cut = np.flatnonzero(np.diff(of)) + 1
+    return dict(zip(of[np.concatenate([[0], cut])].tolist(), np.split(row, cut)))
+
+
+def _top(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``k`` largest finite scores of each row, ties to the first."""
+    if scores.shape[1] > k:
+        edge = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k][:, None]
+        above, level = scores > edge, scores == edge
+        chosen = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1)[:, None]))
+        return np.nonzero(chosen & np.isfinite(scores))
+    return np.nonzero(np.isfinite(scores))
+
+
+def _searched(held: pd.DataFrame, asked: pd.DataFrame, k: int, norm: float) -> pd.DataFrame:
+    """The ``k`` nearest of each query among the vectors that share an opened list with it."""
+    if held.empty or asked.empty:
+        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    held = held.sort_values("vec_id")
+    ids, x = held["vec_id"].to_numpy(), np.stack(held["v"].to_list())
+    query, y = asked["query_id"].to_numpy(), np.stack(asked["v"].to_list())
+    opened, found = _members(asked["lists"].to_list()), []
+    for key, cols in _members(held["lists"].to_list()).items():
+        rows = opened.get(key, cols[:0])
+        step = max(1, SCORES // len(cols))
+        for i in range(0, len(rows), step):
+            some = rows[i : i + step]
+            scores = np.rint(y[some] @ x[cols].T / (norm * norm * TIE))
+            scores[query[some][:, None] == ids[cols]] = -np.inf
+            r, c = _top(scores, k)
+            found.append((some[r] * len(ids) + cols[c], scores[r, c]))
+    if not found:
+        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    pair, first = np.unique(np.concatenate([p for p, _ in found]), return_index=True)
+    score = np.concatenate([s for _, s in found])[first]
+    order = np.lexsort((pair, -score, pair // len(ids)))
+    row = pair[order] // len(ids)
+    order = order[np.arange(len(row)) - np.searchsorted(row, row) < k]
+    r, c = pair[order] // len(ids), pair[order] % len(ids)
+    return pd.DataFrame({"query_id": query[r], "vec_id": ids[c], "score": np.einsum("ij,ij->i", y[r], x[c])})
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """``vec_id, v`` of the vectors that take part, in double precision."""
     v = F.transform("embedding", lambda x: x.cast("double"))
@@ -140,56 +232,39 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     lists = min(MOST_LISTS, max(1, most.rows // LIST))
     shared = spark.sparkContext.broadcast(Lists(np.stack(sample["v"].to_list()), float(np.sqrt(most.square)), lists))
 
-    def listed(batches):
-        for frame in batches:
-            if len(frame):
-                own = shared.value.assign(np.stack(frame["v"].to_list()))
-                yield pd.DataFrame({"vec_id": np.repeat(frame["vec_id"].to_numpy(), [len(o) for o in own]),
-                                    "list": np.concatenate(own).astype(np.int32),
-                                    "v": np.repeat(frame["v"].to_numpy(), [len(o) for o in own])})
-
-    def asked(batches):
-        for frame in batches:
-            own = [shared.value.probes(v) for v in frame["v"]]
-            yield pd.DataFrame({"query_id": np.repeat(frame["vec_id"].to_numpy(), [len(o) for o in own]),
-                                "list": np.concatenate(own or [np.zeros(0)]).astype(np.int32),
-                                "v": np.repeat(frame["v"].to_numpy(), [len(o) for o in own])})
-
-    held = written(good.mapInPandas(listed, "vec_id long, list int, v array<double>"), "lists")
-    queries = written(good.where(F.col("vec_id") % every == 0).mapInPandas(asked, "query_id long, list int, v array<double>"), "probes")
-    # at most MOST_LISTS rows each
-    parts = {c: {r["list"]: -(-r["rows"] // BLOCK) for r in t.groupBy("list").agg(F.count("*").alias("rows")).collect()}
-             for c, t in (("v", held), ("q", queries))}
+    norm = float(np.sqrt(most.square))
+
+    def dealt(name: str, lists_of):
+        def deal(batches):
+            for frame in batches:
+                if len(frame):
+                    at, group, lists = shared.value.grouped(lists_of(shared.value, frame["v"]))
+                    yield pd.DataFrame({name: frame["vec_id"].to_numpy()[at], "group": group, "lists": lists,
+                                        "v": frame["v"].to_numpy()[at]})
+        return deal
+
+    held = written(good.mapInPandas(dealt("vec_id", lambda own, v: own.assign(np.stack(v.to_list()))),
+                                    "vec_id long, group int, lists array<int>, v array<double>"), "lists")
+    queries = written(good.where(F.col("vec_id") % every == 0)
+                      .mapInPandas(dealt("query_id", lambda own, v: [own.probes(x) for x in v]),
+                                   "query_id long, group int, lists array<int>, v array<double>"), "probes")
+    # a row for each group: at most MOST_LISTS
+    parts = {c: {r["group"]: -(-r["rows"] * most.n // size) for r in t.groupBy("group").agg(F.count("*").alias("rows")).collect()}
+             for c, t, size in (("v", held, HELD), ("q", queries, ASKED))}
 
     def cut(name: str):
         pairs = [x for key, n in sorted(parts[name].items()) if n > 1 for x in (F.lit(key), F.lit(n))]
-        return F.coalesce(F.element_at(F.create_map(*pairs), F.col("list")), F.lit(1)) if pairs else F.lit(1)
+        return F.coalesce(F.element_at(F.create_map(*pairs), F.col("group")), F.lit(1)) if pairs else F.lit(1)
 
-    blocks = held.select("vec_id", "list", "v", F.pmod(F.xxhash64("vec_id"), cut("v")).cast("int").alias("vb"),
+    blocks = held.select("vec_id", "group", "lists", "v", F.pmod(F.xxhash64("vec_id"), cut("v")).cast("int").alias("vb"),
                          F.explode(F.sequence(F.lit(0), cut("q") - 1)).alias("qb"))
-    wanted = queries.select("query_id", "list", "v", F.pmod(F.xxhash64("query_id"), cut("q")).cast("int").alias("qb"),
+    wanted = queries.select("query_id", "group", "lists", "v", F.pmod(F.xxhash64("query_id"), cut("q")).cast("int").alias("qb"),
                             F.explode(F.sequence(F.lit(0), cut("v") - 1)).alias("vb"))
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        left = left.sort_values("vec_id")
-        ids, x = left["vec_id"].to_numpy(), np.stack(left["v"].to_list())
-        out = []
-        for at in range(0, len(right), 256):
-            part = right.iloc[at : at + 256]
-            scores = np.stack(part["v"].to_list()) @ x.T
-            for q, s in zip(part["query_id"], scores):
-                s[ids == q] = -np.inf
-                top = np.argsort(-s, kind="stable")[:k]
-                top = top[np.isfinite(s[top])]
-                out.append(pd.DataFrame({"query_id": q, "vec_id": ids[top], "score": s[top]}))
-        return pd.concat(out)
-
-    keys = ["list", "vb", "qb"]
+    keys = ["group", "vb", "qb"]
     found = (blocks.groupBy(*keys).cogroup(wanted.groupBy(*keys))
-             .applyInPandas(best, "query_id long, vec_id long, score double"))
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+             .applyInPandas(lambda left, right: _searched(left, right, k, norm), "query_id long, vec_id long, score double"))
+    # a vector may be found in two groups; one shuffle serves both steps
+    once = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
