@@ -129,6 +129,27 @@ def test_vector_search(spark):
     assert vector_search.search(odd.limit(0)).count() == 0
 
 
+def test_vector_search_groups_blocks_and_copies(spark, monkeypatch):
+    """A third of the vectors are one vector; lists in several groups, groups in several blocks."""
+    for name, value in {"LIST": 32, "TOGETHER": 8, "HELD": 1 << 11, "ASKED": 1 << 8, "SCORES": 1 << 10}.items():
+        monkeypatch.setattr(vector_search, name, value)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 16))
+    x[::3] = x[1]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = vector_search.search(rows).toPandas()
+    assert not found.duplicated(["query_id", "vec_id"]).any()
+    hit = []
+    for q, own in found.groupby("query_id"):
+        s = np.einsum("ij,j->i", x, x[q])
+        own = own.sort_values("rank")
+        np.testing.assert_allclose(own["score"], s[own["vec_id"]], rtol=1e-12)
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(len(x)), -s))[:20]
+        hit.append(len(set(best) & set(own["vec_id"])) / 20)
+    assert len(hit) == 75 and np.mean(hit) >= 0.9
+
+
 def test_token_rollup(spark, odd, tmp_path):
     r = token_counts.Rollup(spark, str(tmp_path / "r"))
     rows = odd.select("source", "lang", F.lit("v").alias("version"), F.lit(3).cast("long").alias("tokens"), F.lit(5).cast("long").alias("chars"))
