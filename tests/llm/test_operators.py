@@ -174,6 +174,17 @@ def test_extraction(spark):
     assert got == {1: "A & B\none two\nthree bold", 2: "A & B\nfour\nfour\nfour", 3: "", 4: "", 5: "a < b"}
 
 
+def test_extraction_by_slots(spark):
+    """Fixed text of no listed name goes, copies of an article stay."""
+    page = ("<body><article><div class='gdpr'>We value your privacy and so on</div><h1>Title {0}</h1><p>body {0} of page {0} alone {0}</p>"
+            "<div class='replies'>Log in to reply</div></article></body>")
+    copy = "<body><article><h1>Copied</h1><p>" + " ".join(f"c{i}" for i in range(90)) + "</p><p>end {}</p></article></body>"
+    rows = [(i, f"http://a/{i}", page.format(f"x{i}")) for i in range(6)] + [(10 + i, f"http://b/{i}", copy.format(i % 2)) for i in range(6)]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Title x{i}\nbody x{i} of page x{i} alone x{i}" for i in range(6))
+    assert all(got[10 + i].startswith("Copied\nc0 c1") and got[10 + i].endswith(f"end {i % 2}") for i in range(6))
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.01"
     docs = queries.table(spark, sf, "documents")

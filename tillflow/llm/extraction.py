@@ -1,39 +1,42 @@
-"""Main text of web pages by inferred wrappers.
-
-A page is reduced to its stream of block tags and text slots, neighbouring repeats
-folded into repeated groups. The streams of a host are aligned one after another
-into a union-free regular expression, the host's wrapper: what does not match
-becomes optional, what one side repeats becomes a repeated group. The wrapper also
-carries how much text its slots hold below each element path; the path that holds
-most of it is the host's article, and each page gives the text below that path,
-without elements that are furniture by name.
-
-Streams are counted by (host, stream) first, so a host's group has as many rows as it
-has different layouts, and these are merged in ``SALTS`` parts before they meet.
+"""Main text of web pages by learned slots.
+
+A page is reduced to its text slots: the path of elements and names a block of text
+stands in. What a host's pages share is learned in one pass. A text that most of the
+host's different pages hold in the same slot is fixed: it is shell, whatever it is
+called, and no part of an article. The path that holds most of a page's text is the
+page's article path; paths that many pages of the host agree on are its layouts, and
+a page gives the text of the first layout that holds most of its own text, or of its
+own path. Elements that are furniture by tag or name are left out before.
+
+Pages count as different by one min-hash of their three-word runs, so copies of an
+article do not make its text look fixed. A host has at most ``1 / FIXED`` times the
+slots of a page as shell and at most ``1 / SHARED`` layouts, so what is learned does
+not grow with its pages.
 """
 
 from __future__ import annotations
 
 import html as references
-import json
 import re
 from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
+from hashlib import blake2b
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import ship, written
+from .tokens import chunks, runs, shingles
 
-SALTS = 16
 #: Part of the text that the article's path must hold.
 MOST = 0.7
-#: Longest group of tags folded as a repeat.
-PERIOD = 8
-#: Wrappers a broadcast may hold (a few KB each).
+#: Least part of a host's different pages that hold a fixed text, and least number.
+FIXED = 0.5
+FIXED_PAGES = 3
+#: Least part of a host's pages that agree on a layout.
+SHARED = 0.05
+#: Hosts a broadcast may hold (a few KB each).
 BROADCAST_HOSTS = 20_000
 
 #: Fixed values of HTML: elements whose content is no text of the page, furniture,
@@ -81,12 +84,10 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
                 yield "close", tag, ""
 
 
-def blocks(page: str) -> tuple[list[tuple[str, str]], list[str]]:
-    """``(path, text)`` of every block outside furniture, in page order, and the page's
-    folded stream of tags and slots."""
+def blocks(page: str) -> list[tuple[str, str]]:
+    """``(path, text)`` of every block outside furniture, in page order."""
     stack: list[tuple[str, str, bool]] = []  # tag, name, furniture
     out: list[tuple[str, str]] = []
-    stream: list[str] = []
     text: list[str] = []
     hidden = 0
 
@@ -94,16 +95,12 @@ def blocks(page: str) -> tuple[list[tuple[str, str]], list[str]]:
         value = SPACE.sub(" ", references.unescape("".join(text))).strip()
         text.clear()
         if value:
-            fold(stream, "#")
             out.append(("/".join(n for _, n, _ in stack if n), value))
 
     def leave(depth: int) -> None:
         nonlocal hidden
         while len(stack) > depth:
-            tag, _, furniture = stack.pop()
-            hidden -= furniture
-            if tag not in INLINE:
-                fold(stream, f"/{tag}")
+            hidden -= stack.pop()[2]
 
     for kind, tag, value in events(page):
         if kind == "text":
@@ -135,102 +132,74 @@ def blocks(page: str) -> tuple[list[tuple[str, str]], list[str]]:
         own = names(value)
         furniture = tag in FURNITURE or tag not in ("html", "body", "article", "main") and any(NAMES.search(n) for n in own)
         name = tag if tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dt", "dd", "td", "th", "tr") else ""
-        fold(stream, tag + ("." + own[0].lower() if own else ""))
         stack.append((tag, name + ("." + own[0].lower() if name and own else ""), furniture))
         hidden += furniture
     if not hidden:
         flush()
-    return out, stream
+    return out
 
 
 def names(attributes: str) -> list[str]:
     return [n for m in ATTRIBUTE.finditer(attributes) for n in m[2].strip("\"'").split()] if attributes else []
 
 
-def fold(stream: list[str], token: str) -> None:
-    """Appends a token; a run that repeats what stands before it becomes one group."""
-    stream.append(token)
-    for p in range(1, PERIOD + 1):
-        if len(stream) > p and stream[-p - 1] == (group := "(" + " ".join(stream[-p:]) + ")+"):
-            del stream[-p:]
-            return
-        if len(stream) >= 2 * p and stream[-2 * p : -p] == stream[-p:]:
-            stream[-2 * p :] = ["(" + " ".join(stream[-p:]) + ")+"]
-            return
-
-
-def core(part: str) -> str:
-    while part.endswith((")+", ")?")):
-        part = part[1:-2]
-    return part
-
-
-def align(a: list[str], b: list[str]) -> list[str]:
-    """The expression that matches what either matches: equal parts stay, a part that one
-    side repeats is repeated, the rest is optional."""
-    out: list[str] = []
-    x, y = [core(p) for p in a], [core(p) for p in b]
-    for op, i, j, k, n in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
-        if op == "equal":
-            for p, q in zip(a[i:j], b[k:n]):
-                inner = core(p)
-                part = f"({inner})+" if ")+" in p[-4:] or ")+" in q[-4:] else inner
-                out.append(f"({part})?" if p.endswith(")?") or q.endswith(")?") else part)
-        else:
-            out += [p if p.endswith(")?") else f"({p})?" for p in (*a[i:j], *b[k:n])]
-    return out
-
-
-def article(held: dict[str, int]) -> str:
-    """The deepest path below which most of the text is."""
+def article(found: list[tuple[str, str]]) -> str:
+    """The deepest path below which most of the text is; within an article or main
+    element, that element's."""
     below: Counter[str] = Counter()
-    for path, n in held.items():
+    for path, text in found:
         steps = path.split("/")
         for i in range(len(steps) + 1):
-            below["/".join(steps[:i])] += n
-    total = sum(held.values())
-    return max((p for p, n in below.items() if n >= MOST * total), key=lambda p: (p.count("/") + bool(p), p), default="")
+            below["/".join(steps[:i])] += len(text)
+    total = sum(len(text) for _, text in found)
+    steps = max((p for p, n in below.items() if n >= MOST * total), key=lambda p: (p.count("/") + bool(p), p), default="").split("/")
+    for kind in ("article", "main"):
+        for i in range(len(steps), 0, -1):
+            if steps[i - 1].split(".")[0] == kind:
+                return "/".join(steps[:i])
+    return "/".join(steps)
+
+
+def slot(path: str, text: str) -> int:
+    """Number of a text in its slot."""
+    return int.from_bytes(blake2b(f"{path}\0{text}".encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
 def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, pages = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("host", "html"))
-        seen: dict[tuple[str, str], Counter] = {}
-        count: Counter = Counter()
-        for host, page in zip(hosts, pages):
-            found, stream = blocks(page)
-            key = host, json.dumps(stream)
-            held = seen.setdefault(key, Counter())
-            count[key] += 1
-            for path, text in found:
-                held[path] += len(text)
-        rows = [(h, s, p, n) for (h, s), held in seen.items() for p, n in (held or {"": 0}).items()]
-        columns = list(zip(*rows)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
-                                          pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())],
-                                         ["host", "stream", "path", "held"])
-
-
-def _merged(frame: pd.DataFrame) -> pd.DataFrame:
-    wrapper: list[str] = []
-    for k, stream in enumerate(sorted(set(frame["stream"]))):
-        parts = json.loads(stream)
-        wrapper = parts if k == 0 else align(wrapper, parts)
-    held = Counter()
-    for text in frame["held"]:
-        held.update(json.loads(text))
-    return pd.DataFrame({"host": [frame["host"].iloc[0]], "stream": [json.dumps(wrapper)], "held": [json.dumps(held)]})
+        for a, b in chunks(pages):
+            found = [blocks(p) for p in pages[a:b]]
+            r = runs(["\n".join(t for _, t in f) for f in found])
+            rows = []
+            for host, own, i, j in zip(hosts[a:b], found, r.first[:-1], r.first[1:]):
+                if i < j:
+                    page = int(shingles(r.hash[i:j], 3).min().astype("int64"))
+                    rows.append((host, article(own), None, page))
+                    rows += [(host, None, n, page) for n in {slot(p, t) for p, t in own}]
+            columns = list(zip(*rows)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
+                                              pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())],
+                                             ["host", "path", "slot", "page"])
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``host, stream`` (the wrapper) and ``held`` (text below each path) of each host."""
-    found = pages.select(_host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    sums = (found.mapInArrow(_reduced, "host string, stream string, path string, held long")
-            .groupBy("host", "stream", "path").agg(F.sum("held").alias("held")))
-    layouts = sums.groupBy("host", "stream").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("path", "held")))).alias("held"))
-    kind = "host string, stream string, held string"
-    first = layouts.groupBy("host", F.pmod(F.xxhash64("stream"), F.lit(SALTS)).alias("salt")).applyInPandas(_merged, kind)
-    return first.groupBy("host").applyInPandas(_merged, kind)
+    """``host, layouts`` (article paths, the most frequent first) and ``shell`` (slots
+    with fixed text) of each host. Pages without a host teach nothing."""
+    rows = written(pages.select(_host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+                   .mapInArrow(_reduced, "host string, path string, slot long, page long"), "slots")
+    own = rows.where("path is not null")
+    votes = own.groupBy("host", "path").agg(F.count("*").alias("n"))
+    # distinct in two steps, so that no host is one task's
+    sizes = (own.groupBy("host", "page").agg(F.count("*").alias("n"))
+             .groupBy("host").agg(F.sum("n").alias("pages"), F.count("*").alias("kinds")))
+    layouts = (votes.join(sizes, "host").where(F.col("n") >= SHARED * F.col("pages")).groupBy("host")
+               .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).getField("path").alias("layouts")))
+    fixed = (rows.where("slot is not null").groupBy("host", "slot", "page").agg(F.lit(1).alias("one"))
+             .groupBy("host", "slot").agg(F.count("*").alias("n")).where(F.col("n") >= FIXED_PAGES)
+             .join(sizes, "host").where(F.col("n") >= FIXED * F.col("kinds"))
+             .groupBy("host").agg(F.collect_list("slot").alias("shell")))
+    return layouts.join(fixed, "host", "left")
 
 
 def _host():
@@ -240,40 +209,41 @@ def _host():
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page.
 
-    The text below the host's article path; where a page has nothing there, below the
-    page's own. Null html: the empty text. Null url or one without a host: a host of its
-    own. Repeated rows: each is extracted. Empty table: empty result. Other columns are
-    not read."""
+    The text of the page's article path without its host's fixed text. Null html: the
+    empty text. Null url or one without a host: nothing is learned from other pages.
+    Repeated rows: each is extracted. Empty table: empty result. Other columns are not
+    read."""
     ship(pages.sparkSession)
     learned = written(wrappers(pages), "wrappers")
-    held = learned.select(F.col("host").alias("known"), "held")
+    held = learned.select(F.col("host").alias("known"), "layouts", "shell")
     if learned.count() <= BROADCAST_HOSTS:
         held = F.broadcast(held)
     joined = pages.select("page_id", "url", "html").join(held, _host() == F.col("known"), "left")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths: dict[str, str] = {}
         for batch in batches:
-            out = []
-            for page, known in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("html", "held"))):
-                found, _ = blocks(page or "")
-                if known is not None and known not in paths:
-                    paths[known] = article(json.loads(known))
-                kept = _below(found, paths.get(known, ""))
-                if not kept and found:
-                    own: Counter = Counter()
-                    for path, text in found:
-                        own[path] += len(text)
-                    kept = _below(found, article(own))
-                out.append("\n".join(kept))
+            out = ["\n".join(_text(blocks(page or ""), layouts or [], set(shell or ())))
+                   for page, layouts, shell in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist()
+                                                     for c in ("html", "layouts", "shell")))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in ("page_id", "url")), pa.array(out, pa.string()),
                  pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "held").mapInArrow(
+    return joined.select("page_id", "url", "html", "layouts", "shell").mapInArrow(
         texts, f"page_id {kind}, url string, text string, n_chars long")
 
 
+def _text(found: list[tuple[str, str]], layouts: list[str], shell: set[int]) -> list[str]:
+    if shell:
+        found = [(p, t) for p, t in found if slot(p, t) not in shell]
+    total = sum(len(t) for _, t in found)
+    for path in layouts[:1]:
+        kept = _below(found, path)
+        if sum(map(len, kept)) >= MOST * total:
+            return kept
+    return _below(found, article(found))
+
+
 def _below(found: list[tuple[str, str]], path: str) -> list[str]:
     return [t for p, t in found if not path or p == path or p.startswith(path + "/")]
