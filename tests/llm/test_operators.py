@@ -185,6 +185,18 @@ def test_extraction_by_slots(spark):
     assert all(got[10 + i].startswith("Copied\nc0 c1") and got[10 + i].endswith(f"end {i % 2}") for i in range(6))
 
 
+def test_extraction_by_layout(spark):
+    """Two layouts on one host, and pages without a host."""
+    one = "<body><div class='content'><p>" + "first {0} layout {0} text " * 30 + "</p></div></body>"
+    two = "<body><div class='content'><p>short {0}</p></div><main><div class='intro'><p>intro {0}</p></div><p>" + "second {0} text " * 12 + "</p></main></body>"
+    rows = ([(i, f"http://a/{i}", one.format(f"x{i}")) for i in range(9)] + [(20 + i, f"http://a/2{i}", two.format(f"y{i}")) for i in range(3)]
+            + [(40 + i, None, one.format(f"z{i}")) for i in range(9)] + [(60, "bad", two.format("q"))])
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].startswith(f"first x{i}") for i in range(9))
+    for k, name in [*((20 + i, f"y{i}") for i in range(3)), (60, "q")]:
+        assert got[k] == f"intro {name}\n" + ("second {0} text " * 12).format(name).strip()
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.01"
     docs = queries.table(spark, sf, "documents")

@@ -186,7 +186,7 @@ def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def wrappers(pages: DataFrame) -> DataFrame:
     """``host, layouts`` (article paths, the most frequent first) and ``shell`` (slots
     with fixed text) of each host. Pages without a host teach nothing."""
-    rows = written(pages.select(_host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+    rows = written(pages.select(_host().alias("host"), F.coalesce("html", F.lit("")).alias("html")).where("host <> ''")
                    .mapInArrow(_reduced, "host string, path string, slot long, page long"), "slots")
     own = rows.where("path is not null")
     votes = own.groupBy("host", "path").agg(F.count("*").alias("n"))
@@ -238,7 +238,7 @@ def _text(found: list[tuple[str, str]], layouts: list[str], shell: set[int]) ->
     if shell:
         found = [(p, t) for p, t in found if slot(p, t) not in shell]
     total = sum(len(t) for _, t in found)
-    for path in layouts[:1]:
+    for path in layouts:
         kept = _below(found, path)
         if sum(map(len, kept)) >= MOST * total:
             return kept
