@@ -166,6 +166,25 @@ def test_pseudo_likelihood(odd, empty):
     assert lm_scoring.score(empty).count() == 0
 
 
+def test_pseudo_likelihood_of_rare_words(spark):
+    """Words the network shares a bucket for have their own part of it, and each word is a target once."""
+    rng = np.random.default_rng(5)
+    common = [" ".join(f"c{j}" for j in rng.integers(0, 2300, 400)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(common)] + [(1000, " ".join(f"never{j}" for j in range(4000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.mean_log_prob for r in lm_scoring.score(docs, rounds=1).collect()}
+    assert out[1000] < min(v for k, v in out.items() if k < 1000) - 1
+    counts = lm_scoring.word_counts(docs)
+    net = lm_scoring.fit(docs, 1, counts)
+    rest = lm_scoring.shares(counts, net).toPandas()
+    assert len(rest) == counts.count() - lm_scoring.KNOWN
+    number = net.number(rest["word"].to_numpy().view(np.uint64))
+    np.testing.assert_allclose(np.bincount(number, np.exp(rest["share"]))[np.unique(number)], 1)
+    words = np.arange(5000, dtype=np.uint64)
+    at = np.concatenate([lm_scoring.targets(words, np.arange(5000), t, 2) for t in range(2)])
+    assert sorted(at) == list(range(5000))
+
+
 def test_extraction(spark):
     shell = "<html><head><title>t</title></head><body><nav><a>Home</a></nav><div class='ad'>Buy</div><article><h1>A &amp; B</h1>{}</article><footer>f</footer></body></html>"
     rows = [(1, "http://h/1", shell.format("<p>one\n two<p>three <b>bold</b>")), (2, "http://h/2", shell.format("<p>four</p>" * 3 + "<script>x<y</script>")),

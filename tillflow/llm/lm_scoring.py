@@ -5,11 +5,13 @@ the word there: word vectors scaled by position, a tanh layer, and a softmax in
 steps, over word classes and over the words of a class. A document's score is the sum
 of the log-probabilities of all its words, each predicted from both sides.
 
-The vocabulary holds the most frequent words of all documents; other words share hash
-buckets. Training passes over all documents: in every round each task trains its own
-copy of the network on a fixed share of the masked positions of each text, and the
-copies are averaged by the positions they saw, in two steps, a part of the parameters
-at a time. What is gathered so grows with the corpus; the network does not.
+The network's vocabulary holds the most frequent words of all documents; other words
+share hash buckets, and a word of a bucket has the bucket's probability times its share
+of the bucket's words, by a count table of all words that is joined in Spark. Training
+passes over all documents: every word is a masked target once, in one of the rounds;
+in every round each task trains its own copy of the network, and the copies are
+averaged by the positions they saw, in two steps, a part of the parameters at a time.
+What is counted so grows with the corpus; the network does not.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import ship
+from .frames import ship, written
 from .tokens import chunks, mix, runs, texts_of
 
 SIDE = 2
@@ -30,8 +32,7 @@ CLASSES = 48
 WIDTH = 32
 KNOWN = 2048
 BUCKETS = CLASSES * CLASSES - KNOWN
-#: One masked position in so many is trained on in each round.
-EVERY = 16
+#: Passes over the texts; each trains on another share of the masked positions.
 ROUNDS = 2
 RATE = 0.1
 BATCH = 1024
@@ -145,16 +146,39 @@ def _log_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return own - np.log(np.exp(x, out=x).sum(axis=1))
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS) -> Network:
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word, n``: every word's hash and how often it occurs."""
+    ship(docs.sparkSession)
+    return written(docs.select("text").mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def shares(counts: DataFrame, net: Network) -> DataFrame:
+    """``word, share``: the log of a word's share of its bucket, of every word that the
+    network does not know itself."""
+    shared = counts.sparkSession.sparkContext.broadcast(net.by_rank)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Network(shared.value)
+        for batch in batches:
+            word, n = batch.column("word").to_numpy(), batch.column("n").to_numpy()
+            number = own.number(word.view(np.uint64))
+            rest = number >= KNOWN
+            yield pa.RecordBatch.from_arrays([pa.array(word[rest]), pa.array(n[rest]), pa.array(number[rest])], ["word", "n", "bucket"])
+
+    rows = counts.select("word", "n").mapInArrow(dealt, "word long, n long, bucket long")
+    totals = rows.groupBy("bucket").agg(F.sum("n").alias("total"))  # at most BUCKETS rows
+    return rows.join(F.broadcast(totals), "bucket").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
+
+
+def fit(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None) -> Network:
     ship(docs.sparkSession)
     texts = docs.select("text")
-    top = (texts.mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(KNOWN).toArrow())
+    top = (word_counts(docs) if counts is None else counts).orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()
     words = top.column("word").to_numpy().view(np.uint64)
     flat = Network(words).flat
     for turn in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast((words, flat))
-        trained = texts.mapInArrow(_trainer(shared, turn), "part int, task int, value binary, weight double")
+        trained = texts.mapInArrow(_trainer(shared, turn, rounds), "part int, task int, value binary, weight double")
         local = trained.groupBy("part", F.pmod("task", F.lit(32)).alias("salt")).applyInPandas(_mean, "part int, value binary, weight double")
         mean = local.groupBy("part").applyInPandas(_mean, "part int, value binary, weight double").orderBy("part").toPandas()
         if mean.empty:
@@ -169,7 +193,12 @@ def _mean(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [frame["part"].iloc[0]], "value": [total.astype(np.float32).tobytes()], "weight": [weight.sum()]})
 
 
-def _trainer(shared, turn: int):
+def targets(words: np.ndarray, place: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Positions that a round trains on; the rounds share all positions out."""
+    return np.flatnonzero(mix(words + place.astype(np.uint64)) % np.uint64(rounds) == turn)
+
+
+def _trainer(shared, turn: int, rounds: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -183,7 +212,7 @@ def _trainer(shared, turn: int):
                 r = runs(texts[a:b])
                 number = net.number(r.hash)
                 place = np.arange(len(number)) - r.first[r.doc]
-                at = np.flatnonzero(mix(r.hash + (place * 16 + turn).astype(np.uint64)) % np.uint64(EVERY) == 0)
+                at = targets(r.hash, place, turn, rounds)
                 at = at[np.argsort(mix(at.astype(np.uint64)))]
                 for i in range(0, len(at), BATCH):
                     some = at[i : i + BATCH]
@@ -204,14 +233,15 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     Null, empty or wordless text: no tokens, sum 0, mean null. Repeated rows: each is
     trained on and scored. Empty table: empty result. Other columns are not read."""
-    net = fit(docs, rounds)
+    counts = word_counts(docs)
+    net = fit(docs, rounds, counts)
     shared = docs.sparkSession.sparkContext.broadcast((net.by_rank, net.flat))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network(*shared.value)
         for batch in batches:
             texts = texts_of(batch)
-            sums, tokens = [], []
+            sums, tokens, rest, cut = [], [], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
             for a, b in chunks(texts):
                 r = runs(texts[a:b])
                 number, logs = own.number(r.hash), np.zeros(len(r.hash))
@@ -219,11 +249,20 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                     at = np.arange(i, min(len(number), i + (1 << 15)))
                     logs[at] = own.scores(own.contexts(number, r.doc, at), number[at])
                 tokens += np.diff(r.first).tolist()
+                dealt = number >= KNOWN
+                rest.append(r.hash[dealt].view(np.int64))
+                cut.append(cut[-1][-1] + np.append(0, np.cumsum(dealt))[r.first[1:]])
                 sums += [float(logs[i:j].sum()) for i, j in zip(r.first[:-1], r.first[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(tokens, pa.int64()), pa.array(sums, pa.float64()),
-                 pa.array([s / n if n else None for s, n in zip(sums, tokens)], pa.float64())],
-                ["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+                [*(batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id")), pa.array(tokens, pa.int64()),
+                 pa.array(sums, pa.float64()), pa.ListArray.from_arrays(pa.array(np.concatenate(cut), pa.int32()), pa.array(np.concatenate(rest)))],
+                ["row", "doc_id", "n_tokens", "net", "rest"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(scored, f"doc_id {kind}, n_tokens long, log_prob double, mean_log_prob double")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+                   .mapInArrow(scored, f"row long, doc_id {kind}, n_tokens long, net double, rest array<long>"), "scored")
+    inner = (rows.select("row", F.explode("rest").alias("word")).join(shares(counts, net), "word")
+             .groupBy("row").agg(F.sum("share").alias("inner")))
+    total = F.col("net") + F.coalesce("inner", F.lit(0.0))
+    return rows.drop("rest").join(inner, "row", "left").select(
+        "doc_id", "n_tokens", total.alias("log_prob"), F.try_divide(total, F.col("n_tokens")).alias("mean_log_prob"))
