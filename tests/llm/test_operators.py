@@ -113,6 +113,23 @@ def test_classifiers(spark, odd, empty, run, label, least):
     assert run(odd, none).count() == 8 and run(empty, none).count() == 0
 
 
+def test_toxicity_over_all_terms(spark, monkeypatch):
+    """Documents without a term that marks the label have neighbours, the nearest by brute force."""
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"word{j}x" for j in rng.integers(0, 60, 12)) + " vile" * (i % 5 == 0)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    index = toxicity.fit(docs, labels)
+    vectors = {i: index.vector(*v) for (i, _), v in zip(rows, toxicity.terms([t for _, t in rows]))}
+    got = {r.doc_id: r.evidence for r in toxicity.score(docs, labels).collect()}
+    for i, (found, value) in vectors.items():
+        own = dict(zip(found.tolist(), value))
+        near = {int(j): sum(own.get(f, 0) * v for f, v in zip(vectors[int(j)][0].tolist(), vectors[int(j)][1])) for j in index.ids}
+        best = sorted((j for j in near if near[j] > 0), key=lambda j: (-round(near[j], 9), j))[: toxicity.NEAREST]
+        assert len(got[i]) == toxicity.NEAREST and np.allclose([near[j] for j in got[i]], [near[j] for j in best])
+
+
 def test_vector_search(spark):
     found = vector_search.search(queries.table(spark, SF, "embeddings")).toPandas()
     rows = queries.table(spark, SF, "embeddings").toPandas()

@@ -1,10 +1,10 @@
 """Toxicity by nearest labelled examples.
 
-Texts are TF-IDF vectors over terms (words, and beginnings of words that stand in
-for their stems). The vocabulary is the ``TERMS`` terms whose presence goes most
-clearly with the label, by chi-square over a bounded sample of labelled rows
-(``SAMPLE_ROWS`` of the quality classifier, drawn by id hash); document frequencies
-are counted over all documents. A bounded set of labelled examples is kept in an
+Texts are TF-IDF vectors over all their terms (words, and beginnings of words that
+stand in for their stems); document frequencies are counted over all documents. A term
+whose presence goes clearly with the label, by chi-square over a bounded sample of
+labelled rows (``SAMPLE_ROWS`` of the quality classifier, drawn by id hash), weighs more;
+no term is left out. A bounded set of labelled examples is kept in an
 inverted index with a maximum weight for each block of postings. The nearest
 examples by exact cosine are found block by block, largest bound first, until no
 block left can hold a nearer one; their votes, weighted by distance, are calibrated
@@ -31,7 +31,6 @@ from .tokens import chunks, mix, runs, texts_of
 
 BITS = 18
 EXAMPLES = 4096
-TERMS = 512
 #: Bytes of a word's beginning that are terms beside the word.
 STEMS = (4, 5)
 #: Least chi-square of a word with the label, one degree of freedom (p below 1e-6).
@@ -46,9 +45,8 @@ ACCEPT = 0.3
 PRIOR = 0.5
 
 
-def terms(texts: list[str | None], bits: int = BITS, among: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Term numbers of each text and how often they occur, or only those that are not
-    0 in ``among``."""
+def terms(texts: list[str | None], bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Term numbers of each text and how often they occur."""
     shift = np.uint64(64 - bits)
     for a, b in chunks(texts):
         r = runs(texts[a:b], stems=STEMS)
@@ -59,9 +57,6 @@ def terms(texts: list[str | None], bits: int = BITS, among: np.ndarray | None =
             number.append((mix(h[longer] + np.uint64(k)) >> shift).astype(np.int64))
             doc.append(r.doc[longer])
         number, doc = np.concatenate(number), np.concatenate(doc)
-        if among is not None:
-            own = among[number] > 0
-            number, doc = number[own], doc[own]
         kinds, times = np.unique(doc << bits | number, return_counts=True)
         cut = np.searchsorted(kinds >> bits, np.arange(b - a + 1))
         kinds &= (1 << bits) - 1
@@ -82,34 +77,36 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ["term", "n0", "n1"])
 
 
-def _frequencies(among: np.ndarray):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(1 << BITS, np.int64), 0
-        for batch in batches:
-            for found, _ in terms(texts_of(batch), among=among):
-                total[found] += 1
-                rows += 1
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1).astype(np.int32)), pa.array(np.append(total[found], rows))],
-                                         ["term", "n"])
-    return count
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total, rows = np.zeros(1 << BITS, np.int64), 0
+    for batch in batches:
+        for found, _ in terms(texts_of(batch)):
+            total[found] += 1
+            rows += 1
+    found = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1).astype(np.int32)), pa.array(np.append(total[found], rows))],
+                                     ["term", "n"])
 
 
 @dataclass
 class Index:
-    """Examples in rows; postings by word in row order."""
+    """Examples in rows; postings by term and block in row order."""
 
-    idf: np.ndarray  # by term number; 0 where the word is outside the vocabulary
+    weight: np.ndarray  # by term number; 0 where no document has the term
     ids: np.ndarray
     y: np.ndarray
     base: float
-    postings: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)  # term: rows, weights
-    tops: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)  # term: blocks, their largest weights
+    rows: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    values: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    spans: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # starts in rows of the terms' blocks, and the end
+    blocks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    tops: np.ndarray = field(default_factory=lambda: np.zeros(0))  # largest weights
+    first: np.ndarray = field(default_factory=lambda: np.zeros((1 << BITS) + 1, np.int64))  # by term: its first block, and the end
     slope: float = 1.0
     shift: float = 0.0
 
     def vector(self, found: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weight = self.idf[found]
+        weight = self.weight[found]
         own = weight > 0
         value = (1 + np.log(times[own])) * weight[own]
         return found[own], value / (float(np.sqrt(value @ value)) or 1.0)
@@ -120,35 +117,32 @@ class Index:
         value = np.concatenate([v for _, v in vectors] or [np.zeros(0)])
         order = np.lexsort((row, word))
         word, row, value = word[order], row[order], value[order]
-        for w, a, b in zip(*_spans(word)):
-            rows, values = row[a:b], value[a:b]
-            block, i, _ = _spans(rows // BLOCK)
-            self.postings[int(w)] = rows, values
-            self.tops[int(w)] = block, np.maximum.reduceat(values, i)
+        key, start = np.unique(word << BITS | row // BLOCK, return_index=True)
+        self.rows, self.values, self.spans = row, value, np.append(start, len(row))
+        self.blocks, self.tops = key & (1 << BITS) - 1, np.maximum.reduceat(value, start) if len(row) else value
+        self.first = np.searchsorted(key >> BITS, np.arange((1 << BITS) + 1))
 
     def nearest(self, found: np.ndarray, value: np.ndarray, k: int = NEAREST, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the ``k`` nearest examples that share a term, nearest
         first, ties to the smaller id."""
-        known = [(self.postings[w], self.tops[w], v) for w, v in zip(found.tolist(), value) if w in self.postings]
-        if not known:
+        at, of = _ranges(self.first[found], self.first[found + 1])
+        if not len(at):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = np.zeros(-(-len(self.ids) // BLOCK))
-        for _, (block, top), v in known:
-            bound[block] += v * top
+        block, share = self.blocks[at], value[of]
+        bound = np.bincount(block, share * self.tops[at], -(-len(self.ids) // BLOCK))
         order = np.flatnonzero(bound)
         order = order[np.argsort(-bound[order], kind="stable")]
         rows, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for at in range(0, len(order), 8):
-            blocks = order[at : at + 8]
-            if len(rows) == k and bound[blocks[0]] < least - 1e-9:
+        for k0 in range(0, len(order), 8):
+            if len(rows) == k and bound[order[k0]] < least - 1e-9:
                 break
-            for b in blocks:
-                sums = np.zeros(BLOCK)
-                for (r, x), _, v in known:
-                    i, j = np.searchsorted(r, (b * BLOCK, (b + 1) * BLOCK))
-                    sums[r[i:j] - b * BLOCK] += v * x[i:j]
-                hit = np.flatnonzero(sums)
-                rows, cosines = np.append(rows, hit + b * BLOCK), np.append(cosines, sums[hit])
+            taken = np.zeros(len(bound), bool)
+            taken[order[k0 : k0 + 8]] = True
+            some = np.flatnonzero(taken[block])
+            post, own = _ranges(self.spans[at[some]], self.spans[at[some] + 1])
+            sums = np.bincount(self.rows[post], self.values[post] * share[some][own], len(self.ids))
+            hit = np.flatnonzero(sums)
+            rows, cosines = np.append(rows, hit), np.append(cosines, sums[hit])
             if without >= 0:
                 cosines, rows = cosines[rows != without], rows[rows != without]
             best = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
@@ -168,10 +162,11 @@ class Index:
         return float(1 / (1 + np.exp(-np.clip(self.slope * vote + self.shift, -30, 30))))
 
 
-def _spans(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values of a sorted array with the start and end of each."""
-    kinds, start = np.unique(values, return_index=True)
-    return kinds, start, np.append(start[1:], len(values))
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one after another, and the range each is of."""
+    size = end - start
+    of = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(of)) + (start - (np.cumsum(size) - size))[of], of
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES) -> Index | None:
@@ -189,20 +184,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
     chi2 = np.divide((n1 * float(t0) - n0 * float(t1)) ** 2 * (t0 + t1), part, out=np.zeros(len(term)), where=part > 0)
     share = n1 / both
     surely = (share + 2 / both - 2 * np.sqrt(share * (1 - share) / both + 1 / both**2)) / (1 + 4 / both)
-    chi2[surely < LEAST_SHARE] = 0
-    best = np.lexsort((term, -chi2))[:TERMS]
-    best = best[chi2[best] >= LEAST_CHI2]
-    among = np.zeros(1 << BITS, np.int8)
-    among[term[best]] = 1
-    counted = (docs.select("text").mapInArrow(_frequencies(among), "term int, n long").groupBy("term")
-               .agg(F.sum("n").alias("n")).toArrow())  # at most TERMS + 1 rows
+    marked = (surely >= LEAST_SHARE) & (chi2 >= LEAST_CHI2)
+    factor = np.ones(1 << BITS)
+    factor[term[marked]] += np.sqrt(chi2[marked])
+    counted = (docs.select("text").mapInArrow(_frequencies, "term int, n long").groupBy("term")
+               .agg(F.sum("n").alias("n")).toArrow())  # at most 2^BITS + 1 rows
     term, n = counted.column("term").to_numpy(), counted.column("n").to_numpy()
     idf = np.zeros(1 << BITS)
     idf[term[term >= 0]] = np.log((int(n[term < 0].sum()) + 1) / (n[term >= 0] + 1)) + 1
     drawn = (first_rows(known, examples, t0 + t1)
-             .mapInArrow(_vectors(among), "doc_id long, found array<int>, times array<int>, y int, place long"))
+             .mapInArrow(_vectors, "doc_id long, found array<int>, times array<int>, y int, place long"))
     drawn = drawn.toArrow().sort_by([("place", "ascending"), ("doc_id", "ascending")]).slice(0, examples)
-    index = Index(idf, drawn.column("doc_id").to_numpy(), drawn.column("y").to_numpy().astype(float), t1 / (t0 + t1))
+    index = Index(idf * factor, drawn.column("doc_id").to_numpy(), drawn.column("y").to_numpy().astype(float), t1 / (t0 + t1))
     vectors = [index.vector(np.array(f, np.int64), np.array(c, float))
                for f, c in zip(drawn.column("found").to_pylist(), drawn.column("times").to_pylist())]
     # like rows side by side, so that the blocks' bounds are tight
@@ -215,16 +208,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
     return index
 
 
-def _vectors(among: np.ndarray):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = list(terms(texts_of(batch), among=among))
-            part = {n: batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "y", "place")}
-            yield pa.RecordBatch.from_arrays(
-                [part["doc_id"].cast(pa.int64()), pa.array([f.astype(np.int32) for f, _ in pairs], pa.list_(pa.int32())),
-                 pa.array([c.astype(np.int32) for _, c in pairs], pa.list_(pa.int32())), part["y"].cast(pa.int32()),
-                 part["place"]], ["doc_id", "found", "times", "y", "place"])
-    return count
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = list(terms(texts_of(batch)))
+        part = {n: batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "y", "place")}
+        yield pa.RecordBatch.from_arrays(
+            [part["doc_id"].cast(pa.int64()), pa.array([f.astype(np.int32) for f, _ in pairs], pa.list_(pa.int32())),
+             pa.array([c.astype(np.int32) for _, c in pairs], pa.list_(pa.int32())), part["y"].cast(pa.int32()),
+             part["place"]], ["doc_id", "found", "times", "y", "place"])
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", accept: float = ACCEPT,
@@ -232,7 +223,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", accept: floa
     """``doc_id, held_out, score, predicted, evidence`` of every row: evidence holds
     the ids of the nearest examples, nearest first.
 
-    Null or empty text, or one without a term of the vocabulary: the calibrated base
+    Null or empty text, or one without a term of an example: the calibrated base
     rate, no evidence. Null id: not learned from. Repeated rows: each is scored. No
     usable labels: score 0, no evidence. Empty table: empty result."""
     ship(docs.sparkSession)
@@ -242,7 +233,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", accept: floa
         index = shared.value
         for batch in batches:
             values, evidence = [], []
-            for found, times in terms(texts_of(batch), among=index.idf) if index else ():
+            for found, times in terms(texts_of(batch)) if index else ():
                 rows, cosines = index.nearest(*index.vector(found, times))
                 values.append(index.probability(index.vote(rows, cosines)))
                 evidence.append(index.ids[rows])
