@@ -103,6 +103,30 @@ def test_decontamination(spark, odd, empty):
     assert sorted(r.doc_id or 0 for r in decontamination.clean(odd, bench).collect()) == [0, 3, 4, 6]
 
 
+@pytest.mark.parametrize("n", [60, 120, 250])
+def test_decontamination_near_the_threshold(n):
+    """Edited passages within longer texts, and cut items that are whole texts, against every window."""
+    rng, found, wanted = np.random.default_rng(n), 0, 0
+    items = [[f"i{k}w{j}" for j in range(n)] for k in range(40)]
+    index = decontamination.Index(list(range(40)), [" ".join(x) for x in items])
+    texts = []
+    for k, x in enumerate(items):
+        edited = list(x)
+        for at in rng.choice(n, max(1, n // 60), replace=False):
+            edited[at] = f"e{k}at{at}"
+        texts.append(" ".join([f"b{j}" for j in range(30)] + edited + [f"a{j}" for j in range(30)]))
+        texts.append(" ".join(x[: int(n * 0.86)]))
+    got = {(d, i) for d, i, _, _ in index.search(texts)}
+    r = decontamination.runs(texts)
+    for d in range(len(texts)):
+        v = decontamination.windows(r.hash[r.first[d] : r.first[d + 1]], 5)
+        best = max(index.similarity(v[i : i + n - 4].tolist(), d // 2) for i in range(len(v)))
+        wanted += best >= decontamination.THRESHOLD
+        found += best >= decontamination.THRESHOLD and (d, d // 2) in got
+    print("RECALL", n, found, wanted)
+    assert wanted >= 40 and found >= 0.99 * wanted and all(d // 2 == i for d, i in got)
+
+
 @pytest.mark.parametrize("run, label, least", [(quality.classify, "quality", 0.95), (toxicity.score, "toxic", 0.85)])
 def test_classifiers(spark, odd, empty, run, label, least):
     sf = "/root/testdata/sf0.01"

@@ -9,7 +9,8 @@ block lists all values that near, so none within the radius is missed. Candidate
 are verified by the exact weighted similarity of their shingles.
 
 Items share a window length with those up to a tenth shorter, so that the number of
-passes over a text depends on the range of lengths, not on the number of items. The
+passes over a text depends on the range of lengths, not on the number of items. A text
+shorter than a window is one window. The
 benchmark is held by every task in slices of at most ``SLICE`` items; a longer
 benchmark takes more passes.
 """
@@ -31,7 +32,7 @@ from .tokens import chunks, runs, shingles, texts_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
-RADIUS = 11
+RADIUS = 15
 LADDER = 1.1
 SLICE = 20_000
 #: Windows handled at a time, so that their counts stay in the processor's cache.
@@ -101,6 +102,7 @@ class Index:
         self.weight = {v: 1 + float(np.log(len(ids) / n)) for v, n in held.items()}
         self.rare = 1 + float(np.log(max(1, len(ids))))
         self.total = [sum(self.weight[v] for v in s.tolist()) for s in self.shingles]
+        self.known = np.unique(np.concatenate(self.shingles)) if self.shingles else np.zeros(0, np.uint64)
         self.steps = []
         for (window, size), items in sorted(steps.items()):
             prints = np.array([self._print(k) for k in items], np.uint64)
@@ -139,11 +141,12 @@ class Index:
         best: dict[tuple[int, int], tuple[float, int]] = {}
         running: dict[tuple[int, bool], np.ndarray] = {}
         values: dict[int, np.ndarray] = {}
+        tried: set[tuple[int, int]] = set()
+        held: dict[int, np.ndarray] = {}
+        size = np.diff(r.first)
         for step in self.steps:
             k = step.window - step.shingle + 1
             wide = k > 255
-            if len(r.hash) < step.window:
-                continue
             if step.shingle not in values:
                 values[step.shingle] = windows(r.hash, step.shingle)
             if (step.shingle, wide) not in running:
@@ -153,16 +156,28 @@ class Index:
             for b in range(1, 4):
                 hit |= step.tables[b][(prints >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.int64)]
             hit &= r.doc[: len(prints)] == r.doc[step.window - 1 : step.window - 1 + len(prints)]
-            place = np.flatnonzero(hit)
+            if step.shingle not in held:
+                # running number of shingles that some item has
+                held[step.shingle] = np.append(0, np.cumsum(np.isin(values[step.shingle], self.known)))
+            # a window is only near an item if windows within _verify's reach of it share a shingle with one
+            low = np.maximum(place := np.flatnonzero(hit), 2 * step.window) - 2 * step.window
+            high = np.minimum(place + 4 * step.window + 2, len(held[step.shingle]) - 1)
+            place = place[held[step.shingle][high] > held[step.shingle][low]]
             near = prints[place]
+            if len(short := np.flatnonzero((size < step.window) & (size >= step.shingle))):
+                # a shorter text is one window, compared at its own length
+                own = [values[step.shingle][r.first[d] : r.first[d + 1] - step.shingle + 1] for d in short.tolist()]
+                own = [(d, v) for d, v in zip(short.tolist(), own) if np.isin(v, self.known).any()]
+                place = np.append(place, [int(r.first[d]) for d, _ in own]).astype(np.int64)
+                near = np.append(near, np.array([fingerprints(counts(v, len(v) > 255), len(v))[0] for _, v in own], np.uint64))
             for item, p in zip(step.items, step.prints):
                 for at in place[np.bitwise_count(near ^ p) <= RADIUS].tolist():
-                    self._verify(r, values[step.shingle], step, item, at, best)
+                    self._verify(r, values[step.shingle], step, item, at, best, tried)
         for (doc, item), (similarity, at) in best.items():
             if similarity >= THRESHOLD:
                 yield doc, item, similarity, at - int(r.first[doc])
 
-    def _verify(self, r, values: np.ndarray, step: Step, item: int, at: int, best: dict) -> None:
+    def _verify(self, r, values: np.ndarray, step: Step, item: int, at: int, best: dict, tried: set) -> None:
         """Windows of the item's own length around a candidate; each is tried once."""
         doc = int(r.doc[at])
         words = len(self.shingles[item]) + step.shingle - 1
@@ -172,6 +187,9 @@ class Index:
             return
         low, high = int(r.first[doc]), int(r.first[doc + 1])
         for i in range(max(low, at - reach), min(at + reach, high - step.shingle) + 1):
+            if (i, item) in tried:
+                continue
+            tried.add((i, item))
             end = min(i + words, high) - step.shingle + 1
             s = self.similarity(values[i:end].tolist(), item)
             if s > known[0]:
