@@ -1,6 +1,9 @@
 """Driver contract and a Spark-vs-DuckDB spot check at the smallest scale."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -35,3 +38,16 @@ def test_matches_duckdb(spark, key):
     rel = con.sql(entry.oracle_sql()[key])
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(rel.columns, rel.fetchall())
+
+
+def test_imports_without_the_training_data_part(tmp_path):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(root, tmp_path / "copy", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    for with_pipeline in (False, True):  # the pipeline's file may stay when the subpackage goes
+        if with_pipeline:
+            (tmp_path / "copy" / "corpus_pipeline.py").write_text("from tillflow.llm import quality\n")
+        said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"],
+                              cwd=tmp_path / "copy", capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
+        assert said.returncode == 0, said.stderr
+        left = set(entry.queries()) - set(entry._LLM_QUERIES)
+        assert said.stdout.split() == [str(len(left))] * 2
