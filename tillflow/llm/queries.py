@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillflow.session import scratch_path
 
 from . import (decontamination, extraction, line_dedup, lm_scoring, mixing, near_dedup, periodic_runs, quality, ranked_search,
-               token_counts, toxicity, vector_search)
+               token_counts, toxicity, vector_dedup, vector_search)
 from .frames import written
 
 
@@ -76,6 +76,10 @@ def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_best_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -86,6 +90,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pseudo_likelihood, op2_quality_nbsvm, op3_balanced_lists, op4_decontamination, op5_order_minhash, op6_token_rollups,
-    op7_toxicity_nearest, op8_line_dedup, op9_mixing, op10_wrappers, op12_best_positions, op13_periodic_runs)}
+    op7_toxicity_nearest, op8_line_dedup, op9_mixing, op10_wrappers, op11_pivot_permutation, op12_best_positions, op13_periodic_runs)}
 ORACLE = {"op8_line_dedup": line_dedup.oracle_sql(), "op9_mixing": mixing.oracle_sql(),
           "op12_best_positions": ranked_search.oracle_sql()}

@@ -232,15 +232,12 @@ def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _slice(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     spark = docs.sparkSession
-    pairs = asked.orderBy("item_id", "term").toPandas()  # at most about SLICE rows
-    vocabulary = {t: i for i, t in enumerate(sorted(set(map(bytes, pairs["term"]))))}
-    ids, first, previous = [], [], object()
-    for i, item in enumerate(pairs["item_id"].astype(object).where(pairs["item_id"].notna(), None)):
-        if item != previous:
-            ids.append(item)
-            first.append(i)
-            previous = item
-    of = np.array([vocabulary[bytes(t)] for t in pairs["term"]], np.int64)
+    pairs = asked.orderBy("item_id", "term").toArrow()  # at most about SLICE rows
+    item_of, own = pairs.column("item_id").to_pylist(), pairs.column("term").to_pylist()
+    vocabulary = {t: i for i, t in enumerate(sorted(set(own)))}
+    first = [i for i, item in enumerate(item_of) if i == 0 or item != item_of[i - 1]]
+    ids = [item_of[i] for i in first]
+    of = np.array([vocabulary[t] for t in own], np.int64)
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
