@@ -46,15 +46,19 @@ SELECT
        ELSE 'SKU' || CAST(l_partkey AS VARCHAR) END AS stock_code,
   CASE WHEN l_linenumber = 7 AND l_partkey % 3 = 0 THEN 'nan'
        WHEN l_linenumber = 6 AND l_partkey % 5 = 0 THEN NULL
+       WHEN l_orderkey % 127 = 0 THEN UPPER(p_name) || repeat('-', 500)
        ELSE ' ' || UPPER(p_name) || ' ' END AS description,
   CASE WHEN l_orderkey % 113 = 0 THEN NULL
        WHEN l_returnflag = 'R' THEN -l_quantity
        ELSE l_quantity END AS quantity,
   CASE WHEN l_orderkey % 109 = 0 THEN NULL
+       WHEN l_orderkey % 3 = 0 THEN o_orderdate + (o_orderkey % 1440) * INTERVAL '1' MINUTE
+                                    + l_linenumber * INTERVAL '1' MILLISECOND
        ELSE o_orderdate + (o_orderkey % 1440) * INTERVAL '1' MINUTE END AS invoice_date,
   CASE WHEN l_orderkey % 101 = 0 THEN -p_retailprice
        WHEN l_orderkey % 103 = 0 THEN 0.0
        WHEN l_orderkey % 107 = 0 THEN NULL
+       WHEN l_orderkey % 131 = 0 THEN 1e8 + p_retailprice
        ELSE p_retailprice END AS unit_price,
   CASE WHEN o_custkey % 13 = 0 THEN NULL
        WHEN o_custkey % 17 = 0 THEN '  '
@@ -62,7 +66,8 @@ SELECT
        WHEN o_custkey % 4 = 0 THEN CAST(o_custkey % 100 AS VARCHAR)
        WHEN o_custkey % 4 = 1 THEN ' ' || CAST(o_custkey % 500 AS VARCHAR)
        ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
-  CASE WHEN n_nationkey % 2 = 0 THEN LOWER(n_name) ELSE n_name || ' ' END AS country,
+  CASE WHEN l_orderkey % 137 = 0 THEN NULL
+       WHEN n_nationkey % 2 = 0 THEN LOWER(n_name) ELSE n_name || ' ' END AS country,
   l_orderkey, l_partkey, l_linenumber, l_suppkey, l_extendedprice
 FROM lineitem
 JOIN orders   ON l_orderkey = o_orderkey
@@ -370,9 +375,9 @@ def _ranked_marks(where: str) -> str:
 WATERMARK_UPSERT = f"""SELECT
   COALESCE(t.pipeline_name, s.pipeline_name) AS pipeline_name,
   COALESCE(t.source_table, s.source_table) AS source_table,
-  CASE WHEN s.pipeline_name IS NOT NULL THEN s.last_processed_at ELSE t.last_processed_at END AS last_processed_at,
-  CASE WHEN s.pipeline_name IS NOT NULL THEN s.last_invoice_no ELSE t.last_invoice_no END AS last_invoice_no,
-  CASE WHEN s.pipeline_name IS NOT NULL THEN s.updated_at ELSE t.updated_at END AS updated_at
+  CASE WHEN s.source_table IS NOT NULL THEN s.last_processed_at ELSE t.last_processed_at END AS last_processed_at,
+  CASE WHEN s.source_table IS NOT NULL THEN s.last_invoice_no ELSE t.last_invoice_no END AS last_invoice_no,
+  CASE WHEN s.source_table IS NOT NULL THEN s.updated_at ELSE t.updated_at END AS updated_at
 FROM (SELECT country AS pipeline_name, 'raw_orders' AS source_table, invoice_date AS last_processed_at,
              invoice_no AS last_invoice_no, TIMESTAMP '2001-01-01 00:00:00' AS updated_at
       FROM ({_ranked_marks(f"AND invoice_date < {CUT}")}) WHERE rn = 1) t
@@ -382,7 +387,7 @@ FULL OUTER JOIN
              invoice_date AS last_processed_at, invoice_no AS last_invoice_no,
              TIMESTAMP '2001-09-01 00:00:00' AS updated_at
       FROM ({_ranked_marks("")}) WHERE rn = 1) s
-ON t.pipeline_name = s.pipeline_name AND t.source_table = s.source_table"""
+ON t.pipeline_name IS NOT DISTINCT FROM s.pipeline_name AND t.source_table = s.source_table"""
 
 AUDIT_DAYS = """SELECT CAST(invoice_date AS DATE) AS d, MIN(invoice_date) AS first_ts, MAX(invoice_date) AS last_ts,
   COUNT(*) AS lines, COUNT(*) FILTER (WHERE error_reason = '') AS clean,
@@ -405,7 +410,7 @@ FROM (SELECT 'orders_' || strftime(d, '%Y%m%d') AS batch_id, 'retail_orders_pipe
              first_ts AS started_at, CAST(NULL AS TIMESTAMP) AS completed_at,
              CAST(NULL AS DOUBLE) AS duration_seconds, CAST(NULL AS VARCHAR) AS error_message,
              first_ts AS updated_at
-      FROM ({AUDIT_DAYS}) WHERE year(d) IN (1995, 1996)) t
+      FROM ({AUDIT_DAYS}) WHERE year(d) <= 1996) t
 FULL OUTER JOIN
      (SELECT 'orders_' || strftime(d, '%Y%m%d') AS batch_id, 'late_writer' AS pipeline_name,
              'success' AS status, CAST(lines AS BIGINT) AS records_read, CAST(clean AS BIGINT) AS records_loaded,
@@ -413,7 +418,7 @@ FULL OUTER JOIN
              CAST(date_diff('second', first_ts, last_ts) AS DOUBLE) AS duration_seconds,
              CASE WHEN rejected > 0 THEN 'rejected ' || CAST(rejected AS VARCHAR) END AS error_message,
              last_ts AS updated_at
-      FROM ({AUDIT_DAYS}) WHERE year(d) IN (1996, 1997)) s
+      FROM ({AUDIT_DAYS}) WHERE year(d) >= 1996) s
 ON t.batch_id = s.batch_id"""
 
 TOKENED_SRC = ("SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, quantity, invoice_date, unit_price, "
@@ -422,6 +427,72 @@ TOKENED_SRC = ("SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, quantity,
                + " FROM src")
 
 
+NUMBER_TEXT = """SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, l_extendedprice,
+  CASE WHEN l_linenumber = 2 THEN NULL WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 6 THEN quantity * 10
+       ELSE quantity END AS quantity,
+  CASE WHEN l_linenumber = 4 THEN NULL WHEN l_linenumber = 5 THEN NULL ELSE unit_price END AS unit_price FROM src"""
+
+DATE_TEXT = """SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey, l_extendedprice,
+  CASE l_linenumber WHEN 2 THEN date_trunc('minute', invoice_date) WHEN 3 THEN NULL
+       WHEN 4 THEN date_trunc('day', invoice_date) WHEN 5 THEN NULL ELSE invoice_date END AS invoice_date FROM src"""
+
+YEARS = """SELECT CAST(year(invoice_date) AS VARCHAR) AS y, MIN(invoice_date) AS first_ts, MAX(invoice_date) AS last_ts,
+  COUNT(*) AS lines, COUNT(*) FILTER (WHERE error_reason = '') AS clean
+FROM flagged WHERE invoice_date IS NOT NULL GROUP BY 1"""
+
+# Years that end in an even digit complete, the others fail; each then reports once more.
+AUDIT_LIFECYCLE = f"""SELECT 'orders_' || y AS batch_id, 'retail_orders_pipeline' AS pipeline_name,
+  CASE WHEN CAST(y AS INTEGER) % 2 = 0 THEN 'success' ELSE 'failed' END AS status,
+  CAST(CASE WHEN CAST(y AS INTEGER) % 2 = 0 THEN lines ELSE 0 END AS BIGINT) AS records_read,
+  CAST(CASE WHEN CAST(y AS INTEGER) % 2 = 0 THEN clean ELSE 0 END AS BIGINT) AS records_loaded,
+  first_ts AS started_at, last_ts AS completed_at,
+  CAST(date_diff('microsecond', first_ts, last_ts) AS DOUBLE) / 1000000.0 AS duration_seconds,
+  CASE WHEN CAST(y AS INTEGER) % 2 = 1 THEN 'year ' || y END AS error_message
+FROM ({YEARS})"""
+
+MARK = ("(SELECT invoice_date AS t, invoice_no AS i FROM flagged WHERE error_reason = '' "
+        "ORDER BY invoice_date DESC, invoice_no DESC LIMIT 1)")
+
+MARTS_WRITTEN = f"""SELECT 'dim_customers' AS mart, customer_id AS name, CAST(total_orders AS BIGINT) AS counted,
+  CAST(lifetime_revenue AS DOUBLE) AS amount, customer_segment AS label, first_order_date AS first_at, last_order_date AS last_at
+FROM dim_customers
+UNION ALL
+SELECT 'dim_products', stock_code, CAST(times_ordered * 1000000 + unique_customers AS BIGINT), CAST(total_units_sold AS DOUBLE),
+  product_tier, first_sold_date, last_sold_date FROM dim_products
+UNION ALL
+SELECT 'fct_orders', CASE WHEN invoice_date < {CUT} THEN 'm1' ELSE 'm2' END, COUNT(*), CAST(SUM(net_line_total) AS DOUBLE),
+  NULL, MIN(invoice_date), MAX(invoice_date) FROM fct GROUP BY 2"""
+
+# Lines 7 have one field too many; unfit clean lines are set aside as well.
+CSV_QUARANTINE = f"""WITH {SRC},
+tokened AS ({TOKENED_SRC}),
+typed AS (
+SELECT {strip('invoice_no')} AS invoice_no, {strip('stock_code')} AS stock_code, {strip('description')} AS description,
+  quantity, invoice_date, unit_price, {strip('country')} AS country, l_linenumber = 7 AS overlong,
+  l_orderkey, l_partkey, l_linenumber, l_suppkey FROM tokened),
+lasts AS (
+SELECT *, row_number() OVER (PARTITION BY overlong, invoice_no, stock_code, invoice_date,
+    CASE WHEN overlong THEN (l_orderkey, l_partkey, l_linenumber, l_suppkey) END
+  ORDER BY l_orderkey DESC, l_partkey DESC, l_linenumber DESC, l_suppkey DESC) AS rn FROM typed),
+reasons AS (
+SELECT *, CASE WHEN overlong THEN 'record has more fields than the header; ' ELSE
+   CASE WHEN invoice_no IS NULL THEN 'invoice_no is null; ' ELSE '' END ||
+   CASE WHEN stock_code IS NULL THEN 'stock_code is null; ' ELSE '' END ||
+   CASE WHEN invoice_date IS NULL THEN 'invoice_date is null; ' ELSE '' END ||
+   CASE WHEN quantity IS NULL THEN 'quantity is null; ' ELSE '' END ||
+   CASE WHEN unit_price IS NULL THEN 'unit_price is null; ' ELSE '' END ||
+   CASE WHEN unit_price < 0 THEN 'unit_price is negative; ' ELSE '' END END AS failed,
+  CASE WHEN length(description) > 500 THEN 'description does not fit the raw table; ' ELSE '' END ||
+  CASE WHEN unit_price >= 1e8 THEN 'unit_price does not fit the raw table; ' ELSE '' END AS unfit
+FROM lasts WHERE rn = 1)
+SELECT load_status, error_reason, COUNT(*) AS line_rows, COUNT(DISTINCT invoice_no) AS invoices,
+  CAST(SUM(CASE WHEN has_record THEN 1 ELSE 0 END) AS BIGINT) AS with_record
+FROM (SELECT invoice_no, CASE WHEN failed != '' THEN failed WHEN unfit != '' THEN unfit END AS error_reason,
+             CASE WHEN failed || unfit = '' THEN 'loaded' ELSE 'quarantined' END AS load_status,
+             overlong OR (failed = '' AND unfit != '') AS has_record FROM reasons)
+GROUP BY 1, 2"""
+
+
 def _monthly() -> str:
     return ("SELECT d.year_month, SUM(f.net_line_total) AS revenue, COUNT(*) AS lines "
             "FROM fct f JOIN dim_date d ON f.date_id = d.date_id GROUP BY d.year_month")
@@ -429,9 +500,9 @@ def _monthly() -> str:
 
 ORACLE: dict[str, str] = {
     "rename_and_strip": q(f"SELECT {IDS}, invoice_no, stock_code, description, country FROM cleaned"),
-    "numeric_coerce": q(f"SELECT {IDS}, quantity, unit_price FROM cleaned"),
+    "numeric_coerce": q(NUMBER_TEXT),
     "customer_id_nullify": q(f"SELECT {IDS}, customer_id FROM cleaned"),
-    "date_coerce": q(f"SELECT {IDS}, invoice_date FROM cleaned"),
+    "date_coerce": q(DATE_TEXT),
     "string_nulls_nan": q(
         f"SELECT {IDS}, {strip("COALESCE(invoice_no, 'nan')")} AS invoice_no, "
         f"{strip("COALESCE(stock_code, 'nan')")} AS stock_code, "
@@ -585,4 +656,18 @@ ORACLE: dict[str, str] = {
     "pipeline_end_to_end": q(
         f"SELECT invoice_no, stock_code, description, {dbl('quantity')}, invoice_date, {dbl('unit_price')}, "
         f"customer_id, country, CASE WHEN invoice_date < {CUT} THEN 'e2e_1' ELSE 'e2e_2' END AS batch_id FROM raw"),
+    "csv_quarantine": CSV_QUARANTINE,
+    "audit_lifecycle": q(AUDIT_LIFECYCLE),
+    "no_new_rows": q(
+        f"SELECT CAST(COUNT(*) AS BIGINT) AS records_read, CAST(0 AS BIGINT) AS records_loaded, "
+        f"(SELECT COUNT(*) FROM raw) AS raw_rows, (SELECT t FROM {MARK}) AS marked_at, "
+        f"(SELECT i FROM {MARK}) AS marked_invoice "
+        f"FROM cleaned, {MARK} AS x WHERE invoice_date > x.t OR (invoice_date = x.t AND invoice_no > x.i)"),
+    "marts_written": q(MARTS_WRITTEN),
+    "compacted_lines": q(
+        "SELECT strftime(invoice_date, '%Y-%m') AS month, load_status, COUNT(*) AS line_rows, "
+        "CAST(SUM(quantity) AS DOUBLE) AS quantity FROM ("
+        "SELECT *, CASE WHEN error_reason = '' THEN 'loaded' ELSE 'quarantined' END AS load_status FROM conformed "
+        f"WHERE (error_reason != '' OR loadable) AND invoice_date >= TIMESTAMP '1995-03-01 00:00:00' "
+        "AND invoice_date <= TIMESTAMP '1998-02-15 00:00:00') GROUP BY 1, 2"),
 }

@@ -50,7 +50,7 @@ def test_missing_column_is_an_error(spark, write_csv):
 
 
 def test_missing_file_is_an_error(spark):
-    with pytest.raises(ExtractionError, match="not found"):
+    with pytest.raises(ExtractionError, match="no source at"):
         source_header(spark, "/tmp/definitely/not/here.csv")
 
 

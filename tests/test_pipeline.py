@@ -7,6 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from tillflow.operators.datatests import DataTestFailure, unique_failures
 from tillflow.operators.incremental import filter_new_records
 from tillflow.plans import pipeline, queries
 from tillflow.sources.csv_source import ExtractionError
@@ -131,9 +132,8 @@ def test_failed_run_is_audited(spark, tmpdir_path):
     a = pipeline.AuditLog(spark, os.path.join(wh, "state/pipeline_audit")).frame().first()
     assert a.status == "failed" and "more fields" in a.error_message
     assert pipeline.read_raw(spark, wh).count() == 0
-    # keep mode loads the row cut to the header width
-    r = pipeline.run_pipeline(spark, src, wh, batch_id="keep", on_ragged="keep")
-    assert r.records_loaded == 1
+    r = pipeline.run_pipeline(spark, src, wh, batch_id="aside", on_ragged="quarantine")
+    assert (r.records_loaded, r.records_quarantined) == (0, 1)
 
 
 def test_latin1_source_is_reread(spark, tmpdir_path):
@@ -172,8 +172,13 @@ def test_marts_tests_and_dashboard(spark, tmpdir_path):
     params = ModelParams(as_of=dt.date(2001, 8, 31), spine_start=dt.date(1995, 1, 1), spine_days=2557)
     models = pipeline.build_marts(spark, wh, params)
     assert models["dim_date"].count() == 2557
-    res = pipeline.run_tests(spark, wh, params)
-    assert res.count() == 34
+    res = {(r.model, r.column_name, r.test): r.failures for r in pipeline.run_tests(spark, wh, params, False).collect()}
+    assert len(res) == 34
+    # lines without a country and keys that meet within one second are planted in the source
+    planted = {("stg_orders", "country", "not_null"), ("fct_orders", "order_key", "unique")}
+    assert {k for k, n in res.items() if n > 0} == planted
+    with pytest.raises(DataTestFailure, match="order_key:unique"):
+        pipeline.run_tests(spark, wh, params)
     d = pipeline.dashboard(spark, wh)
     kpi = d["kpi_headline"].first()
     assert kpi.total_customers == models["dim_customers"].count()
@@ -276,16 +281,25 @@ def test_batch_scoped_tests_match_full_and_catch_cross_batch_keys(spark, tmpdir_
             for r in pipeline.run_tests(spark, wh, params, False, built).collect()}
     scoped = {(r.model, r.column_name, r.test): r.failures
               for r in pipeline.run_tests(spark, wh, params, False, built, batches=["t2"]).collect()}
-    assert scoped.keys() == full.keys() and all(v == 0 for v in scoped.values())
+    assert scoped.keys() == full.keys()
+    fct = built["fct_orders"]
+    in_t2 = fct.filter(F.col("batch_id") == "t2")
+    lo = in_t2.agg(F.min("invoice_date")).first()[0]
+    expected = {("stg_orders", "country", "not_null"): in_t2.filter(F.col("country").isNull()).count(),
+                ("fct_orders", "order_key", "unique"): unique_failures(fct.filter(F.col("invoice_date") >= F.lit(lo)), "order_key").count()}
+    assert {k: n for k, n in scoped.items() if n} == expected
+    assert all(n <= full[k] for k, n in scoped.items())
+    once = fct.groupBy("order_key").count().filter("count = 1").select("order_key")
+    row = in_t2.join(once, "order_key").orderBy(F.desc("invoice_date"), "order_key").first()
+    before = unique_failures(fct.filter(F.col("invoice_date") >= F.lit(row.invoice_date)), "order_key").count()
     pipeline.release(built)
     # a later batch repeating an already loaded line is caught by the scoped run
     srcf = os.path.join(tmpdir_path, "late")
-    row = pipeline.read_raw(spark, wh).filter(F.col("batch_id") == "t2").orderBy(F.desc("invoice_date")).first()
     _csv(srcf, "x.csv", [f"{row.invoice_no},{row.stock_code},dup,1,{row.invoice_date:%Y-%m-%d %H:%M:%S},1.0,7,UK\n"])
     shutil.rmtree(os.path.join(wh, "state/pipeline_watermark"))
     pipeline.run_pipeline(spark, srcf, wh, batch_id="t3")
     built = pipeline.build_marts(spark, wh, params, batches=["t3"])
     scoped = {(r.model, r.column_name, r.test): r.failures
               for r in pipeline.run_tests(spark, wh, params, False, built, batches=["t3"]).collect()}
-    assert scoped[("fct_orders", "order_key", "unique")] == 1
+    assert scoped[("fct_orders", "order_key", "unique")] == before + 1
     pipeline.release(built)

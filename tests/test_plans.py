@@ -72,14 +72,35 @@ def test_report_joins_see_pre_aggregated_facts(spark):
     assert join_at > 0 and "partial_sum" in plan
 
 
-def test_star_join_keeps_null_keys_out_of_the_shuffle(spark):
+def _scans(plan: str, column: str) -> int:
+    """Scans of a table that read this column."""
     import re
 
+    return len(re.findall(rf"ReadSchema: struct<[^\n]*\b{column}\b", plan))
+
+
+def test_star_join_reads_the_fact_once_and_spreads_null_keys(spark, tmpdir_path):
+    from tillflow.plans import reports
+
+    m = queries.models(spark, SF)
+    m.fct_orders.write.parquet(f"{tmpdir_path}/fct")
+    m.dim_customers.write.parquet(f"{tmpdir_path}/dim")
+    fct, dim = (spark.read.parquet(f"{tmpdir_path}/{n}") for n in ("fct", "dim"))
+    plan = _plan(reports.star_orders_customers(fct, dim.hint("merge")))
+    assert _scans(plan, "order_key") == 1 and "Union" not in plan.split("\n\n\n", 1)[0]
+    # the join key is (customer, salt), so lines without a customer do not hash alike
+    assert "hashpartitioning(customer_id" in plan and "_salt" in plan
+
+
+def test_headline_and_data_tests_read_each_model_once(spark, tmpdir_path):
+    from tillflow.operators import datatests
     from tillflow.plans import reports
 
     m = queries.models(spark, SF)
-    plan = _plan(reports.star_orders_customers(m.fct_orders, m.dim_customers))
-    # one branch joins the lines that have a key, the other passes the NULL
-    # keys through without a join; they meet in a union
-    assert "Union" in plan and re.search(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) LeftOuter", plan)
-    assert re.search(r"isnotnull\(", plan) and re.search(r"\bisnull\(", plan)
+    m.fct_orders.write.parquet(f"{tmpdir_path}/fct")
+    fct = spark.read.parquet(f"{tmpdir_path}/fct")
+    plan = _plan(reports.kpi_headline(fct))
+    assert _scans(plan, "invoice_no") == 1 and "partial_" in plan
+    spec = datatests.DECLARED_TESTS[-1]
+    plan = _plan(datatests.run_model_tests(fct, spec))
+    assert _scans(plan, "order_key") == 1

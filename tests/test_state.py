@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from tillflow.state.pipeline_state import AuditLog, WatermarkStore
 from tillflow.state.versioned import upsert
 
@@ -43,31 +45,69 @@ def test_audit_lifecycle(spark, tmpdir_path):
     assert r.duration_seconds == 300.0
 
 
-def test_versions_history_and_compaction(spark, tmpdir_path):
-    from tillflow.state.versioned import StateTable
+def test_changes_fold_into_few_files(spark, tmpdir_path):
+    """Equal to a plain dictionary after every change, also at the folds; the number of
+    files follows the logarithm of the changes."""
+    path = os.path.join(tmpdir_path, "wm")
+    wm, want = WatermarkStore(spark, path), {}
+    for i in range(40):
+        key = f"p{i % 3}"
+        wm.write(key, "raw_orders", T1 + dt.timedelta(seconds=i), str(i), T1)
+        want[key] = (T1 + dt.timedelta(seconds=i), str(i))
+        if i in (0, 14, 15, 16, 31, 39):
+            fresh = WatermarkStore(spark, path)
+            assert {k: fresh.read(k, "raw_orders") for k in want} == want
+            assert fresh.table.changes() == i + 1
+    assert wm.table.files() == 2 + 40 % 16
+    # folded files stay until the next fold and are not read
+    assert len([n for n in os.listdir(path) if n.endswith(".json")]) == 8 + 16
 
-    wm = WatermarkStore(spark, os.path.join(tmpdir_path, "wm"))
+
+def test_cut_off_folds_and_changes_are_not_read(spark, tmpdir_path, monkeypatch):
+    from tillflow.state import versioned
+
+    path = os.path.join(tmpdir_path, "audit")
+    a = AuditLog(spark, path)
+    a.start("b0", "pipe", T1)
+    os.makedirs(os.path.join(path, "part-1-000000000000-000000000015"))     # no _SUCCESS
+    with open(os.path.join(path, "_half"), "w") as f:
+        f.write('{"change": 1, "ro')
+    assert a.frame().count() == 1 and a.table.changes() == 1
+
+    def cut(*x, **k):
+        raise KeyboardInterrupt
+    monkeypatch.setattr(versioned, "folded", cut)
+    monkeypatch.setattr(versioned, "FAN_IN", 2)
+    with pytest.raises(KeyboardInterrupt):      # the change is written, its fold is not
+        a.start("b1", "pipe", T2)
+    monkeypatch.undo()
+    assert {r.batch_id for r in a.frame().collect()} == {"b0", "b1"}
+
+
+def test_first_values_are_kept_through_folds(spark, tmpdir_path, monkeypatch):
+    from tillflow.state import versioned
+
+    monkeypatch.setattr(versioned, "FAN_IN", 2)
+    a = AuditLog(spark, os.path.join(tmpdir_path, "audit"))
+    a.start("b1", "first", T1)
     for i in range(5):
-        wm.write("p", "raw_orders", T1, str(i), T1)
-    table: StateTable = wm.table
-    assert table.versions() == [1, 2, 3, 4, 5]
-    assert table.history().count() == 5
-    # a version folder without a committed write is ignored
-    os.makedirs(os.path.join(tmpdir_path, "wm", "version=9"))
-    fresh = WatermarkStore(spark, os.path.join(tmpdir_path, "wm"))
-    assert fresh.read("p", "raw_orders") == (T1, "4")
-    assert fresh.table.compact(keep=2) == 3
-    assert fresh.table.versions() == [4, 5]
-    assert WatermarkStore(spark, os.path.join(tmpdir_path, "wm")).read("p", "raw_orders") == (T1, "4")
-
-
-def test_pipeline_keeps_bounded_state_history(spark, tmpdir_path):
-    from tillflow.plans import pipeline, queries
-
-    wh = os.path.join(tmpdir_path, "wh")
-    src = queries.source(spark, "/root/testdata/sf0.001")
+        a.fail("b1", f"late{i}", T2, f"try {i}", completed_at=T2)
+        a.start(f"c{i}", "pipe", T2)
+    a.complete("b1", "later", T2, 7, 6, completed_at=T2)
+    r = a.frame().filter("batch_id = 'b1'").first()
+    assert (r.pipeline_name, r.started_at, r.status, r.records_read, r.error_message) == ("first", T1, "success", 7, None)
+    assert a.frame().count() == 6
+
+
+def test_a_change_writes_one_small_file_whatever_the_history(spark, tmpdir_path, monkeypatch):
+    path = os.path.join(tmpdir_path, "wm")
+    wm = WatermarkStore(spark, path)
     for i in range(3):
-        pipeline.run_pipeline(spark, src, wh, batch_id=f"s{i}", keep_state_versions=2)
-    audit = AuditLog(spark, os.path.join(wh, "state/pipeline_audit"))
-    assert len(audit.table.versions()) == 2
-    assert {r.batch_id for r in audit.frame().collect()} == {"s0", "s1", "s2"}
+        wm.write(f"p{i}", "raw_orders", T1, None, T1)
+    monkeypatch.setattr(type(wm.table), "read", None)       # a change reads nothing
+    before = set(os.listdir(path))
+    wm.write("p1", "raw_orders", T2, "5", T1)
+    new = [n for n in set(os.listdir(path)) - before if not n.startswith(".")]
+    assert new == ["change-000000000003.json"] and os.path.getsize(os.path.join(path, new[0])) < 500
+    monkeypatch.undo()
+    assert wm.read("p1", "raw_orders") == (T2, "5") and wm.read("p0", "raw_orders") == (T1, None)

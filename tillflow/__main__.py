@@ -82,7 +82,7 @@ def main(argv=None) -> int:
     ap.add_argument("--date-first", choices=["month", "day"], default="month")
     ap.add_argument("--multi-line", action="store_true")
     ap.add_argument("--encoding", default="auto")
-    ap.add_argument("--on-ragged", choices=["fail", "keep"], default="fail")
+    ap.add_argument("--on-ragged", choices=["fail", "quarantine"], default="fail")
     ap.add_argument("--publish", choices=["rename", "direct"], default="rename")
     ap.add_argument("--continuous", action="store_true")
     ap.add_argument("--scope-tests", action="store_true", help="daily: test only what this batch adds")

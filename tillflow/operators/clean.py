@@ -31,7 +31,7 @@ def cast_data_types(df: DataFrame, options: IngestOptions = IngestOptions()) ->
     types = {f.name: f.dataType for f in df.schema.fields}
     missing = [c for c in ("quantity", "unit_price", "invoice_date") if c not in types]
     if missing:
-        raise ValidationError(f"Type casting failed: missing columns {missing}")
+        raise ValidationError(f"The source frame has no {', '.join(missing)} to type")
     exprs = {}
     for c in STRIPPED_TEXT_COLUMNS:
         if c in types:

@@ -9,7 +9,9 @@ the skipped rows are counted by the caller.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.config import RAW_DECIMAL, RAW_TEXT_WIDTHS
@@ -21,20 +23,29 @@ RAW_COLUMNS = ("invoice_no", "stock_code", "description", "quantity", "invoice_d
                "unit_price", "customer_id", "country", "batch_id", "ingested_at")
 
 
+def _fits(columns) -> dict[str, Column]:
+    """Whether each value, after the load-time null tokens, fits its declared type."""
+    p, s = RAW_DECIMAL
+    out = {c: F.coalesce(F.length(load_null_tokens(F.col(c).cast("string"))) <= width, F.lit(True))
+           for c, width in RAW_TEXT_WIDTHS.items() if c in columns}
+    return out | {c: fits_decimal(F.col(c), p, s) for c in ("quantity", "unit_price")}
+
+
+def unfit_columns(columns) -> Column:
+    """Names of the columns whose incoming values do not fit, in table order."""
+    fits = _fits(columns)
+    return F.array_compact(F.array(*[F.when(~fits[c], F.lit(c)) for c in RAW_COLUMNS if c in fits]))
+
+
 def conform_raw(df: DataFrame) -> DataFrame:
     """Typed raw-table columns plus ``_loadable``."""
     p, s = RAW_DECIMAL
-    text = [c for c in RAW_TEXT_WIDTHS if c in df.columns]
-    exprs = {c: load_null_tokens(F.col(c).cast("string")) for c in text}
+    exprs = {c: load_null_tokens(F.col(c).cast("string")) for c in RAW_TEXT_WIDTHS if c in df.columns}
     for c in ("invoice_date", "ingested_at"):
         if c in df.columns:
             exprs[c] = truncate_to_second(c)
     for c in ("quantity", "unit_price"):
         exprs[c] = to_decimal(c, p, s)
-    fits = [F.coalesce(F.length(exprs[c]) <= RAW_TEXT_WIDTHS[c], F.lit(True)) for c in text]
-    fits += [fits_decimal(F.col(c), p, s) for c in ("quantity", "unit_price")]
-    loadable = fits[0]
-    for f in fits[1:]:
-        loadable = loadable & f
+    loadable = reduce(Column.__and__, _fits(df.columns).values())
     # The flag reads the incoming values, so it is added before they are replaced.
     return df.withColumn(LOADABLE_COL, loadable).withColumns(exprs)

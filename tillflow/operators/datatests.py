@@ -2,9 +2,9 @@
 
 A test returns failing rows: ``not_null`` the rows where the column is NULL,
 ``unique`` the non-NULL values that occur more than once. It passes when the
-count is zero. All not_null tests of one model run in one aggregation pass;
-each unique test is one grouped aggregation (partial aggregation map-side, so
-a value repeated a billion times is combined before the shuffle).
+count is zero. All tests of one model run in one pass over it (see
+``distinct_counts``): null counts and the occurrences of unique values are
+combined map-side, so a value repeated a billion times is one row for each task.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.operators.distinct_counts import OCCURS, PLAIN, TAG, tagged
+
 
 class DataTestFailure(Exception):
     pass
@@ -70,18 +72,21 @@ def not_null_results(df: DataFrame, model: str, columns) -> DataFrame:
     return df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
-def unique_results(df: DataFrame, model: str, column: str) -> DataFrame:
-    dup_values = unique_failures(df, column)
-    return dup_values.agg(_result_row(model, column, "unique", F.count(F.lit(1))).alias("r")).select("r.*")
-
-
 def run_model_tests(df: DataFrame, spec: ModelTests, unique_df: DataFrame | None = None) -> DataFrame:
-    parts = []
-    if spec.not_null:
-        parts.append(not_null_results(df, spec.model, spec.not_null))
-    u = df if unique_df is None else unique_df
-    parts += [unique_results(u, spec.model, c) for c in spec.unique]
-    return reduce(DataFrame.unionByName, parts)
+    """All tests of a model from one pass over it; unique tests over another frame
+    (``unique_df``) read that one too."""
+    if unique_df is not None and spec.unique:
+        return (run_model_tests(df, ModelTests(spec.model, spec.not_null))
+                .unionByName(run_model_tests(unique_df, ModelTests(spec.model, unique=spec.unique))))
+    if not spec.unique:
+        return not_null_results(df, spec.model, spec.not_null)
+    missing = {f"_null_{i}": F.when(F.col(c).isNull(), F.lit(1)).otherwise(F.lit(0)) for i, c in enumerate(spec.not_null)}
+    seen = tagged(df, {c: F.col(c) for c in spec.unique}, missing)
+    rows = [_result_row(spec.model, c, "not_null", F.coalesce(F.max(F.when(F.col(TAG) == PLAIN, F.col(n))), F.lit(0)))
+            for c, n in zip(spec.not_null, missing)]
+    rows += [_result_row(spec.model, c, "unique", F.count_if((F.col(TAG) == i + 1) & (F.col(OCCURS) > 1)))
+             for i, c in enumerate(spec.unique)]
+    return seen.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
 
 
 def test_suite(models: dict[str, DataFrame], specs=DECLARED_TESTS,

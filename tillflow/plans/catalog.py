@@ -45,11 +45,6 @@ class Models:
         else:
             self.dim_date = marts.dim_date(self.spark, p.spine_start, p.spine_days)
 
-    @property
-    def date_dim_days(self) -> int | None:
-        """Plan-time row bound of dim_date, when it is a parameter."""
-        return None if self.params.spine_from_data else self.params.spine_days
-
     def as_dict(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in MODEL_NAMES}
 

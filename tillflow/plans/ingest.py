@@ -14,13 +14,21 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.config import ERROR_REASON_WIDTH, IngestOptions
+from tillflow.config import DEDUP_KEYS, ERROR_REASON_WIDTH, IngestOptions
 from tillflow.operators.clean import ValidationError, clean
-from tillflow.operators.conform import LOADABLE_COL, RAW_COLUMNS, conform_raw
+from tillflow.operators.conform import LOADABLE_COL, RAW_COLUMNS, conform_raw, unfit_columns
 from tillflow.operators.dedup import dedup_keep_last
 from tillflow.operators.incremental import filter_new_records
 from tillflow.operators.quality import REASON_COL, add_audit_columns, flag_quality
 from tillflow.sinks.tables import LINES_SCHEMA, LOADED, QUARANTINED, STATUS_COL
+from tillflow.sources.csv_source import RECORD_COL
+
+#: Reasons of quarantined rows that failed no quality rule.
+OVERLONG_REASON = "record has more fields than the header; "
+UNFIT_REASON = " does not fit the raw table; "
+#: Rows of ``batch_lines`` whose values do not fit, whatever became of them.
+UNFIT_COL = "_unfit"
+
 
 def prepare(source: DataFrame, options: IngestOptions = IngestOptions(),
             last_processed_at: dt.datetime | None = None, last_invoice_no: str | None = None) -> DataFrame:
@@ -36,7 +44,14 @@ def prepare(source: DataFrame, options: IngestOptions = IngestOptions(),
 
 
 def dedup_and_flag(prepared: DataFrame, order_col: str = "_ord") -> DataFrame:
-    return flag_quality(dedup_keep_last(prepared, order_col=order_col))
+    """Keep-last rows with their failed rules. Overlong records, where the source carries
+    them, are told apart by their whole text: their fields may stand in wrong columns, so
+    they never replace a line and fail for that one reason."""
+    if RECORD_COL not in prepared.columns:
+        return flag_quality(dedup_keep_last(prepared, order_col=order_col))
+    flagged = flag_quality(dedup_keep_last(prepared, order_col=order_col, keys=(*DEDUP_KEYS, RECORD_COL)))
+    overlong = F.col(RECORD_COL).isNotNull()
+    return flagged.withColumn(REASON_COL, F.when(overlong, F.lit(OVERLONG_REASON)).otherwise(F.col(REASON_COL)))
 
 
 def transform(source: DataFrame, options: IngestOptions = IngestOptions(),
@@ -73,19 +88,32 @@ def quarantine(flagged: DataFrame, batch_id: str, ingested_at: dt.datetime,
 
 
 def batch_lines(flagged: DataFrame, batch_id: str, ingested_at: dt.datetime,
-                quarantined_at: dt.datetime) -> DataFrame:
+                quarantined_at: dt.datetime, on_unfit: str = "skip") -> DataFrame:
     """Rows of one batch of ``order_lines``: clean rows that fit the raw
     table's types (``loaded``) and every rejected row (``quarantined``,
     values that do not fit become NULL), with ``_loadable`` kept for the
-    caller's skipped-row count. Columns: LINES_SCHEMA without batch_id."""
-    rejected = F.col(REASON_COL) != ""
-    c = conform_raw(add_audit_columns(flagged, batch_id, ingested_at))
-    out = c.select(
+    caller's skipped-row count and ``_unfit`` for clean rows that do not fit. With
+    ``on_unfit="quarantine"`` those are rejected rows too: the reason names the columns
+    and ``raw_record`` holds the values as they came, as JSON.
+    Columns: LINES_SCHEMA without batch_id, and the two flags."""
+    record = F.col(RECORD_COL) if RECORD_COL in flagged.columns else F.lit(None).cast("string")
+    failed = F.col(REASON_COL) != ""
+    values = F.to_json(F.struct(*[F.col(c) for c in RAW_COLUMNS if c in flagged.columns]))
+    unfit = ~failed & (F.size("_unfit_columns") > 0)
+    c = add_audit_columns(flagged, batch_id, ingested_at)
+    c = c.withColumn("_unfit_columns", unfit_columns(c.columns)).withColumn("_values", F.when(unfit, values))
+    c = conform_raw(c.withColumns({UNFIT_COL: unfit, "_record": record}))
+    reason = F.col(REASON_COL)
+    if on_unfit == "quarantine":
+        names = F.concat_ws("", F.transform("_unfit_columns", lambda x: F.concat(x, F.lit(UNFIT_REASON))))
+        reason = F.when(F.col(UNFIT_COL), names).otherwise(reason)
+    rejected = reason != ""
+    return c.select(
         *[F.col(f.name) for f in LINES_SCHEMA.fields
-          if f.name not in ("batch_id", REASON_COL, "quarantined_at", STATUS_COL)],
-        F.when(rejected, F.substring(REASON_COL, 1, ERROR_REASON_WIDTH)).alias(REASON_COL),
+          if f.name not in ("batch_id", REASON_COL, "quarantined_at", "raw_record", STATUS_COL)],
+        F.when(rejected, F.substring(reason, 1, ERROR_REASON_WIDTH)).alias(REASON_COL),
         F.when(rejected, F.lit(quarantined_at).cast("timestamp_ntz")).alias("quarantined_at"),
+        F.coalesce("_record", F.when(rejected, F.col("_values"))).alias("raw_record"),
         F.when(rejected, F.lit(QUARANTINED)).otherwise(F.lit(LOADED)).alias(STATUS_COL),
-        F.col(LOADABLE_COL),
+        F.col(LOADABLE_COL), F.col(UNFIT_COL),
     )
-    return out

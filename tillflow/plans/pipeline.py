@@ -14,6 +14,11 @@ Ingest plan, per batch, one heavy job:
    as ``batch_id=<id>``, advance the watermark, and only then close the audit
    row.
 
+A run leaves a note of itself while it is under way (``state.pending``). A run
+that was cut off is settled by the next one before it reads the mark: was its
+batch published, the mark moves to where the batch ended, else what it wrote is
+removed. No line is loaded twice and none is left out.
+
 A batch id that exists already is read again from the mark its first run
 started from (kept in the batch folder), without the rows that later batches
 loaded. It is replaced only by a folder that holds all of its loaded lines, and
@@ -39,7 +44,7 @@ from tillflow.operators.conform import LOADABLE_COL
 from tillflow.operators.datatests import assert_suite_passes, test_suite
 from tillflow.operators.incremental import new_records_predicate
 from tillflow.operators.quality import REASON_COL
-from tillflow.plans import ingest, marts, reports, staging
+from tillflow.plans import dim_state, ingest, marts, reports, staging
 from tillflow.plans.catalog import TABLE_MODELS, VIEW_MODELS, ModelParams, Models
 from tillflow.sinks.tables import (
     BATCH_COL,
@@ -47,11 +52,12 @@ from tillflow.sinks.tables import (
     LoadError,
     batch_count,
     batch_folder,
+    compact_lines,
     delete_path,
+    incoming_folder,
     lines_missing,
     overwrite,
     publish_batch,
-    read_marks,
     read_quarantine as _read_quarantine,
     read_raw_orders,
     recover_batch,
@@ -61,6 +67,7 @@ from tillflow.sinks.tables import (
     write_incoming,
     write_marks,
 )
+from tillflow.sinks import history
 from tillflow.sources.csv_source import (
     LATIN1,
     UTF8,
@@ -71,6 +78,7 @@ from tillflow.sources.csv_source import (
     not_utf8,
     read_source_csv,
 )
+from tillflow.state.pending import CHECKED, WRITING, PendingRuns
 from tillflow.state.pipeline_state import AuditLog, WatermarkError, WatermarkStore, utcnow
 
 log = logging.getLogger("tillflow.pipeline")
@@ -109,6 +117,14 @@ class Layout:
     def audit(self) -> str:
         return self.path("state/pipeline_audit")
 
+    @property
+    def dim_state(self) -> str:
+        return self.path("state/dimensions")
+
+    @property
+    def pending(self) -> str:
+        return self.path("state/pending_runs")
+
     def mart(self, name: str) -> str:
         return self.path(f"marts/{name}")
 
@@ -168,10 +184,13 @@ def _as_mark(text: list) -> Mark:
 
 
 def _start(spark: SparkSession, layout: Layout, batch_id: str, pipeline_name: str, stored: Mark) -> Start:
+    marks = None
     if not recover_batch(spark, layout.lines, batch_id):
-        return Start(stored, stored, stored)
-    marks = read_marks(spark, batch_folder(layout.lines, batch_id))
-    if marks is None:
+        marks = history.read_layout(spark, layout.lines).batches.get(batch_id)
+        if marks is None:
+            return Start(stored, stored, stored)
+    marks = marks or history.marks_of(spark, layout.lines, batch_id)
+    if marks is None or "start" not in marks:
         raise LoadError(f"Batch {batch_id} is loaded but does not say where it started, so it cannot be "
                         "read again whole; use a new batch id")
     if marks["pipeline"] != pipeline_name:
@@ -179,6 +198,40 @@ def _start(spark: SparkSession, layout: Layout, batch_id: str, pipeline_name: st
     return Start(_as_mark(marks["start"]), stored, _as_mark(marks["end"]), replaces=True)
 
 
+def _is_past(mark: Mark, stored: Mark) -> bool:
+    return mark[0] is not None and (stored[0] is None or (mark[0], mark[1] or "") > (stored[0], stored[1] or ""))
+
+
+def recover(spark: SparkSession, warehouse: str, pipeline_name: str = PIPELINE_NAME, clock=utcnow,
+            truncate_watermark: bool = False) -> list[str]:
+    """Settles runs of a pipeline that were cut off; returns the ids of the batches that
+    count as loaded. Called at the start of every run; one run per pipeline at a time is
+    assumed, as for the mark itself."""
+    layout = Layout(warehouse)
+    pending = PendingRuns(spark, layout.pending)
+    wm = WatermarkStore(spark, layout.watermark, truncate_to_seconds=truncate_watermark)
+    audit = AuditLog(spark, layout.audit)
+    loaded = []
+    for entry in pending.entries():
+        if entry["pipeline"] != pipeline_name:
+            continue
+        recover_batch(spark, layout.lines, entry["batch_id"])
+        there = history.marks_of(spark, layout.lines, entry["batch_id"])
+        same = there is not None and there.get("run") == entry["run"]
+        if entry["state"] == CHECKED and same:
+            mark = _as_mark(entry["end"])
+            if _is_past(mark, wm.read(pipeline_name, RAW_TABLE)):
+                wm.write(pipeline_name, RAW_TABLE, *mark)
+            audit.complete(entry["batch_id"], pipeline_name, dt.datetime.fromisoformat(entry["started_at"]),
+                           entry["records_read"], batch_count(spark, layout.lines, entry["batch_id"]), clock())
+            loaded.append(entry["batch_id"])
+            log.warning("Batch %s was published by a run that was cut off; its mark is stored now", entry["batch_id"])
+        elif not entry["direct"] or same:
+            _delete_quietly(spark, entry["folder"])    # rows that never passed the checks
+        pending.remove(entry["run"])
+    return loaded
+
+
 def _without_loaded_keys(spark: SparkSession, layout: Layout, flagged: DataFrame, last_ts, batch_id: str) -> DataFrame:
     """G7 option: drop clean rows whose (invoice, stock code, time) is
     already loaded by another batch. A loaded twin has the same time in whole
@@ -186,9 +239,8 @@ def _without_loaded_keys(spark: SparkSession, layout: Layout, flagged: DataFrame
     slice from the mark's second on is read (the predicate reaches the Parquet
     scan); that slice, not the whole history, meets the new rows. Rejected rows
     are kept."""
-    loaded = (read_raw(spark, layout.warehouse)
-              .filter((F.col("invoice_date") >= F.lit(last_ts.replace(microsecond=0)).cast("timestamp_ntz"))
-                      & (F.col(BATCH_COL) != batch_id))
+    loaded = (read_raw(spark, layout.warehouse, since=last_ts.replace(microsecond=0))
+              .filter(F.col(BATCH_COL) != batch_id)
               .select("invoice_no", "stock_code", truncate_to_second("invoice_date").alias("_second")).distinct())
     is_clean = F.col(REASON_COL) == ""
     clean = (flagged.filter(is_clean).withColumn("_second", truncate_to_second("invoice_date"))
@@ -196,6 +248,10 @@ def _without_loaded_keys(spark: SparkSession, layout: Layout, flagged: DataFrame
     return clean.select(*flagged.columns).unionByName(flagged.filter(~is_clean))
 
 
+ON_RAGGED = ("fail", "quarantine")
+ON_UNFIT = ("skip", "quarantine")
+
+
 def _source_frame(spark: SparkSession, source, multi_line: bool, encoding: str) -> DataFrame:
     if isinstance(source, (str, list, tuple)):
         return read_source_csv(spark, source, multi_line=multi_line, encoding=encoding)
@@ -207,22 +263,36 @@ def _invalid_utf8(spark: SparkSession, source, multi_line: bool) -> bool:
     return not not_utf8(_source_frame(spark, source, multi_line, LATIN1)).isEmpty()
 
 
+@dataclass(frozen=True)
+class Load:
+    """How one run reads and writes its batch."""
+    batch_id: str
+    pipeline_name: str
+    run: str
+    folder: str
+    direct: bool
+    started_at: dt.datetime
+    multi_line: bool = False
+    on_ragged: str = "fail"
+    on_unfit: str = "skip"
+    skip_loaded_keys: bool = False
+
+
 def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOptions, start: Start,
-                 batch_id: str, pipeline_name: str, multi_line: bool, encoding: str, clock,
-                 publish: str = "rename", skip_loaded_keys: bool = False):
-    """Steps 2-3. Returns (incoming folder, metrics, source-check metrics)."""
+                 load: Load, encoding: str, clock):
+    """Steps 2-3 into ``load.folder``. Returns (metrics, source-check metrics)."""
     checks = None
     last_ts, last_inv = start.mark
-    src = _source_frame(spark, source, multi_line, encoding)
+    src = _source_frame(spark, source, load.multi_line, encoding)
     if has_check_columns(src):
         checks = Observation(f"source_checks_{uuid.uuid4().hex[:8]}")
-        src = drop_check_columns(src.observe(checks, *check_metrics()))
+        src = drop_check_columns(src.observe(checks, *check_metrics()), keep_record=load.on_ragged == "quarantine")
     read_obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
     prepared = start.rows(ingest.prepare(src, options, last_ts, last_inv)).observe(
         read_obs, F.count(F.lit(1)).alias("records_read"))
     flagged = ingest.dedup_and_flag(prepared)
-    if skip_loaded_keys and last_ts is not None:
-        flagged = _without_loaded_keys(spark, layout, flagged, last_ts, batch_id)
+    if load.skip_loaded_keys and last_ts is not None:
+        flagged = _without_loaded_keys(spark, layout, flagged, last_ts, load.batch_id)
     is_clean = F.col(REASON_COL) == ""
     flag_obs = Observation(f"flag_{uuid.uuid4().hex[:8]}")
     flagged = flagged.observe(
@@ -235,31 +305,31 @@ def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOpt
                                         F.col("invoice_no").alias("last_invoice_no")))).alias("watermark"),
     )
     now = clock()
-    lines = ingest.batch_lines(flagged, batch_id, now, now)
+    lines = ingest.batch_lines(flagged, load.batch_id, now, now, load.on_unfit)
     load_obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
-    lines = lines.observe(load_obs, F.count_if((F.col(STATUS_COL) == "loaded") & ~F.col(LOADABLE_COL))
-                          .alias("skipped"))
-    lines = lines.filter((F.col(STATUS_COL) != "loaded") | F.col(LOADABLE_COL)).drop(LOADABLE_COL)
-    marks = {"pipeline": pipeline_name, "start": _as_text(start.mark), "end": _as_text(start.mark)}
+    unfit = ~F.col(LOADABLE_COL)
+    lines = lines.observe(load_obs, F.count_if((F.col(STATUS_COL) == "loaded") & unfit).alias("skipped"),
+                          F.count_if(F.col(ingest.UNFIT_COL)).alias("unfit"))
+    lines = lines.filter((F.col(STATUS_COL) != "loaded") | ~unfit).drop(LOADABLE_COL, ingest.UNFIT_COL)
+    marks = {"run": load.run, "pipeline": load.pipeline_name, "start": _as_text(start.mark), "end": _as_text(start.mark)}
     try:
-        if publish == "direct" and not start.replaces:
-            incoming = batch_folder(layout.lines, batch_id)
-            write_marks(spark, incoming, marks)     # before any row: a run that is cut off can start over
-            write_batch_direct(spark, lines.withColumn(BATCH_COL, F.lit(batch_id)), layout.lines)
+        if load.direct:
+            write_marks(spark, load.folder, marks)     # before any row: a run that is cut off can start over
+            write_batch_direct(spark, lines.withColumn(BATCH_COL, F.lit(load.batch_id)), layout.lines)
         else:
-            incoming = write_incoming(lines, layout.lines, batch_id)
+            write_incoming(lines, load.folder)
         metrics = {**read_obs.get, **flag_obs.get, **load_obs.get}
         if metrics.get("watermark") is not None:
             marks["end"] = _as_text(tuple(metrics["watermark"]))
-        write_marks(spark, incoming, marks)
+        write_marks(spark, load.folder, marks)
     except (ExtractionError, ValidationError):
         raise
     except Exception as e:  # noqa: BLE001
         if "CSV header does not conform" in str(e):
             raise ExtractionError("The source files do not share one header (names and order of the columns); "
                                   f"load files of different layouts separately: {e}") from e
-        raise LoadError(f"Could not write batch {batch_id}: {e}") from e
-    return incoming, metrics, (checks.get if checks is not None else {})
+        raise LoadError(f"Could not write batch {load.batch_id}: {e}") from e
+    return metrics, (checks.get if checks is not None else {})
 
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *,
@@ -267,7 +337,8 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
                  options: IngestOptions = IngestOptions(), multi_line: bool = False,
                  encoding: str = "auto", on_ragged: str = "fail", clock=utcnow,
                  truncate_watermark: bool = False, publish: str = "rename",
-                 skip_loaded_keys: bool = False, keep_state_versions: int | None = None) -> RunResult:
+                 skip_loaded_keys: bool = False,
+                 on_unfit: str = "skip", compact_after: int | None = None) -> RunResult:
     """One incremental batch from ``source`` into the warehouse.
 
     ``source`` is a CSV path/glob (or list), a DataFrame with the source
@@ -275,16 +346,19 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     (used by the streaming driver for micro-batches). ``encoding="auto"`` reads UTF-8 and re-reads the
     whole source as ISO-8859-1 if any text was not valid UTF-8.
     ``on_ragged="fail"`` rejects a source with rows longer than the header;
-    ``"keep"`` loads them cut to the header width. ``publish="rename"``
+    ``"quarantine"`` loads the others and puts these rows, with their whole record,
+    into the quarantine. ``on_unfit`` does the same for clean rows whose values do
+    not fit the raw table, which are otherwise skipped and counted. ``publish="rename"``
     writes the batch into a hidden folder and renames it into place after
     the checks (atomic on HDFS-like stores); ``"direct"`` writes it in
     place, for object stores where a rename is a copy (its rows are visible
     before the checks). A ``batch_id`` that is loaded already is read again
     from where it started and replaced whole; see the module's text.
     ``skip_loaded_keys=True`` also drops clean lines whose key an earlier
-    batch already loaded (the table key is otherwise not enforced).
-    ``keep_state_versions`` old versions of the watermark and audit tables
-    are kept (file-system deletes only); None keeps all."""
+    batch already loaded (the table key is otherwise not enforced). With ``compact_after``
+    the batch folders are folded into the table's history whenever there are so many."""
+    if on_ragged not in ON_RAGGED or on_unfit not in ON_UNFIT:
+        raise ValueError(f"on_ragged must be one of {ON_RAGGED} and on_unfit one of {ON_UNFIT}")
     layout = Layout(warehouse)
     started_at = clock()
     batch_id = batch_id or make_batch_id(started_at)
@@ -292,6 +366,9 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
     audit = AuditLog(spark, layout.audit)
     wm.ensure()
     audit.ensure()
+    recover(spark, warehouse, pipeline_name, clock, truncate_watermark)
+    pending_runs = PendingRuns(spark, layout.pending)
+    run = uuid.uuid4().hex
     # The in-progress audit row is independent of the batch: write it while
     # the batch runs, and wait for it before the row is closed.
     pool = ThreadPoolExecutor(max_workers=2)
@@ -304,13 +381,21 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
         pending.clear()
 
     try:
-        result, advance = _run(spark, source, layout, wm, pipeline_name, batch_id, options, multi_line,
-                               encoding, on_ragged, clock, publish, skip_loaded_keys)
+        stored = wm.read(pipeline_name, RAW_TABLE)
+        start = _start(spark, layout, batch_id, pipeline_name, stored)
+        direct = publish == "direct" and not start.replaces
+        load = Load(batch_id, pipeline_name, run, batch_folder(layout.lines, batch_id) if direct
+                    else incoming_folder(layout.lines, batch_id, run), direct, started_at, multi_line, on_ragged, on_unfit,
+                    skip_loaded_keys)
+        result, mark = _run(spark, source, layout, start, load, options, encoding, clock, pending_runs)
         settle()
         # the mark first: an audit row never says success for a run whose mark is old
-        if advance is not None:
-            advance()
+        if mark is not None and _is_past(mark, stored):
+            wm.write(pipeline_name, RAW_TABLE, *mark)
+        pending_runs.remove(run)
         audit.complete(batch_id, pipeline_name, started_at, result.records_read, result.records_loaded, clock())
+        if compact_after is not None:
+            _compact_quietly(spark, layout, compact_after)
         return result
     except DOMAIN_ERRORS as e:
         settle()
@@ -322,64 +407,67 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
         raise
     finally:
         pool.shutdown(wait=True)
-        if keep_state_versions:
-            for table in (wm.table, audit.table):
-                try:
-                    table.compact(keep=keep_state_versions)
-                except Exception as e:  # noqa: BLE001 - housekeeping never fails a run
-                    log.warning("State compaction failed for %s: %s", table.path, e)
-
-
-def _run(spark, source, layout: Layout, wm: WatermarkStore, pipeline_name, batch_id, options,
-         multi_line, encoding, on_ragged, clock, publish="rename", skip_loaded_keys=False) -> RunResult:
-    stored = wm.read(pipeline_name, RAW_TABLE)
-    start = _start(spark, layout, batch_id, pipeline_name, stored)
+
+
+def _compact_quietly(spark: SparkSession, layout: Layout, compact_after: int) -> None:
+    try:
+        if len(history.live_marks(spark, layout.lines)) >= compact_after:
+            compact_lines(spark, layout.lines)
+    except Exception as e:  # noqa: BLE001 - housekeeping never fails a run
+        log.warning("Compaction of %s failed: %s", layout.lines, e)
+
+
+def _run(spark, source, layout: Layout, start: Start, load: Load, options, encoding, clock,
+         pending: PendingRuns) -> tuple[RunResult, Mark | None]:
+    """Reads, writes and publishes the batch; returns the mark that it reached."""
+    batch_id = load.batch_id
     enc = UTF8 if encoding == "auto" else encoding
-    incoming = None
     published = False
+    note = {"state": WRITING, "batch_id": batch_id, "pipeline": load.pipeline_name, "folder": load.folder,
+            "direct": load.direct, "started_at": load.started_at.isoformat()}
 
     def write(enc: str):
-        return _write_batch(spark, source, layout, options, start, batch_id, pipeline_name, multi_line, enc, clock,
-                            publish, skip_loaded_keys)
+        return _write_batch(spark, source, layout, options, start, load, enc, clock)
 
+    pending.put(load.run, **note)
     try:
-        incoming, m, checks = write(enc)
-        if encoding == "auto" and checks.get("bad_text_rows", 0) > 0 and _invalid_utf8(spark, source, multi_line):
+        m, checks = write(enc)
+        if encoding == "auto" and checks.get("bad_text_rows", 0) > 0 and _invalid_utf8(spark, source, load.multi_line):
             log.warning("Source is not valid UTF-8; re-reading it as %s", LATIN1)
-            _delete_quietly(spark, incoming)
-            incoming, m, checks = write(LATIN1)
-        if checks.get("overlong_rows", 0) > 0 and on_ragged == "fail":
+            _delete_quietly(spark, load.folder)
+            m, checks = write(LATIN1)
+        if checks.get("overlong_rows", 0) > 0 and load.on_ragged == "fail":
             raise ExtractionError(f"{checks['overlong_rows']} row(s) of the source have more fields than its "
-                                  "header; mend the file, or load it with on_ragged='keep'")
+                                  "header; mend the file, or load it with on_ragged='quarantine'")
         records_read = int(m.get("records_read") or 0)
         if records_read == 0:
             log.info("Nothing past the stored mark")
             return RunResult(batch_id, "success", metrics={**m, **checks}), None
-        if start.replaces and lines_missing(spark, layout.lines, incoming, batch_id):
+        if start.replaces and lines_missing(spark, layout.lines, load.folder, batch_id):
             raise LoadError(f"The source no longer holds all lines that batch {batch_id} loaded; the batch is "
                             "left as it is. Use a new batch id for other lines")
-        if publish != "direct" or start.replaces:
-            publish_batch(spark, layout.lines, incoming, batch_id)
+        mark = tuple(m["watermark"]) if m.get("watermark") is not None else None
+        pending.put(load.run, **note | {"state": CHECKED, "end": _as_text(mark or (None, None)), "records_read": records_read})
+        if not load.direct:
+            publish_batch(spark, layout.lines, load.folder, batch_id)
         published = True
-        mark = m.get("watermark")
-        advance = None
-        if mark is not None and (stored[0] is None or (mark[0], mark[1] or "") > (stored[0], stored[1] or "")):
-            def advance():
-                wm.write(pipeline_name, RAW_TABLE, mark["last_processed_at"], mark["last_invoice_no"])
+        unfit = int(m.get("unfit", 0)) if load.on_unfit == "quarantine" else 0
         return RunResult(batch_id, "success", records_read=records_read,
                          records_loaded=batch_count(spark, layout.lines, batch_id),
-                         records_quarantined=int(m.get("rejected", 0)),
+                         records_quarantined=int(m.get("rejected", 0)) + unfit,
                          records_skipped=int(m.get("skipped", 0)),
                          duplicates_removed=records_read - int(m.get("deduplicated", 0)),
-                         watermark=(mark["last_processed_at"], mark["last_invoice_no"]) if mark else None,
-                         metrics={**m, **checks}), advance
+                         watermark=mark, metrics={**m, **checks}), mark
     finally:
-        if not published and incoming is not None:
-            _delete_quietly(spark, incoming)
+        # a published batch keeps its note until the mark has moved
+        if not published:
+            _delete_quietly(spark, load.folder)
+            pending.remove(load.run)
 
 
-def read_raw(spark: SparkSession, warehouse: str) -> DataFrame:
-    return read_raw_orders(spark, Layout(warehouse).lines)
+def read_raw(spark: SparkSession, warehouse: str, since: dt.datetime | None = None,
+             until: dt.datetime | None = None) -> DataFrame:
+    return read_raw_orders(spark, Layout(warehouse).lines, since, until)
 
 
 def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -394,17 +482,24 @@ def build_marts(spark: SparkSession, warehouse: str, params: ModelParams = Model
     ``fct_orders`` is stored partitioned by ``batch_id``. It is row for row
     of raw_orders, so with ``batches`` only those batches are (re)built, by
     dynamic partition overwrite of their folders; older batches are left as
-    they are. Without ``batches`` the whole fact is rebuilt. The dimensions
-    aggregate over all history (distinct counts do not merge) and are
-    rebuilt; they are customer-, product- and day-sized."""
+    they are, and the customer and product dimensions are brought up to date from
+    the new lines and ``dim_state``, which replaces the scan of all history.
+    Without ``batches``, or where these are all there is, everything is rebuilt from the
+    lines. The dimension tables themselves are customer-, product- and day-sized and
+    written whole: the days since the last order change for every customer."""
     layout = Layout(warehouse)
     raw = read_raw(spark, warehouse)
     models = Models(spark, raw, params)
-    # The two aggregated staging views feed a mart each and are tested right
-    # after the build; keep their (customer- / product-sized) results so the
-    # tests of this run read them instead of aggregating the lines again.
-    for name in ("stg_customers", "stg_products"):
-        setattr(models, name, getattr(models, name).persist(StorageLevel.MEMORY_AND_DISK))
+    state = dim_state.DimensionState(spark, layout.dim_state, layout.lines) if batches is not None else None
+    if state is not None and (state.exists() or set(history.batches(spark, layout.lines)) - set(batches)):
+        state.update()
+        models.stg_customers, models.stg_products = state.stg_customers(params.country_rule), state.stg_products()
+    else:
+        # The two aggregated staging views feed a mart each and are tested right
+        # after the build; keep their (customer- / product-sized) results so the
+        # tests of this run read them instead of aggregating the lines again.
+        for name in ("stg_customers", "stg_products"):
+            setattr(models, name, getattr(models, name).persist(StorageLevel.MEMORY_AND_DISK))
     models.dim_customers = marts.dim_customers(models.stg_customers, params.as_of)
     models.dim_products = marts.dim_products(models.stg_products)
     register_views({n: getattr(models, n) for n in VIEW_MODELS})

@@ -76,7 +76,17 @@ def q_rename_and_strip(spark, sf_dir):
 
 
 def q_numeric_coerce(spark, sf_dir):
-    return cleaned(spark, sf_dir).select(*_IDS, "quantity", "unit_price")
+    """C3 on text: quantities with blanks, a suffix, as words and with an exponent, prices
+    with separators and as NaN; what is no number is NULL."""
+    src = source(spark, sf_dir)
+    line, whole = F.col("l_linenumber"), F.col("Quantity").cast("long").cast("string")
+    price = F.col("Price").cast("decimal(18,2)").cast("string")
+    src = src.withColumns({
+        "Quantity": F.when(line == 1, F.concat(F.lit(" "), whole, F.lit("\t"))).when(line == 2, F.concat(whole, F.lit("d")))
+        .when(line == 3, F.lit("seven")).when(line == 6, F.concat(whole, F.lit("E1"))).otherwise(whole),
+        "Price": F.when(line == 4, F.concat(F.lit("1,"), price)).when(line == 5, F.lit("NaN"))
+        .when(line == 7, F.concat(price, F.lit("00"))).otherwise(price)})
+    return clean_ops.clean(src).select(*_IDS, "quantity", "unit_price")
 
 
 def q_customer_id_nullify(spark, sf_dir):
@@ -84,7 +94,14 @@ def q_customer_id_nullify(spark, sf_dir):
 
 
 def q_date_coerce(spark, sf_dir):
-    return cleaned(spark, sf_dir).select(*_IDS, "invoice_date")
+    """C6 on text: month-first, date-only and ISO layouts; a day that does not exist and a
+    date in the other order are NULL."""
+    at, line = F.col("InvoiceDate"), F.col("l_linenumber")
+    late = F.concat(F.date_format(F.date_add(F.trunc(at, "month"), 12), "d/M/yyyy"), F.lit(" 8:26"))
+    text = (F.when(line == 2, F.date_format(at, "M/d/yyyy H:mm")).when(line == 3, F.date_format(at, "yyyy-'02-30' HH:mm:ss"))
+            .when(line == 4, F.date_format(at, "yyyy-MM-dd")).when(line == 5, late)
+            .when(line == 6, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS")).otherwise(F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSS")))
+    return clean_ops.clean(source(spark, sf_dir).withColumn("InvoiceDate", text)).select(*_IDS, "invoice_date")
 
 
 def q_string_nulls_nan(spark, sf_dir):
@@ -227,7 +244,7 @@ def q_star_orders_products(spark, sf_dir):
 
 def q_star_orders_dates(spark, sf_dir):
     m = models(spark, sf_dir)
-    return to_double(reports.star_orders_dates(m.fct_orders, m.dim_date, m.date_dim_days))
+    return to_double(reports.star_orders_dates(m.fct_orders, m.dim_date))
 
 
 def q_kpi_headline(spark, sf_dir):
@@ -237,12 +254,12 @@ def q_kpi_headline(spark, sf_dir):
 
 def q_revenue_by_month(spark, sf_dir):
     m = models(spark, sf_dir)
-    return to_double(reports.revenue_by_month(m.fct_orders, m.dim_date, m.date_dim_days))
+    return to_double(reports.revenue_by_month(m.fct_orders, m.dim_date))
 
 
 def q_peak_month(spark, sf_dir):
     m = models(spark, sf_dir)
-    return to_double(reports.peak_month(reports.revenue_by_month(m.fct_orders, m.dim_date, m.date_dim_days)))
+    return to_double(reports.peak_month(reports.revenue_by_month(m.fct_orders, m.dim_date)))
 
 
 def q_segment_distribution(spark, sf_dir):

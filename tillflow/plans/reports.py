@@ -5,8 +5,7 @@ dimension wherever the report only needs totals, so the join sees at most one
 row per key instead of one per order line, and a hot key (guest orders with a
 NULL customer, a best-selling product) is combined map-side. No broadcast is
 forced on a dimension that grows with the data: Catalyst's size statistics
-and AQE's runtime sizes pick broadcast or sort-merge. Only the date dimension,
-whose row count is a plan-time parameter, is broadcast explicitly. Shares of a
+and AQE's runtime sizes pick broadcast or sort-merge, also for the calendar. Shares of a
 total use a window over the already grouped result, whose size is the number
 of groups (segments, countries), not the number of lines.
 """
@@ -16,12 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillflow.operators.distinct_counts import distinct_counts
+from tillflow.operators.spread_join import left_join_spread
 from tillflow.plans.staging import product_filter
 
-# The date dimension is at most this many rows when built by ``dim_date``
-# (one per day of its parameterised range); above it no hint is given.
-DATE_DIM_BROADCAST_MAX_DAYS = 100_000
-
 
 def _share(value_col: str, out: str = "share_pct"):
     """Percentage of the total; NULL when the total is zero (for example when
@@ -33,24 +30,12 @@ def _share(value_col: str, out: str = "share_pct"):
 
 # -- star joins --------------------------------------------------------------
 
-def _left_join_skipping_null_keys(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Left join in which fact rows with a NULL key (they can never match)
-    stay out of the shuffle: guest lines may be a large share of all lines,
-    and in a plain outer join they would all hash to one reducer. They are
-    unioned back with NULL dimension columns."""
-    keyed = facts.filter(F.col(key).isNotNull()).join(dim, key, "left")
-    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema.fields if f.name != key]
-    unkeyed = facts.filter(F.col(key).isNull()).select(F.col(key), *[c for c in facts.columns if c != key], *extra)
-    return keyed.unionByName(unkeyed)
-
-
 def star_orders_customers(fct: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Every fact line with its customer's segment and status; guests
     (NULL id) and ids without a dimension row keep NULL attributes."""
     dim = dim_customers.select("customer_id", "customer_segment", "customer_status",
                                F.col("country").alias("customer_country"))
-    return _left_join_skipping_null_keys(fct.select("order_key", "customer_id", "net_line_total"), dim,
-                                         "customer_id")
+    return left_join_spread(fct.select("order_key", "customer_id", "net_line_total"), dim, "customer_id")
 
 
 def star_orders_products(fct: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -60,15 +45,13 @@ def star_orders_products(fct: DataFrame, dim_products: DataFrame) -> DataFrame:
                               F.col("description").alias("product_description"))
     f = fct.select("order_key", "stock_code", "quantity",
                    F.upper(F.trim("stock_code")).alias("product_code"))
-    return _left_join_skipping_null_keys(f, dim, "product_code")
+    return left_join_spread(f, dim, "product_code")
 
 
-def star_orders_dates(fct: DataFrame, dim_date: DataFrame, date_dim_days: int | None = None) -> DataFrame:
+def star_orders_dates(fct: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Fact lines with their calendar attributes (left join: lines
     outside the calendar keep NULLs)."""
     dim = dim_date.select("date_id", "year_month", "quarter_name", "day_of_week_name", "is_weekend")
-    if date_dim_days is not None and date_dim_days <= DATE_DIM_BROADCAST_MAX_DAYS:
-        dim = F.broadcast(dim)
     return fct.select("order_key", "date_id", "net_line_total").join(dim, "date_id", "left")
 
 
@@ -80,50 +63,28 @@ def kpi_headline(fct: DataFrame, dim_customers: DataFrame | None = None,
 
     Customers and products are counted as the staging models define them:
     the rows of the dimensions when given, else the valid trimmed ids and the
-    normalised product codes of the fact. Each metric is its own aggregation
-    (at most one distinct count, planned as dedup + partial count, so no
-    ``Expand`` multiplies the fact lines) and the one-row results are folded
-    into one row through a union."""
+    normalised product codes of the fact. The fact is read once: its sums and all its
+    distinct counts come from one pass (``distinct_counts``)."""
     cid = F.col("customer_id")
-    valid_customer = cid.isNotNull() & (F.lower(cid) != "nan")
-    product_code = F.when(product_filter(), F.upper(F.trim("stock_code")))
-    value = "decimal(38,4)"
-
-    def metric(df: DataFrame, name: str, agg) -> DataFrame:
-        return df.agg(agg.cast(value).alias("v")).select(F.lit(name).alias("metric"), "v")
-
-    parts = [
-        metric(fct, "total_revenue", F.sum("net_line_total")),
-        metric(fct, "total_lines", F.count(F.lit(1))),
-        metric(fct, "total_invoices", F.count_distinct("invoice_no")),
-        metric(fct, "total_countries", F.count_distinct("country")),
-        metric(dim_customers, "total_customers", F.count(F.lit(1))) if dim_customers is not None
-        else metric(fct, "total_customers", F.count_distinct(F.when(valid_customer, cid))),
-        metric(dim_products, "total_products", F.count(F.lit(1))) if dim_products is not None
-        else metric(fct, "total_products", F.count_distinct(product_code)),
-    ]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    pick = lambda n: F.max(F.when(F.col("metric") == n, F.col("v")))
-    return both.agg(
-        pick("total_revenue").cast("decimal(28,4)").alias("total_revenue"),
-        pick("total_customers").cast("long").alias("total_customers"),
-        pick("total_invoices").cast("long").alias("total_invoices"),
-        pick("total_products").cast("long").alias("total_products"),
-        pick("total_countries").cast("long").alias("total_countries"),
-        pick("total_lines").cast("long").alias("total_lines"),
-    )
-
-
-def revenue_by_month(fct: DataFrame, dim_date: DataFrame, date_dim_days: int | None = None) -> DataFrame:
+    counted = {"total_invoices": F.col("invoice_no"), "total_countries": F.col("country")}
+    if dim_customers is None:
+        counted["total_customers"] = F.when(cid.isNotNull() & (F.lower(cid) != "nan"), cid)
+    if dim_products is None:
+        counted["total_products"] = F.when(product_filter(), F.upper(F.trim("stock_code")))
+    row = distinct_counts(fct, counted, {"total_revenue": F.col("net_line_total")}, rows="total_lines")
+    for name, dim in (("total_customers", dim_customers), ("total_products", dim_products)):
+        if dim is not None:
+            row = row.crossJoin(dim.agg(F.count(F.lit(1)).alias(name)))     # one row each
+    return row.select(F.col("total_revenue").cast("decimal(28,4)").alias("total_revenue"), "total_customers",
+                      "total_invoices", "total_products", "total_countries", "total_lines")
+
+
+def revenue_by_month(fct: DataFrame, dim_date: DataFrame) -> DataFrame:
     """B2: revenue and lines per calendar month. Facts are summed per day
     first, so the join sees one row per day."""
     daily = fct.groupBy("date_id").agg(F.sum("net_line_total").alias("revenue"),
                                        F.count(F.lit(1)).alias("lines"))
     dim = dim_date.select("date_id", "year_month")
-    if date_dim_days is not None and date_dim_days <= DATE_DIM_BROADCAST_MAX_DAYS:
-        dim = F.broadcast(dim)
     return (daily.join(dim, "date_id")
             .groupBy("year_month")
             .agg(F.sum("revenue").alias("revenue"), F.sum("lines").alias("lines")))

@@ -14,11 +14,16 @@ only when the new one is in place, so loaded rows are never without a copy.
 Each batch folder holds the mark its run started from and the one it reached
 (``_marks.json``), so that a re-run of the id reads the same rows again.
 Counting a batch prunes to its partition (K5).
+
+``compact_lines`` folds the batch folders into a history with one slot for each
+month of the invoice date (see ``history``), so that the number of files follows
+the data and not the number of batches, and a read of some months opens only
+their files.
 """
 
 from __future__ import annotations
 
-import json
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +32,9 @@ from pyspark.sql import types as T
 
 from tillflow.config import DEDUP_KEYS
 from tillflow.session import path_exists
+from tillflow.sinks import history
+from tillflow.sinks.history import BATCH_COL, MARKS_FILE, BatchTable
 
-BATCH_COL = "batch_id"
-MARKS_FILE = "_marks.json"
 STATUS_COL = "load_status"
 LOADED = "loaded"
 QUARANTINED = "quarantined"
@@ -50,6 +55,8 @@ RAW_SCHEMA = T.StructType([
 QUARANTINE_SCHEMA = T.StructType(RAW_SCHEMA.fields + [
     T.StructField("error_reason", T.StringType()),
     T.StructField("quarantined_at", T.TimestampNTZType()),
+    # the source record, for rows whose values alone do not tell what it was
+    T.StructField("raw_record", T.StringType()),
 ])
 
 # Stored columns of order_lines, partition columns last.
@@ -85,13 +92,40 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return spark.createDataFrame([], schema)
 
 
-def read_lines(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, LINES_SCHEMA)
+#: Slot of lines without a date; sorts after all months.
+NO_MONTH = "none"
+
+
+def lines_table(root: str) -> BatchTable:
+    """order_lines: months of the invoice date are the slots of its history."""
+    return BatchTable(root, LINES_SCHEMA, lambda: F.coalesce(F.date_format("invoice_date", "yyyy-MM"), F.lit(NO_MONTH)),
+                      ("invoice_date", "invoice_no", "stock_code"), (STATUS_COL,))
+
+
+def read_lines(spark: SparkSession, root: str, since: dt.datetime | None = None,
+               until: dt.datetime | None = None) -> DataFrame:
+    """Lines of every batch; with ``since`` / ``until`` those of these invoice dates
+    (both included), read from the files of their months only."""
+    if since is None and until is None:
+        return history.read(spark, lines_table(root))
+    first, last = (f"{t:%Y-%m}" if t else edge for t, edge in ((since, ""), (until, "9999-12")))
+    lines = history.read(spark, lines_table(root), (first, last))
+    for bound, holds in ((since, F.col("invoice_date").__ge__), (until, F.col("invoice_date").__le__)):
+        if bound is not None:
+            lines = lines.filter(holds(F.lit(bound).cast("timestamp_ntz")))
+    return lines
 
 
-def read_raw_orders(spark: SparkSession, root: str) -> DataFrame:
+def compact_lines(spark: SparkSession, root: str, file_bytes: int = history.FILE_BYTES) -> history.Layout:
+    """Folds the batch folders into the months of the history. Nothing else may write the
+    table meanwhile; readers may read it."""
+    return history.compact(spark, lines_table(root), file_bytes)
+
+
+def read_raw_orders(spark: SparkSession, root: str, since: dt.datetime | None = None,
+                    until: dt.datetime | None = None) -> DataFrame:
     """raw_orders: the loaded lines of every batch."""
-    return (read_lines(spark, root).filter(F.col(STATUS_COL) == LOADED)
+    return (read_lines(spark, root, since, until).filter(F.col(STATUS_COL) == LOADED)
             .select(*[f.name for f in RAW_SCHEMA.fields]))
 
 
@@ -101,16 +135,19 @@ def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
             .select(*[f.name for f in QUARANTINE_SCHEMA.fields]))
 
 
-def write_incoming(df: DataFrame, root: str, batch_id: str) -> str:
-    """Write one batch (columns of LINES_SCHEMA without batch_id) into a
-    hidden folder under ``root``; returns the folder."""
-    incoming = f"{root.rstrip('/')}/_incoming_{batch_id}_{uuid.uuid4().hex[:8]}"
+def incoming_folder(root: str, batch_id: str, run: str | None = None) -> str:
+    """A hidden folder under ``root`` for one write of a batch."""
+    return f"{root.rstrip('/')}/_incoming_{batch_id}_{run or uuid.uuid4().hex[:8]}"
+
+
+def write_incoming(df: DataFrame, folder: str) -> str:
+    """Writes one batch (columns of LINES_SCHEMA without batch_id) into its incoming folder."""
     # The writer sorts each task's rows by the partition column anyway; time
     # as the second key keeps every file's row groups in time order, so reads
     # of a time slice (the mark on, the scoped key test) skip by min/max.
     (df.sortWithinPartitions(STATUS_COL, "invoice_date").write.mode("overwrite")
-     .partitionBy(STATUS_COL).parquet(incoming))
-    return incoming
+     .partitionBy(STATUS_COL).parquet(folder))
+    return folder
 
 
 def batch_folder(root: str, batch_id: str) -> str:
@@ -123,28 +160,16 @@ def _aside(root: str, batch_id: str) -> str:
 
 def write_marks(spark: SparkSession, folder: str, marks: dict) -> None:
     """A batch's marks, in a small file that Spark's readers skip."""
-    fs, p = _fs(spark, f"{folder}/{MARKS_FILE}")
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(json.dumps(marks).encode("utf-8")))
-    finally:
-        out.close()
+    history.write_json(spark, f"{folder}/{MARKS_FILE}", marks)
 
 
 def read_marks(spark: SparkSession, folder: str) -> dict | None:
-    fs, p = _fs(spark, f"{folder}/{MARKS_FILE}")
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+    return history.read_json(spark, f"{folder}/{MARKS_FILE}")
 
 
 def recover_batch(spark: SparkSession, root: str, batch_id: str) -> bool:
     """Puts back a batch whose replacement was cut off between its two
-    renames; True if the batch exists afterwards."""
+    renames; True if it has a folder afterwards."""
     fs, target = _fs(spark, batch_folder(root, batch_id))
     if fs.exists(target):
         return True

@@ -9,8 +9,8 @@
 * The reader's missing-value tokens (NA, N/A, NULL, nan, ...) become NULL.
 * Each row carries ``_ord`` = (file path, split start, position in split):
   an orderable stand-in for file order, taken at the scan before any shuffle.
-* Rows with more fields than the header are flagged (``_overlong``); rows
-  with fewer are padded with NULLs. Text that was not valid UTF-8 shows up as
+* Rows with more fields than the header are flagged (``_overlong``) and carry
+  their whole record (``_raw_record``); rows with fewer are padded with NULLs. Text that was not valid UTF-8 shows up as
   U+FFFD and is flagged (``_bad_text``); since U+FFFD may also be legal text,
   the bytes decide, which a read as ISO-8859-1 keeps. The flags are counted as observed metrics during the first
   pass over the data; only a suspicious source is read once more.
@@ -34,6 +34,7 @@ EXPECTED_COLUMNS = frozenset(SOURCE_COLUMNS)
 CORRUPT_COL = "_corrupt_record"
 OVERLONG_COL = "_overlong"
 BAD_TEXT_COL = "_bad_text"
+RECORD_COL = "_raw_record"
 UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
 REPLACEMENT_CHAR = "�"
@@ -62,16 +63,15 @@ def source_header(spark: SparkSession, path: str, multi_line: bool = False, enco
         return _reader(spark, multi_line, encoding).csv(path).columns
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise ExtractionError(f"Source file not found: {path}") from e
-        raise ExtractionError(f"Failed to read CSV: {e}") from e
+            raise ExtractionError(f"There is no source at {path}") from e
+        raise ExtractionError(f"The source {path} cannot be read as CSV: {e}") from e
 
 
 def validate_schema(columns) -> None:
     """The required columns must be present; extra columns are allowed."""
     missing = EXPECTED_COLUMNS - set(columns)
     if missing:
-        raise ExtractionError(f"Source schema mismatch. Missing columns: {sorted(missing)}. "
-                              f"Found columns: {sorted(columns)}")
+        raise ExtractionError(f"The source lacks the columns {sorted(missing)}; its header has {sorted(columns)}")
 
 
 def field_count(raw: Column) -> Column:
@@ -96,7 +96,7 @@ def text_schema(header) -> T.StructType:
 
 def decorate(raw: DataFrame, header, order: Column | None = None) -> DataFrame:
     """Source columns with missing-value tokens nulled, plus ``_ord``,
-    ``_overlong`` and ``_bad_text``, from a frame read with ``text_schema``
+    ``_overlong``, ``_bad_text`` and ``_raw_record`` (NULL unless overlong), from a frame read with ``text_schema``
     (a batch read or a streaming micro-batch). ``order`` defaults to the
     file order from the scan's metadata."""
     corrupt = F.col(CORRUPT_COL)
@@ -108,6 +108,7 @@ def decorate(raw: DataFrame, header, order: Column | None = None) -> DataFrame:
         (file_order() if order is None else order).alias("_ord"),
         overlong.alias(OVERLONG_COL),
         bad_text.alias(BAD_TEXT_COL),
+        F.when(overlong, corrupt).alias(RECORD_COL),
     )
 
 
@@ -127,7 +128,7 @@ def source_reader(spark: SparkSession, header, multi_line: bool = False, encodin
 
 def read_source_csv(spark: SparkSession, path, multi_line: bool = False,
                     encoding: str = UTF8) -> DataFrame:
-    """Source rows as text with ``_ord``, ``_overlong`` and ``_bad_text``.
+    """Source rows as text with ``_ord``, ``_overlong``, ``_bad_text`` and ``_raw_record``.
     ``path`` is a file, folder, glob or list of them. Needs whole-record
     parsing (``spark.sql.csv.parser.columnPruning.enabled`` false, set here
     and by the engine settings) for the field-count check."""
@@ -137,14 +138,14 @@ def read_source_csv(spark: SparkSession, path, multi_line: bool = False,
     try:
         df = source_reader(spark, header, multi_line, encoding).csv(path)
     except AnalysisException as e:
-        raise ExtractionError(f"Failed to read CSV: {e}") from e
+        raise ExtractionError(f"The source {path} cannot be read as CSV: {e}") from e
     return decorate(df, header)
 
 
 def not_utf8(latin: DataFrame) -> DataFrame:
     """Rows of a source read as ISO-8859-1, which keeps every byte, whose bytes
     are not UTF-8."""
-    texts = [F.col(f"`{f.name}`") for f in latin.schema.fields if f.dataType == T.StringType()]
+    texts = [F.col(f"`{f.name}`") for f in latin.schema.fields if f.dataType == T.StringType() and f.name != RECORD_COL]
     return latin.filter(~F.is_valid_utf8(F.encode(F.concat_ws(",", *texts), LATIN1).cast("string")))
 
 
@@ -154,8 +155,9 @@ def check_metrics() -> list[Column]:
             F.count_if(F.col(BAD_TEXT_COL)).alias("bad_text_rows")]
 
 
-def drop_check_columns(df: DataFrame) -> DataFrame:
-    return df.drop(OVERLONG_COL, BAD_TEXT_COL)
+def drop_check_columns(df: DataFrame, keep_record: bool = False) -> DataFrame:
+    """Without the flags; ``keep_record`` leaves the records of overlong rows."""
+    return df.drop(OVERLONG_COL, BAD_TEXT_COL, *([] if keep_record else [RECORD_COL]))
 
 
 def has_check_columns(df: DataFrame) -> bool:

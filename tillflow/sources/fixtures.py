@@ -83,15 +83,21 @@ def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.concat(F.lit("SKU"), _s(lpk))))
     description = (F.when((lln == 7) & (lpk % 3 == 0), F.lit("nan"))
                    .when((lln == 6) & (lpk % 5 == 0), F.lit(None).cast("string"))
+                   # longer than the raw table's column
+                   .when(lok % 127 == 0, F.concat(F.upper("p_name"), F.repeat(F.lit("-"), 500)))
                    .otherwise(F.concat(F.lit(" "), F.upper("p_name"), F.lit(" "))))
     quantity = (F.when(lok % 113 == 0, F.lit(None).cast("double"))
                 .when(returned, -F.col("l_quantity"))
                 .otherwise(F.col("l_quantity")))
+    minute = F.timestamp_add("MINUTE", ook % 1440, F.col("o_orderdate"))
     invoice_date = (F.when(lok % 109 == 0, F.lit(None).cast("timestamp_ntz"))
-                    .otherwise(F.timestamp_add("MINUTE", ook % 1440, F.col("o_orderdate"))))
+                    # lines of one order differ within the second that the raw table keeps
+                    .when(lok % 3 == 0, F.timestamp_add("MILLISECOND", lln, minute))
+                    .otherwise(minute))
     price = (F.when(lok % 101 == 0, -F.col("p_retailprice"))
              .when(lok % 103 == 0, F.lit(0.0))
              .when(lok % 107 == 0, F.lit(None).cast("double"))
+             .when(lok % 131 == 0, F.lit(1e8) + F.col("p_retailprice"))    # too wide for the raw table
              .otherwise(F.col("p_retailprice")))
     customer_id = (F.when(ock % 13 == 0, F.lit(None).cast("string"))
                    .when(ock % 17 == 0, F.lit("  "))
@@ -99,7 +105,8 @@ def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                    .when(ock % 4 == 0, _s(ock % 100))
                    .when(ock % 4 == 1, F.concat(F.lit(" "), _s(ock % 500)))
                    .otherwise(_s(ock)))
-    country = (F.when(F.col("n_nationkey") % 2 == 0, F.lower("n_name"))
+    country = (F.when(lok % 137 == 0, F.lit(None).cast("string"))
+               .when(F.col("n_nationkey") % 2 == 0, F.lower("n_name"))
                .otherwise(F.concat(F.col("n_name"), F.lit(" "))))
 
     return rows.select(

@@ -58,14 +58,14 @@ def utcnow() -> dt.datetime:
 class WatermarkStore:
     def __init__(self, spark: SparkSession, path: str, truncate_to_seconds: bool = False):
         self.spark = spark
-        self.table = StateTable(spark, path, WATERMARK_SCHEMA)
+        self.table = StateTable(spark, path, WATERMARK_SCHEMA, WATERMARK_KEYS, WATERMARK_UPDATES)
         self.truncate = truncate_to_seconds
 
     def ensure(self) -> None:
         try:
             self.table.ensure()
         except Exception as e:  # noqa: BLE001
-            raise WatermarkError(f"Failed to create watermark table: {e}") from e
+            raise WatermarkError(f"The mark table cannot be set up: {e}") from e
 
     def read(self, pipeline_name: str, source_table: str) -> tuple[dt.datetime | None, str | None]:
         """(last_processed_at, last_invoice_no), or (None, None) on a first run."""
@@ -74,7 +74,7 @@ class WatermarkStore:
                     .filter((F.col("pipeline_name") == pipeline_name) & (F.col("source_table") == source_table))
                     .select("last_processed_at", "last_invoice_no").take(1))
         except Exception as e:  # noqa: BLE001
-            raise WatermarkError(f"Failed to read watermark: {e}") from e
+            raise WatermarkError(f"The stored mark cannot be read: {e}") from e
         if not rows:
             return None, None
         return rows[0]["last_processed_at"], rows[0]["last_invoice_no"]
@@ -85,10 +85,9 @@ class WatermarkStore:
             last_processed_at = last_processed_at.replace(microsecond=0)
         row = [(pipeline_name, source_table, last_processed_at, last_invoice_no, updated_at or utcnow())]
         try:
-            self.table.upsert(self.spark.createDataFrame(row, WATERMARK_SCHEMA), WATERMARK_KEYS,
-                              WATERMARK_UPDATES)
+            self.table.upsert(row)
         except Exception as e:  # noqa: BLE001
-            raise WatermarkError(f"Failed to write watermark: {e}") from e
+            raise WatermarkError(f"The new mark could not be stored: {e}") from e
 
     def frame(self) -> DataFrame:
         return self.table.read()
@@ -100,7 +99,7 @@ class AuditLog:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.table = StateTable(spark, path, AUDIT_SCHEMA)
+        self.table = StateTable(spark, path, AUDIT_SCHEMA, AUDIT_KEYS, AUDIT_UPDATES)
 
     def ensure(self) -> None:
         self.table.ensure()
@@ -108,7 +107,7 @@ class AuditLog:
     def _upsert(self, **row) -> bool:
         vals = [tuple(row.get(f.name) for f in AUDIT_SCHEMA.fields)]
         try:
-            self.table.upsert(self.spark.createDataFrame(vals, AUDIT_SCHEMA), AUDIT_KEYS, AUDIT_UPDATES)
+            self.table.upsert(vals)
             return True
         except Exception as e:  # noqa: BLE001
             log.warning("Failed to write audit row %s: %s", row.get("batch_id"), e)
