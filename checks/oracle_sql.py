@@ -415,7 +415,7 @@ FULL OUTER JOIN
      (SELECT 'orders_' || strftime(d, '%Y%m%d') AS batch_id, 'late_writer' AS pipeline_name,
              'success' AS status, CAST(lines AS BIGINT) AS records_read, CAST(clean AS BIGINT) AS records_loaded,
              last_ts AS started_at, last_ts AS completed_at,
-             CAST(date_diff('second', first_ts, last_ts) AS DOUBLE) AS duration_seconds,
+             CAST(date_diff('microsecond', first_ts, last_ts) // 1000000 AS DOUBLE) AS duration_seconds,
              CASE WHEN rejected > 0 THEN 'rejected ' || CAST(rejected AS VARCHAR) END AS error_message,
              last_ts AS updated_at
       FROM ({AUDIT_DAYS}) WHERE year(d) >= 1996) s
@@ -649,7 +649,7 @@ ORACLE: dict[str, str] = {
         f"{strip('description')} AS description, quantity, invoice_date, unit_price, "
         f"NULLIF({strip("COALESCE(customer_id, 'nan')")}, 'nan') AS customer_id, {strip('country')} AS country "
         f"FROM ({TOKENED_SRC})"),
-    "csv_ragged": q(f"SELECT {IO_IDS}, l_linenumber = 7 AS overlong, l_linenumber = 6 AS padded FROM src"),
+    "csv_ragged": q(f"SELECT {IO_IDS}, l_linenumber = 7 AS overlong, (l_linenumber = 6 OR country IS NULL) AS padded FROM src"),
     "csv_latin1_fallback": q(
         f"SELECT {IO_IDS}, CASE WHEN translate(description, 'E', 'É') IN ({NA_TOKENS}) THEN NULL "
         "ELSE translate(description, 'E', 'É') END AS Description, 'ISO-8859-1' AS encoding FROM src"),
