@@ -12,7 +12,8 @@ Items share a window length with those up to a tenth shorter, so that the number
 passes over a text depends on the range of lengths, not on the number of items. A text
 shorter than a window is one window. The
 benchmark is held by every task in slices of at most ``SLICE`` items; a longer
-benchmark takes more passes.
+benchmark takes more passes. A shingle's weight follows from how many items of the whole
+benchmark hold it, so results do not depend on the slices.
 """
 
 from __future__ import annotations
@@ -56,21 +57,21 @@ def counts(values: np.ndarray, wide: bool) -> np.ndarray:
     return out
 
 
-def fingerprints(running: np.ndarray, k: int) -> np.ndarray:
-    """Majority bits of every ``k`` values that follow one another."""
-    n = len(running) - k
-    out = np.zeros(max(0, n), np.uint64)
-    for a in range(0, n, STRIP):
-        b = min(n, a + STRIP)
-        ones = running[a + k : b + k] - running[a:b]
-        out[a:b] = np.packbits(ones > k // 2, axis=1).view(np.uint64)[:, 0]
+def fingerprints(running: np.ndarray, k: int, place: np.ndarray | None = None) -> np.ndarray:
+    """Majority bits of every ``k`` values that follow one another, or of those that begin
+    at the given places."""
+    if place is None:
+        place = np.arange(max(0, len(running) - k))
+    out = np.zeros(len(place), np.uint64)
+    for a in range(0, len(place), STRIP):
+        at = place[a : a + STRIP]
+        ones = running[at + k] - running[at]
+        out[a : a + STRIP] = np.packbits(ones > k // 2, axis=1).view(np.uint64)[:, 0]
     return out
 
 
-def _near(value: int, radius: int) -> Iterator[int]:
-    for r in range(radius + 1):
-        for bits in combinations(range(16), r):
-            yield value ^ sum(1 << b for b in bits)
+#: All ways to change up to a quarter of the radius of a block's 16 bits.
+_FLIPS = np.array([sum(1 << b for b in bits) for r in range(RADIUS // 4 + 1) for bits in combinations(range(16), r)], np.int64)
 
 
 @dataclass
@@ -82,27 +83,56 @@ class Step:
     items: list[int]
     prints: np.ndarray
     tables: list[np.ndarray]
+    words: int  # of the longest item
+    least: float  # summed weight below which no item reaches the threshold
+
+    @property
+    def reach(self) -> int:
+        """How far a verification goes from its candidate's place."""
+        return max(2, self.words // 8)
+
+
+@dataclass
+class Words:
+    """Word hashes of some texts, the text of each, and where each text begins."""
+
+    hash: np.ndarray
+    doc: np.ndarray
+    first: np.ndarray
+
+
+def item_shingles(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+    """Words of a shingle, fewer only for a shorter text, and the shingles of each text."""
+    r = runs(texts)
+    for i, j in zip(r.first[:-1], r.first[1:]):
+        size = min(SHINGLE, int(j - i))
+        yield size, windows(r.hash[i:j], size) if size else np.zeros(0, np.uint64)
 
 
 class Index:
-    def __init__(self, ids: list[int], texts: list[str | None]):
-        r = runs(texts)
+    def __init__(self, ids: list[int], texts: list[str | None], of: int | None = None, holders: dict[int, int] | None = None):
+        """``of`` items in all, ``holders`` of each shingle among them, where these items are
+        a slice."""
         self.ids, self.shingles = ids, []
         steps: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for k, (i, j) in enumerate(zip(r.first[:-1], r.first[1:])):
-            size = min(SHINGLE, int(j - i))
-            self.shingles.append(windows(r.hash[i:j], size) if size else np.zeros(0, np.uint64))
+        for k, (size, s) in enumerate(item_shingles(texts)):
+            self.shingles.append(s)
             if size:
-                steps[window_length(int(j - i)), size].append(k)
-        held: dict[int, int] = defaultdict(int)
-        for s in self.shingles:
-            for v in set(s.tolist()):
-                held[v] += 1
+                steps[window_length(len(s) + size - 1), size].append(k)
+        if holders is None:
+            holders = defaultdict(int)
+            for s in self.shingles:
+                for v in set(s.tolist()):
+                    holders[v] += 1
+        of = len(ids) if of is None else of
         # a shingle that many items share says less about any of them
-        self.weight = {v: 1 + float(np.log(len(ids) / n)) for v, n in held.items()}
-        self.rare = 1 + float(np.log(max(1, len(ids))))
+        self.weight = {v: 1 + float(np.log(of / holders[v])) for s in self.shingles for v in s.tolist()}
+        self.rare = 1 + float(np.log(max(1, of)))
         self.total = [sum(self.weight[v] for v in s.tolist()) for s in self.shingles]
-        self.known = np.unique(np.concatenate(self.shingles)) if self.shingles else np.zeros(0, np.uint64)
+        self.known = np.array(sorted(self.weight), np.uint64)
+        self.known_weight = np.array([self.weight[v] for v in self.known.tolist()])
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(self.known >> np.uint64(44)).astype(np.int64)] = True
         self.steps = []
         for (window, size), items in sorted(steps.items()):
             prints = np.array([self._print(k) for k in items], np.uint64)
@@ -110,9 +140,19 @@ class Index:
             for b in range(4):
                 table = np.zeros(1 << 16, bool)
                 for p in prints.tolist():
-                    table[list(_near(p >> 16 * b & 0xFFFF, RADIUS // 4))] = True
+                    table[(p >> 16 * b & 0xFFFF) ^ _FLIPS] = True
                 tables.append(table)
-            self.steps.append(Step(max(window, size), size, items, prints, tables))
+            self.steps.append(Step(max(window, size), size, items, prints, tables, max(len(self.shingles[k]) for k in items) + size - 1,
+                                   THRESHOLD * min(self.total[k] for k in items) - 1e-6))
+
+    def mass(self, values: np.ndarray) -> np.ndarray:
+        """Running sum of the weights of the values that items hold."""
+        out = np.zeros(len(values) + 1)
+        place = np.flatnonzero(self.seen[(values >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.known, values[place]), len(self.known) - 1)
+        held = self.known[at] == values[place]
+        out[place[held] + 1] = self.known_weight[at[held]]
+        return np.cumsum(out, out=out)
 
     def _print(self, k: int) -> int:
         s = self.shingles[k]
@@ -136,48 +176,65 @@ class Index:
         """``(text, item, similarity, first word)``, the best window of each text and
         item that reaches the threshold."""
         r = runs(texts)
-        if not len(r.hash):
+        if not len(r.hash) or not self.steps:
+            return
+        # texts whose whole mass is too little for every item are done here
+        open_ = np.zeros(len(texts), bool)
+        for size in {step.shingle for step in self.steps}:
+            mass = self.mass(windows(r.hash, size))
+            edge = mass[np.minimum(r.first, len(mass) - 1)]
+            open_ |= edge[1:] - edge[:-1] >= min(x.least for x in self.steps if x.shingle == size)
+        own = np.flatnonzero(open_)
+        if not len(own):
             return
+        size = np.diff(r.first)[own]
+        words = Words(np.concatenate([r.hash[r.first[d] : r.first[d + 1]] for d in own.tolist()]),
+                      np.repeat(np.arange(len(own)), size), np.concatenate([[0], np.cumsum(size)]))
+        for (doc, item), (similarity, at) in self._found(words).items():
+            if similarity >= THRESHOLD:
+                yield int(own[doc]), item, similarity, at - int(words.first[doc])
+
+    def _found(self, r: Words) -> dict[tuple[int, int], tuple[float, int]]:
         best: dict[tuple[int, int], tuple[float, int]] = {}
         running: dict[tuple[int, bool], np.ndarray] = {}
         values: dict[int, np.ndarray] = {}
+        masses: dict[int, np.ndarray] = {}
         tried: set[tuple[int, int]] = set()
-        held: dict[int, np.ndarray] = {}
         size = np.diff(r.first)
         for step in self.steps:
             k = step.window - step.shingle + 1
             wide = k > 255
             if step.shingle not in values:
                 values[step.shingle] = windows(r.hash, step.shingle)
-            if (step.shingle, wide) not in running:
-                running[step.shingle, wide] = counts(values[step.shingle], wide)
-            prints = fingerprints(running[step.shingle, wide], k)
-            hit = step.tables[0][(prints & np.uint64(0xFFFF)).astype(np.int64)]
-            for b in range(1, 4):
-                hit |= step.tables[b][(prints >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.int64)]
-            hit &= r.doc[: len(prints)] == r.doc[step.window - 1 : step.window - 1 + len(prints)]
-            if step.shingle not in held:
-                # running number of shingles that some item has
-                held[step.shingle] = np.append(0, np.cumsum(np.isin(values[step.shingle], self.known)))
-            # a window is only near an item if windows within _verify's reach of it share a shingle with one
-            low = np.maximum(place := np.flatnonzero(hit), 2 * step.window) - 2 * step.window
-            high = np.minimum(place + 4 * step.window + 2, len(held[step.shingle]) - 1)
-            place = place[held[step.shingle][high] > held[step.shingle][low]]
-            near = prints[place]
-            if len(short := np.flatnonzero((size < step.window) & (size >= step.shingle))):
+                masses[step.shingle] = self.mass(values[step.shingle])
+            mass = masses[step.shingle]
+            start = np.arange(max(0, len(r.hash) - step.window + 1))
+            low = np.maximum(start - step.reach, 0)
+            high = np.minimum(start + step.reach + step.words, len(mass) - 1)
+            place = start[(mass[high] - mass[low] >= step.least) & (r.doc[start] == r.doc[start + step.window - 1])]
+            near = np.zeros(0, np.uint64)
+            if len(place):
+                if (step.shingle, wide) not in running:
+                    running[step.shingle, wide] = counts(values[step.shingle], wide)
+                near = fingerprints(running[step.shingle, wide], k, place)
+                hit = step.tables[0][(near & np.uint64(0xFFFF)).astype(np.int64)]
+                for b in range(1, 4):
+                    hit |= step.tables[b][(near >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.int64)]
+                place, near = place[hit], near[hit]
+            short = np.flatnonzero((size < step.window) & (size >= step.shingle))
+            if len(short):
                 # a shorter text is one window, compared at its own length
+                last = r.first[short + 1] - step.shingle + 1
+                short = short[mass[last] - mass[r.first[short]] >= step.least]
                 own = [values[step.shingle][r.first[d] : r.first[d + 1] - step.shingle + 1] for d in short.tolist()]
-                own = [(d, v) for d, v in zip(short.tolist(), own) if np.isin(v, self.known).any()]
-                place = np.append(place, [int(r.first[d]) for d, _ in own]).astype(np.int64)
-                near = np.append(near, np.array([fingerprints(counts(v, len(v) > 255), len(v))[0] for _, v in own], np.uint64))
-            for item, p in zip(step.items, step.prints):
+                place = np.append(place, r.first[short]).astype(np.int64)
+                near = np.append(near, np.array([fingerprints(counts(v, len(v) > 255), len(v))[0] for v in own], np.uint64))
+            for item, p in zip(step.items, step.prints) if len(place) else ():
                 for at in place[np.bitwise_count(near ^ p) <= RADIUS].tolist():
                     self._verify(r, values[step.shingle], step, item, at, best, tried)
-        for (doc, item), (similarity, at) in best.items():
-            if similarity >= THRESHOLD:
-                yield doc, item, similarity, at - int(r.first[doc])
+        return best
 
-    def _verify(self, r, values: np.ndarray, step: Step, item: int, at: int, best: dict, tried: set) -> None:
+    def _verify(self, r: Words, values: np.ndarray, step: Step, item: int, at: int, best: dict, tried: set) -> None:
         """Windows of the item's own length around a candidate; each is tried once."""
         doc = int(r.doc[at])
         words = len(self.shingles[item]) + step.shingle - 1
@@ -213,20 +270,37 @@ def matches(docs: DataFrame, benchmark: DataFrame, slice_items: int = SLICE) ->
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    passes = max(1, -(-items.count() // slice_items))
+    n = items.count()
+    passes = max(1, -(-n // slice_items))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    kind = "item long, v long"
+    held = written(items.mapInArrow(_distinct_shingles, kind).groupBy("v").agg(F.count("*").alias("n")), "shingles") if passes > 1 else None
     found = None
     for k in range(passes):
-        held = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(passes)) == k).orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast([(x.item_id, x.text) for x in held])
+        mine = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(passes)) == k)
+        holders = None
+        if held is not None:  # counted over all items, for the shingles of this slice: bounded as the slice is
+            counted = held.join(mine.mapInArrow(_distinct_shingles, kind).select("v").distinct(), "v").collect()
+            holders = {r.v & 0xFFFFFFFFFFFFFFFF: r.n for r in counted}
+        shared = spark.sparkContext.broadcast(([(x.item_id, x.text) for x in mine.orderBy("item_id", "text").collect()], n, holders))
         part = source.mapInArrow(_searcher(shared), "doc_id long, item_id long, similarity double, start_word int")
         found = part if found is None else found.union(part)
     return found
 
 
+def _distinct_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column(batch.schema.get_field_index("item_id")).to_pylist()
+        own = [np.unique(s).view(np.int64) for _, s in item_shingles(texts_of(batch))]
+        item = [i for i, s in zip(ids, own) for _ in range(len(s))]
+        yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(np.concatenate(own or [np.zeros(0, np.int64)]), pa.int64())],
+                                         ["item", "v"])
+
+
 def _searcher(shared):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index([i for i, _ in shared.value], [t for _, t in shared.value])
+        items, of, holders = shared.value
+        index = Index([i for i, _ in items], [t for _, t in items], of, holders)
         for batch in batches:
             ids, texts = batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), texts_of(batch)
             rows = [(ids[a + doc], index.ids[item], s, at)
