@@ -88,7 +88,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     known = (labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
              .select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("y"),
                      F.xxhash64(F.col("doc_id").cast("string")).alias("place")))
-    limit = -(2**63) + int(2**64 * min(1.0, 1.2 * rows / max(1, known.count()))) - 1
+    limit = -(2**63) + int(2**64 * min(1.0, 1.2 * rows / max(1, known.select("label_id").distinct().count()))) - 1
     drawn = known.where(F.col("place") <= limit).groupBy("label_id", "place").agg(F.max("y").alias("y"))
     taken = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id"))
     return written(taken.groupBy("doc_id", "place").agg(F.max(F.struct("text", "y")).alias("best"))

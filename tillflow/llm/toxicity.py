@@ -5,10 +5,13 @@ stand in for their stems); document frequencies are counted over all documents.
 whose presence goes clearly with the label, by chi-square over a bounded sample of
 labelled rows (``SAMPLE_ROWS`` of the quality classifier, drawn by id hash), weighs more;
 no term is left out. A bounded set of labelled examples is kept in an
-inverted index with a maximum weight for each block of postings. The nearest
-examples by exact cosine are found block by block, largest bound first, until no
-block left can hold a nearer one; their votes, weighted by distance, are calibrated
-on the examples themselves, each left out of its own search.
+inverted index with a maximum weight for each block of examples: terms of few examples
+as lists of postings, terms of many as dense blocks. A text's short lists are summed
+first. The block maxima of its other terms then bound what a block's examples can come
+to: blocks that cannot hold one of the nearest are left out, the others are summed,
+for several texts at a time, those with the largest bounds first, and the rows that
+reach the last place get their exact cosine. The votes of the nearest, weighted by
+distance, are calibrated on the examples themselves, each left out of its own search.
 
 The index holds at most ``EXAMPLES`` rows (those with the smallest id hash); it is
 the model and travels by broadcast, with the term statistics in ``2**BITS``
@@ -40,6 +43,12 @@ LEAST_CHI2 = 24.0
 LEAST_SHARE = 0.5
 NEAREST = 15
 BLOCK = 64
+#: A term of more than this part of the examples is held as dense blocks.
+DENSE = 1 / 16
+#: Texts searched together, and blocks of each that are summed before the others are bounded again.
+TOGETHER, AHEAD = 32, 8
+#: What single-precision sums may be off.
+SLACK = 1e-5
 ACCEPT = 0.3
 #: Weight of the base rate among the votes.
 PRIOR = 0.5
@@ -96,12 +105,16 @@ class Index:
     ids: np.ndarray
     y: np.ndarray
     base: float
-    rows: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    rows: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # postings of the terms of few examples
     values: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    spans: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # starts in rows of the terms' blocks, and the end
-    blocks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    tops: np.ndarray = field(default_factory=lambda: np.zeros(0))  # largest weights
-    first: np.ndarray = field(default_factory=lambda: np.zeros((1 << BITS) + 1, np.int64))  # by term: its first block, and the end
+    posts: np.ndarray = field(default_factory=lambda: np.zeros((1 << BITS) + 1, np.int64))  # by term: its first posting, and the end
+    common: np.ndarray = field(default_factory=lambda: np.full(1 << BITS, -1, np.int32))  # by term: its dense number
+    dense: np.ndarray = field(default_factory=lambda: np.zeros((0, 0, BLOCK), np.float32))  # by block and dense number
+    tops: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))  # largest weights of its blocks
+    # the dense terms of each row once more, in double precision
+    row_first: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    row_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    row_values: np.ndarray = field(default_factory=lambda: np.zeros(0))
     slope: float = 1.0
     shift: float = 0.0
 
@@ -112,43 +125,74 @@ class Index:
         return found[own], value / (float(np.sqrt(value @ value)) or 1.0)
 
     def build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        row = np.repeat(np.arange(len(vectors)), [len(f) for f, _ in vectors])
+        n = len(vectors)
+        row = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f, _ in vectors])
         word = np.concatenate([f for f, _ in vectors] or [np.zeros(0, np.int64)])
         value = np.concatenate([v for _, v in vectors] or [np.zeros(0)])
+        held = np.bincount(word, minlength=1 << BITS)
+        often = np.flatnonzero(held > DENSE * n)
+        self.common[often] = np.arange(len(often))
+        blocks = -(-n // BLOCK)
+        self.dense = np.zeros((blocks, len(often), BLOCK), np.float32)
+        many = self.common[word] >= 0
+        self.dense[row[many] // BLOCK, self.common[word[many]], row[many] % BLOCK] = value[many]
+        self.tops = self.dense.max(axis=2).T
+        self.row_first = np.searchsorted(row[many], np.arange(n + 1))
+        self.row_terms, self.row_values = self.common[word[many]], value[many]
+        word, row, value = word[~many], row[~many], value[~many]
         order = np.lexsort((row, word))
-        word, row, value = word[order], row[order], value[order]
-        key, start = np.unique(word << BITS | row // BLOCK, return_index=True)
-        self.rows, self.values, self.spans = row, value, np.append(start, len(row))
-        self.blocks, self.tops = key & (1 << BITS) - 1, np.maximum.reduceat(value, start) if len(row) else value
-        self.first = np.searchsorted(key >> BITS, np.arange((1 << BITS) + 1))
-
-    def nearest(self, found: np.ndarray, value: np.ndarray, k: int = NEAREST, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the ``k`` nearest examples that share a term, nearest
-        first, ties to the smaller id."""
-        at, of = _ranges(self.first[found], self.first[found + 1])
-        if not len(at):
-            return np.zeros(0, np.int64), np.zeros(0)
-        block, share = self.blocks[at], value[of]
-        bound = np.bincount(block, share * self.tops[at], -(-len(self.ids) // BLOCK))
-        order = np.flatnonzero(bound)
-        order = order[np.argsort(-bound[order], kind="stable")]
-        rows, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for k0 in range(0, len(order), 8):
-            if len(rows) == k and bound[order[k0]] < least - 1e-9:
-                break
-            taken = np.zeros(len(bound), bool)
-            taken[order[k0 : k0 + 8]] = True
-            some = np.flatnonzero(taken[block])
-            post, own = _ranges(self.spans[at[some]], self.spans[at[some] + 1])
-            sums = np.bincount(self.rows[post], self.values[post] * share[some][own], len(self.ids))
-            hit = np.flatnonzero(sums)
-            rows, cosines = np.append(rows, hit), np.append(cosines, sums[hit])
-            if without >= 0:
-                cosines, rows = cosines[rows != without], rows[rows != without]
+        self.rows, self.values = row[order], value[order]
+        self.posts = np.searchsorted(word[order], np.arange((1 << BITS) + 1))
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST,
+                without: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the rows and cosines of the ``k`` nearest examples that share a
+        term, nearest first, ties to the smaller id; ``without``: not this row."""
+        for a in range(0, len(vectors), TOGETHER):
+            yield from self._nearest(vectors[a : a + TOGETHER], k, without[a : a + TOGETHER] if without else None)
+
+    def _nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int,
+                 without: list[int] | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n, (blocks, _, block) = len(self.ids), self.dense.shape
+        width = blocks * block
+        lists = np.zeros((len(vectors), width))
+        asked = np.zeros((len(vectors), self.dense.shape[1]))
+        for t, (found, value) in enumerate(vectors):
+            number = self.common[found]
+            many = number >= 0
+            asked[t, number[many]] = value[many]
+            few = found[~many]
+            post, of = _ranges(self.posts[few], self.posts[few + 1])
+            lists[t] = np.bincount(self.rows[post], self.values[post] * value[~many][of], width)
+            if without is not None:
+                lists[t, without[t]] = -9.0
+        sums, single = lists.astype(np.float32), asked.astype(np.float32)
+        bound = single @ self.tops
+        summed = np.zeros(bound.shape, bool)
+        for last in (False, True):
+            kth = np.maximum(self._kth(sums, k, n), 0)[:, None]
+            most = sums.reshape(len(vectors), blocks, block).max(axis=2) + bound
+            open_ = ~summed & (most > 0) & (most >= kth - SLACK)
+            if not last and bound.shape[1] > AHEAD:
+                edge = np.partition(most, bound.shape[1] - AHEAD, axis=1)[:, bound.shape[1] - AHEAD][:, None]
+                open_ &= most >= edge
+            for b in np.flatnonzero(open_.any(axis=0)).tolist():
+                of = np.flatnonzero(open_[:, b])
+                sums[of, b * block : (b + 1) * block] += single[of] @ self.dense[b]
+            summed |= open_
+        kth = np.maximum(self._kth(sums, k, n), 0)
+        whole = np.repeat(summed | (bound == 0), block, axis=1)[:, :n]
+        for t in range(len(vectors)):
+            rows = np.flatnonzero(whole[t] & (sums[t, :n] > 0) & (sums[t, :n] >= kth[t] - SLACK))
+            at, of = _ranges(self.row_first[rows], self.row_first[rows + 1])
+            cosines = lists[t, rows] + np.bincount(of, self.row_values[at] * asked[t, self.row_terms[at]], len(rows))
             best = np.lexsort((self.ids[rows], -np.round(cosines, 12)))[:k]
-            rows, cosines = rows[best], cosines[best]
-            least = cosines[-1] if len(cosines) else 0.0
-        return rows, cosines
+            yield rows[best], cosines[best]
+
+    @staticmethod
+    def _kth(sums: np.ndarray, k: int, n: int) -> np.ndarray:
+        """The k-th largest sum of each text: no more than its k-th largest cosine."""
+        return np.partition(sums, sums.shape[1] - k, axis=1)[:, sums.shape[1] - k] if n >= k else np.zeros(len(sums), np.float32)
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic votes, each weighing its closeness over its distance, with the
@@ -203,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
     index.ids, index.y = index.ids[order], index.y[order]
     vectors = [vectors[i] for i in order]
     index.build(vectors)
-    votes = np.array([index.vote(*index.nearest(f, v, without=i)) for i, (f, v) in enumerate(vectors)])
+    votes = np.array([index.vote(*near) for near in index.nearest(vectors, without=list(range(len(vectors))))])
     index.slope, index.shift = logistic_fit(votes, index.y)
     return index
 
@@ -233,8 +277,8 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", accept: floa
         index = shared.value
         for batch in batches:
             values, evidence = [], []
-            for found, times in terms(texts_of(batch)) if index else ():
-                rows, cosines = index.nearest(*index.vector(found, times))
+            vectors = [index.vector(found, times) for found, times in terms(texts_of(batch))] if index else []
+            for rows, cosines in index.nearest(vectors) if index else ():
                 values.append(index.probability(index.vote(rows, cosines)))
                 evidence.append(index.ids[rows])
             if not index:
