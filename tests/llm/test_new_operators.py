@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillflow.llm import periodic_runs, queries, ranked_search, vector_dedup
+from tillflow.llm import decontamination, near_dedup, periodic_runs, quality, queries, ranked_search, token_counts, vector_dedup
 
 SF = "/root/testdata/sf0.001"
 VECTORS = "vec_id long, embedding array<float>, label int, near string, v int"
@@ -286,3 +286,191 @@ def test_runs_edges(spark):
     assert [r for r in got if not r.startswith("(7,")] == sorted(str(brute_force_record(i, t)) for i, t in small)
     assert [r[:33] for r in got if r.startswith("(7,")] == ["(7, 1, 0, 20000, 2500, 8000, '" + r[30:33] for r in got if r.startswith("(7,")]
     assert periodic_runs.periodic_runs(df.where(F.lit(False))).count() == 0
+
+
+# -- mended operators --------------------------------------------------------------
+
+def test_rollup_equals_direct_counts_and_survives_a_restart(spark, tmp_path):
+    import public_tokenizers
+    import tiktoken  # noqa: F401
+
+    docs = queries.table(spark, SF, "documents")
+    version = queries.VOCABULARY.rsplit("/", 1)[-1].removesuffix(".tiktoken")
+    counts = token_counts.count_tokens(docs, queries.VOCABULARY, public_tokenizers.PATTERN, version)
+    want = sorted(map(str, map(tuple, counts.where("tokens > 0").groupBy("source", "lang", "version")
+                               .agg(F.count("*"), F.sum("tokens"), F.sum("chars")).collect())))
+    got = queries.op6_token_rollups(spark, SF)
+    assert sorted(map(str, map(tuple, got.select("source", "lang", "version", "documents", "tokens", "chars").collect()))) == want
+    path = str(tmp_path / "rollup")
+    assert token_counts.Rollup(spark, path).totals().count() == 0
+    first = token_counts.Rollup(spark, path)
+    assert first.commit("a", token_counts.signed(counts, 1)) and not first.commit("a", token_counts.signed(counts, 1))
+    again = token_counts.Rollup(spark, path)
+    assert not again.commit("a", token_counts.signed(counts, 1)) and again.batches() == ["a"]
+    again.compact()
+    assert again.commit("b", token_counts.signed(counts.where("tokens = 0"), -1))
+    third = token_counts.Rollup(spark, path)
+    assert not third.commit("a", token_counts.signed(counts, 1)) and third.batches() == ["a", "b"]
+    totals = third.totals().select("source", "lang", "version", "documents", "tokens", "chars")
+    assert sorted(map(str, map(tuple, totals.collect()))) == want
+
+
+def test_token_counts_edges(spark):
+    import public_tokenizers
+
+    kind = "doc_id long, text string, source string, lang string, tokens string"
+    rows = [(1, "one two", "s", "en", "x"), (1, "one two", "s", "en", "x"), (None, None, None, None, None), (2, "", "s", "en", "x")]
+    count = lambda df: token_counts.count_tokens(df, queries.VOCABULARY, public_tokenizers.PATTERN, "v")
+    got = sorted(map(str, map(tuple, count(spark.createDataFrame(rows, kind)).collect())))
+    assert len(got) == 4 and got[0] == got[1] and "(None, None, None, 0, 0, 'v')" in got
+    assert count(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_decontamination_weights_do_not_depend_on_slices(spark):
+    """The same document and item score alike however the benchmark is cut."""
+    bench = queries.table(spark, SF, "benchmark")
+    docs = queries.table(spark, SF, "documents")
+    whole = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontamination.matches(docs, bench).collect()}
+    cut = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontamination.matches(docs, bench, slice_items=9).collect()}
+    assert whole == cut and len(whole) > 0
+
+
+def test_decontamination_recall_by_band(spark):
+    """Every window of planted, edited passages against the exact weighted similarity."""
+    rng = np.random.default_rng(5)
+    words = lambda n: [f"w{j}" for j in rng.integers(0, 5000, n)]
+    items = [words(int(n)) for n in rng.integers(30, 200, 60)]
+    index = decontamination.Index(list(range(len(items))), [" ".join(x) for x in items])
+    texts, plants = [], []
+    for k, item in enumerate(items):
+        for edits in (0, 1, 2, 3, 5):
+            copy = list(item)
+            for j in rng.choice(len(copy), min(edits, len(copy) // 30), replace=False):
+                copy[j] = "edited"
+            texts.append(" ".join([*words(50), *copy, *words(50)]))
+            plants.append((len(texts) - 1, k, copy))
+    found = {(d, i) for d, i, _, _ in index.search(texts)}
+    bands = {}
+    for d, k, copy in plants:
+        _, values = next(decontamination.item_shingles([" ".join(copy)]))
+        s = index.similarity(values.tolist(), k)
+        if s >= decontamination.THRESHOLD:
+            bands.setdefault(int(s * 20) / 20, []).append((d, k) in found)
+    print({b: (sum(x), len(x)) for b, x in sorted(bands.items())})
+    assert all(sum(x) >= 0.95 * len(x) for x in bands.values()) and len(bands) >= 3
+    assert not any(index.search([" ".join(words(300)) for _ in range(20)]))
+
+
+def test_near_dedup_blocks_lose_no_link_across_components(spark):
+    """A bucket whose main component has met its hub, with links only between the others."""
+    rng = np.random.default_rng(9)
+    base = [f"w{j}" for j in rng.integers(0, 10**6, 120)]
+    texts = [" ".join(base)]
+    for _ in range(40):                 # near copies of the base, and copies of copies that drift away
+        copy = list(base)
+        copy[int(rng.integers(0, 120))] = f"e{rng.integers(0, 10**6)}"
+        texts.append(" ".join(copy))
+    drift = list(base)
+    for step in range(12):
+        drift = list(drift)
+        drift[int(rng.integers(0, 120))] = f"d{step}"
+        texts.append(" ".join(drift))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    r = near_dedup.runs(texts)
+    seq = [near_dedup.shingles(r.hash[i:j]) for i, j in zip(r.first[:-1], r.first[1:])]
+    own = list(range(len(texts)))
+    for x in range(len(texts)):
+        for y in range(x):
+            if near_dedup.aligned(seq[x], seq[y]) >= near_dedup.THRESHOLD:
+                a, b = own[x], own[y]
+                own = [min(a, b) if v in (a, b) else v for v in own]
+    assert {r.doc_id: r.class_id for r in near_dedup.duplicate_classes(docs).collect()} == dict(enumerate(own))
+
+
+def test_sample_is_bounded_by_ids_not_by_label_rows(spark):
+    """Ten ids with many label rows each are all learned from."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(10)], "doc_id long, text string")
+    labels = docs.crossJoin(spark.range(400)).select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    sample = quality.training_sample(docs, labels, "quality", 20)
+    usable = {i for i in range(10) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert {r.doc_id for r in sample.collect()} == usable
+
+
+# -- pipeline ------------------------------------------------------------------------
+
+def _in_duckdb(sql, rows):
+    """Result of DuckDB SQL over a ``documents`` table of these rows."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("documents", rows.toArrow())
+    rel = con.sql(sql)
+    return [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    """Each stage on what its predecessor kept: by the classifier's own scores, in DuckDB,
+    by all pairs, by all windows, and in DuckDB again."""
+    import corpus_pipeline
+    from tillflow.llm import line_dedup, mixing
+    from tillflow.llm.frames import written
+
+    docs = queries.table(spark, SF, "documents")
+    stages, kept = [f for _, f in corpus_pipeline.STAGES], [docs]
+    for k, stage in enumerate(stages):
+        kept.append(written(stage(spark, kept[-1], SF), f"test-stage{k}"))
+        assert k == 4 or kept[-1].columns == docs.columns
+    scored = quality.classify(docs, queries.table(spark, SF, "labels"))
+    assert {r.doc_id for r in kept[1].collect()} == {r.doc_id for r in scored.where("predicted = 1").collect()}
+
+    want = {r["doc_id"]: r["text"] for r in _in_duckdb(line_dedup.oracle_sql(), kept[1])}
+    assert {r.doc_id: r.text for r in kept[2].collect()} == want
+
+    rows = [tuple(r) for r in kept[2].select("doc_id", "text").collect()]
+    r = near_dedup.runs([t for _, t in rows])
+    seq = [near_dedup.shingles(r.hash[i:j]) for i, j in zip(r.first[:-1], r.first[1:])]
+    own = {i: i for i, _ in rows}
+    for x in range(len(rows)):
+        for y in range(x):
+            if rows[x][1] == rows[y][1] or near_dedup.aligned(seq[x], seq[y]) >= near_dedup.THRESHOLD:
+                a, b = own[rows[x][0]], own[rows[y][0]]
+                own = {k: min(a, b) if v in (a, b) else v for k, v in own.items()}
+    assert {d.doc_id for d in kept[3].collect()} == set(own.values())
+
+    items = [tuple(x) for x in queries.table(spark, SF, "benchmark").select("item_id", "text").collect()]
+    index = decontamination.Index([i for i, _ in items], [t for _, t in items])
+    clean = set()
+    for d in kept[3].select("doc_id", "text").collect():
+        words = decontamination.runs([d.text]).hash
+        leaks = False
+        for k, s in enumerate(index.shingles):
+            size = min(decontamination.SHINGLE, len(decontamination.runs([items[k][1]]).hash))
+            values = decontamination.windows(words, size)
+            if not len(s) or not np.isin(values, s).any():
+                continue
+            span = len(s)
+            leaks |= any(index.similarity(values[i : i + span].tolist(), k) >= decontamination.THRESHOLD
+                         for i in range(max(1, len(values) - span + 1)))
+        if not leaks:
+            clean.add(d.doc_id)
+    assert {d.doc_id for d in kept[4].collect()} == clean
+
+    want = {(x["doc_id"], x["taken"]) for x in _in_duckdb(mixing.oracle_sql(), kept[4]) if x["taken"] > 0}
+    assert {(d.doc_id, d.taken) for d in kept[5].collect()} == want
+
+
+def test_pipeline_of_odd_and_empty_documents(spark, tmp_path):
+    """Nulls in every column, an empty table, and repeated rows pass through all stages."""
+    import corpus_pipeline
+
+    real = queries.table(spark, SF, "documents")
+    odd = [(None, "no id here at all " * 9, "en", "s", 9), (10**9, None, None, None, None), (10**9 + 1, "", "en", None, 0),
+           (10**9 + 2, "same words twice over", "en", "s", 21), (10**9 + 2, "same words twice over", "en", "s", 21)]
+    for name, docs in (("odd", real.unionByName(spark.createDataFrame(odd, real.schema))), ("none", real.limit(0))):
+        folder = str(tmp_path / name)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        for table in ("labels", "benchmark"):
+            queries.table(spark, SF, table).write.parquet(f"{folder}/{table}.parquet")
+        out = corpus_pipeline.run(spark, folder).collect()
+        ids = [r.doc_id for r in out if r.doc_id is not None]
+        assert len(ids) == len(set(ids)) and (name != "none" or not out)

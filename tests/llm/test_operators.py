@@ -31,7 +31,8 @@ def empty(spark):
 @pytest.mark.parametrize("key", sorted(queries.ORACLE))
 def test_matches_duckdb(spark, key):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     rel = con.sql(queries.ORACLE[key])
     got = queries.QUERIES[key](spark, SF).select(*rel.columns)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, rel.fetchall()))
@@ -207,6 +208,50 @@ def test_pseudo_likelihood(odd, empty):
     assert lm_scoring.score(empty).count() == 0
 
 
+def test_windows_of_texts_do_not_mix():
+    number, first = np.arange(1, 8), np.array([0, 3, 3, 7])
+    pad = lm_scoring._PAD
+    got = lm_scoring.Network.contexts(number, first, np.array([0, 2, 3, 5])).T.tolist()
+    assert got == [[pad, pad, 2, 3], [1, 2, pad, pad], [pad, pad, 5, 6], [4, 5, 7, pad]]
+
+
+def test_training_step_follows_the_gradient():
+    """The first Adagrad step moves each parameter against the sign of its gradient."""
+    rng = np.random.default_rng(0)
+    words = np.arange(lm_scoring.KNOWN, dtype=np.uint64)
+    start = lm_scoring.Network(words).flat
+    start = (start + rng.normal(0, 0.1, len(start))).astype(np.float32)
+    context, target = rng.integers(0, 60, (4, 500)), rng.integers(0, 60, 500)
+    loss = lambda flat: -lm_scoring.Network(words, flat).scores(context, target).mean(dtype=np.float64)
+    net = lm_scoring.Network(words, start.copy())
+    net.train(context, target, [np.full(p.shape, 1e-12, np.float32) for p in net.parts])
+    step = net.flat - start
+    right = []
+    for i in rng.choice(np.flatnonzero(step), 40, replace=False).tolist():
+        up, down = start.copy(), start.copy()
+        up[i] += 0.05
+        down[i] -= 0.05
+        slope = loss(up) - loss(down)
+        if abs(slope) > 2e-6:
+            right.append(slope * step[i] < 0)
+    assert len(right) > 15 and np.mean(right) > 0.95
+    first = loss(start)
+    squares = [np.full(p.shape, 1e-6, np.float32) for p in net.parts]
+    for _ in range(60):
+        net.train(context, target, squares)
+    assert loss(net.flat) < first - 1
+
+
+def test_pseudo_likelihood_learns(spark):
+    """Better than the words' own frequencies on texts with word order."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"s{(a + j) % 40}" for j in range(60)) for a in rng.integers(0, 40, 1500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = [r.mean_log_prob for r in lm_scoring.score(docs).collect()]
+    assert np.mean(got) > -np.log(40) + 0.5
+    assert [r.mean_log_prob for r in lm_scoring.score(docs).collect()] == got      # runs agree
+
+
 def test_pseudo_likelihood_of_rare_words(spark):
     """Words the network shares a bucket for have their own part of it, and each word is a target once."""
     rng = np.random.default_rng(5)
@@ -216,12 +261,13 @@ def test_pseudo_likelihood_of_rare_words(spark):
     out = {r.doc_id: r.mean_log_prob for r in lm_scoring.score(docs, rounds=1).collect()}
     assert out[1000] < min(v for k, v in out.items() if k < 1000) - 1
     counts = lm_scoring.word_counts(docs)
-    net = lm_scoring.fit(docs, 1, counts)
+    frequent = lm_scoring.vocabulary(counts)
+    net = lm_scoring.fit(lm_scoring.numbered(docs, frequent), frequent, 1)
     rest = lm_scoring.shares(counts, net).toPandas()
     assert len(rest) == counts.count() - lm_scoring.KNOWN
     number = net.number(rest["word"].to_numpy().view(np.uint64))
     np.testing.assert_allclose(np.bincount(number, np.exp(rest["share"]))[np.unique(number)], 1)
-    words = np.arange(5000, dtype=np.uint64)
+    words = np.arange(5000)
     at = np.concatenate([lm_scoring.targets(words, np.arange(5000), t, 2) for t in range(2)])
     assert sorted(at) == list(range(5000))
 
@@ -245,6 +291,32 @@ def test_extraction_by_slots(spark):
     assert all(got[10 + i].startswith("Copied\nc0 c1") and got[10 + i].endswith(f"end {i % 2}") for i in range(6))
 
 
+def test_extraction_keeps_fixed_headings_and_reads_numbered_names(spark):
+    """Headings that all articles share stay; names with page numbers are one path; notices of
+    no listed name go from there, too."""
+    page = ("<body><div class='gdpr'>We value your privacy</div><div id='post-{0}'><h2>Summary</h2><p>" + "about {0} and more of it " * 20
+            + "</p><h2>Method</h2><p>" + "how {0} was done " * 20 + "</p><div class='zz{0}'>Sent from my phone</div></div></body>")
+    rows = [(i, f"http://h/{i}", page.format(100 + i)) for i in range(20)]
+    empty = [(90, "http://h/x", ""), (91, "http://h/y", None)] + [(0, "http://h/0", page.format(100))]
+    kind = "page_id long, url string, html string, text string, host string"
+    got = extraction.extract(spark.createDataFrame([(*r, "t", "h") for r in rows + empty], kind)).collect()
+    assert len(got) == 23 and got[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
+    for r in got:
+        n = 100 + r.page_id
+        want = "" if r.page_id >= 90 else f"Summary\n{(f'about {n} and more of it ' * 20).strip()}\nMethod\n{(f'how {n} was done ' * 20).strip()}"
+        assert r.text == want and r.n_chars == len(want)
+    long = "<body><article><p>" + "word " * 200_000 + "</p></article></body>"
+    assert extraction.extract(spark.createDataFrame([(1, None, long, "t", "h")], kind)).first().n_chars == 999_999
+    assert extraction.extract(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_extraction_broadcast_equals_join(spark, monkeypatch):
+    pages = queries.table(spark, SF, "pages")
+    a = sorted(map(tuple, extraction.extract(pages).collect()))
+    monkeypatch.setattr(extraction, "BROADCAST_HOSTS", -1)
+    assert sorted(map(tuple, extraction.extract(pages).collect())) == a
+
+
 def test_extraction_by_layout(spark):
     """Two layouts on one host, and pages without a host."""
     one = "<body><div class='content'><p>" + "first {0} layout {0} text " * 30 + "</p></div></body>"

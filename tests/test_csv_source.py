@@ -138,3 +138,65 @@ def test_parquet_source_keeps_last_in_file_order(spark, tmpdir_path):
     assert kept == {"0": "d6", "1": "d7", "2": "d8"}          # the last of each key in the file
     r = pipeline.run_pipeline(spark, src, os.path.join(tmpdir_path, "wh"), batch_id="pq")
     assert (r.records_read, r.records_loaded, r.duplicates_removed) == (9, 3, 6)
+
+
+# -- newlines inside quotes, and files that were read before ----------------------
+
+def test_only_files_with_an_open_quote_are_read_whole(spark, tmpdir_path):
+    import os
+
+    from tillflow.plans import pipeline
+    from tillflow.sources.csv_source import drop_check_columns, open_quote_files, read_source_csv
+
+    head = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+    src, wh = os.path.join(tmpdir_path, "src dir"), os.path.join(tmpdir_path, "wh")
+    os.makedirs(src)
+    files = {"a.csv": '1,A,"two\nlines",1,2010-01-01 10:00:00,1.0,7,UK\n2,B,"say ""hi""",1,2010-01-01 10:00:00,1.0,7,UK\n',
+             "b.csv": '3,C,plain 5" pipe,1,2010-01-01 10:00:00,1.0,7,UK\n1,A,later,1,2010-01-01 10:00:00,1.0,7,UK\n',
+             "c.csv": '4,D,x,1,2010-01-01 10:00:00,1.0,7,"U\nK"\n'}
+    for name, body in files.items():
+        with open(os.path.join(src, name), "w") as f:
+            f.write(head + body)
+    plain = read_source_csv(spark, src)
+    assert [os.path.basename(f) for f in open_quote_files(plain)] == ["a.csv", "c.csv"]
+    whole = read_source_csv(spark, src, multi_line=open_quote_files(plain))
+    assert sorted(r.Description for r in drop_check_columns(whole).collect()) == ["later", 'plain 5" pipe', 'say "hi"', "two\nlines", "x"]
+    r = pipeline.run_pipeline(spark, src, wh, batch_id="a")
+    assert (r.records_read, r.records_loaded, r.records_quarantined, r.duplicates_removed) == (5, 4, 0, 1)
+    got = {x.invoice_no: (x.description, x.country) for x in pipeline.read_raw(spark, wh).collect()}
+    # the line of the later file is kept: file order holds across both kinds of reads
+    assert got == {"1": ("later", "UK"), "2": ('say "hi"', "UK"), "3": ('plain 5" pipe', "UK"), "4": ("x", "U\nK")}
+
+
+def test_new_files_only(spark, tmpdir_path, monkeypatch):
+    import os
+
+    from tillflow.plans import pipeline
+
+    head = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+    src, wh = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "wh")
+    os.makedirs(src)
+
+    def put(name, *rows):
+        with open(os.path.join(src, name), "w") as f:
+            f.write(head + "".join(f"{i},{s},x,1,{t},1.0,7,UK\n" for i, s, t in rows))
+    read = []
+    real = pipeline.read_source_csv
+    monkeypatch.setattr(pipeline, "read_source_csv", lambda spark, path, **k: read.append([os.path.basename(p) for p in path]) or
+                        real(spark, path, **k))
+    run = lambda b, **k: pipeline.run_pipeline(spark, src, wh, batch_id=b, new_files_only=True, **k)
+    put("a.csv", ("1", "A", "2010-01-01 10:00:00"))
+    put("b.csv", ("2", "B", "2010-01-02 10:00:00"))
+    assert run("x").records_loaded == 2 and read.pop() == ["a.csv", "b.csv"]
+    assert run("y").records_read == 0 and not read              # nothing new: nothing is read
+    put("c.csv", ("3", "C", "2010-01-03 10:00:00"), ("0", "late", "2009-01-01 10:00:00"))
+    r = run("z")
+    assert (r.records_read, r.records_loaded) == (1, 1) and read.pop() == ["c.csv"]     # the mark is the second guard
+    put("a.csv", ("9", "A", "2010-01-05 10:00:00"), ("1", "A", "2010-01-01 10:00:00"))    # a file that changed is new
+    assert run("w").records_loaded == 1 and read.pop() == ["a.csv"]
+    pipeline.compact_lines(spark, pipeline.Layout(wh).lines)
+    put("d.csv", ("10", "D", "2010-01-06 10:00:00"))
+    assert run("v", compact_after=1).records_loaded == 1 and read.pop() == ["d.csv"]
+    assert run("z").records_loaded == 1 and read.pop() == ["c.csv"]       # a batch again: its own files
+    assert sorted((x.invoice_no, x.batch_id) for x in pipeline.read_raw(spark, wh).collect()) == [
+        ("1", "x"), ("10", "v"), ("2", "x"), ("3", "z"), ("9", "w")]

@@ -44,8 +44,9 @@ def _ingest(spark, a):
 
         source = read_source_parquet(spark, a.source)
     res = pipeline.run_pipeline(spark, source, a.warehouse, pipeline_name=a.pipeline_name,
-                                batch_id=a.batch_id, options=opts, multi_line=a.multi_line,
-                                encoding=a.encoding, on_ragged=a.on_ragged, publish=a.publish)
+                                batch_id=a.batch_id, options=opts, multi_line=True if a.multi_line else "auto",
+                                encoding=a.encoding, on_ragged=a.on_ragged, on_unfit=a.on_unfit, publish=a.publish,
+                                new_files_only=a.new_files_only, compact_after=a.compact_after)
     print(json.dumps({"batch_id": res.batch_id, "status": res.status, "records_read": res.records_read,
                       "records_loaded": res.records_loaded, "records_quarantined": res.records_quarantined,
                       "records_skipped": res.records_skipped, "duplicates_removed": res.duplicates_removed}))
@@ -83,6 +84,9 @@ def main(argv=None) -> int:
     ap.add_argument("--multi-line", action="store_true")
     ap.add_argument("--encoding", default="auto")
     ap.add_argument("--on-ragged", choices=["fail", "quarantine"], default="fail")
+    ap.add_argument("--on-unfit", choices=["skip", "quarantine"], default="skip")
+    ap.add_argument("--new-files-only", action="store_true", help="leave out files that an earlier batch has read")
+    ap.add_argument("--compact-after", type=int, help="fold the batch folders into months when there are so many")
     ap.add_argument("--publish", choices=["rename", "direct"], default="rename")
     ap.add_argument("--continuous", action="store_true")
     ap.add_argument("--scope-tests", action="store_true", help="daily: test only what this batch adds")

@@ -75,7 +75,9 @@ from tillflow.sources.csv_source import (
     check_metrics,
     drop_check_columns,
     has_check_columns,
+    list_files,
     not_utf8,
+    open_quote_files,
     read_source_csv,
 )
 from tillflow.state.pending import CHECKED, WRITING, PendingRuns
@@ -252,13 +254,13 @@ ON_RAGGED = ("fail", "quarantine")
 ON_UNFIT = ("skip", "quarantine")
 
 
-def _source_frame(spark: SparkSession, source, multi_line: bool, encoding: str) -> DataFrame:
+def _source_frame(spark: SparkSession, source, multi_line: bool | list[str], encoding: str) -> DataFrame:
     if isinstance(source, (str, list, tuple)):
         return read_source_csv(spark, source, multi_line=multi_line, encoding=encoding)
-    return source(encoding) if callable(source) else source
+    return source(encoding, multi_line) if callable(source) else source
 
 
-def _invalid_utf8(spark: SparkSession, source, multi_line: bool) -> bool:
+def _invalid_utf8(spark: SparkSession, source, multi_line: bool | list[str]) -> bool:
     """Whether the bytes of some row are not UTF-8; stops at the first one."""
     return not not_utf8(_source_frame(spark, source, multi_line, LATIN1)).isEmpty()
 
@@ -272,18 +274,18 @@ class Load:
     folder: str
     direct: bool
     started_at: dt.datetime
-    multi_line: bool = False
     on_ragged: str = "fail"
     on_unfit: str = "skip"
     skip_loaded_keys: bool = False
+    files: tuple[tuple[str, int, int], ...] | None = None
 
 
 def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOptions, start: Start,
-                 load: Load, encoding: str, clock):
+                 load: Load, encoding: str, multi_line: bool | list[str], clock):
     """Steps 2-3 into ``load.folder``. Returns (metrics, source-check metrics)."""
     checks = None
     last_ts, last_inv = start.mark
-    src = _source_frame(spark, source, load.multi_line, encoding)
+    src = _source_frame(spark, source, multi_line, encoding)
     if has_check_columns(src):
         checks = Observation(f"source_checks_{uuid.uuid4().hex[:8]}")
         src = drop_check_columns(src.observe(checks, *check_metrics()), keep_record=load.on_ragged == "quarantine")
@@ -312,6 +314,8 @@ def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOpt
                           F.count_if(F.col(ingest.UNFIT_COL)).alias("unfit"))
     lines = lines.filter((F.col(STATUS_COL) != "loaded") | ~unfit).drop(LOADABLE_COL, ingest.UNFIT_COL)
     marks = {"run": load.run, "pipeline": load.pipeline_name, "start": _as_text(start.mark), "end": _as_text(start.mark)}
+    if load.files is not None:
+        marks["files"] = load.files
     try:
         if load.direct:
             write_marks(spark, load.folder, marks)     # before any row: a run that is cut off can start over
@@ -334,17 +338,22 @@ def _write_batch(spark: SparkSession, source, layout: Layout, options: IngestOpt
 
 def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *,
                  pipeline_name: str = PIPELINE_NAME, batch_id: str | None = None,
-                 options: IngestOptions = IngestOptions(), multi_line: bool = False,
+                 options: IngestOptions = IngestOptions(), multi_line: bool | str = "auto",
                  encoding: str = "auto", on_ragged: str = "fail", clock=utcnow,
                  truncate_watermark: bool = False, publish: str = "rename",
                  skip_loaded_keys: bool = False,
-                 on_unfit: str = "skip", compact_after: int | None = None) -> RunResult:
+                 on_unfit: str = "skip", compact_after: int | None = None,
+                 new_files_only: bool = False) -> RunResult:
     """One incremental batch from ``source`` into the warehouse.
 
     ``source`` is a CSV path/glob (or list), a DataFrame with the source
-    columns and an orderable ``_ord``, or a function ``encoding -> DataFrame``
+    columns and an orderable ``_ord``, or a function ``encoding, multi_line -> DataFrame``
     (used by the streaming driver for micro-batches). ``encoding="auto"`` reads UTF-8 and re-reads the
-    whole source as ISO-8859-1 if any text was not valid UTF-8.
+    whole source as ISO-8859-1 if any text was not valid UTF-8. ``multi_line="auto"`` splits
+    all files and reads those again whole in which a row leaves a quote open, as a newline
+    inside quotes does; ``True`` reads every file whole, ``False`` none.
+    ``new_files_only`` leaves out files of a CSV path that an earlier batch of the pipeline
+    has read, by path, length and change time; the row mark holds for the others.
     ``on_ragged="fail"`` rejects a source with rows longer than the header;
     ``"quarantine"`` loads the others and puts these rows, with their whole record,
     into the quarantine. ``on_unfit`` does the same for clean rows whose values do
@@ -384,10 +393,20 @@ def run_pipeline(spark: SparkSession, source: str | DataFrame, warehouse: str, *
         stored = wm.read(pipeline_name, RAW_TABLE)
         start = _start(spark, layout, batch_id, pipeline_name, stored)
         direct = publish == "direct" and not start.replaces
+        files = None
+        if new_files_only:
+            if not isinstance(source, (str, list, tuple)):
+                raise ExtractionError("new_files_only needs a path as the source")
+            files = _new_files(spark, layout, source, pipeline_name, batch_id if start.replaces else None)
+            source = [f for f, _, _ in files]
         load = Load(batch_id, pipeline_name, run, batch_folder(layout.lines, batch_id) if direct
-                    else incoming_folder(layout.lines, batch_id, run), direct, started_at, multi_line, on_ragged, on_unfit,
-                    skip_loaded_keys)
-        result, mark = _run(spark, source, layout, start, load, options, encoding, clock, pending_runs)
+                    else incoming_folder(layout.lines, batch_id, run), direct, started_at, on_ragged, on_unfit,
+                    skip_loaded_keys, files)
+        if files == ():
+            log.info("No new file")
+            result, mark = RunResult(batch_id, "success"), None
+        else:
+            result, mark = _run(spark, source, layout, start, load, options, encoding, multi_line, clock, pending_runs)
         settle()
         # the mark first: an audit row never says success for a run whose mark is old
         if mark is not None and _is_past(mark, stored):
@@ -417,7 +436,17 @@ def _compact_quietly(spark: SparkSession, layout: Layout, compact_after: int) ->
         log.warning("Compaction of %s failed: %s", layout.lines, e)
 
 
-def _run(spark, source, layout: Layout, start: Start, load: Load, options, encoding, clock,
+def _new_files(spark: SparkSession, layout: Layout, source, pipeline_name: str, again: str | None) -> tuple[tuple[str, int, int], ...]:
+    """Files of the source that no batch of the pipeline holds, or, of a batch that is
+    read again, its own."""
+    loaded = {}
+    for batch, marks in history.batches(spark, layout.lines).items():
+        if marks.get("pipeline") == pipeline_name and batch != again:
+            loaded |= {tuple(f): batch for f in marks.get("files", ())}
+    return tuple(f for f in list_files(spark, source) if f not in loaded)
+
+
+def _run(spark, source, layout: Layout, start: Start, load: Load, options, encoding, multi_line, clock,
          pending: PendingRuns) -> tuple[RunResult, Mark | None]:
     """Reads, writes and publishes the batch; returns the mark that it reached."""
     batch_id = load.batch_id
@@ -426,16 +455,24 @@ def _run(spark, source, layout: Layout, start: Start, load: Load, options, encod
     note = {"state": WRITING, "batch_id": batch_id, "pipeline": load.pipeline_name, "folder": load.folder,
             "direct": load.direct, "started_at": load.started_at.isoformat()}
 
-    def write(enc: str):
-        return _write_batch(spark, source, layout, options, start, load, enc, clock)
+    whole: bool | list[str] = False if multi_line == "auto" else bool(multi_line)
+
+    def write(enc: str, whole: bool | list[str]):
+        return _write_batch(spark, source, layout, options, start, load, enc, whole, clock)
 
     pending.put(load.run, **note)
     try:
-        m, checks = write(enc)
-        if encoding == "auto" and checks.get("bad_text_rows", 0) > 0 and _invalid_utf8(spark, source, load.multi_line):
+        m, checks = write(enc, whole)
+        again = False
+        if multi_line == "auto" and checks.get("open_quote_rows", 0) > 0:
+            whole, again = open_quote_files(_source_frame(spark, source, False, enc)), True
+            log.warning("%d file(s) hold newlines inside quotes; reading them again whole", len(whole))
+        if encoding == "auto" and checks.get("bad_text_rows", 0) > 0 and _invalid_utf8(spark, source, whole):
             log.warning("Source is not valid UTF-8; re-reading it as %s", LATIN1)
+            enc, again = LATIN1, True
+        if again:
             _delete_quietly(spark, load.folder)
-            m, checks = write(LATIN1)
+            m, checks = write(enc, whole)
         if checks.get("overlong_rows", 0) > 0 and load.on_ragged == "fail":
             raise ExtractionError(f"{checks['overlong_rows']} row(s) of the source have more fields than its "
                                   "header; mend the file, or load it with on_ragged='quarantine'")

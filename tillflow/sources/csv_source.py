@@ -4,8 +4,9 @@
   (a user schema binds by position, so it must come from the header), and
   types are assigned later by the clean step, never inferred.
 * Doubled quotes inside quoted fields are unescaped (``escape='"'``).
-  ``multi_line=True`` allows newlines inside quotes but makes each file one
-  split, so it is off by default.
+  A file read with ``multi_line`` may hold newlines inside quotes but is one split.
+  Rows that leave a quote open are flagged (``_open_quote``), so that a reader can split
+  all files and read only those again whole (``open_quote_files``).
 * The reader's missing-value tokens (NA, N/A, NULL, nan, ...) become NULL.
 * Each row carries ``_ord`` = (file path, split start, position in split):
   an orderable stand-in for file order, taken at the scan before any shuffle.
@@ -21,6 +22,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +37,7 @@ EXPECTED_COLUMNS = frozenset(SOURCE_COLUMNS)
 CORRUPT_COL = "_corrupt_record"
 OVERLONG_COL = "_overlong"
 BAD_TEXT_COL = "_bad_text"
+OPEN_COL = "_open_quote"
 RECORD_COL = "_raw_record"
 UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
@@ -96,11 +100,16 @@ def text_schema(header) -> T.StructType:
 
 def decorate(raw: DataFrame, header, order: Column | None = None) -> DataFrame:
     """Source columns with missing-value tokens nulled, plus ``_ord``,
-    ``_overlong``, ``_bad_text`` and ``_raw_record`` (NULL unless overlong), from a frame read with ``text_schema``
+    ``_overlong``, ``_bad_text``, ``_open_quote`` and ``_raw_record`` (NULL unless overlong), from a frame read with ``text_schema``
     (a batch read or a streaming micro-batch). ``order`` defaults to the
     file order from the scan's metadata."""
     corrupt = F.col(CORRUPT_COL)
     overlong = F.coalesce(corrupt.isNotNull() & (field_count(corrupt) > len(header)), F.lit(False))
+    # the parser stops at the end of the line: too few fields of a record with an odd
+    # number of quotes, or a last field that still has its opening one
+    quotes = F.length(corrupt) - F.length(F.replace(corrupt, F.lit('"'), F.lit("")))
+    open_quote = F.coalesce(corrupt.isNotNull() & (quotes % 2 == 1), F.lit(False)) | F.coalesce(
+        F.startswith(F.col(f"`{header[-1]}`"), F.lit('"')), F.lit(False))
     bad_text = F.coalesce(F.concat_ws("", *[F.col(f"`{c}`") for c in header]).contains(REPLACEMENT_CHAR),
                           F.lit(False))
     return raw.select(
@@ -108,6 +117,7 @@ def decorate(raw: DataFrame, header, order: Column | None = None) -> DataFrame:
         (file_order() if order is None else order).alias("_ord"),
         overlong.alias(OVERLONG_COL),
         bad_text.alias(BAD_TEXT_COL),
+        open_quote.alias(OPEN_COL),
         F.when(overlong, corrupt).alias(RECORD_COL),
     )
 
@@ -126,20 +136,56 @@ def source_reader(spark: SparkSession, header, multi_line: bool = False, encodin
             .option("columnNameOfCorruptRecord", CORRUPT_COL))
 
 
-def read_source_csv(spark: SparkSession, path, multi_line: bool = False,
+def read_source_csv(spark: SparkSession, path, multi_line: bool | list[str] = False,
                     encoding: str = UTF8) -> DataFrame:
-    """Source rows as text with ``_ord``, ``_overlong``, ``_bad_text`` and ``_raw_record``.
-    ``path`` is a file, folder, glob or list of them. Needs whole-record
+    """Source rows as text with ``_ord`` and the check columns.
+    ``path`` is a file, folder, glob or list of them; ``multi_line`` holds for all files or
+    for those of a list, the others are split. Needs whole-record
     parsing (``spark.sql.csv.parser.columnPruning.enabled`` false, set here
     and by the engine settings) for the field-count check."""
     first = path[0] if isinstance(path, (list, tuple)) else path
-    header = source_header(spark, first, multi_line, encoding)
+    header = source_header(spark, first, bool(multi_line), encoding)
     validate_schema(header)
     try:
-        df = source_reader(spark, header, multi_line, encoding).csv(path)
+        if not isinstance(multi_line, list):
+            df = source_reader(spark, header, multi_line, encoding).csv(path)
+            return decorate(df, header)
+        every = source_reader(spark, header, False, encoding).csv(path).inputFiles()     # as URIs
+        whole = {_plain(f) for f in multi_line}
+        parts = [([unquote(f) for f in every if (_plain(f) in whole) == m], m) for m in (False, True)]
+        frames = [decorate(source_reader(spark, header, m, encoding).csv(files), header) for files, m in parts if files]
+        return reduce(DataFrame.unionByName, frames)
     except AnalysisException as e:
         raise ExtractionError(f"The source {path} cannot be read as CSV: {e}") from e
-    return decorate(df, header)
+
+
+def _plain(file: str) -> str:
+    """A file's path however its URI writes it."""
+    return unquote(re.sub(r"^file:/+", "/", file))
+
+
+def open_quote_files(source: DataFrame) -> list[str]:
+    """Files of a source (as ``read_source_csv`` gives it) with rows that leave a quote open."""
+    return sorted(x[0] for x in source.filter(F.col(OPEN_COL)).select("_ord.file").distinct().collect())
+
+
+def list_files(spark: SparkSession, path) -> list[tuple[str, int, int]]:
+    """``(path, length, change time)`` of the files of a path, folder, glob or list of them,
+    in order, without the hidden ones that Spark's readers skip."""
+    jvm, found = spark.sparkContext._jvm, []
+    for p in [path] if isinstance(path, str) else path:
+        root = jvm.org.apache.hadoop.fs.Path(p)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        open_ = list(fs.globStatus(root) or [])
+        if not open_:
+            raise ExtractionError(f"There is no source at {p}")
+        while open_:
+            s = open_.pop()
+            if s.isDirectory():
+                open_ += [x for x in fs.listStatus(s.getPath()) if not re.match(r"[._]", x.getPath().getName())]
+            else:
+                found.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return sorted(set(found))
 
 
 def not_utf8(latin: DataFrame) -> DataFrame:
@@ -152,19 +198,20 @@ def not_utf8(latin: DataFrame) -> DataFrame:
 def check_metrics() -> list[Column]:
     """Aggregates to attach with ``DataFrame.observe`` on the source."""
     return [F.count_if(F.col(OVERLONG_COL)).alias("overlong_rows"),
-            F.count_if(F.col(BAD_TEXT_COL)).alias("bad_text_rows")]
+            F.count_if(F.col(BAD_TEXT_COL)).alias("bad_text_rows"),
+            F.count_if(F.col(OPEN_COL)).alias("open_quote_rows")]
 
 
 def drop_check_columns(df: DataFrame, keep_record: bool = False) -> DataFrame:
     """Without the flags; ``keep_record`` leaves the records of overlong rows."""
-    return df.drop(OVERLONG_COL, BAD_TEXT_COL, *([] if keep_record else [RECORD_COL]))
+    return df.drop(OVERLONG_COL, BAD_TEXT_COL, OPEN_COL, *([] if keep_record else [RECORD_COL]))
 
 
 def has_check_columns(df: DataFrame) -> bool:
     return OVERLONG_COL in df.columns and BAD_TEXT_COL in df.columns
 
 
-def detect_encoding(spark: SparkSession, path: str, multi_line: bool = False) -> str:
+def detect_encoding(spark: SparkSession, path: str, multi_line: bool | list[str] = False) -> str:
     """UTF-8 unless the bytes of some row are not UTF-8, then ISO-8859-1 for
     the whole source (S3). A standalone probe (one pass that stops at the first
     bad row); the pipeline instead counts suspicious rows during its own pass

@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import logging
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,17 +57,17 @@ _BLOCK = "_src_block"
 
 
 def _micro_batch_source(spark: SparkSession, batch: DataFrame, header, multi_line: bool):
-    """``encoding -> DataFrame`` for one micro-batch. The stream's encoding
-    uses the rows it read; another one re-reads exactly this micro-batch's
-    files (their names are collected: one row per new file, which the stream's
-    own file listing held on the driver before)."""
-    def make(encoding: str) -> DataFrame:
-        if encoding == UTF8:
+    """``encoding, multi_line -> DataFrame`` for one micro-batch. The stream's encoding
+    uses the rows it read; another one, or files that hold newlines inside quotes, re-read
+    exactly this micro-batch's files (their names are collected: one row per new file, which
+    the stream's own file listing held on the driver before)."""
+    def make(encoding: str, whole: bool | list[str] = False) -> DataFrame:
+        if encoding == UTF8 and (not whole or multi_line):
             order = F.struct(F.col(_PATH).alias("file"), F.col(_BLOCK).alias("block"),
                              F.monotonically_increasing_id().alias("pos"))
             return decorate(batch, header, order)
-        files = [r[_PATH] for r in batch.select(_PATH).distinct().collect()]
-        return read_source_csv(spark, files, multi_line=multi_line, encoding=encoding)
+        files = [unquote(r[_PATH]) for r in batch.select(_PATH).distinct().collect()]
+        return read_source_csv(spark, files, multi_line=multi_line or whole, encoding=encoding)
     return make
 
 
@@ -111,7 +112,8 @@ def start_file_ingest(spark: SparkSession, source_dir: str, warehouse: str, *,
         kwargs = {} if clock is None else {"clock": clock}
         res = pipeline.run_pipeline(spark, _micro_batch_source(spark, batch, header, multi_line), warehouse,
                                     pipeline_name=pipeline_name, batch_id=f"{batch_prefix}_{stream}_{epoch_id}",
-                                    options=options, on_ragged=on_ragged, **kwargs)
+                                    options=options, on_ragged=on_ragged,
+                                    multi_line=True if multi_line else "auto", **kwargs)
         log.info("micro-batch %s: read %s, loaded %s", epoch_id, res.records_read, res.records_loaded)
         if results is not None:
             results.append(res)
