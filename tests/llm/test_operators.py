@@ -155,6 +155,26 @@ def test_toxicity_over_all_terms(spark, monkeypatch):
         assert len(got[i]) == toxicity.NEAREST and np.allclose([near[j] for j in got[i]], [near[j] for j in best])
 
 
+@pytest.mark.parametrize("times", [1e3, 1e7])
+def test_vector_search_with_very_long_vectors(spark, times):
+    """A few vectors far longer than the rest do not hide the others' neighbours."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((1500, 16))
+    x[7], x[300], x[301] = x[7] * times, x[8] / times, x[8] / times
+    x[600:700] = x[600]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = vector_search.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).toPandas()
+    hit = []
+    for q in range(0, 1500, 20):
+        s = np.einsum("ij,j->i", x, x[q])
+        best = [i for i in np.lexsort((np.arange(1500), -s)) if i != q][:20]
+        own = found[found.query_id == q].sort_values("rank")
+        assert len(own) == 20 and list(own["rank"]) == list(range(1, 21))
+        np.testing.assert_allclose(own["score"], s[own["vec_id"]], rtol=1e-12)
+        hit.append(len(set(best) & set(own["vec_id"])) / 20)
+    assert np.mean(hit) >= 0.9
+
+
 def test_vector_search(spark):
     found = vector_search.search(queries.table(spark, SF, "embeddings")).toPandas()
     rows = queries.table(spark, SF, "embeddings").toPandas()

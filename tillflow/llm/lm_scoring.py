@@ -12,6 +12,9 @@ passes over all documents: every word is a masked target once, in one of the rou
 in every round each task trains its own copy of the network, and the copies are
 averaged by the positions they saw, in two steps, a part of the parameters at a time.
 What is counted so grows with the corpus; the network does not.
+
+Texts are read twice, to count their words and to number them; training and scoring read
+the numbers.
 """
 
 from __future__ import annotations
@@ -34,10 +37,13 @@ KNOWN = 2048
 BUCKETS = CLASSES * CLASSES - KNOWN
 #: Passes over the texts; each trains on another share of the masked positions.
 ROUNDS = 2
-RATE = 0.1
-BATCH = 1024
+RATE = 0.2
+#: Targets of a step: the texts at hand are cut into about ``STEPS``, of these sizes.
+STEPS, LEAST, BATCH = 32, 256, 4096
 #: Parameters averaged as one row.
 PART = 8192
+#: Words of the texts handled at once, about.
+HELD = 1 << 18
 _PAD = CLASSES * CLASSES
 
 
@@ -76,67 +82,88 @@ class Network:
             out[known] = self.order[at[known]]
         return out
 
-    def contexts(self, number: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-        out = np.full((len(at), 2 * SIDE), _PAD, np.int64)
-        for k, shift in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-            other = at + shift
-            inside = (other >= 0) & (other < len(number))
-            inside[inside] = doc[other[inside]] == doc[at[inside]]
-            out[inside, k] = number[other[inside]]
-        return out
+    @staticmethod
+    def contexts(number: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Words around the positions ``at``, a row for each place of the window; texts are
+        laid end to end and begin at ``first`` (with the end)."""
+        n = len(first) - 1
+        doc = np.repeat(np.arange(n), np.diff(first))
+        spread = np.full(len(number) + SIDE * (n + 1), _PAD, np.int16)  # pads between texts
+        spread[np.arange(len(number)) + SIDE * (doc + 1)] = number
+        place = at + SIDE * (doc[at] + 1)
+        return np.stack([spread[place + shift] for shift in (*range(-SIDE, 0), *range(1, SIDE + 1))])
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         e, s, b = self.parts[:3]
-        total = np.repeat(b[None, :], len(context), axis=0)
-        for p in range(2 * SIDE):
-            total += (e * s[p])[context[:, p]]
+        total = (e * s[0])[context[0]]
+        for p in range(1, 2 * SIDE):
+            total += (e * s[p])[context[p]]
+        total += b
         return np.tanh(total, out=total)
 
     def scores(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each masked word."""
-        h = self.hidden(context)
+        order = np.argsort(target // CLASSES, kind="stable")
+        kind, inner = np.divmod(target[order], CLASSES)
+        h = self.hidden(context[:, order])
         _, _, _, w1, b1, w2, b2 = self.parts
-        kind, inner = target // CLASSES, target % CLASSES
-        out = _log_at(h @ w1 + b1, kind)
-        order = np.argsort(kind, kind="stable")
-        cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        found = _log_at(h @ w1 + b1, kind)
+        cut = np.searchsorted(kind, np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(cut)):
-            rows = order[cut[c] : cut[c + 1]]
-            out[rows] += _log_at(h[rows] @ w2[c] + b2[c], inner[rows])
+            a, b = cut[c], cut[c + 1]
+            found[a:b] += _log_at(h[a:b] @ w2[c] + b2[c], inner[a:b])
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray, squares: list[np.ndarray]) -> None:
-        """One Adagrad step."""
+        """One Adagrad step; only what the batch touches is changed."""
         e, s, b, w1, b1, w2, b2 = self.parts
+        order = np.argsort(target // CLASSES, kind="stable")
+        kind, inner = np.divmod(target[order], CLASSES)
+        context = context[:, order]
         h = self.hidden(context)
         n = len(h)
-        kind, inner = target // CLASSES, target % CLASSES
-        p = np.exp(_log_softmax(h @ w1 + b1))
-        p[np.arange(n), kind] -= 1
+
+        def step(part: np.ndarray, square: np.ndarray, grad: np.ndarray, rows=...) -> None:
+            grad = grad / n
+            square[rows] += grad * grad
+            part[rows] -= RATE * grad / np.sqrt(square[rows] + 1e-8)
+
+        p = _off_by(h @ w1 + b1, kind)
         back = p @ w1.T
-        grads = [None, None, None, h.T @ p, p.sum(axis=0), np.zeros_like(w2), np.zeros_like(b2)]
-        order = np.argsort(kind, kind="stable")
-        cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        step(w1, squares[3], h.T @ p)
+        step(b1, squares[4], p.sum(axis=0))
+        cut = np.searchsorted(kind, np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(cut)):
-            rows = order[cut[c] : cut[c + 1]]
-            q = np.exp(_log_softmax(h[rows] @ w2[c] + b2[c]))
-            q[np.arange(len(rows)), inner[rows]] -= 1
+            rows = slice(cut[c], cut[c + 1])
+            q = _off_by(h[rows] @ w2[c] + b2[c], inner[rows])
             back[rows] += q @ w2[c].T
-            grads[5][c], grads[6][c] = h[rows].T @ q, q.sum(axis=0)
+            step(w2, squares[5], h[rows].T @ q, c)
+            step(b2, squares[6], q.sum(axis=0), c)
         back *= 1 - h * h
-        grads[2] = back.sum(axis=0)
-        grads[1] = np.einsum("npd,nd->pd", e[context], back)
-        grads[0] = np.zeros_like(e)
-        np.add.at(grads[0], context.ravel(), (back[:, None, :] * s).reshape(-1, WIDTH))
-        for part, grad, square in zip(self.parts, grads, squares):
-            grad /= n
-            square += grad * grad
-            part -= RATE * grad / np.sqrt(square + 1e-8)
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+        step(b, squares[2], back.sum(axis=0))
+        # for each place of the window the gradients summed by word; the words' and the
+        # place's own both follow from these sums
+        words, places = np.zeros_like(e), np.empty_like(s)
+        for k in range(2 * SIDE):
+            order = np.argsort(context[k], kind="stable")
+            word, start = np.unique(context[k][order], return_index=True)
+            sums = np.add.reduceat(back[order], start, axis=0)
+            places[k] = np.einsum("wd,wd->d", e[word], sums)
+            words[word] += sums * s[k]
+        touched = np.flatnonzero(np.bincount(context.ravel(), minlength=len(e)))
+        step(e, squares[0], words[touched], touched)
+        step(s, squares[1], places)
+
+
+def _off_by(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Softmax of each row less one at its entry; ``x`` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    x[np.arange(len(x)), at] -= 1
+    return x
 
 
 def _log_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -170,15 +197,46 @@ def shares(counts: DataFrame, net: Network) -> DataFrame:
     return rows.join(F.broadcast(totals), "bucket").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None) -> Network:
-    ship(docs.sparkSession)
-    texts = docs.select("text")
-    top = (word_counts(docs) if counts is None else counts).orderBy(F.desc("n"), "word").limit(KNOWN).toArrow()
-    words = top.column("word").to_numpy().view(np.uint64)
+def numbered(docs: DataFrame, words: np.ndarray) -> DataFrame:
+    """``row, doc_id, number, rest`` of every row: its words by number, and the hashes of
+    those in buckets."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Network(shared.value)
+        for batch in batches:
+            texts = texts_of(batch)
+            numbers, cut, rest, rest_cut = [np.zeros(0, np.int16)], [np.zeros(1, np.int64)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+            for a, b in chunks(texts):
+                r = runs(texts[a:b])
+                own = net.number(r.hash)
+                dealt = own >= KNOWN
+                numbers.append(own.astype(np.int16))
+                rest.append(r.hash[dealt].view(np.int64))
+                cut.append(cut[-1][-1] + r.first[1:])
+                rest_cut.append(rest_cut[-1][-1] + np.append(0, np.cumsum(dealt))[r.first[1:]])
+            lists = [pa.ListArray.from_arrays(pa.array(np.concatenate(c), pa.int32()), pa.array(np.concatenate(v)))
+                     for c, v in ((cut, numbers), (rest_cut, rest))]
+            own = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id")]
+            yield pa.RecordBatch.from_arrays([*own, *lists], ["row", "doc_id", "number", "rest"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+                   .mapInArrow(number, f"row long, doc_id {kind}, number array<smallint>, rest array<long>"), "numbered")
+
+
+def vocabulary(counts: DataFrame) -> np.ndarray:
+    """Hashes of the most frequent words, the most frequent first."""
+    return counts.orderBy(F.desc("n"), "word").limit(KNOWN).toArrow().column("word").to_numpy().view(np.uint64)
+
+
+def fit(texts: DataFrame, words: np.ndarray, rounds: int = ROUNDS) -> Network:
+    """The network trained on numbered texts."""
+    ship(texts.sparkSession)
     flat = Network(words).flat
     for turn in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast((words, flat))
-        trained = texts.mapInArrow(_trainer(shared, turn, rounds), "part int, task int, value binary, weight double")
+        shared = texts.sparkSession.sparkContext.broadcast((words, flat))
+        trained = texts.select("number").mapInArrow(_trainer(shared, turn, rounds), "part int, task int, value binary, weight double")
         local = trained.groupBy("part", F.pmod("task", F.lit(32)).alias("salt")).applyInPandas(_mean, "part int, value binary, weight double")
         mean = local.groupBy("part").applyInPandas(_mean, "part int, value binary, weight double").orderBy("part").toPandas()
         if mean.empty:
@@ -188,14 +246,27 @@ def fit(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None)
 
 
 def _mean(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values(["weight", "value"])  # one order of the sum, however the rows came
     weight = frame["weight"].to_numpy()
     total = sum(np.frombuffer(v, np.float32) * w for v, w in zip(frame["value"], weight)) / weight.sum()
     return pd.DataFrame({"part": [frame["part"].iloc[0]], "value": [total.astype(np.float32).tobytes()], "weight": [weight.sum()]})
 
 
-def targets(words: np.ndarray, place: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+def targets(number: np.ndarray, place: np.ndarray, turn: int, rounds: int) -> np.ndarray:
     """Positions that a round trains on; the rounds share all positions out."""
-    return np.flatnonzero(mix(words + place.astype(np.uint64)) % np.uint64(rounds) == turn)
+    return np.flatnonzero(mix(number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64)) % np.uint64(rounds) == turn)
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of some texts end to end, and where each begins, with the end; about
+    ``HELD`` words at a time, a longer text alone."""
+    column = batch.column(batch.schema.get_field_index("number"))
+    values, cut = column.flatten().to_numpy(), np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
+    a = 0
+    while a < len(cut) - 1:
+        b = max(a + 1, int(np.searchsorted(cut, cut[a] + HELD, side="right")) - 1)
+        yield values[cut[a] : cut[b]].astype(np.int64), cut[a : b + 1] - cut[a]
+        a = b
 
 
 def _trainer(shared, turn: int, rounds: int):
@@ -207,16 +278,14 @@ def _trainer(shared, turn: int, rounds: int):
         squares = [np.full(p.shape, 1e-6, np.float32) for p in net.parts]
         seen = 0
         for batch in batches:
-            texts = texts_of(batch)
-            for a, b in chunks(texts):
-                r = runs(texts[a:b])
-                number = net.number(r.hash)
-                place = np.arange(len(number)) - r.first[r.doc]
-                at = targets(r.hash, place, turn, rounds)
+            for number, first in _texts(batch):
+                place = np.arange(len(number)) - np.repeat(first[:-1], np.diff(first))
+                at = targets(number, place, turn, rounds)
                 at = at[np.argsort(mix(at.astype(np.uint64)))]
-                for i in range(0, len(at), BATCH):
-                    some = at[i : i + BATCH]
-                    net.train(net.contexts(number, r.doc, some), number[some], squares)
+                context = net.contexts(number, first, at)
+                size = min(BATCH, max(LEAST, len(at) // STEPS))
+                for i in range(0, len(at), size):
+                    net.train(context[:, i : i + size], number[at[i : i + size]], squares)
                 seen += len(at)
         if seen:
             task = TaskContext.get().partitionId()
@@ -234,35 +303,30 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     Null, empty or wordless text: no tokens, sum 0, mean null. Repeated rows: each is
     trained on and scored. Empty table: empty result. Other columns are not read."""
     counts = word_counts(docs)
-    net = fit(docs, rounds, counts)
+    words = vocabulary(counts)
+    texts = numbered(docs, words)
+    net = fit(texts, words, rounds)
     shared = docs.sparkSession.sparkContext.broadcast((net.by_rank, net.flat))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network(*shared.value)
         for batch in batches:
-            texts = texts_of(batch)
-            sums, tokens, rest, cut = [], [], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
-            for a, b in chunks(texts):
-                r = runs(texts[a:b])
-                number, logs = own.number(r.hash), np.zeros(len(r.hash))
-                for i in range(0, len(number), 1 << 15):
-                    at = np.arange(i, min(len(number), i + (1 << 15)))
-                    logs[at] = own.scores(own.contexts(number, r.doc, at), number[at])
-                tokens += np.diff(r.first).tolist()
-                dealt = number >= KNOWN
-                rest.append(r.hash[dealt].view(np.int64))
-                cut.append(cut[-1][-1] + np.append(0, np.cumsum(dealt))[r.first[1:]])
-                sums += [float(logs[i:j].sum()) for i, j in zip(r.first[:-1], r.first[1:])]
+            sums, tokens = [], []
+            for number, first in _texts(batch):
+                logs = np.zeros(len(number))
+                context = own.contexts(number, first, np.arange(len(number)))
+                for i in range(0, len(number), 1 << 14):
+                    logs[i : i + (1 << 14)] = own.scores(context[:, i : i + (1 << 14)], number[i : i + (1 << 14)])
+                tokens += np.diff(first).tolist()
+                sums += [float(logs[i:j].sum()) for i, j in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id")), pa.array(tokens, pa.int64()),
-                 pa.array(sums, pa.float64()), pa.ListArray.from_arrays(pa.array(np.concatenate(cut), pa.int32()), pa.array(np.concatenate(rest)))],
-                ["row", "doc_id", "n_tokens", "net", "rest"])
+                 pa.array(sums, pa.float64())], ["row", "doc_id", "n_tokens", "net"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-                   .mapInArrow(scored, f"row long, doc_id {kind}, n_tokens long, net double, rest array<long>"), "scored")
-    inner = (rows.select("row", F.explode("rest").alias("word")).join(shares(counts, net), "word")
+    rows = texts.select("row", "doc_id", "number").mapInArrow(scored, f"row long, doc_id {kind}, n_tokens long, net double")
+    inner = (texts.select("row", F.explode("rest").alias("word")).join(shares(counts, net), "word")
              .groupBy("row").agg(F.sum("share").alias("inner")))
     total = F.col("net") + F.coalesce("inner", F.lit(0.0))
-    return rows.drop("rest").join(inner, "row", "left").select(
+    return rows.join(inner, "row", "left").select(
         "doc_id", "n_tokens", total.alias("log_prob"), F.try_divide(total, F.col("n_tokens")).alias("mean_log_prob"))
