@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tillflow.operators.distinct_counts import distinct_counts
 from tillflow.operators.spread_join import hot_keys, left_join_spread
-from tillflow.plans import dim_state, pipeline, queries, staging
+from tillflow.operators.datatests import unique_failures
+from tillflow.plans import dim_state, key_state, marts, pipeline, queries, staging
 from tillflow.plans.catalog import ModelParams
 from tillflow.sinks import tables
 
@@ -141,6 +142,38 @@ def test_daily_build_writes_the_marts_of_a_rebuild(spark, loaded, tmp_path):
     pipeline.release(whole)
 
 
+def test_repeated_keys_equal_the_test_over_all_lines(spark, loaded, tmp_path):
+    """Batch by batch, after a replacement, a removal and a compaction."""
+    wh = str(tmp_path / "wh")
+    shutil.copytree(loaded[0], wh)
+    layout = pipeline.Layout(wh)
+    state = key_state.KeyState(spark, layout.key_state, layout.lines)
+
+    def same():
+        fct = marts.fct_orders(staging.stg_orders(pipeline.read_raw(spark, wh)))
+        want = sorted(map(tuple, unique_failures(fct, "order_key").collect()))
+        assert sorted(map(tuple, state.repeated().collect())) == want
+        return len(want)
+    assert state.update()["batches_read"] == 3 and same() > 0
+    # a late line that repeats an early key: its month is counted again, no other
+    row = pipeline.read_raw(spark, wh).filter(F.col("batch_id") == "b0").orderBy("invoice_date", "invoice_no", "stock_code").first()
+    os.makedirs(tmp_path / "late")
+    with open(tmp_path / "late" / "x.csv", "w") as f:
+        f.write("Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+                f"{row.invoice_no},{row.stock_code},again,1,{row.invoice_date:%Y-%m-%d %H:%M:%S},1.0,7,UK\n")
+    pipeline.run_pipeline(spark, str(tmp_path / "late"), wh, batch_id="late", pipeline_name="other")
+    before = len(state.repeated().collect())
+    assert state.update() == {"batches_read": 1, "months": 1}
+    assert same() == before + 1 and state.update() == {"batches_read": 0, "months": 0}
+    dim_state.history.compact(spark, state.table)
+    pipeline.run_pipeline(spark, loaded[1].withColumn("Price", F.col("Price") + F.lit(1.0)), wh, batch_id="b1")   # replaced
+    assert state.update()["batches_read"] == 1
+    same()
+    shutil.rmtree(f"{layout.lines}/batch_id=late")
+    assert state.update() == {"batches_read": 0, "months": 1}
+    assert same() == before
+
+
 def test_distinct_counts_of_many_columns(spark):
     df = spark.createDataFrame([(1, "a", 2.5), (1, "b", None), (None, "b", 1.0), (2, None, 0.5)], "x int, y string, z double")
     got = distinct_counts(df, {"xs": F.col("x"), "ys": F.col("y"), "both": F.col("y")}, {"s": F.col("z")}, rows="n")

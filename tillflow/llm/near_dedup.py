@@ -14,7 +14,8 @@ shingles over all shingles, counted once, must reach the threshold.
    member and bucket.
 3. A bucket that still holds several components is compared in full across
    components, in blocks of bounded size cut by text length and hash, so that no
-   link between different texts is lost and no task holds a whole bucket. Two texts
+   link between different texts is lost and no task holds a whole bucket. The bucket's
+   largest component, which step 2 has joined, meets the others but not itself. Two texts
    that share several buckets are compared in the first of them only.
 """
 
@@ -36,8 +37,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 SIGNATURES = 16
 TUPLE = 4
-#: Texts of one side of a comparison block, about.
-BLOCK = 128
+#: Texts, and shingles, of one side of a comparison block, about.
+BLOCK = 512
+BLOCK_SHINGLES = 1 << 18
 _FACTORS = np.random.default_rng(11).integers(1, 2**63, SIGNATURES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -170,17 +172,25 @@ def _blocks(members: DataFrame) -> DataFrame:
     """``bucket, node, n, label`` of buckets with several labels -> one row for each
     comparison block a node takes part in: ``block``, ``side``.
 
-    Texts of a bucket are cut into classes of length (a class is 12 % wide, so a match
-    is at most two classes away) and each class by hash into parts of about ``BLOCK``.
-    A part meets itself, the other parts of its class and those of the next two."""
-    m = members.withColumn("size", F.floor(F.log("n") / float(np.log(1.12))).cast("int"))
-    sizes = (m.groupBy("bucket", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")))
-    m = m.join(sizes, ["bucket", "size"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    other = sizes.select(F.col("bucket").alias("b2"), F.col("size").alias("s2"), F.col("parts").alias("p2"))
-    near = m.join(other, (F.col("bucket") == F.col("b2")) & F.col("size").between(F.col("s2") - 2, F.col("s2") + 2))
-    met = near.select("bucket", "node", "n", "label", "size", "part", "s2", F.explode(F.sequence(F.lit(0), F.col("p2") - 1)).alias("part2"))
-    own = F.struct(F.col("size").alias("s"), F.col("part").alias("p"))
-    its = F.struct(F.col("s2").alias("s"), F.col("part2").alias("p"))
+    Texts of a bucket are cut into those of its main label (the one with most texts) and
+    the others, these into classes of length (a class is 12 % wide, so a match is at most
+    two classes away) and each class by hash into parts of about ``BLOCK``. A part meets
+    itself, the other parts of its class and those of the next two, but parts of the main
+    label do not meet one another: they hold one component."""
+    main = (members.groupBy("bucket", "label").agg(F.count("*").alias("held")).groupBy("bucket")
+            .agg(F.max(F.struct("held", "label")).getField("label").alias("main")))
+    m = (members.join(main, "bucket").withColumn("other", F.col("label") != F.col("main"))
+         .withColumn("size", F.floor(F.log("n") / float(np.log(1.12))).cast("int")))
+    sizes = (m.groupBy("bucket", "other", "size")
+             .agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts")))
+    m = m.join(sizes, ["bucket", "other", "size"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    its = sizes.select(F.col("bucket").alias("b2"), F.col("other").alias("o2"), F.col("size").alias("s2"), F.col("parts").alias("p2"))
+    near = m.join(its, (F.col("bucket") == F.col("b2")) & F.col("size").between(F.col("s2") - 2, F.col("s2") + 2)
+                  & (F.col("other") | F.col("o2")))
+    met = near.select("bucket", "node", "label", "other", "size", "part", "o2", "s2",
+                      F.explode(F.sequence(F.lit(0), F.col("p2") - 1)).alias("part2"))
+    own = F.struct(F.col("size").alias("s"), F.col("other").alias("o"), F.col("part").alias("p"))
+    its = F.struct(F.col("s2").alias("s"), F.col("o2").alias("o"), F.col("part2").alias("p"))
     return met.select("node", "label", F.struct("bucket", F.least(own, its).alias("a"), F.greatest(own, its).alias("b")).alias("block"),
                       (own == its).alias("alone"), (own <= its).alias("first"))
 
@@ -215,16 +225,16 @@ def _compare(key, frame: pd.DataFrame) -> pd.DataFrame:
     for owners in np.split(owner, cut):
         if len(owners) > 1:
             shared[np.ix_(owners, owners)] += 1
+    size = np.array([len(p) for p in parts])
+    # a shingle may occur more than once: all but the distinct ones of the shorter text may match too
+    spare = size - np.array([len(k) for k in kinds])
+    most = shared + np.minimum(spare[:, None], spare[None, :])
+    open_ &= most >= THRESHOLD * (size[:, None] + size[None, :] - most) - 1e-9
     out = []
     for i in range(len(parts)):
         for j in np.flatnonzero(open_[i]):
             if label[i] == label[j]:
                 continue
-            # a shingle may occur more than once: all but the distinct ones of the shorter text may match too
-            spare = min(len(parts[i]) - len(kinds[i]), len(parts[j]) - len(kinds[j]))
-            most = shared[i, j] + spare
-            if most < THRESHOLD * (len(parts[i]) + len(parts[j]) - most) - 1e-9:
-                continue
             if aligned(parts[i], parts[j]) >= THRESHOLD:
                 out.append((frame["node"][i], frame["node"][j]))
                 label = np.where(label == label[j], label[i], label)

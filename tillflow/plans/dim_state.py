@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from tillflow.functions import is_sale
 from tillflow.plans import staging
+from tillflow.plans.batch_state import BatchState
 from tillflow.sinks import history
 from tillflow.sinks.history import BATCH_COL, MARKS_FILE, BatchTable
 from tillflow.sinks.tables import read_raw_orders
@@ -111,11 +112,11 @@ PRODUCTS = Dimension("products", _product_rows,
 DIMENSIONS = (CUSTOMERS, PRODUCTS)
 
 
-class DimensionState:
+class DimensionState(BatchState):
     """State of the two dimensions below ``path`` for the order lines at ``lines``."""
 
     def __init__(self, spark: SparkSession, path: str, lines: str):
-        self.spark, self.path, self.lines = spark, path.rstrip("/"), lines
+        super().__init__(spark, path, lines)
         raw = read_raw_orders(spark, lines).limit(0)
         self.schemas = {}
         for d in DIMENSIONS:
@@ -130,21 +131,6 @@ class DimensionState:
         return BatchTable(f"{self.path}/{name}", T.StructType(fields),
                           lambda: F.lpad(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("string"), 3, "0"), order)
 
-    # -- what the totals hold ------------------------------------------------------
-
-    def _manifest(self) -> tuple[int, dict]:
-        numbers = sorted((int(n.removesuffix(".json")) for n, _ in history.names(self.spark, f"{self.path}/totals/_current")
-                          if n.removesuffix(".json").isdigit()), reverse=True)
-        for n in numbers:
-            try:
-                return n, history.read_json(self.spark, f"{self.path}/totals/_current/{n}.json")
-            except ValueError:
-                continue
-        return -1, {"batches": {}}
-
-    def exists(self) -> bool:
-        return self._manifest()[0] >= 0
-
     def _totals(self, number: int, d: Dimension) -> DataFrame:
         kept = [f for f in self.schemas[d.name].fields if f.name != BATCH_COL]
         schema = T.StructType(kept + [T.StructField(c, T.LongType()) for c in d.counts])
@@ -155,11 +141,8 @@ class DimensionState:
     def update(self) -> dict[str, int]:
         """Brings the totals up to the published batches. Returns how many batches were
         read from their lines, and whether the totals were folded anew."""
-        published = {b: history.run_of(m) for b, m in history.batches(self.spark, self.lines).items()}
-        number, manifest = self._manifest()
-        held = manifest["batches"]
-        new = sorted(b for b, run in published.items() if held.get(b) != run)
-        gone = sorted(b for b in held if b not in published)
+        published, new, gone = self.changes()
+        number, held = self.manifest()
         if not new and not gone and number >= 0:
             return {"batches_read": 0, "folded_anew": 0}
         anew = bool(gone) or any(b in held for b in new)
@@ -170,13 +153,10 @@ class DimensionState:
                 self._forget(name, b)
         for d in DIMENSIONS:
             self._fold(d, list(published) if anew else new, list(held), number, anew)
-        history.write_json(self.spark, f"{self.path}/totals/_current/{number + 1}.json", {"batches": published}, replace=False)
+        self.store(number + 1, published)
         for name, _ in history.names(self.spark, f"{self.path}/totals"):
             if name.rpartition("-")[2].isdigit() and int(name.rpartition("-")[2]) <= number:
                 history.delete(self.spark, f"{self.path}/totals/{name}")
-        for name, _ in history.names(self.spark, f"{self.path}/totals/_current"):
-            if name.removesuffix(".json").isdigit() and int(name.removesuffix(".json")) <= number:
-                history.delete(self.spark, f"{self.path}/totals/_current/{name}")
         self._compact()
         return {"batches_read": len(new), "folded_anew": int(anew)}
 
@@ -234,7 +214,7 @@ class DimensionState:
 
     def stg_customers(self, country_rule: str = "max") -> DataFrame:
         """``staging.stg_customers`` of all batches that the totals hold."""
-        t = self._totals(self._manifest()[0], CUSTOMERS)
+        t = self._totals(self.manifest()[0], CUSTOMERS)
         country = F.col("latest.country") if country_rule == "latest" else F.col("country")
         return self._as_staged(t, "customers", {
             "customer_id": F.col("key"), "country": country, "first_order_date": F.col("first_date"),
@@ -243,7 +223,7 @@ class DimensionState:
 
     def stg_products(self) -> DataFrame:
         """``staging.stg_products`` of all batches that the totals hold."""
-        t = self._totals(self._manifest()[0], PRODUCTS)
+        t = self._totals(self.manifest()[0], PRODUCTS)
         return self._as_staged(t, "products", {
             "stock_code": F.col("key"), "description": F.nullif(F.col("description"), F.lit("nan")),
             "avg_unit_price": F.when(F.col("prices") > 0, F.col("price_sum") / F.col("prices").cast("decimal(20,0)")),
