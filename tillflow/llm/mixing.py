@@ -14,7 +14,7 @@ only rows that share both are ordered together.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import pack, unpack
@@ -60,6 +60,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
                     .otherwise(F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight"))).alias("target")))
 
 
+def place_key() -> Column:
+    """Hash that deals a row its place in its source: of the id, of the text without one."""
+    return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")).cast("binary"))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
         max_repeats: int = MAX_REPEATS) -> DataFrame:
     """``docs`` (``doc_id, text, source`` and any others) in the order of the mix,
@@ -70,15 +75,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0,
     rounded.
 
     Null text: size 0. Null source: a source of its own, last. Equal ids: ordered
-    by size; wholly equal rows may change places. Empty table: empty result. Input
+    by size; wholly equal rows may change places. Null id: a place by its text's hash. Empty table: empty result. Input
     columns named like an output are replaced."""
     base = pack(docs, doc_id=F.col("doc_id"), source=F.col("source"),
                 size=F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
-                key=F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
+                key=place_key())
     base = base.withColumn("part", F.substring("key", 1, SPLIT_DIGITS))
 
     slim = docs.select("source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                       F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")),
+                       F.substring(place_key(),
                                    1, SPLIT_DIGITS).alias("part"))
     parts = slim.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     ahead = (Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -110,7 +115,7 @@ def oracle_sql() -> str:
     """The same result in DuckDB SQL, with plain windows over whole sources."""
     return r"""
 WITH d AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS key,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
