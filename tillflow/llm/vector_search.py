@@ -9,8 +9,14 @@ a query gets one best set from all lists of a group it opened. Groups are cut in
 blocks of bounded size, so that a group of any size is searched by many tasks.
 
 Largest inner product is turned into smallest distance by one more dimension that
-brings all vectors to the largest norm. Scores are inner products of the original
+brings all vectors to the largest norm. Vectors are dealt by their norms into bands, each
+with lists of its own, so that a few very long vectors do not flatten the distances of
+all others; a query searches every band. Scores are inner products of the original
 vectors in double precision.
+
+Lists are in proportion to the vectors up to ``MANY``, then to their square root, with a
+fitting sample in proportion: both the lists of a query and their sizes grow by less than
+the table.
 """
 
 from __future__ import annotations
@@ -24,11 +30,13 @@ from pyspark.sql import functions as F
 
 from .frames import ship, written
 
-#: Vectors the centroids and the ratio are fitted on, at most about.
-SAMPLE = 20_000
-#: Mean vectors of a list at the fit, and the most centroids held in memory.
+#: Vectors the centroids and the ratio are fitted on, about, and for each list at least.
+SAMPLE, FOR_EACH = 20_000, 16
+#: Mean vectors of a list, up to so many lists; beyond, lists follow the square root.
 LIST = 256
-MOST_LISTS = 1024
+MANY = 1024
+#: Norms of a band lie within a factor of this, the median at the upper end of the first.
+BAND = 4.0
 #: A vector is also in lists whose centroid is this much farther than the nearest.
 BOUNDARY = 1.03
 REPLICAS = 3
@@ -41,8 +49,8 @@ HELD = 1 << 21
 ASKED = 1 << 18
 #: Scores of one list held at once.
 SCORES = 1 << 20
-#: Inner products that differ by less than this share of the largest squared norm are ties
-#: when a block picks its best: a matrix product may round equal vectors apart.
+#: A matrix product may be off by this share of the two vectors' norms: scores as close to
+#: the last place are kept and compared again, one by one.
 TIE = 2.0**-44
 
 
@@ -162,42 +170,90 @@ def _members(lists: list[np.ndarray]) -> dict[int, np.ndarray]:
     return dict(zip(of[np.concatenate([[0], cut])].tolist(), np.split(row, cut)))
 
 
-def _top(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the ``k`` largest finite scores of each row, ties to the first."""
-    if scores.shape[1] > k:
-        edge = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k][:, None]
-        above, level = scores > edge, scores == edge
-        chosen = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1)[:, None]))
-        return np.nonzero(chosen & np.isfinite(scores))
-    return np.nonzero(np.isfinite(scores))
+def _few_copies(vectors: np.ndarray, k: int) -> np.ndarray:
+    """Rows but those of which more than ``k`` equal ones stand before: these can be among
+    no query's ``k`` nearest, as its own row is one of them at most."""
+    same = np.unique(np.ascontiguousarray(vectors).view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1])))[:, 0],
+                     return_inverse=True)[1]
+    order = np.argsort(same, kind="stable")
+    rank = np.empty(len(same), np.int64)
+    rank[order] = np.arange(len(same)) - np.searchsorted(same[order], same[order])
+    return np.flatnonzero(rank <= k)
 
 
-def _searched(held: pd.DataFrame, asked: pd.DataFrame, k: int, norm: float) -> pd.DataFrame:
+def _searched(held: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
     """The ``k`` nearest of each query among the vectors that share an opened list with it."""
+    none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
     if held.empty or asked.empty:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        return none
     held = held.sort_values("vec_id")
-    ids, x = held["vec_id"].to_numpy(), np.stack(held["v"].to_list())
+    ids, x, lists = held["vec_id"].to_numpy(), np.stack(held["v"].to_list()) + 0.0, held["lists"].to_list()
+    few = _few_copies(x, k)
+    ids, x, lists = ids[few], x[few], [lists[i] for i in few]
     query, y = asked["query_id"].to_numpy(), np.stack(asked["v"].to_list())
-    opened, found = _members(asked["lists"].to_list()), []
-    for key, cols in _members(held["lists"].to_list()).items():
+    long, far = np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1))
+    opened, pairs = _members(asked["lists"].to_list()), []
+    for key, cols in _members(lists).items():
         rows = opened.get(key, cols[:0])
         step = max(1, SCORES // len(cols))
         for i in range(0, len(rows), step):
             some = rows[i : i + step]
-            scores = np.rint(y[some] @ x[cols].T / (norm * norm * TIE))
+            scores = y[some] @ x[cols].T
+            slack = TIE * far[some][:, None] * long[cols]
             scores[query[some][:, None] == ids[cols]] = -np.inf
-            r, c = _top(scores, k)
-            found.append((some[r] * len(ids) + cols[c], scores[r, c]))
-    if not found:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-    pair, first = np.unique(np.concatenate([p for p, _ in found]), return_index=True)
-    score = np.concatenate([s for _, s in found])[first]
-    order = np.lexsort((pair, -score, pair // len(ids)))
-    row = pair[order] // len(ids)
+            if len(cols) > k:  # no less than what the k-th can be
+                edge = np.partition(scores - slack, len(cols) - k, axis=1)[:, -k][:, None]
+                r, c = np.nonzero((scores + slack >= edge) & np.isfinite(scores))
+            else:
+                r, c = np.nonzero(np.isfinite(scores))
+            pairs.append(some[r] * len(ids) + cols[c])
+    if not pairs:
+        return none
+    pair = np.unique(np.concatenate(pairs))
+    r, c = pair // len(ids), pair % len(ids)
+    score = np.einsum("ij,ij->i", y[r], x[c])
+    order = np.lexsort((c, -score, r))
+    row = r[order]
     order = order[np.arange(len(row)) - np.searchsorted(row, row) < k]
-    r, c = pair[order] // len(ids), pair[order] % len(ids)
-    return pd.DataFrame({"query_id": query[r], "vec_id": ids[c], "score": np.einsum("ij,ij->i", y[r], x[c])})
+    return pd.DataFrame({"query_id": query[r[order]], "vec_id": ids[c[order]], "score": score[order]})
+
+
+class Bands:
+    """Lists of each band of norms; groups are numbered through all bands."""
+
+    def __init__(self, median: float, lists: dict[int, Lists]):
+        self.median, self.lists, self.before, n = median, lists, {}, 0
+        for band, own in sorted(lists.items()):
+            self.before[band] = n
+            n += int(own.group.max()) + 1
+
+    def assigned(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Row, group and the row's lists in it, for every row and group it belongs to."""
+        band = band_of(np.sqrt((vectors * vectors).sum(axis=1)), self.median)
+        parts = []
+        for b in np.unique(band).tolist():
+            rows = np.flatnonzero(band == b)
+            b = min(self.lists, key=lambda known: abs(known - b))  # a norm at the edge may be rounded either way
+            at, group, lists = self.lists[b].grouped(self.lists[b].assign(vectors[rows]))
+            parts.append((rows[at], group + self.before[b], lists))
+        return _joined(parts)
+
+    def probed(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The same for queries: the lists that each opens, of every band."""
+        parts = []
+        for b, own in self.lists.items():
+            at, group, lists = own.grouped([own.probes(q) for q in queries])
+            parts.append((at, group + self.before[b], lists))
+        return _joined(parts)
+
+
+def _joined(parts: list) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    at, group, lists = zip(*parts)
+    return np.concatenate(at), np.concatenate(group).astype(np.int32), [x for own in lists for x in own]
+
+
+def band_of(norm: np.ndarray, median: float) -> np.ndarray:
+    return np.maximum(np.ceil(np.log(np.maximum(norm / median, 1e-300)) / np.log(BAND) - 1e-9), 0).astype(np.int64)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -219,36 +275,40 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     ship(spark)
     kind = "query_id long, rank int, vec_id long, score double"
     good = usable(vectors).groupBy("vec_id").agg(F.max("v").alias("v"))
-    sizes = good.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows"),
-                                                     F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("square"))
-    most = sizes.orderBy(F.desc("rows"), "n").first()
+    most = good.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").first()
     if most is None:
         return spark.createDataFrame([], kind)
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     good = written(good.where(F.size("v") == most.n), "vectors")
-    rate = min(1.0, SAMPLE / most.rows)
-    sample = good.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < max(1, int(1e6 * rate))).orderBy("vec_id").toPandas()
-    if sample.empty:
-        sample = good.limit(1).toPandas()
-    lists = min(MOST_LISTS, max(1, most.rows // LIST))
-    shared = spark.sparkContext.broadcast(Lists(np.stack(sample["v"].to_list()), float(np.sqrt(most.square)), lists))
-
-    norm = float(np.sqrt(most.square))
+    median = good.agg(F.percentile_approx(norm, 0.5)).first()[0]
+    band = F.greatest(F.ceil(F.log(F.greatest(norm / F.lit(median), F.lit(1e-300))) / float(np.log(BAND)) - F.lit(1e-9)), F.lit(0))
+    banded = good.select("vec_id", "v", band.alias("band"), norm.alias("norm"))
+    # a row for each band that has vectors: doubles have a few hundred at most
+    sizes = {r.band: (r.rows, r.norm) for r in banded.groupBy("band").agg(F.count("*").alias("rows"), F.max("norm").alias("norm")).collect()}
+    fitted = {}
+    for b, (rows, longest) in sorted(sizes.items()):
+        lists = max(1, min(rows // LIST, max(MANY, int(2 * rows**0.5))))
+        rate = min(1.0, max(SAMPLE, FOR_EACH * lists) / rows)
+        own = banded.where(F.col("band") == b).select("vec_id", "v")
+        sample = own.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40)) < int(rate * (1 << 40)) + 1).orderBy("vec_id").toPandas()
+        if sample.empty:
+            sample = own.orderBy("vec_id").limit(1).toPandas()
+        fitted[b] = Lists(np.stack(sample["v"].to_list()), longest, lists)
+    shared = spark.sparkContext.broadcast(Bands(median, fitted))
 
     def dealt(name: str, lists_of):
         def deal(batches):
             for frame in batches:
                 if len(frame):
-                    at, group, lists = shared.value.grouped(lists_of(shared.value, frame["v"]))
+                    at, group, lists = lists_of(shared.value, np.stack(frame["v"].to_list()))
                     yield pd.DataFrame({name: frame["vec_id"].to_numpy()[at], "group": group, "lists": lists,
                                         "v": frame["v"].to_numpy()[at]})
         return deal
 
-    held = written(good.mapInPandas(dealt("vec_id", lambda own, v: own.assign(np.stack(v.to_list()))),
-                                    "vec_id long, group int, lists array<int>, v array<double>"), "lists")
+    held = written(good.mapInPandas(dealt("vec_id", Bands.assigned), "vec_id long, group int, lists array<int>, v array<double>"), "lists")
     queries = written(good.where(F.col("vec_id") % every == 0)
-                      .mapInPandas(dealt("query_id", lambda own, v: [own.probes(x) for x in v]),
-                                   "query_id long, group int, lists array<int>, v array<double>"), "probes")
-    # a row for each group: at most MOST_LISTS
+                      .mapInPandas(dealt("query_id", Bands.probed), "query_id long, group int, lists array<int>, v array<double>"), "probes")
+    # a row for each group: fewer than lists
     parts = {c: {r["group"]: -(-r["rows"] * most.n // size) for r in t.groupBy("group").agg(F.count("*").alias("rows")).collect()}
              for c, t, size in (("v", held, HELD), ("q", queries, ASKED))}
 
@@ -262,7 +322,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
                             F.explode(F.sequence(F.lit(0), cut("v") - 1)).alias("vb"))
     keys = ["group", "vb", "qb"]
     found = (blocks.groupBy(*keys).cogroup(wanted.groupBy(*keys))
-             .applyInPandas(lambda left, right: _searched(left, right, k, norm), "query_id long, vec_id long, score double"))
+             .applyInPandas(lambda left, right: _searched(left, right, k), "query_id long, vec_id long, score double"))
     # a vector may be found in two groups; one shuffle serves both steps
     once = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
