@@ -2,8 +2,9 @@
 
 A page is reduced to its text slots: the path of elements and names a block of text
 stands in. What a host's pages share is learned in one pass. A text that most of the
-host's different pages hold in the same slot is fixed: it is shell, whatever it is
-called, and no part of an article. The path that holds most of a page's text is the
+host's different pages hold in the same slot is fixed. Where the fixed texts are most of
+what an element's place holds on all pages, they are shell, whatever the element is
+called; fixed headings between varying paragraphs stay. The path that holds most of a page's text is the
 page's article path; paths that many pages of the host agree on are its layouts, and
 a page gives the text of the first layout that holds most of its own text, or of its
 own path. Elements that are furniture by tag or name are left out before.
@@ -34,6 +35,8 @@ MOST = 0.7
 #: Least part of a host's different pages that hold a fixed text, and least number.
 FIXED = 0.5
 FIXED_PAGES = 3
+#: Least part of the texts of a path that are fixed where they are shell.
+SHELL = 0.5
 #: Least part of a host's pages that agree on a layout.
 SHARED = 0.05
 #: Hosts a broadcast may hold (a few KB each).
@@ -61,6 +64,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*
                    re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 SPACE = re.compile(r"\s+")
+DIGITS = re.compile(r"\d+")
 
 
 def events(page: str) -> Iterator[tuple[str, str, str]]:
@@ -132,7 +136,8 @@ def blocks(page: str) -> list[tuple[str, str]]:
         own = names(value)
         furniture = tag in FURNITURE or tag not in ("html", "body", "article", "main") and any(NAMES.search(n) for n in own)
         name = tag if tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dt", "dd", "td", "th", "tr") else ""
-        stack.append((tag, name + ("." + own[0].lower() if name and own else ""), furniture))
+        # numbers in a name belong to the page, not to its layout
+        stack.append((tag, name + ("." + DIGITS.sub("", own[0].lower()) if name and own else ""), furniture))
         hidden += furniture
     if not hidden:
         flush()
@@ -175,19 +180,19 @@ def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for host, own, i, j in zip(hosts[a:b], found, r.first[:-1], r.first[1:]):
                 if i < j:
                     page = int(shingles(r.hash[i:j], 3).min().astype("int64"))
-                    rows.append((host, article(own), None, page))
-                    rows += [(host, None, n, page) for n in {slot(p, t) for p, t in own}]
-            columns = list(zip(*rows)) or [(), (), (), ()]
+                    rows.append((host, article(own), None, None, page))
+                    rows += [(host, None, *n, page) for n in {(slot(p, t), slot(p, "")) for p, t in own}]
+            columns = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
-                                              pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())],
-                                             ["host", "path", "slot", "page"])
+                                              *[pa.array(c, pa.int64()) for c in columns[2:]]],
+                                             ["host", "path", "slot", "place", "page"])
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """``host, layouts`` (article paths, the most frequent first) and ``shell`` (slots
     with fixed text) of each host. Pages without a host teach nothing."""
     rows = written(pages.select(_host().alias("host"), F.coalesce("html", F.lit("")).alias("html")).where("host <> ''")
-                   .mapInArrow(_reduced, "host string, path string, slot long, page long"), "slots")
+                   .mapInArrow(_reduced, "host string, path string, slot long, place long, page long"), "slots")
     own = rows.where("path is not null")
     votes = own.groupBy("host", "path").agg(F.count("*").alias("n"))
     # distinct in two steps, so that no host is one task's
@@ -195,9 +200,12 @@ def wrappers(pages: DataFrame) -> DataFrame:
              .groupBy("host").agg(F.sum("n").alias("pages"), F.count("*").alias("kinds")))
     layouts = (votes.join(sizes, "host").where(F.col("n") >= SHARED * F.col("pages")).groupBy("host")
                .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).getField("path").alias("layouts")))
-    fixed = (rows.where("slot is not null").groupBy("host", "slot", "page").agg(F.lit(1).alias("one"))
-             .groupBy("host", "slot").agg(F.count("*").alias("n")).where(F.col("n") >= FIXED_PAGES)
-             .join(sizes, "host").where(F.col("n") >= FIXED * F.col("kinds"))
+    slots = (rows.where("slot is not null").groupBy("host", "place", "slot", "page").agg(F.lit(1).alias("one"))
+             .groupBy("host", "place", "slot").agg(F.count("*").alias("n")))
+    slots = slots.join(sizes, "host").withColumn("fixed", (F.col("n") >= FIXED_PAGES) & (F.col("n") >= FIXED * F.col("kinds")))
+    places = (slots.groupBy("host", "place").agg(F.sum("n").alias("texts"), F.sum(F.when(F.col("fixed"), F.col("n"))).alias("held"))
+              .where(F.col("held") >= SHELL * F.col("texts")).select("host", "place"))
+    fixed = (slots.where("fixed").join(places, ["host", "place"])
              .groupBy("host").agg(F.collect_list("slot").alias("shell")))
     return layouts.join(fixed, "host", "left")
 
