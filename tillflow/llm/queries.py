@@ -43,7 +43,8 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_rollups(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """All documents enter with estimated counts; real counts then revise the estimates,
-    documents without tokens are deleted, and the first batch is sent once more."""
+    documents without tokens are deleted (so ``documents`` counts those with tokens), and the
+    first batch is sent once more."""
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")

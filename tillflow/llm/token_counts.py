@@ -2,21 +2,23 @@
 
 A batch of changes (inserts, deletes, revised counts) becomes signed rows; their sums
 by source, language and tokenizer version are one delta. A delta is committed once
-under its batch id: a repeated commit changes nothing, and one that was cut off
-before its marker is written again. Totals are the sums of the committed deltas.
+under its batch id: a repeated commit changes nothing, and one that was cut off can be
+sent again. Totals are the sums of the committed deltas, whoever committed them.
 """
 
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillflow.session import path_exists
+from tillflow.sinks import history
+from tillflow.sinks.history import BATCH_COL, MARKS_FILE, BatchTable
 
 from .frames import ship
 
@@ -28,7 +30,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, version: str) -
     """``doc_id, source, lang, version, tokens, chars`` of every row under a byte-level
     BPE vocabulary of ranks. The file is read on the driver (under 2 MB) and shared.
 
-    Null text: 0 tokens, 0 characters. Whole texts; special tokens are plain text."""
+    Null text: 0 tokens, 0 characters. Whole texts; special tokens are plain text. Every
+    row counts, also one that repeats another or has no id; null sources and languages are
+    groups of their own. Empty table: empty result. Other columns are not read."""
     ship(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast((f.read(), pattern))
@@ -64,30 +68,45 @@ def revised(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 class Rollup:
-    """Committed deltas in a folder that all executors share."""
+    """Committed deltas in a folder that all executors share. The folder is all the state
+    there is: a rollup that is opened again has the same batches and totals."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.batches = spark, path.rstrip("/"), []
+        self.spark = spark
+        kinds = [*[T.StructField(c, T.StringType()) for c in KEYS], *[T.StructField(c, T.LongType()) for c in SUMS]]
+        self.table = BatchTable(path.rstrip("/"), T.StructType([*kinds, T.StructField(BATCH_COL, T.StringType())]),
+                                lambda: F.lit("all"), tuple(KEYS))
 
-    def _folder(self, batch: str) -> str:
-        return f"{self.path}/batch-{batch}"
+    def batches(self) -> list[str]:
+        return sorted(history.batches(self.spark, self.table.root))
 
     def committed(self, batch: str) -> bool:
-        return path_exists(self.spark, f"{self._folder(batch)}/_SUCCESS")
+        return history.marks_of(self.spark, self.table.root, batch) is not None
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Adds a batch of signed rows; False where it has been committed before."""
-        if batch not in self.batches:
-            self.batches.append(batch)
+        """Adds a batch of signed rows; False where it has been committed before.
+
+        The delta is written beside the table and renamed into it whole: a commit that is
+        cut off leaves nothing that counts, and of two writers of one batch one is told
+        False."""
         if self.committed(batch):
             return False
-        delta = changes.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
-        delta.write.mode("overwrite").parquet(self._folder(batch))
+        aside = f"{self.table.root}/_incoming_{uuid.uuid4().hex}"
+        changes.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).write.parquet(aside)
+        history.write_json(self.spark, f"{aside}/{MARKS_FILE}", {"run": uuid.uuid4().hex})
+        fs, source = history.filesystem(self.spark, aside)
+        _, target = history.filesystem(self.spark, self.table.batch_folder(batch))
+        if fs.exists(target) or not fs.rename(source, target):
+            history.delete(self.spark, aside)
+            return False
         return True
 
+    def compact(self) -> None:
+        """Folds the batches' files together; they stay committed."""
+        history.compact(self.spark, self.table)
+
     def totals(self) -> DataFrame:
-        """Sums by source, language and version; groups that came down to nothing go."""
-        parts = [self.spark.read.parquet(self._folder(b)) for b in self.batches if self.committed(b)]
-        together = reduce(DataFrame.unionByName, parts)
-        return (together.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
+        """Sums by source, language and version; groups that came down to nothing go. No
+        batch: empty."""
+        return (history.read(self.spark, self.table).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
                 .where((F.col("documents") != 0) | (F.col("tokens") != 0) | (F.col("chars") != 0)))
