@@ -75,7 +75,7 @@ def main() -> None:
         (src.repartitionByRange(cpus, *FIXTURE_ORDER).sortWithinPartitions(*FIXTURE_ORDER)
          .drop(*FIXTURE_ORDER).write.option("header", True).option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(out))
+         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSS").csv(out))
         return out
 
     def chain(source, wh: str, timings: dict | None):

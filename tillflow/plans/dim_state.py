@@ -23,9 +23,9 @@ leaves the old totals in place; the next one does its work again.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,15 +115,18 @@ DIMENSIONS = (CUSTOMERS, PRODUCTS)
 class DimensionState(BatchState):
     """State of the two dimensions below ``path`` for the order lines at ``lines``."""
 
-    def __init__(self, spark: SparkSession, path: str, lines: str):
-        super().__init__(spark, path, lines)
-        raw = read_raw_orders(spark, lines).limit(0)
-        self.schemas = {}
-        for d in DIMENSIONS:
-            self.schemas[d.name] = d.rows(raw, BATCH_COL).schema
-            for table, pairs in d.counts.values():
-                self.schemas[table] = pairs(raw, BATCH_COL).schema
-        self.staged = {"customers": staging.stg_customers(raw).schema, "products": staging.stg_products(raw).schema}
+    @cached_property
+    def _raw(self) -> DataFrame:
+        return read_raw_orders(self.spark, self.lines).limit(0)
+
+    @cached_property
+    def schemas(self) -> dict[str, T.StructType]:
+        out = {d.name: d.rows(self._raw, BATCH_COL).schema for d in DIMENSIONS}
+        return out | {table: pairs(self._raw, BATCH_COL).schema for d in DIMENSIONS for table, pairs in d.counts.values()}
+
+    @cached_property
+    def staged(self) -> dict[str, T.StructType]:
+        return {"customers": staging.stg_customers(self._raw).schema, "products": staging.stg_products(self._raw).schema}
 
     def table(self, name: str) -> BatchTable:
         fields = [f for f in self.schemas[name].fields if f.name != BATCH_COL] + [T.StructField(BATCH_COL, T.StringType())]
