@@ -104,3 +104,16 @@ def test_headline_and_data_tests_read_each_model_once(spark, tmpdir_path):
     spec = datatests.DECLARED_TESTS[-1]
     plan = _plan(datatests.run_model_tests(fct, spec))
     assert _scans(plan, "order_key") == 1
+
+
+def test_filters_on_the_keys_stay_above_the_dedup(spark):
+    """No filter over the deduplicated lines is moved into the joins below, where the
+    cleaning of a key would be written out again for each of its uses."""
+    import re
+
+    for name in ("test_unique", "stg_products", "raw_orders"):
+        plan = _plan(queries.QUERIES[name](spark, SF))
+        for node, condition in re.findall(r"\(\d+\) (Filter|SortMergeJoin|BroadcastHashJoin)[^\n]*\n(?:[^\n]+\n)*?"
+                                          r"(?:Condition|Join condition) ?: ([^\n]*(?:\n[^\n]+)*)", plan):
+            if "_keep_rank" not in condition:
+                assert "CASE WHEN" not in condition and "trim(" not in condition, (name, node)
