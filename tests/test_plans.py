@@ -117,3 +117,10 @@ def test_filters_on_the_keys_stay_above_the_dedup(spark):
                                           r"(?:Condition|Join condition) ?: ([^\n]*(?:\n[^\n]+)*)", plan):
             if "_keep_rank" not in condition:
                 assert "CASE WHEN" not in condition and "trim(" not in condition, (name, node)
+
+
+def test_queries_over_many_models_derive_the_lines_once(spark):
+    """The models of one query meet over lines that were derived from the tables once."""
+    for name in ("kpi_headline", "star_orders_products", "test_suite"):
+        plan = _plan(queries.QUERIES[name](spark, SF))
+        assert "l_orderkey" not in plan and _scans(plan, "invoice_no") > 0, name
