@@ -124,3 +124,12 @@ def test_queries_over_many_models_derive_the_lines_once(spark):
     for name in ("kpi_headline", "star_orders_products", "test_suite"):
         plan = _plan(queries.QUERIES[name](spark, SF))
         assert "l_orderkey" not in plan and _scans(plan, "invoice_no") > 0, name
+
+
+def test_compacted_lines_derives_the_lines_once(spark, monkeypatch):
+    from tillflow.plans import queries_io
+
+    calls, flagged = [], queries.flagged
+    monkeypatch.setattr(queries, "flagged", lambda *a, **k: calls.append(a) or flagged(*a, **k))
+    assert queries_io.q_compacted_lines(spark, SF).count() > 0
+    assert len(calls) == 1

@@ -129,9 +129,10 @@ def _load(spark, root: str, flagged: DataFrame, batch_id: str) -> None:
     publish_batch(spark, root, write_incoming(lines, incoming_folder(root, batch_id)), batch_id)
 
 
-def _published(spark, sf_dir) -> str:
+def _published(spark, sf_dir) -> tuple[str, DataFrame]:
     """Two batches (order days before / from 1998) published into a fresh
-    order_lines table, then the first batch published again."""
+    order_lines table, then the first batch published again. Returns the table
+    and the flagged lines, which are derived once and kept."""
     root, kept = scratch_path(spark, "order_lines"), scratch_path(spark, "flagged")
     queries.flagged(spark, sf_dir).write.parquet(kept)
     f = spark.read.parquet(kept)
@@ -139,20 +140,20 @@ def _published(spark, sf_dir) -> str:
     _load(spark, root, f.filter(early), "b_early")
     _load(spark, root, f.filter(~early), "b_late")
     _load(spark, root, f.filter(early), "b_early")
-    return root
+    return root, f
 
 
 def q_batch_overwrite(spark, sf_dir):
     """K2 / K6: rows and quantity per batch and load status after a batch was
     published twice (replaced, not appended)."""
-    lines = read_lines(spark, _published(spark, sf_dir))
+    lines = read_lines(spark, _published(spark, sf_dir)[0])
     return (lines.groupBy(BATCH_COL, STATUS_COL)
             .agg(F.count(F.lit(1)).alias("line_rows"), F.sum("quantity").cast("double").alias("quantity")))
 
 
 def q_batch_count(spark, sf_dir):
     """K5: loaded rows of one batch (reads one partition folder)."""
-    raw = read_raw_orders(spark, _published(spark, sf_dir))
+    raw = read_raw_orders(spark, _published(spark, sf_dir)[0])
     return raw.filter(F.col(BATCH_COL) == "b_late").agg(F.count(F.lit(1)).alias("records_loaded"))
 
 
@@ -310,9 +311,8 @@ def q_marts_written(spark, sf_dir):
 def q_compacted_lines(spark, sf_dir):
     """Batches folded into the months of the history, one of them replaced and one
     added afterwards; the lines of a span of time, read from its months."""
-    root = _published(spark, sf_dir)
+    root, f = _published(spark, sf_dir)
     compact_lines(spark, root)
-    f = queries.flagged(spark, sf_dir)
     _load(spark, root, f.filter(F.coalesce(F.col("invoice_date") < _ts(CUT), F.lit(False))), "b_early")
     span = read_lines(spark, root, since=dt.datetime(1995, 3, 1), until=dt.datetime(1998, 2, 15))
     return (span.groupBy(F.date_format("invoice_date", "yyyy-MM").alias("month"), STATUS_COL)
