@@ -133,3 +133,12 @@ def test_compacted_lines_derives_the_lines_once(spark, monkeypatch):
     monkeypatch.setattr(queries, "flagged", lambda *a, **k: calls.append(a) or flagged(*a, **k))
     assert queries_io.q_compacted_lines(spark, SF).count() > 0
     assert len(calls) == 1
+
+
+def test_engine_conf_keeps_generated_code_compilable(spark):
+    """A second run's cleaning and mark made one method of more than 8,000 bytes, which the
+    JVM only interprets; such a stage runs operator by operator."""
+    from tillflow.session import ENGINE_CONF
+
+    assert int(ENGINE_CONF["spark.sql.codegen.hugeMethodLimit"]) <= 8000
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
