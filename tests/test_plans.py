@@ -142,3 +142,27 @@ def test_engine_conf_keeps_generated_code_compilable(spark):
 
     assert int(ENGINE_CONF["spark.sql.codegen.hugeMethodLimit"]) <= 8000
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_batch_lines_work_out_records_only_for_the_quarantine(spark):
+    import datetime as dt
+
+    from tillflow.plans import ingest
+    from tillflow.operators.quality import flag_quality
+
+    at = dt.datetime(2001, 1, 1)
+    rows = [("1", "A", "x" * 501, 1e12, at, 2.0, "c", "FR"), ("2", "B", "ok", 1.0, at, 1e12, "c", "FR"), ("3", "C", "ok", 1.0, at, 2.0, "c", "FR"),
+            (None, "D", "x" * 501, 1.0, at, 2.0, "c", "FR")]
+    flagged = flag_quality(spark.createDataFrame(rows, "invoice_no string, stock_code string, description string, quantity double, "
+                                                       "invoice_date timestamp_ntz, unit_price double, customer_id string, country string"))
+    skipped = ingest.batch_lines(flagged, "b", at, at)
+    plan = skipped._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "Json" not in plan and "to_json" not in plan
+    got = sorted((str(r.stock_code), r.load_status, r.error_reason, r.raw_record, r._loadable, r._unfit) for r in skipped.collect())
+    assert got == [("A", "loaded", None, None, False, True), ("B", "loaded", None, None, False, True), ("C", "loaded", None, None, True, False),
+                   ("D", "quarantined", "invoice_no is null; ", None, False, False)]
+    kept = {r.stock_code: r for r in ingest.batch_lines(flagged, "b", at, at, "quarantine").collect()}
+    assert kept["A"].error_reason == "description does not fit the raw table; quantity does not fit the raw table; "
+    assert kept["B"].error_reason == "unit_price does not fit the raw table; " and '"invoice_no":"2"' in kept["B"].raw_record
+    assert (kept["C"].load_status, kept["C"].raw_record, kept["D"].raw_record, kept["D"].error_reason) == (
+        "loaded", None, None, "invoice_no is null; ")

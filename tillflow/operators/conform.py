@@ -31,10 +31,10 @@ def _fits(columns) -> dict[str, Column]:
     return out | {c: fits_decimal(F.col(c), p, s) for c in ("quantity", "unit_price")}
 
 
-def unfit_columns(columns) -> Column:
-    """Names of the columns whose incoming values do not fit, in table order."""
+def unfit_columns(columns) -> dict[str, Column]:
+    """Whether the incoming value of each column does not fit, in table order."""
     fits = _fits(columns)
-    return F.array_compact(F.array(*[F.when(~fits[c], F.lit(c)) for c in RAW_COLUMNS if c in fits]))
+    return {c: ~fits[c] for c in RAW_COLUMNS if c in fits}
 
 
 def conform_raw(df: DataFrame) -> DataFrame:

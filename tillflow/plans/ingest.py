@@ -98,22 +98,28 @@ def batch_lines(flagged: DataFrame, batch_id: str, ingested_at: dt.datetime,
     Columns: LINES_SCHEMA without batch_id, and the two flags."""
     record = F.col(RECORD_COL) if RECORD_COL in flagged.columns else F.lit(None).cast("string")
     failed = F.col(REASON_COL) != ""
-    values = F.to_json(F.struct(*[F.col(c) for c in RAW_COLUMNS if c in flagged.columns]))
-    unfit = ~failed & (F.size("_unfit_columns") > 0)
     c = add_audit_columns(flagged, batch_id, ingested_at)
-    c = c.withColumn("_unfit_columns", unfit_columns(c.columns)).withColumn("_values", F.when(unfit, values))
-    c = conform_raw(c.withColumns({UNFIT_COL: unfit, "_record": record}))
-    reason = F.col(REASON_COL)
+    reason, kept = F.col(REASON_COL), {"_record": record}
     if on_unfit == "quarantine":
-        names = F.concat_ws("", F.transform("_unfit_columns", lambda x: F.concat(x, F.lit(UNFIT_REASON))))
-        reason = F.when(F.col(UNFIT_COL), names).otherwise(reason)
+        # only here does a row tell what it was; the other case needs no more than the flag
+        names = F.concat(*[F.when(u, F.lit(n + UNFIT_REASON)).otherwise(F.lit("")) for n, u in unfit_columns(c.columns).items()])
+        values = F.to_json(F.struct(*[F.col(x) for x in RAW_COLUMNS if x in flagged.columns]))
+        kept["_names"] = F.when(~failed, names).otherwise(F.lit(""))
+        c = c.withColumns(kept)
+        kept = {"_values": F.when(F.col("_names") != "", values)}
+        reason = F.concat("_names", REASON_COL)      # one of them is empty
+    c = conform_raw(c.withColumns(kept))
     rejected = reason != ""
+    if on_unfit == "quarantine":
+        record = F.coalesce("_record", "_values")
+    else:
+        record = F.col("_record")
     return c.select(
         *[F.col(f.name) for f in LINES_SCHEMA.fields
           if f.name not in ("batch_id", REASON_COL, "quarantined_at", "raw_record", STATUS_COL)],
         F.when(rejected, F.substring(reason, 1, ERROR_REASON_WIDTH)).alias(REASON_COL),
         F.when(rejected, F.lit(quarantined_at).cast("timestamp_ntz")).alias("quarantined_at"),
-        F.coalesce("_record", F.when(rejected, F.col("_values"))).alias("raw_record"),
+        record.alias("raw_record"),
         F.when(rejected, F.lit(QUARANTINED)).otherwise(F.lit(LOADED)).alias(STATUS_COL),
-        F.col(LOADABLE_COL), F.col(UNFIT_COL),
+        F.col(LOADABLE_COL), (~failed & ~F.col(LOADABLE_COL)).alias(UNFIT_COL),
     )

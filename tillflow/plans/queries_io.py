@@ -29,7 +29,7 @@ from tillflow.sinks.tables import (
     write_incoming,
 )
 from tillflow.sources.csv_source import detect_encoding, drop_check_columns, read_source_csv
-from tillflow.sources.fixtures import fixture_orders
+from tillflow.sources.fixtures import FIXTURE_ORDER, fixture_orders
 from tillflow.state.pipeline_state import (
     AUDIT_KEYS,
     AUDIT_SCHEMA,
@@ -134,8 +134,9 @@ def _published(spark, sf_dir) -> tuple[str, DataFrame]:
     order_lines table, then the first batch published again. Returns the table
     and the flagged lines, which are derived once and kept."""
     root, kept = scratch_path(spark, "order_lines"), scratch_path(spark, "flagged")
-    queries.flagged(spark, sf_dir).write.parquet(kept)
-    f = spark.read.parquet(kept)
+    flagged = queries.flagged(spark, sf_dir).drop(*FIXTURE_ORDER)
+    flagged.write.parquet(kept)
+    f = spark.read.schema(flagged.schema).parquet(kept)
     early = F.coalesce(F.col("invoice_date") < _ts(CUT), F.lit(False))
     _load(spark, root, f.filter(early), "b_early")
     _load(spark, root, f.filter(~early), "b_late")
