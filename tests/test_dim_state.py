@@ -194,3 +194,26 @@ def test_spread_join_equals_the_plain_one(spark):
         assert got.columns == ["k", "i", "lines", "v"] and sorted(map(str, got.collect())) == want
     spread = {r[0] for r in left_join_spread(facts, dim.hint("merge"), "k", hot).select(F.spark_partition_id()).collect()}
     assert spread
+
+
+def test_state_tables_are_written_at_once(spark, loaded, tmp_path, monkeypatch):
+    """The tables of an update do not wait for each other, and their rows are shuffled once."""
+    import threading
+
+    wh = str(tmp_path / "wh")
+    shutil.copytree(loaded[0], wh)
+    state = _state(spark, wh)
+    meet = threading.Barrier(5, timeout=60)     # breaks if one table is written before another is begun
+    real = dim_state.history.delete
+    begun = set()
+
+    def delete(s, path):
+        name = path.split("/")[-2]
+        if name in state.schemas and name not in begun:
+            begun.add(name)
+            meet.wait()
+        return real(s, path)
+    monkeypatch.setattr(dim_state.history, "delete", delete)
+    assert state.update()["batches_read"] == 3 and len(begun) == 5
+    monkeypatch.undo()
+    _same(spark, wh, state)

@@ -22,6 +22,7 @@ leaves the old totals in place; the next one does its work again.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -154,8 +155,7 @@ class DimensionState(BatchState):
         for b in gone:
             for name in self.schemas:
                 self._forget(name, b)
-        for d in DIMENSIONS:
-            self._fold(d, list(published) if anew else new, list(held), number, anew)
+        self._together([lambda d=d: self._fold(d, list(published) if anew else new, list(held), number, anew) for d in DIMENSIONS])
         self.store(number + 1, published)
         for name, _ in history.names(self.spark, f"{self.path}/totals"):
             if name.rpartition("-")[2].isdigit() and int(name.rpartition("-")[2]) <= number:
@@ -167,15 +167,27 @@ class DimensionState(BatchState):
         """Rows and pairs of the batches, each in a folder of its own."""
         raw = read_raw_orders(self.spark, self.lines).filter(F.col(BATCH_COL).isin(list(runs)))
         made = {d.name: d.rows for d in DIMENSIONS} | {t: p for d in DIMENSIONS for t, p in d.counts.values()}
-        for name, make in made.items():
+
+        def write(name, make):
             table = self.table(name)
             for b in runs:  # a batch that has no such rows still replaces its older ones
                 history.delete(self.spark, table.batch_folder(b))
-            (make(raw, BATCH_COL).repartition(BATCH_COL, "key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # as the aggregation leaves the rows; dealing them out by key again makes no fewer files
+            (make(raw, BATCH_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH_COL).parquet(table.root))
             for b, run in runs.items():
                 history.write_json(self.spark, f"{table.batch_folder(b)}/{MARKS_FILE}", {"run": run})
 
+        self._together([lambda name=name, make=make: write(name, make) for name, make in made.items()])
+
+    @staticmethod
+    def _together(jobs: list) -> None:
+        """Runs jobs that do not read each other's output at once: the tasks of one fill the
+        cores that the last tasks of another leave idle."""
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(job) for job in jobs]:
+                f.result()
+
     def _forget(self, name: str, batch_id: str) -> None:
         """A batch that is gone has no rows any more, live or in the state's history."""
         folder = self.table(name).batch_folder(batch_id)
@@ -199,7 +211,9 @@ class DimensionState(BatchState):
         if not anew and number >= 0:
             parts.append(shaped(self._totals(number, d), **{c: F.col(c) for c in (*measures, *counts)}))
         for c, (name, _) in d.counts.items():
-            pairs = self._rows(name, batches).select("key", "value").distinct()
+            pairs = self._rows(name, batches).select("key", "value")
+            if len(batches) > 1:        # of one batch they are distinct as stored
+                pairs = pairs.distinct()
             if not anew and before:
                 pairs = pairs.join(self._rows(name, before).select("key", "value"), ["key", "value"], "left_anti")
             parts.append(shaped(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")), **{c: F.col("n")}))
