@@ -292,6 +292,59 @@ def test_pseudo_likelihood_of_rare_words(spark):
     assert sorted(at) == list(range(5000))
 
 
+def test_pseudo_likelihood_looks_up_common_words(spark, monkeypatch):
+    """Only rare words are joined; scores are the same however many words are looked up."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{j}" for j in [*rng.integers(0, 3000, 300), *rng.integers(3000, 10**6, 20)]) for _ in range(100)] + ["", None, "w1 alone"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2, "doc_id")
+    counts = lm_scoring.word_counts(docs)
+    words = lm_scoring.vocabulary(counts)
+    dealt = lm_scoring.shares(counts, lm_scoring.Network(words))
+    share = {r.word: r.share for r in dealt.collect()}
+    plain = {r.row: r for r in lm_scoring.numbered(docs, words).collect()}
+    got, left = [], []
+    for few in (1, 10_000, lm_scoring.COMMON):
+        monkeypatch.setattr(lm_scoring, "COMMON", few)
+        known = lm_scoring.common(counts, dealt)
+        assert len(known[0]) <= few and (np.diff(known[0]) > 0).all()
+        rows = lm_scoring.numbered(docs, words, known).collect()
+        left.append(sum(len(r.rest) for r in rows))
+        for r in rows:
+            assert set(r.rest).isdisjoint(known[0].view(np.int64).tolist()) and r.number == plain[r.row].number
+            np.testing.assert_allclose(r.inner + sum(share[w] for w in r.rest), sum(share[w] for w in plain[r.row].rest))
+        got.append({r.doc_id: r.log_prob for r in lm_scoring.score(docs, rounds=1).collect()})
+    assert left[0] == sum(len(r.rest) for r in plain.values()) > left[1] > left[2] == 0
+    assert got[0].keys() == set(range(103))
+    for other in got[1:]:
+        np.testing.assert_allclose([other[k] for k in got[0]], list(got[0].values()), rtol=1e-12)
+
+
+@pytest.mark.parametrize("hashes", [[], [0], [0, 1, 2, 2**64 - 1], np.random.default_rng(2).integers(0, 2**63, 3000).tolist()])
+def test_places_of_hashes(hashes):
+    ascending = np.unique(np.array(hashes, np.uint64))
+    asked = np.concatenate([ascending, ascending + np.uint64(1), np.arange(5, dtype=np.uint64)])
+    place = {h: i for i, h in enumerate(ascending.tolist())}
+    assert lm_scoring.Places(ascending).of(asked).tolist() == [place.get(h, -1) for h in asked.tolist()]
+
+
+def test_network_arithmetic_against_plain_sums():
+    rng = np.random.default_rng(7)
+    net = lm_scoring.Network(np.arange(lm_scoring.KNOWN, dtype=np.uint64))
+    net.flat += rng.normal(0, 0.3, len(net.flat)).astype(np.float32)
+    context, target = np.minimum(rng.zipf(1.3, (4, 700)), lm_scoring._PAD), np.minimum(rng.zipf(1.3, 700), lm_scoring._PAD - 1)
+    e, s, b, w1, b1, w2, b2 = (p.astype(np.float64) for p in net.parts)
+    h = np.tanh(sum(e[context[p]] * s[p] for p in range(4)) + b)
+    kind, inner = target // lm_scoring.CLASSES, target % lm_scoring.CLASSES
+    log = lambda x, at: x[np.arange(len(x)), at] - np.log(np.exp(x).sum(axis=1))
+    want = log(h @ w1 + b1, kind) + log(np.einsum("nd,ndc->nc", h, w2[kind]) + b2[kind], inner)
+    np.testing.assert_allclose(net.scores(context, target), want, rtol=1e-3, atol=1e-4)
+    key, sums = lm_scoring._sums(h.astype(np.float32), context)
+    plain = np.zeros((4 * len(e), h.shape[1]))
+    np.add.at(plain, context + np.arange(4)[:, None] * len(e), h)
+    assert key.tolist() == np.unique(context + np.arange(4)[:, None] * len(e)).tolist()
+    np.testing.assert_allclose(sums, plain[key], rtol=1e-4, atol=1e-4)
+
+
 def test_extraction(spark):
     shell = "<html><head><title>t</title></head><body><nav><a>Home</a></nav><div class='ad'>Buy</div><article><h1>A &amp; B</h1>{}</article><footer>f</footer></body></html>"
     rows = [(1, "http://h/1", shell.format("<p>one\n two<p>three <b>bold</b>")), (2, "http://h/2", shell.format("<p>four</p>" * 3 + "<script>x<y</script>")),

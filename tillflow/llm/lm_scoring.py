@@ -7,7 +7,8 @@ of the log-probabilities of all its words, each predicted from both sides.
 
 The network's vocabulary holds the most frequent words of all documents; other words
 share hash buckets, and a word of a bucket has the bucket's probability times its share
-of the bucket's words, by a count table of all words that is joined in Spark. Training
+of the bucket's words, by a count table of all words. The shares of words that make up
+one in ``COMMON`` of all words or more go to each task; the others are joined in Spark. Training
 passes over all documents: every word is a masked target once, in one of the rounds;
 in every round each task trains its own copy of the network, and the copies are
 averaged by the positions they saw, in two steps, a part of the parameters at a time.
@@ -44,9 +45,39 @@ STEPS, LEAST, BATCH = 32, 256, 4096
 PART = 8192
 #: Words of the texts handled at once, about.
 HELD = 1 << 18
+#: Words as frequent as one in so many, so no more words than this, are looked up in the tasks.
+COMMON = 1 << 20
 _PAD = CLASSES * CLASSES
 
 
+class Places:
+    """Places of hashes in an ascending list, found by their leading bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        bits = min(18, 4 + len(hashes).bit_length())
+        self.shift = np.uint64(64 - bits)
+        times = np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.append(0, np.cumsum(times)).astype(np.int32)
+        self.deep = int(times.max())
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """-1: not in the list."""
+        out = np.full(len(hashes), -1, np.int32)
+        if len(self.hashes) == 0:
+            return out
+        slot = (hashes >> self.shift).astype(np.int64)
+        at, end = self.first[slot], self.first[1:][slot]
+        left = np.flatnonzero(at < end)
+        for deep in range(self.deep):
+            place = at[left] + deep
+            found = self.hashes[place] == hashes[left]
+            out[left[found]] = place[found]
+            more = ~found & (place + 1 < end[left])
+            left = left[more]
+        return out
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch)
@@ -59,7 +90,7 @@ class Network:
     def __init__(self, words: np.ndarray, flat: np.ndarray | None = None):
         self.by_rank = words
         self.order = np.argsort(words, kind="stable")  # rank of the words by hash
-        self.words = words[self.order]
+        self.places = Places(words[self.order])
         shapes = [(_PAD + 1, WIDTH), (2 * SIDE, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,), (CLASSES, WIDTH, CLASSES), (CLASSES, CLASSES)]
         if flat is None:
             rng = np.random.default_rng(1)
@@ -75,11 +106,11 @@ class Network:
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """Word numbers; frequent words by rank, dealt over the classes in runs."""
-        out = KNOWN + (mix(hashes + np.uint64(5)) % np.uint64(BUCKETS)).astype(np.int64)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-            known = self.words[at] == hashes
-            out[known] = self.order[at[known]]
+        at = self.places.of(hashes)
+        known = at >= 0
+        out = np.empty(len(hashes), np.int64)
+        out[known] = self.order[at[known]]
+        out[~known] = KNOWN + (mix(hashes[~known] + np.uint64(5)) % np.uint64(BUCKETS)).astype(np.int64)
         return out
 
     @staticmethod
@@ -95,82 +126,140 @@ class Network:
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         e, s, b = self.parts[:3]
-        total = (e * s[0])[context[0]]
+        context = context.astype(np.intp)
+        total = (e * s[0]).take(context[0], axis=0)
         for p in range(1, 2 * SIDE):
-            total += (e * s[p])[context[p]]
+            total += (e * s[p]).take(context[p], axis=0)
         total += b
         return np.tanh(total, out=total)
 
+    def logits(self, h: np.ndarray, cut: np.ndarray) -> Iterator[np.ndarray]:
+        """Of the words' classes, then of the words in the class; a column for each row of
+        ``h``, whose rows are sorted by class and cut at ``cut``. Both come in one array."""
+        w1, b1, w2, b2 = self.parts[3:]
+        x = _columns(len(h))
+        np.matmul(w1.T, h.T, out=x)
+        x += b1[:, None]
+        yield x
+        for c in np.flatnonzero(np.diff(cut)).tolist():
+            own = x[:, cut[c] : cut[c + 1]]
+            np.matmul(w2[c].T, h[cut[c] : cut[c + 1]].T, out=own)
+            own += b2[c][:, None]
+        yield x
+
     def scores(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each masked word."""
-        order = np.argsort(target // CLASSES, kind="stable")
-        kind, inner = np.divmod(target[order], CLASSES)
+        order, kind, inner, cut = _by_class(target)
         h = self.hidden(context[:, order])
-        _, _, _, w1, b1, w2, b2 = self.parts
-        found = _log_at(h @ w1 + b1, kind)
-        cut = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(cut)):
-            a, b = cut[c], cut[c + 1]
-            found[a:b] += _log_at(h[a:b] @ w2[c] + b2[c], inner[a:b])
+        found = np.zeros(len(h), np.float32)
+        for x, at in zip(self.logits(h, cut), (kind, inner)):
+            found += _log_at(x, at)
         out = np.empty_like(found)
         out[order] = found
         return out
 
     def train(self, context: np.ndarray, target: np.ndarray, squares: list[np.ndarray]) -> None:
-        """One Adagrad step; only what the batch touches is changed."""
+        """One Adagrad step."""
         e, s, b, w1, b1, w2, b2 = self.parts
-        order = np.argsort(target // CLASSES, kind="stable")
-        kind, inner = np.divmod(target[order], CLASSES)
+        order, kind, inner, cut = _by_class(target)
         context = context[:, order]
         h = self.hidden(context)
         n = len(h)
-
-        def step(part: np.ndarray, square: np.ndarray, grad: np.ndarray, rows=...) -> None:
-            grad = grad / n
-            square[rows] += grad * grad
-            part[rows] -= RATE * grad / np.sqrt(square[rows] + 1e-8)
-
-        p = _off_by(h @ w1 + b1, kind)
-        back = p @ w1.T
-        step(w1, squares[3], h.T @ p)
-        step(b1, squares[4], p.sum(axis=0))
-        cut = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(cut)):
-            rows = slice(cut[c], cut[c + 1])
-            q = _off_by(h[rows] @ w2[c] + b2[c], inner[rows])
-            back[rows] += q @ w2[c].T
-            step(w2, squares[5], h[rows].T @ q, c)
-            step(b2, squares[6], q.sum(axis=0), c)
+        off = np.empty((n, CLASSES), np.float32)
+        logits = self.logits(h, cut)
+
+        off[...] = _off_by(next(logits), kind).T
+        back = off @ w1.T
+        grads = {3: h.T @ off, 4: off.sum(axis=0), 5: np.zeros_like(w2), 6: np.zeros_like(b2)}
+        off[...] = _off_by(next(logits), inner).T
+        through = np.empty_like(back)
+        for c in np.flatnonzero(np.diff(cut)).tolist():
+            q, rows = off[cut[c] : cut[c + 1]], slice(cut[c], cut[c + 1])
+            np.matmul(q, w2[c].T, out=through[rows])
+            np.matmul(h[rows].T, q, out=grads[5][c])
+            np.add.reduce(q, axis=0, out=grads[6][c])
+        back += through
         back *= 1 - h * h
-        step(b, squares[2], back.sum(axis=0))
+        grads[2] = back.sum(axis=0)
         # for each place of the window the gradients summed by word; the words' and the
         # place's own both follow from these sums
-        words, places = np.zeros_like(e), np.empty_like(s)
+        grads[0], grads[1] = np.zeros_like(e), np.empty_like(s)
+        key, sums = _sums(back, context)
         for k in range(2 * SIDE):
-            order = np.argsort(context[k], kind="stable")
-            word, start = np.unique(context[k][order], return_index=True)
-            sums = np.add.reduceat(back[order], start, axis=0)
-            places[k] = np.einsum("wd,wd->d", e[word], sums)
-            words[word] += sums * s[k]
-        touched = np.flatnonzero(np.bincount(context.ravel(), minlength=len(e)))
-        step(e, squares[0], words[touched], touched)
-        step(s, squares[1], places)
+            own = slice(*np.searchsorted(key, (k * len(e), (k + 1) * len(e))))
+            word = key[own] - k * len(e)
+            grads[1][k] = np.einsum("wd,wd->d", e[word], sums[own])
+            grads[0][word] += sums[own] * s[k]
+        for i, grad in grads.items():
+            grad /= n
+            squares[i] += grad * grad
+            self.parts[i] -= RATE * grad / np.sqrt(squares[i] + 1e-8)
 
 
-def _off_by(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Softmax of each row less one at its entry; ``x`` is used up."""
-    x -= x.max(axis=1, keepdims=True)
+def _columns(n: int) -> np.ndarray:
+    """A column of ``CLASSES`` numbers for each of ``n`` positions. The rows lie a little
+    apart, since rows a power of two apart share cache lines."""
+    return np.empty((CLASSES, n + 16), np.float32)[:, :n]
+
+
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The targets' order by class; in that order their classes and their words in the
+    class; and where each class begins, with the end."""
+    kind = (target // CLASSES).astype(np.int8)  # numpy sorts short integers by radix
+    order = np.argsort(kind, kind="stable")
+    kind = kind[order].astype(np.int64)
+    return order, kind, target[order] - kind * CLASSES, np.searchsorted(kind, np.arange(CLASSES + 1))
+
+
+def _powers(x: np.ndarray) -> np.ndarray:
+    """Sums of the columns' exponentials, eight rows at a time; ``x`` becomes these."""
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    x[np.arange(len(x)), at] -= 1
+    part = x.reshape(-1, 8, x.shape[1]).sum(axis=0)
+    while len(part) > 1:
+        part = part[::2] + part[1::2]
+    return part[0]
+
+
+def _off_by(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Softmax of each column less one at its entry; ``x`` is used up."""
+    x -= x.max(axis=0)
+    x /= _powers(x)
+    x[at, np.arange(len(at))] -= 1
     return x
 
 
 def _log_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-softmax of one entry of each row; ``x`` is used up."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), at]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
+    """Log-softmax of one entry of each column; ``x`` is used up."""
+    x -= x.max(axis=0)
+    own = x[at, np.arange(len(at))]
+    return own - np.log(_powers(x))
+
+
+def _sums(rows: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``rows`` summed by place of the window and word there: the keys ``place * words +
+    word``, ascending, and the sums."""
+    key = (context + (np.arange(2 * SIDE) * (_PAD + 1))[:, None]).astype(np.int16).ravel()
+    order = np.argsort(key, kind="stable")
+    key, source = key[order], order % len(rows)
+    start = np.flatnonzero(np.diff(key, prepend=np.int16(-1)))
+    times = np.diff(start, append=len(key))
+    sums = np.empty((len(start), rows.shape[1]), np.float32)
+    # most words come a few times: all their first rows at once, then all their second ones
+    often = times > 8
+    many = np.flatnonzero(often)
+    if len(many):
+        at = source[np.repeat(often, times)]
+        sums[many] = np.add.reduceat(rows.take(at, axis=0), np.cumsum(times[many]) - times[many], axis=0)
+    few = np.flatnonzero(~often)
+    few = few[np.argsort(-times[few], kind="stable")]
+    first, left = start[few], np.searchsorted(-times[few], -np.arange(1, 9), side="right")
+    more = rows.take(source[first[: left[1]] + 1], axis=0)
+    for j in range(2, 8):
+        more[: left[j]] += rows.take(source[first[: left[j]] + j], axis=0)
+    total = rows.take(source[first], axis=0)
+    total[: len(more)] += more
+    sums[few] = total
+    return key[start].astype(np.int64), sums
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -180,8 +269,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def shares(counts: DataFrame, net: Network) -> DataFrame:
-    """``word, share``: the log of a word's share of its bucket, of every word that the
-    network does not know itself."""
+    """``word, n, share``: how often a word occurs and the log of its share of its bucket, of
+    every word that the network does not know itself."""
     shared = counts.sparkSession.sparkContext.broadcast(net.by_rank)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,23 +283,39 @@ def shares(counts: DataFrame, net: Network) -> DataFrame:
 
     rows = counts.select("word", "n").mapInArrow(dealt, "word long, n long, bucket long")
     totals = rows.groupBy("bucket").agg(F.sum("n").alias("total"))  # at most BUCKETS rows
-    return rows.join(F.broadcast(totals), "bucket").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
+    return rows.join(F.broadcast(totals), "bucket").select("word", "n", F.log(F.col("n") / F.col("total")).alias("share"))
+
+
+def common(counts: DataFrame, dealt: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and shares of the common words of ``dealt``: at most ``COMMON``
+    words, however many there are."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = dealt.where(F.col("n") >= total / COMMON).select("word", "share").toArrow()
+    word, share = rows.column("word").to_numpy().view(np.uint64), rows.column("share").to_numpy()
+    order = np.argsort(word)
+    return word[order], share[order]
 
 
-def numbered(docs: DataFrame, words: np.ndarray) -> DataFrame:
-    """``row, doc_id, number, rest`` of every row: its words by number, and the hashes of
-    those in buckets."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def numbered(docs: DataFrame, words: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """``row, doc_id, number, rest, inner`` of every row: its words by number; the hashes of
+    those in buckets, without the words of ``known``; and the sum of the latter's shares."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, known or (np.zeros(0, np.uint64), np.zeros(0))))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(shared.value)
+        words, (hashes, share) = shared.value
+        net, places = Network(words), Places(hashes)
         for batch in batches:
             texts = texts_of(batch)
             numbers, cut, rest, rest_cut = [np.zeros(0, np.int16)], [np.zeros(1, np.int64)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+            inner = [np.zeros(0)]
             for a, b in chunks(texts):
                 r = runs(texts[a:b])
                 own = net.number(r.hash)
                 dealt = own >= KNOWN
+                at = np.full(len(own), -1, np.int32)
+                at[dealt] = places.of(r.hash[dealt])
+                dealt &= at < 0
+                inner.append(np.bincount(r.doc[at >= 0], share[at[at >= 0]], minlength=b - a))
                 numbers.append(own.astype(np.int16))
                 rest.append(r.hash[dealt].view(np.int64))
                 cut.append(cut[-1][-1] + r.first[1:])
@@ -218,11 +323,11 @@ def numbered(docs: DataFrame, words: np.ndarray) -> DataFrame:
             lists = [pa.ListArray.from_arrays(pa.array(np.concatenate(c), pa.int32()), pa.array(np.concatenate(v)))
                      for c, v in ((cut, numbers), (rest_cut, rest))]
             own = [batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id")]
-            yield pa.RecordBatch.from_arrays([*own, *lists], ["row", "doc_id", "number", "rest"])
+            yield pa.RecordBatch.from_arrays([*own, *lists, pa.array(np.concatenate(inner))], ["row", "doc_id", "number", "rest", "inner"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-                   .mapInArrow(number, f"row long, doc_id {kind}, number array<smallint>, rest array<long>"), "numbered")
+                   .mapInArrow(number, f"row long, doc_id {kind}, number array<smallint>, rest array<long>, inner double"), "numbered")
 
 
 def vocabulary(counts: DataFrame) -> np.ndarray:
@@ -304,7 +409,8 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     trained on and scored. Empty table: empty result. Other columns are not read."""
     counts = word_counts(docs)
     words = vocabulary(counts)
-    texts = numbered(docs, words)
+    dealt = shares(counts, Network(words))
+    texts = numbered(docs, words, common(counts, dealt))
     net = fit(texts, words, rounds)
     shared = docs.sparkSession.sparkContext.broadcast((net.by_rank, net.flat))
 
@@ -321,12 +427,13 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 sums += [float(logs[i:j].sum()) for i, j in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in ("row", "doc_id")), pa.array(tokens, pa.int64()),
-                 pa.array(sums, pa.float64())], ["row", "doc_id", "n_tokens", "net"])
+                 pa.array(np.array(sums) + batch.column(batch.schema.get_field_index("inner")).to_numpy(), pa.float64())],
+                ["row", "doc_id", "n_tokens", "sum"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = texts.select("row", "doc_id", "number").mapInArrow(scored, f"row long, doc_id {kind}, n_tokens long, net double")
-    inner = (texts.select("row", F.explode("rest").alias("word")).join(shares(counts, net), "word")
-             .groupBy("row").agg(F.sum("share").alias("inner")))
-    total = F.col("net") + F.coalesce("inner", F.lit(0.0))
-    return rows.join(inner, "row", "left").select(
+    rows = texts.select("row", "doc_id", "number", "inner").mapInArrow(scored, f"row long, doc_id {kind}, n_tokens long, sum double")
+    rare = (texts.select("row", F.explode("rest").alias("word")).join(dealt.select("word", "share"), "word")
+            .groupBy("row").agg(F.sum("share").alias("rare")))
+    total = F.col("sum") + F.coalesce("rare", F.lit(0.0))
+    return rows.join(rare, "row", "left").select(
         "doc_id", "n_tokens", total.alias("log_prob"), F.try_divide(total, F.col("n_tokens")).alias("mean_log_prob"))
