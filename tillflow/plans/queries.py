@@ -9,7 +9,8 @@ to double at the query boundary so results compare across engines.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,9 @@ from tillflow.operators.dedup import dedup_keep_last, duplicate_count
 from tillflow.operators.quality import REASON_COL, add_audit_columns
 from tillflow.plans import ingest, reports, staging
 from tillflow.plans.catalog import ModelParams, Models
-from tillflow.session import scratch_path
-from tillflow.sources.fixtures import FIXTURE_ORDER, fixture_order_column, fixture_orders
+from tillflow.session import freed_shuffles, scratch_path
+from tillflow.sinks.tables import delete_path
+from tillflow.sources.fixtures import FIXTURE_ORDER, fixture_order_column, fixture_orders, joined_tables, order_lines
 
 # Fixed run parameters of the fixture queries.
 BATCH_ID = "fixture_batch"
@@ -55,12 +57,27 @@ def cleaned(spark, sf_dir, options=IngestOptions()) -> DataFrame:
     return clean_ops.clean(source(spark, sf_dir), options)
 
 
-def flagged(spark, sf_dir, options=IngestOptions()) -> DataFrame:
-    return ingest.transform(source(spark, sf_dir), options)
+@contextmanager
+def written_source(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """``source`` for the jobs inside, from the joined tables written under the shared folder
+    and removed after them. The shuffles of the joins are gone before those of the jobs
+    begin, so the disk never holds both; the rows in columns take a fraction of either."""
+    rows, path = joined_tables(spark, sf_dir), scratch_path(spark, "joined")
+    try:
+        with freed_shuffles(spark):
+            rows.write.option("compression", "zstd").parquet(path)
+        lines = order_lines(spark.read.schema(rows.schema).parquet(path))
+        yield lines.withColumn("_ord", fixture_order_column())
+    finally:
+        delete_path(spark, path)
 
 
-def raw_orders(spark, sf_dir) -> DataFrame:
-    return ingest.raw_orders(flagged(spark, sf_dir), BATCH_ID, INGESTED_AT)
+def flagged(spark, sf_dir, options=IngestOptions(), src: DataFrame | None = None) -> DataFrame:
+    return ingest.transform(source(spark, sf_dir) if src is None else src, options)
+
+
+def raw_orders(spark, sf_dir, src: DataFrame | None = None) -> DataFrame:
+    return ingest.raw_orders(flagged(spark, sf_dir, src=src), BATCH_ID, INGESTED_AT)
 
 
 def models(spark, sf_dir) -> Models:

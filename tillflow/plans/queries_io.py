@@ -17,7 +17,7 @@ from tillflow.operators.conform import LOADABLE_COL
 from tillflow.operators.incremental import watermark_expr
 from tillflow.operators.quality import REASON_COL
 from tillflow.plans import ingest, pipeline, queries
-from tillflow.session import scratch_path
+from tillflow.session import freed_shuffles, scratch_path
 from tillflow.sinks.tables import (
     BATCH_COL,
     STATUS_COL,
@@ -134,8 +134,9 @@ def _published(spark, sf_dir) -> tuple[str, DataFrame]:
     order_lines table, then the first batch published again. Returns the table
     and the flagged lines, which are derived once and kept."""
     root, kept = scratch_path(spark, "order_lines"), scratch_path(spark, "flagged")
-    flagged = queries.flagged(spark, sf_dir).drop(*FIXTURE_ORDER)
-    flagged.write.parquet(kept)
+    with queries.written_source(spark, sf_dir) as src, freed_shuffles(spark):
+        flagged = queries.flagged(spark, sf_dir, src=src).drop(*FIXTURE_ORDER)
+        flagged.write.parquet(kept)
     f = spark.read.schema(flagged.schema).parquet(kept)
     early = F.coalesce(F.col("invoice_date") < _ts(CUT), F.lit(False))
     _load(spark, root, f.filter(early), "b_early")

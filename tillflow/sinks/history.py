@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillflow.session import freed_shuffles
+
 BATCH_COL = "batch_id"
 MARKS_FILE = "_marks.json"
 HISTORY, LAYOUT, GENERATION, SLOT = "_history", "_layout", "gen", "slot"
@@ -194,11 +196,12 @@ def compact(spark: SparkSession, table: BatchTable, file_bytes: int = FILE_BYTES
     rows = spark.read.schema(table.schema).parquet(root)
     if leftover:
         rows = rows.filter(~F.col(BATCH_COL).isin(leftover))
-    touched = {r[0] for r in rows.select(slot).distinct().collect()}  # as many as there are slots
     replaced = [b for b in new if b in old.batches]
-    if replaced and old.slots:
-        held = _history(spark, table, old, sorted(old.slots)).filter(F.col(BATCH_COL).isin(replaced))
-        touched |= {r[0] for r in held.select(slot).distinct().collect()}
+    with freed_shuffles(spark):
+        touched = {r[0] for r in rows.select(slot).distinct().collect()}  # as many as there are slots
+        if replaced and old.slots:
+            held = _history(spark, table, old, sorted(old.slots)).filter(F.col(BATCH_COL).isin(replaced))
+            touched |= {r[0] for r in held.select(slot).distinct().collect()}
     kept = sorted(touched & set(old.slots))
     size = sum(_bytes(spark, table.batch_folder(b)) for b in new)
     if kept:
@@ -209,8 +212,9 @@ def compact(spark: SparkSession, table: BatchTable, file_bytes: int = FILE_BYTES
     generation = f"{number}-{uuid.uuid4().hex[:8]}"
     target = f"{root}/{HISTORY}/{GENERATION}={generation}"
     dealt = (SLOT, *table.folders, *table.order)
-    (rows.withColumn(SLOT, table.slot_of()).repartitionByRange(max(1, -(-size // file_bytes)), *dealt).sortWithinPartitions(*dealt)
-     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(SLOT, *table.folders).parquet(target))
+    with freed_shuffles(spark):
+        (rows.withColumn(SLOT, table.slot_of()).repartitionByRange(max(1, -(-size // file_bytes)), *dealt).sortWithinPartitions(*dealt)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(SLOT, *table.folders).parquet(target))
     written = {n.split("=", 1)[1] for n, _ in names(spark, target) if n.startswith(f"{SLOT}=")}
     slots = {s: g for s, g in old.slots.items() if s not in touched} | {s: generation for s in written}
     layout = Layout(number, slots, old.batches | new)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillflow.config import DEDUP_KEYS
-from tillflow.session import path_exists
+from tillflow.session import freed_shuffles, path_exists
 from tillflow.sinks import history
 from tillflow.sinks.history import BATCH_COL, MARKS_FILE, BatchTable
 
@@ -145,8 +145,9 @@ def write_incoming(df: DataFrame, folder: str) -> str:
     # The writer sorts each task's rows by the partition column anyway; time
     # as the second key keeps every file's row groups in time order, so reads
     # of a time slice (the mark on, the scoped key test) skip by min/max.
-    (df.sortWithinPartitions(STATUS_COL, "invoice_date").write.mode("overwrite")
-     .partitionBy(STATUS_COL).parquet(folder))
+    with freed_shuffles(df.sparkSession):
+        (df.sortWithinPartitions(STATUS_COL, "invoice_date").write.mode("overwrite")
+         .partitionBy(STATUS_COL).parquet(folder))
     return folder
 
 
@@ -203,9 +204,10 @@ def write_batch_direct(spark: SparkSession, df_with_batch: DataFrame, root: str)
     ``batch_id=<id>/load_status=*``). Its rows are visible from the commit of
     the job, before the checks; a failed check deletes them again. Only for a
     batch id that is not there yet."""
-    (df_with_batch.sortWithinPartitions(BATCH_COL, STATUS_COL, "invoice_date")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COL, STATUS_COL).parquet(root))
+    with freed_shuffles(spark):
+        (df_with_batch.sortWithinPartitions(BATCH_COL, STATUS_COL, "invoice_date")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COL, STATUS_COL).parquet(root))
 
 
 def lines_missing(spark: SparkSession, root: str, incoming: str, batch_id: str) -> bool:

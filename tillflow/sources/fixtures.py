@@ -46,8 +46,8 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One source order line per lineitem row, with source-file column names."""
+def joined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per lineitem row, with the columns that its order line is made of."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag")
@@ -63,11 +63,20 @@ def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # sort-merge join on the order key, which is the plan at any scale.
     # Small test files would otherwise broadcast lineitem itself and run the
     # whole stage in the scan's single task.
-    rows = (li.join(ocn.hint("merge"), li.l_orderkey == ocn.o_orderkey)
-            .join(part, li.l_partkey == part.p_partkey))
+    return (li.join(ocn.hint("merge"), li.l_orderkey == ocn.o_orderkey)
+            .join(part, li.l_partkey == part.p_partkey)
+            .drop("o_orderkey", "p_partkey"))
+
+
+def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source order line per lineitem row, with source-file column names."""
+    return order_lines(joined_tables(spark, sf_dir))
+
 
+def order_lines(rows: DataFrame) -> DataFrame:
+    """The source order lines of ``joined_tables``."""
     lok, lpk, lln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    ook, ock = F.col("o_orderkey"), F.col("o_custkey")
+    ook, ock = lok, F.col("o_custkey")
     returned = F.col("l_returnflag") == "R"
     pk50 = lpk % 50
 
