@@ -6,9 +6,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tillflow.plans import ingest, queries, queries_io
+from tillflow.plans import ingest, pipeline, queries, queries_io
 from tillflow.session import FREE_SHUFFLES, freed_shuffles, shared_dir
 from tillflow.sinks import tables
+from tillflow.sources.csv_source import list_files, read_source_csv
 
 
 @pytest.fixture(scope="module")
@@ -87,3 +88,31 @@ def test_published_lines_are_those_of_the_joined_tables(spark, sf_dir):
     assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty()
     tables.compact_lines(spark, root)
     assert tables.read_lines(spark, root).filter(F.col("load_status") == "loaded").count() > 300
+
+
+def test_csv_quarantine_packs_its_source_and_holds_no_earlier_shuffle(spark, sf_dir, monkeypatch):
+    before, scratch, seen, run, write = _shuffles(spark), _scratch(spark), [], pipeline.run_pipeline, queries_io._write_ragged
+
+    def watched(s, source, *a, **k):
+        folder = source.removeprefix("file:")
+        text = "\n".join(r[0] for r in spark.read.text(source).collect())
+        seen.append((_left(spark, before), sum(os.path.getsize(f"{folder}/{n}") for n in os.listdir(folder) if n.startswith("part-")), len(text)))
+        return run(s, source, *a, **k)
+
+    monkeypatch.setattr(pipeline, "run_pipeline", watched)
+    packed = sorted(map(str, queries_io.q_csv_quarantine(spark, sf_dir).collect()))
+    (shuffles, size, text), = seen
+    assert not shuffles and size < text * 0.6
+    assert [n.split("-")[0] for n in _scratch(spark) - scratch] == ["warehouse"]
+    monkeypatch.setattr(queries_io, "_write_ragged", lambda s, d, **k: write(s, d, short_lines=False))
+    assert sorted(map(str, queries_io.q_csv_quarantine(spark, sf_dir).collect())) == packed
+
+
+def test_small_packed_files_keep_the_order_of_the_lines(spark, sf_dir):
+    def lines(path):
+        return [tuple(r)[:-1] for r in read_source_csv(spark, path).orderBy("_ord").drop("_ord", "_overlong", "_bad_text", "_open_quote").collect()]
+
+    plain = queries_io._write_ragged(spark, sf_dir, short_lines=True)
+    packed = queries_io._write_ragged(spark, sf_dir, short_lines=True, compression="snappy", lines_per_file=7)
+    assert len(list_files(spark, packed)) > 50
+    assert lines(packed) == lines(plain) and len(lines(plain)) == 480

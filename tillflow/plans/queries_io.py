@@ -22,6 +22,7 @@ from tillflow.sinks.tables import (
     BATCH_COL,
     STATUS_COL,
     compact_lines,
+    delete_path,
     incoming_folder,
     publish_batch,
     read_lines,
@@ -182,10 +183,10 @@ def q_csv_roundtrip(spark, sf_dir):
                        "unit_price", "customer_id", "country")
 
 
-def _write_ragged(spark, sf_dir, short_lines: bool) -> str:
+def _write_ragged(spark, sf_dir, short_lines: bool, compression: str = "none", lines_per_file: int = 0) -> str:
     """The source lines as raw CSV text in file order; lines 7 of an order get one field too
-    many, and ``short_lines`` makes lines 6 stop after the third source field."""
-    src = fixture_orders(spark, sf_dir)
+    many, and ``short_lines`` makes lines 6 stop after the third source field. Compressed
+    files are read whole, so ``lines_per_file`` keeps them small (0: no limit)."""
     cols = list(IDS) + ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
                         "Customer ID", "Country"]
     text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols]
@@ -197,8 +198,10 @@ def _write_ragged(spark, sf_dir, short_lines: bool) -> str:
     path = scratch_path(spark, "csv_ragged")
     # One text column per line; a separator that never occurs keeps the
     # writer from quoting the commas inside it.
-    (src.orderBy(*IDS).select(line.otherwise(full).alias(",".join(cols))).write.option("header", True).option("sep", "\u0001")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    with queries.written_source(spark, sf_dir) as src, freed_shuffles(spark):
+        (src.orderBy(*IDS).select(line.otherwise(full).alias(",".join(cols))).write.option("header", True).option("sep", "\u0001")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .option("compression", compression).option("maxRecordsPerFile", lines_per_file).csv(path))
     return path
 
 
@@ -241,8 +244,10 @@ def q_csv_quarantine(spark, sf_dir):
     """One run that sets aside overlong records and rows that do not fit, both with
     what they were; rows by status and reason."""
     wh = scratch_path(spark, "warehouse")
-    pipeline.run_pipeline(spark, _write_ragged(spark, sf_dir, short_lines=False), wh, batch_id="q",
-                          on_ragged="quarantine", on_unfit="quarantine", clock=lambda: queries.INGESTED_AT)
+    source = _write_ragged(spark, sf_dir, short_lines=False, compression="snappy", lines_per_file=100_000)
+    pipeline.run_pipeline(spark, source, wh, batch_id="q", on_ragged="quarantine", on_unfit="quarantine",
+                          clock=lambda: queries.INGESTED_AT)
+    delete_path(spark, source)      # the batch has what it held
     lines = read_lines(spark, pipeline.Layout(wh).lines)
     return (lines.groupBy(STATUS_COL, REASON_COL)
             .agg(F.count(F.lit(1)).alias("line_rows"), F.count_distinct("invoice_no").alias("invoices"),
