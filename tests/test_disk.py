@@ -116,3 +116,14 @@ def test_small_packed_files_keep_the_order_of_the_lines(spark, sf_dir):
     packed = queries_io._write_ragged(spark, sf_dir, short_lines=True, compression="snappy", lines_per_file=7)
     assert len(list_files(spark, packed)) > 50
     assert lines(packed) == lines(plain) and len(lines(plain)) == 480
+
+
+def test_test_suite_holds_no_shuffle_of_the_lines_it_derived(spark, sf_dir):
+    from tillflow.operators import datatests
+
+    before, scratch = _shuffles(spark), _scratch(spark)
+    suite = queries.q_test_suite(spark, sf_dir)
+    assert not _left(spark, before)
+    assert [n.split("-")[0] for n in _scratch(spark) - scratch] == ["raw_orders"]
+    want = datatests.test_suite(queries.models(spark, sf_dir).as_dict())
+    assert sorted(map(str, suite.collect())) == sorted(map(str, want.collect()))

@@ -87,9 +87,10 @@ def models(spark, sf_dir) -> Models:
 def written_models(spark, sf_dir) -> Models:
     """Models for a query that several of them meet in: the raw lines are derived once and
     written under the shared folder, else each model would derive them for itself."""
-    raw = raw_orders(spark, sf_dir)
     path = scratch_path(spark, "raw_orders")
-    raw.write.parquet(path)
+    with written_source(spark, sf_dir) as src, freed_shuffles(spark):
+        raw = raw_orders(spark, sf_dir, src)
+        raw.write.parquet(path)
     return Models(spark, spark.read.schema(raw.schema).parquet(path), PARAMS)
 
 
